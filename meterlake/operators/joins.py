@@ -1,0 +1,19 @@
+"""Joins whose broadcast side is size-checked at run time."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``small`` only after counting it; beyond ``max_rows`` use a shuffle join.
+
+    ``small`` should be cheap to recompute or persisted by the caller: it is
+    evaluated once for the count and again inside the join.
+    """
+    n = small.count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import consumption as C, health as H, power_quality as P
+from .plans import consumption as C, health as H, insights as A, power_quality as P, predict as PR
 from .testdata import curated_standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,4 +34,10 @@ def registered_queries() -> dict[str, Query]:
                P.q26_load_factor, P.q27_sag_swell, C.q28_completeness):
         q[fn.__name__] = _on_curated(fn)
     q["q19_dead_meters"] = _on_curated(H.q19_dead_meters, min_readings=0)
+    for fn in (PR.p1_next_day, PR.p2_next_month, PR.p3_load_profile, PR.p4_seasonal_index,
+               A.a1_anomaly_days, A.a4_segments, A.a5_voltage_quality, A.a6_peak_contributors,
+               A.outage_spells):
+        q[fn.__name__] = _on_curated(fn)
+    q["a2_theft_indicator"] = _on_curated(A.a2_theft_indicator, min_prev_kwh=0.005)
+    q["a3_outage_hours"] = _on_curated(A.a3_outage_hours, min_readings=2)
     return dict(sorted(q.items()))

@@ -3,7 +3,8 @@ from __future__ import annotations
 
 
 def registered_sql() -> dict[str, str]:
-    from . import business
+    from . import business, insights
     out: dict[str, str] = {}
     out.update(business.sql())
+    out.update(insights.sql())
     return dict(sorted(out.items()))
