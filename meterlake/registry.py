@@ -10,7 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import consumption as C, health as H, insights as A, power_quality as P, predict as PR
+from pyspark.sql import functions as F
+
+from .functions import readings as RD
+from .functions.numeric import rnd
+from .operators import grains
+from .operators.anomaly import anomaly_series
+from .operators.regression import forecast_grouped
+from .plans import consumption as C, dashboard as D, health as H, insights as A, power_quality as P, predict as PR
 from .testdata import curated_standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +30,43 @@ def _on_curated(fn, **params) -> Query:
     return run
 
 
+def _on_rollup(fn, **params) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(grains.hourly_rollup(curated_standin(spark, sf_dir)), **params)
+    run.__name__ = fn.__name__
+    return run
+
+
+def _worst_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grains.hourly_rollup(curated_standin(spark, sf_dir)).select("meter_id", "hour_ts", "worst_health_status")
+
+
+def _dashboard_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roll = grains.hourly_rollup(curated_standin(spark, sf_dir))
+    return D.dashboard_filter(roll, since="1996-01-01", until="1999-01-01", towns=["BR"],
+                              statuses=["CRITICAL", "WARNING", "POSSIBLE_METER_ISSUE"])
+
+
+def _town_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.town_view(curated_standin(spark, sf_dir), ["MH"], "town_view_mh")
+
+
+def _forecast_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-meter monthly kWh, three months ahead, 90 % interval."""
+    m = grains.monthly(curated_standin(spark, sf_dir)).withColumn("x", F.col("year") * 12 + F.col("month") - 1)
+    fc = forecast_grouped(m, ["meter_id"], "x", "kwh", 3, 0.90)
+    return fc.select("meter_id", D.month_from_index("x_future").alias("period"), "step",
+                     rnd("forecast", 2).alias("forecast_kwh"), rnd("lower", 2).alias("lower_kwh"),
+                     rnd("upper", 2).alias("upper_kwh"))
+
+
+def _anomaly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily kWh per town, 30-row rolling z-score, every anomaly (no top-k)."""
+    c = curated_standin(spark, sf_dir)
+    series = c.groupBy(RD.town().alias("town"), RD.reading_date().alias("d")).agg(F.sum("energy_kwh").alias("kwh"))
+    return anomaly_series(series, ["town"], "d", "kwh", n=None)
+
+
 def registered_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for fn in (C.q01_daily_kwh, C.q02_fleet_daily_avg, C.q03_monthly_kwh, C.q04_top_consumers,
@@ -40,4 +84,18 @@ def registered_queries() -> dict[str, Query]:
         q[fn.__name__] = _on_curated(fn)
     q["a2_theft_indicator"] = _on_curated(A.a2_theft_indicator, min_prev_kwh=0.005)
     q["a3_outage_hours"] = _on_curated(A.a3_outage_hours, min_readings=2)
+    q["hourly_rollup"] = _on_curated(grains.hourly_rollup)
+    q["worst_status"] = _worst_status
+    for fn in (D.d01_kpi_tiles, D.d02_health_gauge, D.d03_health_pie, D.d04_monthly_line,
+               D.d05_monthly_forecast, D.d06_status_bar, D.d07_daily_line, D.d08_daily_forecast,
+               D.d09_daily_anomalies, D.d10_top_consumers, D.d11_heatmap, D.d12_weekend_trend,
+               D.d13_power_combo, D.d14_forecast_narrative, D.d15_voltage_trend, D.d16_current_trend,
+               D.d19_health_trend):
+        q[fn.__name__] = _on_rollup(fn)
+    for fn in (D.d17_voltage_band_bar, D.d18_unhealthy_table, D.d20_outage_by_meter):
+        q[fn.__name__] = _on_curated(fn)
+    q["dashboard_filter"] = _dashboard_filter
+    q["town_view"] = _town_view
+    q["forecast_grouped"] = _forecast_grouped
+    q["anomaly_series"] = _anomaly_series
     return dict(sorted(q.items()))

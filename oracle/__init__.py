@@ -3,8 +3,9 @@ from __future__ import annotations
 
 
 def registered_sql() -> dict[str, str]:
-    from . import business, insights
+    from . import business, dashboard, insights
     out: dict[str, str] = {}
     out.update(business.sql())
     out.update(insights.sql())
+    out.update(dashboard.sql())
     return dict(sorted(out.items()))
