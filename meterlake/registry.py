@@ -98,4 +98,6 @@ def registered_queries() -> dict[str, Query]:
     q["town_view"] = _town_view
     q["forecast_grouped"] = _forecast_grouped
     q["anomaly_series"] = _anomaly_series
+    from .registry_curation import registered as curation_queries
+    q.update(curation_queries())
     return dict(sorted(q.items()))

@@ -1,5 +1,5 @@
 """Sources and sinks: raw CSV, the curated Parquet table, the stand-in readings."""
-from .raw import RAW_HEADERS, RENAMES, read_raw_csv, normalize_columns
+from .raw import RAW_HEADERS, RENAMES, list_files, read_raw_csv, normalize_columns
 from .standin import standin_readings, standin_raw_frame, events_readings, load_table
 from .curated import (
     write_curated, read_curated, register_table, write_clean_csv, write_table,
@@ -7,7 +7,7 @@ from .curated import (
 )
 
 __all__ = [
-    "RAW_HEADERS", "RENAMES", "read_raw_csv", "normalize_columns", "standin_readings",
+    "RAW_HEADERS", "RENAMES", "list_files", "read_raw_csv", "normalize_columns", "standin_readings",
     "standin_raw_frame", "events_readings", "load_table", "write_curated", "read_curated",
     "register_table", "write_clean_csv", "write_table", "partition_predicate",
 ]

@@ -27,26 +27,38 @@ RENAMES = {
 }
 
 
+def list_files(spark: SparkSession, paths: str | Iterable[str], pattern: str = "*.csv",
+               exclude: str | None = None) -> list[str]:
+    """File paths under ``paths`` matching ``pattern``, minus paths containing ``exclude``.
+
+    Listed by a Spark job over the ``binaryFile`` source with only the path
+    column selected (file contents are not read); only names reach the driver.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+               .option("recursiveFileLookup", "true").load(paths).select("path"))
+    if exclude:
+        listing = listing.filter(~F.col("path").contains(exclude))
+    return sorted(r.path for r in listing.collect())
+
+
 def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], exclude: str | None = "Aggregated",
-                 keep_file: bool = False) -> DataFrame:
+                 keep_file: bool = False, pattern: str = "*.csv") -> DataFrame:
     """Headered interval CSVs, every column a string (no inference pass).
 
     Files whose name contains ``exclude`` (the daily ``*Aggregated*`` files,
-    which have another layout) are dropped by a predicate on the hidden
-    ``_metadata.file_name`` column. ``keep_file`` adds ``source_file`` for
+    another layout) are left out before reading, so they can neither supply
+    the header nor be parsed with the wrong columns. ``keep_file`` adds
+    ``source_file`` (file name, from the hidden ``_metadata`` column) for
     per-file quality accounting.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = list_files(spark, paths, pattern, exclude)
+    if not files:
+        raise FileNotFoundError(f"no {pattern} files under {paths}")
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(paths))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    if exclude or keep_file:
-        fname = F.col("_metadata.file_name")
-        df = df.select(*cols, fname.alias("source_file"))
-        if exclude:
-            df = df.filter(~F.col("source_file").contains(exclude))
-        if not keep_file:
-            df = df.drop("source_file")
+          .option("mode", "PERMISSIVE").csv(files))
+    if keep_file:
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_name").alias("source_file"))
     return df
 
 

@@ -3,9 +3,10 @@ from __future__ import annotations
 
 
 def registered_sql() -> dict[str, str]:
-    from . import business, dashboard, insights
+    from . import business, curation, dashboard, insights
     out: dict[str, str] = {}
     out.update(business.sql())
     out.update(insights.sql())
     out.update(dashboard.sql())
+    out.update(curation.sql())
     return dict(sorted(out.items()))
