@@ -73,7 +73,7 @@ def q_row_count_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cols(*cols) -> callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return curated_standin(spark, sf_dir).select(*cols)
+        return curated_standin(spark, sf_dir).select(*[c() if callable(c) else c for c in cols])
     return run
 
 
@@ -96,7 +96,7 @@ def registered() -> dict:
         "power_band": _cols("meter_id", "reading_ts", "power_kw", "power_band"),
         "health_score": _cols("meter_id", "reading_ts", "health_score"),
         "health_status": _cols("meter_id", "reading_ts", "health_status"),
-        "town": _cols("meter_id", "reading_ts", RD.town().alias("town")),
+        "town": _cols("meter_id", "reading_ts", lambda: RD.town().alias("town")),
         "drop_nulls": lambda s, d: CL.drop_nulls(typed(s, d)),
         "range_filter": lambda s, d: CL.range_filter(typed(s, d)),
         "dedup_exact": lambda s, d: CL.dedup_exact(typed(s, d)),
