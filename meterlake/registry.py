@@ -100,4 +100,6 @@ def registered_queries() -> dict[str, Query]:
     q["anomaly_series"] = _anomaly_series
     from .registry_curation import registered as curation_queries
     q.update(curation_queries())
+    from .registry_streaming import registered as streaming_queries
+    q.update(streaming_queries())
     return dict(sorted(q.items()))

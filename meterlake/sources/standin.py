@@ -56,7 +56,11 @@ def standin_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def standin_raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in readings laid out as the raw CSV (original headers, text values)."""
-    r = standin_readings(spark, sf_dir)
+    return as_raw_frame(standin_readings(spark, sf_dir))
+
+
+def as_raw_frame(r: DataFrame) -> DataFrame:
+    """Typed readings → raw CSV layout (original headers, text values)."""
     ts = F.date_format(F.col("reading_ts"), "yyyy-MM-dd HH:mm:ss")
     vals = [ts, F.col("energy_kwh").cast("string"), F.col("avg_voltage").cast("string"),
             F.col("avg_current").cast("string"), F.col("frequency_hz").cast("string"), F.col("meter_id")]
