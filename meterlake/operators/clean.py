@@ -4,21 +4,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import readings as R
+from ..functions.wallclock import parse_wallclock
 from ..rules import BASE_COLUMNS, KEY, MEASURES, RULES, Rules
 
 
-def _parse_ts(c: Column, fmt: str) -> Column:
-    # try_to_timestamp only validates (it returns NULL for garbage instead of
-    # raising under ANSI); the value itself is parsed zone-free as timestamp_ntz.
-    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
-
-
 def typed_readings(df: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Cast the six base columns; unparseable values become NULL (never raise)."""
     types = dict(df.dtypes)
     ts = F.col("reading_ts")
     if types["reading_ts"] == "string":
-        ts = _parse_ts(F.trim(ts), rules.timestamp_format)
+        ts = parse_wallclock(F.trim(ts), rules.timestamp_format)
     elif types["reading_ts"] != "timestamp_ntz":
         ts = ts.try_cast("timestamp_ntz")
     cols = [ts.alias("reading_ts")]
@@ -34,6 +29,13 @@ def drop_nulls(df: DataFrame, subset=BASE_COLUMNS) -> DataFrame:
     return df.dropna(subset=list(subset))
 
 
+def not_null(cols=BASE_COLUMNS) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def in_range(rules: Rules = RULES) -> Column:
     """Closed-range check on all four measures (NaN fails: it sorts above every bound)."""
     cond = F.lit(True)
@@ -86,14 +88,21 @@ def clean(df: DataFrame, rules: Rules = RULES, order: str = "filter_first") -> D
     """Typed, non-null, in-range, one row per (meter_id, reading_ts).
 
     ``order="filter_first"`` (default) rejects bad rows before de-duplicating,
-    so a key with one bad and one good copy keeps the good one.
-    ``order="dedup_first"`` reproduces the batch script's order.
+    so a key with one bad and one good copy keeps the good one. The checks
+    are folded into the de-duplicating aggregate (``min`` skips the NULL that
+    an invalid row contributes), so each raw value is parsed exactly once; a
+    filter under the typing projection would be pushed below it and re-parse
+    every column. ``order="dedup_first"`` reproduces the batch script's order.
     """
-    typed = drop_nulls(typed_readings(df, rules))
+    typed = typed_readings(df, rules)
     if order == "filter_first":
-        return dedup_key(range_filter(typed, rules))
+        valid = not_null() & in_range(rules)
+        packed = F.min(F.when(valid, F.struct(*MEASURES))).alias("_keep")
+        return (typed.groupBy(*KEY).agg(packed)
+                     .filter(F.col("_keep").isNotNull())
+                     .select("reading_ts", *[F.col(f"_keep.{c}").alias(c) for c in MEASURES], "meter_id"))
     if order == "dedup_first":
-        return range_filter(dedup_key(typed), rules)
+        return range_filter(dedup_key(drop_nulls(typed)), rules)
     raise ValueError(f"unknown order {order!r}")
 
 

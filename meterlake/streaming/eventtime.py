@@ -1,21 +1,4 @@
-"""Wall-clock (timestamp_ntz) ↔ instant (timestamp) without the session time zone.
+"""Event-time helpers for streams (see ``meterlake.functions.wallclock``)."""
+from ..functions.wallclock import to_instant, to_wallclock
 
-Watermarks and ``window`` need zoned timestamps. Readings are wall-clock, so
-they are mapped to the instant with the same UTC wall clock (microseconds
-since 1970-01-01 00:00), which no DST rule of any session zone can shift.
-"""
-from __future__ import annotations
-
-from pyspark.sql import Column, functions as F
-
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
-def to_instant(c: Column) -> Column:
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
-
-
-def to_wallclock(c: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
+__all__ = ["to_instant", "to_wallclock"]
