@@ -108,8 +108,7 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("_p"))
     peaks = fleet.crossJoin(F.broadcast(p)).filter(F.col("fleet_kw") >= F.col("_p")).select("reading_ts", "fleet_kw_units")
     total = peaks.agg(F.sum("fleet_kw_units").alias("_total"))
-    rows = df.select("meter_id", "reading_ts",
-                     F.round(F.col("power_kw") * F.lit(units)).cast("bigint").alias("_pw"))
+    rows = df.select("meter_id", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
     hit = join_small(rows, peaks.select("reading_ts"), "reading_ts", "left_semi", max_broadcast_rows)
     per_meter = hit.groupBy("meter_id").agg(F.count(F.lit(1)).alias("peak_intervals"), F.sum("_pw").alias("_pw"))
     out = per_meter.crossJoin(F.broadcast(total)).select(

@@ -29,6 +29,13 @@ def write_curated(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bo
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
+    """Snappy Parquet; with ``partition_by``, rows are first rebalanced on those columns.
+
+    Without the rebalance every task would write one file into every
+    partition folder it happens to hold (tasks × partitions small files).
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
