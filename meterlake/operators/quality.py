@@ -7,7 +7,7 @@ so a source made mostly of copies never reaches a single task whole.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import rnd
 from ..rules import BASE_COLUMNS, KEY, MEASURES, RULES, Rules
@@ -83,21 +83,60 @@ def rejects(raw: DataFrame, rules: Rules = RULES, order=MEASURES) -> DataFrame:
 NUMERIC_SUMMARY = ("energy_kwh", "avg_voltage", "avg_current", "frequency_hz", "power_kw", "health_score")
 
 
-def summary_stats(df: DataFrame, columns=NUMERIC_SUMMARY, accuracy: int = 1_000_000) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 % (approximate percentiles), max per column, long form.
+def exact_quantiles(df: DataFrame, columns=NUMERIC_SUMMARY, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact discrete quantiles per column: the smallest value v with #(x ≤ v) ≥ ceil(p·n).
 
-    One aggregate pass: the per-column statistics are built as an array of
-    structs and exploded into rows afterwards.
+    Readings carry a fixed measurement precision (0.01 V, 0.0001 kW, …), so
+    the distinct values of a column are bounded by range / precision, not by
+    the number of readings. The columns are stacked into (column, value),
+    counted per distinct value (partial aggregation, so a value held by most
+    rows is folded in each task), and a running count over the sorted
+    distinct values of each column picks the quantiles.
+    """
+    stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                              for c in columns])).alias("s"))
+                 .select("s.*").filter(F.col("value").isNotNull()))
+    counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    run = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.select("column", "value", F.sum("n").over(run).alias("cum"),
+                        F.sum("n").over(Window.partitionBy("column")).alias("total"))
+    picks = [F.min(F.when(F.col("cum") >= F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total"))), F.col("value")))
+             .alias(f"p{round(p * 100)}") for p in probs]
+    return cum.groupBy("column").agg(*picks)
+
+
+def quantile_value(df: DataFrame, column: str, p: float) -> DataFrame:
+    """One-row DataFrame ``(q)``: the exact discrete ``p`` quantile of ``column`` (see ``exact_quantiles``)."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    run = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # one window partition: only for a column whose distinct values are bounded (e.g. one per timestamp)
+    cum = counts.select("value", F.sum("n").over(run).alias("cum"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    target = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total")))
+    return cum.agg(F.min(F.when(F.col("cum") >= target, F.col("value"))).alias("q"))
+
+
+def summary_stats(df: DataFrame, columns=NUMERIC_SUMMARY, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """count, mean, std (sample), min, 25/50/75 %, max per numeric column, long form.
+
+    Moments come from one aggregate pass (an array of per-column structs,
+    exploded afterwards). Quartiles are exact by default (``exact_quantiles``);
+    ``exact=False`` uses ``percentile_approx`` with relative rank error
+    1/``accuracy`` instead, for columns of unbounded precision.
     """
     stats = []
     for c in columns:
-        q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
+        extra = []
+        if not exact:
+            q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
+            extra = [q[0].cast("double").alias("p25"), q[1].cast("double").alias("p50"),
+                     q[2].cast("double").alias("p75")]
         stats.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("count"),
                               rnd(F.avg(c), 6).alias("mean"), rnd(F.stddev_samp(c), 6).alias("std"),
-                              F.min(c).cast("double").alias("min"), q[0].cast("double").alias("p25"),
-                              q[1].cast("double").alias("p50"), q[2].cast("double").alias("p75"),
-                              F.max(c).cast("double").alias("max")))
-    return df.agg(F.array(*stats).alias("_s")).select(F.explode("_s").alias("s")).select("s.*")
+                              F.min(c).cast("double").alias("min"), *extra, F.max(c).cast("double").alias("max")))
+    moments = df.agg(F.array(*stats).alias("_s")).select(F.explode("_s").alias("s")).select("s.*")
+    if exact:
+        moments = moments.join(exact_quantiles(df, columns), "column")
+    return moments.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def id_summary(df: DataFrame, column: str = "meter_id") -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions.numeric import rnd, safe_div
 from ..operators import grains
 from ..operators.anomaly import anomaly_series
 from ..operators.joins import join_small
+from ..operators.quality import quantile_value
 from ..operators.spells import outage_spells as _spells
 from ..rules import RULES, Rules
 from .common import top_k
@@ -92,20 +93,26 @@ def a5_voltage_quality(df: DataFrame, statutory=(216.2, 253.0), contract=(220.0,
 
 
 def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None = 20,
-                         accuracy: int = 1_000_000, rules: Rules = RULES,
+                         exact: bool = True, accuracy: int = 1_000_000, rules: Rules = RULES,
                          max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Meters behind the fleet's top-(1−quantile) demand intervals.
 
     Fleet demand is an exact integer sum of the 4-decimal ``power_kw`` (10^-4
     kW units), so the threshold comparison cannot lose a row to float-sum order.
     The fleet series (one row per timestamp) is persisted because it feeds the
-    threshold, the peak set and the peak total. The peak set is broadcast only
-    after its row count is checked (``join_small``); otherwise a shuffle join.
+    threshold, the peak set and the peak total. The threshold is the exact
+    discrete quantile of the fleet series (its size is bounded by the number
+    of timestamps, not of readings); ``exact=False`` uses ``percentile_approx``.
+    The peak set is broadcast only after its row count is checked
+    (``join_small``); otherwise a shuffle join.
     """
     units = 10.0 ** rules.power_decimals
     fleet = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units", "fleet_kw")
     fleet = fleet.persist(StorageLevel.MEMORY_AND_DISK)
-    p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("_p"))
+    if exact:
+        p = quantile_value(fleet, "fleet_kw", quantile).select(F.col("q").alias("_p"))
+    else:
+        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("_p"))
     peaks = fleet.crossJoin(F.broadcast(p)).filter(F.col("fleet_kw") >= F.col("_p")).select("reading_ts", "fleet_kw_units")
     total = peaks.agg(F.sum("fleet_kw_units").alias("_total"))
     rows = df.select("meter_id", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
