@@ -22,6 +22,15 @@ def day_of_week_number(ts: str = "reading_ts") -> Column:
     return (F.dayofweek(F.col(ts)) + F.lit(5)) % F.lit(7) + F.lit(1)
 
 
+# fixed values: English day names as produced by date_format(ts, 'EEEE'), indexed by dayofweek (Sunday=1)
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
+
+def day_name(ts: str = "reading_ts") -> Column:
+    """Same text as ``date_format(ts, 'EEEE')`` by array lookup (no formatter per row)."""
+    return F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.dayofweek(F.col(ts)))
+
+
 def time_attributes(ts: str = "reading_ts") -> dict[str, Column]:
     t = F.col(ts)
     return {
@@ -29,7 +38,7 @@ def time_attributes(ts: str = "reading_ts") -> dict[str, Column]:
         "month": F.month(t),
         "day": F.dayofmonth(t),
         "hour": F.hour(t),
-        "day_of_week": F.date_format(t, "EEEE"),
+        "day_of_week": day_name(ts),
         "is_weekend": F.dayofweek(t).isin(1, 7),   # Sunday=1, Saturday=7
     }
 

@@ -68,9 +68,16 @@ def dedup_key(df: DataFrame, key=KEY, order=MEASURES) -> DataFrame:
 
 
 def enrich(df: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Time attributes, power, bands, health score and status in one projection."""
+    """Time attributes, power, bands, health score and status in one projection.
+
+    Existing ``year`` / ``month`` columns are passed through unchanged, so an
+    order or partitioning already established on them survives.
+    """
     t = R.time_attributes("reading_ts")
-    base = df.select(*BASE_COLUMNS, R.power_kw(rules).alias("power_kw"))
+    keep = [c for c in ("year", "month") if c in df.columns]
+    for c in keep:
+        t[c] = F.col(c)
+    base = df.select(*BASE_COLUMNS, *keep, R.power_kw(rules).alias("power_kw"))
     return base.select(
         *BASE_COLUMNS,
         t["day"].alias("day"), t["hour"].alias("hour"), t["day_of_week"].alias("day_of_week"),

@@ -8,19 +8,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..rules import CURATED_COLUMNS, PARTITION_COLUMNS
 
 
-def write_curated(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False,
-                  max_records_per_file: int = 5_000_000) -> None:
-    """Snappy Parquet partitioned by (year, month).
+def layout(df: DataFrame) -> DataFrame:
+    """Clustering for the partitioned write.
 
     ``rebalance`` on the partition columns lets AQE split a large month into
     several write tasks of the advisory size (a plain ``repartition(year, month)``
     would put a whole month in one task). Rows are sorted by meter and time
     inside each file so Parquet min/max statistics prune meter and time filters.
-    ``dynamic=True`` replaces only the months present in ``df``.
     """
-    out = (df.select(*CURATED_COLUMNS)
-           .hint("rebalance", *PARTITION_COLUMNS)
-           .sortWithinPartitions(*PARTITION_COLUMNS, "meter_id", "reading_ts"))
+    return (df.hint("rebalance", *PARTITION_COLUMNS)
+              .sortWithinPartitions(*PARTITION_COLUMNS, "meter_id", "reading_ts"))
+
+
+def write_curated(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False,
+                  max_records_per_file: int = 5_000_000, laid_out: bool = False) -> None:
+    """Snappy Parquet partitioned by (year, month), clustered by ``layout``.
+
+    ``laid_out=True``: ``df`` already went through ``layout`` (e.g. before its
+    derived columns were added, so the shuffle and sort moved only the base
+    columns). ``dynamic=True`` replaces only the months present in ``df``.
+    """
+    out = df.select(*CURATED_COLUMNS)
+    if not laid_out:
+        out = layout(out)
     w = (out.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
          .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file))
     if dynamic:
