@@ -32,12 +32,20 @@ def fit_lines(df: DataFrame, keys: list[str], x: str, y: str, min_points: int =
 
 
 def forecast_grouped(df: DataFrame, keys: list[str], x: str, y: str, horizon: int,
-                     level: float = 0.90, min_points: int = 3) -> DataFrame:
+                     level: float = 0.90, min_points: int = 3, method: str = "linear",
+                     period: int | None = None) -> DataFrame:
     """OLS forecast ``horizon`` steps past each series' last x, with a ``level`` interval.
 
     Output: keys…, step, x_future, forecast, lower, upper, n.
     Interval: ŷ ± z·s·sqrt(1 + 1/n + (x−x̄)²/Sxx), s² = (Syy − Sxy²/Sxx)/(n−2).
+    ``method="seasonal"`` adds an additive seasonal index: the mean residual of
+    the series' points in the same phase ``x mod period`` (12 for months, 7
+    for days), joined to the horizon rows on (keys, phase).
     """
+    if method == "seasonal":
+        return _seasonal(df, keys, x, y, horizon, level, min_points, period or 12)
+    if method != "linear":
+        raise ValueError(f"unknown method {method!r}")
     z = z_value(level)
     fit = fit_lines(df, keys, x, y, min_points)
     steps = fit.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
@@ -54,3 +62,17 @@ def forecast_grouped(df: DataFrame, keys: list[str], x: str, y: str, horizon: in
 
 def predict_at(intercept: Column, slope: Column, x: Column) -> Column:
     return intercept + slope * x
+
+
+def _seasonal(df: DataFrame, keys: list[str], x: str, y: str, horizon: int, level: float,
+              min_points: int, period: int) -> DataFrame:
+    lin = forecast_grouped(df, keys, x, y, horizon, level, min_points)
+    fit = fit_lines(df, keys, x, y, min_points).select(*keys, "slope", "intercept")
+    resid = (df.join(fit, keys) if keys else df.crossJoin(fit)).select(
+        *keys, (F.col(x) % period).alias("phase"),
+        (F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x).cast("double"))).alias("r"))
+    index = resid.groupBy(*keys, "phase").agg(F.avg("r").alias("season"))
+    out = lin.withColumn("phase", F.col("x_future") % period).join(index, [*keys, "phase"], "left")
+    s = F.coalesce(F.col("season"), F.lit(0.0))
+    return out.select(*keys, "step", "x_future", (F.col("forecast") + s).alias("forecast"),
+                      (F.col("lower") + s).alias("lower"), (F.col("upper") + s).alias("upper"), "n")

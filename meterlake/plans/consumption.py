@@ -58,10 +58,17 @@ def q16_trend_7d_ma(df: DataFrame, days: int = 7) -> DataFrame:
             .orderBy("d"))
 
 
-def q21_heatmap(df: DataFrame) -> DataFrame:
-    """Day-of-week × hour energy, long form (pivot with ``.groupBy('day_of_week').pivot('hour')`` if wanted)."""
-    return (df.groupBy("day_of_week", "hour").agg(rnd(F.sum("energy_kwh"), 2).alias("total_kwh"))
-            .orderBy("day_of_week", "hour"))
+def q21_heatmap(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Day-of-week × hour energy, long form; ``wide=True`` pivots hours 0–23 into columns h00…h23.
+
+    The pivot runs on the aggregated long form (at most 7 × 24 rows) with the
+    hour values listed, so Spark needs no extra pass to discover them.
+    """
+    long = df.groupBy("day_of_week", "hour").agg(rnd(F.sum("energy_kwh"), 2).alias("total_kwh"))
+    if not wide:
+        return long.orderBy("day_of_week", "hour")
+    wide_df = long.groupBy("day_of_week").pivot("hour", list(range(24))).agg(F.first("total_kwh"))
+    return wide_df.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in range(24)]).orderBy("day_of_week")
 
 
 def q23_mom_growth(df: DataFrame) -> DataFrame:

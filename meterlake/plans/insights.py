@@ -1,7 +1,6 @@
 """Insight queries (A1–A6) and the outage-spell extension of A3."""
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import readings as R
@@ -12,6 +11,7 @@ from ..operators.joins import join_small
 from ..operators.quality import quantile_value
 from ..operators.spells import outage_spells as _spells
 from ..rules import RULES, Rules
+from ..session import ensure_checkpoint_dir
 from .common import top_k
 
 
@@ -99,8 +99,9 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
 
     Fleet demand is an exact integer sum of the 4-decimal ``power_kw`` (10^-4
     kW units), so the threshold comparison cannot lose a row to float-sum order.
-    The fleet series (one row per timestamp) is persisted because it feeds the
-    threshold, the peak set and the peak total. The threshold is the exact
+    The fleet series (one row per timestamp) is checkpointed to the shared
+    checkpoint folder because it feeds the threshold, the peak set and the
+    peak total: computed once, and it survives the loss of an executor. The threshold is the exact
     discrete quantile of the fleet series (its size is bounded by the number
     of timestamps, not of readings); ``exact=False`` uses ``percentile_approx``.
     The peak set is broadcast only after its row count is checked
@@ -108,7 +109,8 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     """
     units = 10.0 ** rules.power_decimals
     fleet = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units", "fleet_kw")
-    fleet = fleet.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    fleet = fleet.checkpoint(eager=True)
     if exact:
         p = quantile_value(fleet, "fleet_kw", quantile).select(F.col("q").alias("_p"))
     else:

@@ -41,7 +41,7 @@ def p2_next_month(df: DataFrame, min_months: int = 3, drop_partial: bool = False
     """
     aggs = [F.sum("energy_kwh").alias("kwh")]
     if drop_partial:
-        aggs.append(F.count_distinct(F.to_date("reading_ts")).alias("_days"))
+        aggs.append(F.count_distinct(grains.day_of(df)).alias("_days"))
     m = (df.groupBy("meter_id", "year", "month").agg(*aggs)
            .withColumn("m_idx", F.col("year") * 12 + F.col("month")))
     if drop_partial:

@@ -60,6 +60,15 @@ def _forecast_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
                      rnd("upper", 2).alias("upper_kwh"))
 
 
+def _forecast_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-meter monthly kWh, three months ahead, linear trend plus month-of-year index."""
+    m = grains.monthly(curated_standin(spark, sf_dir)).withColumn("x", F.col("year") * 12 + F.col("month") - 1)
+    fc = forecast_grouped(m, ["meter_id"], "x", "kwh", 3, 0.90, method="seasonal", period=12)
+    return fc.select("meter_id", D.month_from_index("x_future").alias("period"), "step",
+                     rnd("forecast", 2).alias("forecast_kwh"), rnd("lower", 2).alias("lower_kwh"),
+                     rnd("upper", 2).alias("upper_kwh"))
+
+
 def _anomaly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily kWh per town, 30-row rolling z-score, every anomaly (no top-k)."""
     c = curated_standin(spark, sf_dir)
@@ -97,6 +106,9 @@ def registered_queries() -> dict[str, Query]:
     q["dashboard_filter"] = _dashboard_filter
     q["town_view"] = _town_view
     q["forecast_grouped"] = _forecast_grouped
+    q["forecast_seasonal"] = _forecast_seasonal
+    q["daily_rollup"] = _on_curated(grains.daily_rollup)
+    q["q21_heatmap_wide"] = _on_curated(C.q21_heatmap, wide=True)
     q["anomaly_series"] = _anomaly_series
     from .registry_curation import registered as curation_queries
     q.update(curation_queries())

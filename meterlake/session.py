@@ -34,6 +34,17 @@ def get_session(master: str | None = None, app: str = "meterlake",
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint directory; a local temporary one only when none is configured (tests)."""
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
+    if not base:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meterlake-ckpt-")
+        sc.setCheckpointDir(conf_dir)
+        base = sc.getCheckpointDir()
+    return base
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -41,14 +52,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     ``SparkContext.setCheckpointDir``). Only when neither is set (local tests)
     a temporary folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir()
-    if not base:
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="meterlake-ckpt-")
-        sc.setCheckpointDir(conf_dir)
-        base = sc.getCheckpointDir()
+    base = ensure_checkpoint_dir(spark)
     name = "-".join(parts) if parts else "scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -58,4 +62,4 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "shared_dir", "local_path"]
+__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "shared_dir", "local_path"]

@@ -137,6 +137,23 @@ SELECT meter_id, {_month_of('xf')} AS period, step, {R('yhat', 2)} AS forecast_k
        {R('yhat + half', 2)} AS upper_kwh FROM calc""",
         "ms AS (SELECT meter_id, year * 12 + month - 1 AS x, sum(energy_kwh) AS kwh FROM cur GROUP BY meter_id, year, month),\n"
         + _forecast("ms", 3, "meter_id, "))
+    q["forecast_seasonal"] = with_curated(f"""
+SELECT calc.meter_id, {_month_of('xf')} AS period, step,
+       {R('yhat + coalesce(season, 0.0::DOUBLE)', 2)} AS forecast_kwh,
+       {R('(yhat - half) + coalesce(season, 0.0::DOUBLE)', 2)} AS lower_kwh,
+       {R('(yhat + half) + coalesce(season, 0.0::DOUBLE)', 2)} AS upper_kwh
+FROM calc LEFT JOIN idx ON calc.meter_id = idx.meter_id AND calc.xf % 12 = idx.phase""",
+        "ms AS (SELECT meter_id, year * 12 + month - 1 AS x, sum(energy_kwh) AS kwh FROM cur GROUP BY meter_id, year, month),\n"
+        + _forecast("ms", 3, "meter_id, ") + """,
+res AS (SELECT ms.meter_id, ms.x % 12 AS phase, ms.kwh - (f.b0 + f.b1 * CAST(ms.x AS DOUBLE)) AS r
+        FROM ms JOIN fit f ON ms.meter_id = f.meter_id),
+idx AS (SELECT meter_id, phase, avg(r) AS season FROM res GROUP BY 1, 2)""")
+    q["daily_rollup"] = with_curated("""
+SELECT meter_id, CAST(reading_ts AS DATE) AS reading_date, CAST(year(CAST(reading_ts AS DATE)) AS INTEGER) AS year,
+       CAST(month(CAST(reading_ts AS DATE)) AS INTEGER) AS month, sum(energy_kwh) AS energy_kwh, count(*) AS readings
+FROM cur GROUP BY 1, 2""")
+    hours = ", ".join(f"{R(f'sum(energy_kwh) FILTER (WHERE hour = {h})', 2)} AS h{h:02d}" for h in range(24))
+    q["q21_heatmap_wide"] = with_curated(f"SELECT day_of_week, {hours} FROM cur GROUP BY day_of_week")
     q["anomaly_series"] = with_curated(f"""
 SELECT town, d, {R('kwh', 3)} AS kwh, {R('mu', 3)} AS rolling_mean_30d, {R('(kwh - mu) / NULLIF(sigma, 0)', 2)} AS z_score,
        CASE WHEN kwh > mu THEN 'SPIKE' ELSE 'COLLAPSE' END AS anomaly_type

@@ -104,3 +104,19 @@ def test_score_range_on_standin(spark):
     from meterlake.testdata import curated_standin
     r = curated_standin(spark, "/root/testdata/sf0.001").agg(F.min("health_score"), F.max("health_score")).collect()[0]
     assert 15.0 <= r[0] <= r[1] <= 100.0
+
+
+@pytest.mark.parametrize("text", ["2020-02-30 00:00:00", "2020-01-01T00:03:00", "2020-01-01 24:00:00",
+                                  "2020-1-01 00:03:00", "2020-01-01 00:03:00.5", "20200101 00:03:00",
+                                  "2020-01-01 00:3:00", "+2020-01-01 00:03"])
+def test_timestamp_must_match_format(spark, text):
+    from meterlake.functions.wallclock import parse_wallclock
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(parse_wallclock(F.col("s"), "yyyy-MM-dd HH:mm:ss").alias("t")).collect()[0].t is None
+
+
+def test_timestamp_other_format(spark):
+    from meterlake.functions.wallclock import parse_wallclock
+    df = spark.createDataFrame([("01/02/2020 13:45",)], "s string")
+    r = df.select(parse_wallclock(F.col("s"), "dd/MM/yyyy HH:mm").alias("t")).collect()[0]
+    assert str(r.t) == "2020-02-01 13:45:00"

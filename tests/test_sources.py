@@ -52,3 +52,17 @@ def test_incremental_write_replaces_only_touched_months(spark, tmp_dir):
     assert after.filter(~((F.col("year") == 1996) & (F.col("month") == 3))).count() == \
         cur.filter(~((F.col("year") == 1996) & (F.col("month") == 3))).count()
     assert curate is not None
+
+
+def test_quality_report_per_file(spark, tmp_dir):
+    from meterlake.operators.quality import quality_report
+    raw = standin_raw_frame(spark, SF_SMALL)
+    raw.filter(F.col("meter").startswith("BR")).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/land/br")
+    raw.filter(F.col("meter").startswith("MH")).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/land/mh")
+    df = normalize_columns(read_raw_csv(spark, f"{tmp_dir}/land", keep_file=True))
+    rep = quality_report(df, "source_file").collect()
+    assert len(rep) == 2
+    assert sum(r.rows_in for r in rep) == raw.count()
+    assert sum(r.rows_out for r in rep) == curated_standin(spark, SF_SMALL).count()
+    for r in rep:
+        assert r.rows_in == r.rows_out + r.dupes + r.nulls + r.out_of_range
