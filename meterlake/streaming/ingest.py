@@ -2,10 +2,15 @@
 
 Each micro-batch is curated on its own, then merged with the rows already
 stored for the months it touches, de-duplicated by key and written back with
-dynamic partition overwrite (only those months are replaced). The merge is
-staged in the shared checkpoint folder first, because a path cannot be read
-and overwritten by one plan. Re-running a batch after a failure gives the same
-table: the merge is idempotent.
+dynamic partition overwrite (only those months are replaced).
+
+Failure safety: the merged months are first written to a staging folder whose
+path is fixed by the batch id (under the stream's checkpoint), followed by a
+completion marker; only then is the table overwritten from the staging copy.
+A batch replayed after a crash finds the marker and re-applies the staged
+result instead of merging again, so a month whose overwrite was cut short is
+never merged from incomplete stored rows. Staging also avoids reading and
+overwriting one path in a single plan.
 """
 from __future__ import annotations
 
@@ -28,25 +33,29 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, rules: Rules = RULES,
-                batch_id: int = 0) -> int:
+def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_root: str,
+                rules: Rules = RULES, batch_id: int = 0) -> int:
     """Merge one batch of raw rows (curated names) into the table; returns the months rewritten."""
-    new = curate(batch, rules).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ym = F.col("year") * 100 + F.col("month")
-        months = [r[0] for r in new.select(ym.alias("ym")).distinct().collect()]  # a handful of months
-        if not months:
-            return 0
-        old = _existing(spark, table_path)
-        merged = new
-        if old is not None:
-            merged = dedup_key(old.filter(ym.isin(months)).select(*CURATED_COLUMNS).unionByName(new))
-        stage = shared_dir(spark, f"ingest-stage-{batch_id}")
-        merged.write.parquet(stage)
-        write_curated(spark.read.parquet(stage), table_path, mode="overwrite", dynamic=True)
-        return len(months)
-    finally:
-        new.unpersist()
+    stage, done = f"{staging_root}/batch-{batch_id}", f"{staging_root}/batch-{batch_id}.done"
+    if _existing(spark, done) is None:
+        new = curate(batch, rules).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ym = F.col("year") * 100 + F.col("month")
+            months = [r[0] for r in new.select(ym.alias("ym")).distinct().collect()]  # a handful of months
+            if not months:
+                return 0
+            old = _existing(spark, table_path)
+            merged = new
+            if old is not None:
+                merged = dedup_key(old.filter(ym.isin(months)).select(*CURATED_COLUMNS).unionByName(new))
+            merged.write.mode("overwrite").parquet(stage)
+            spark.createDataFrame([(batch_id, len(months))], "batch_id long, months int") \
+                .write.mode("overwrite").parquet(done)
+        finally:
+            new.unpersist()
+    staged = spark.read.parquet(stage)
+    write_curated(staged, table_path, mode="overwrite", dynamic=True)
+    return spark.read.parquet(done).first()["months"]
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str | None = None,
@@ -58,9 +67,10 @@ def incremental_ingest(spark: SparkSession, landing: str, table_path: str, check
     a second call picks up only new files.
     """
     checkpoint = checkpoint or shared_dir(spark, "ingest-checkpoint")
+    staging_root = f"{checkpoint.rstrip('/')}/staging"
     stream = normalize_columns(raw_csv_stream(spark, landing, headers, exclude, max_files_per_trigger))
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: merge_batch(spark, df, table_path, rules, bid))
+         .foreachBatch(lambda df, bid: merge_batch(spark, df, table_path, staging_root, rules, bid))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
