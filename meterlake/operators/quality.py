@@ -156,13 +156,13 @@ def curated_checks(raw: DataFrame, curated: DataFrame, rules: Rules = RULES,
     Means exclude outage readings (0 V, 0 Hz). The bounds are parameters; the
     defaults are the nominal supply, which real fleets may well miss.
     """
-    rin = raw.agg(F.count(F.lit(1)).alias("rows_in"))
-    rej = rejects(raw, rules).agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rejected"))
+    rows_in = raw.agg(F.count(F.lit(1))).scalar()
+    rejected = rejects(raw, rules).agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint")).scalar()
     cur = curated.agg(F.count(F.lit(1)).alias("rows_out"),
                       F.count_if(F.col("year").isNull() | F.col("month").isNull()).alias("null_partitions"),
                       F.avg(F.when(F.col("avg_voltage") > 0, F.col("avg_voltage"))).alias("_v"),
                       F.avg(F.when(F.col("frequency_hz") > 0, F.col("frequency_hz"))).alias("_hz"))
-    j = rin.crossJoin(rej).crossJoin(cur)
+    j = cur.select("*", rows_in.alias("rows_in"), rejected.alias("rejected"))
     return j.select(
         "rows_in", "rejected", "rows_out",
         (F.col("rows_in") == F.col("rows_out") + F.col("rejected")).alias("balance_ok"),

@@ -68,7 +68,12 @@ def _seasonal(df: DataFrame, keys: list[str], x: str, y: str, horizon: int, leve
               min_points: int, period: int) -> DataFrame:
     lin = forecast_grouped(df, keys, x, y, horizon, level, min_points)
     fit = fit_lines(df, keys, x, y, min_points).select(*keys, "slope", "intercept")
-    resid = (df.join(fit, keys) if keys else df.crossJoin(fit)).select(
+    if keys:
+        with_fit = df.join(fit, keys)   # both sides on the series grain
+    else:   # one series: its fit is a pair of scalars
+        with_fit = df.select("*", fit.select("slope").scalar().alias("slope"),
+                             fit.select("intercept").scalar().alias("intercept"))
+    resid = with_fit.select(
         *keys, (F.col(x) % period).alias("phase"),
         (F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x).cast("double"))).alias("r"))
     index = resid.groupBy(*keys, "phase").agg(F.avg("r").alias("season"))

@@ -17,17 +17,15 @@ def top_k(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
 def latest_period(df: DataFrame, period: str = "year") -> DataFrame:
     """Rows of the latest year / month present (``period="all"``: every row).
 
-    The maximum is a one-row aggregate joined back by broadcast (a scalar
-    subquery); on a partitioned Parquet scan the join on the partition
-    columns also enables dynamic partition pruning.
+    The maximum is a scalar subquery (computed once, no join); on a
+    partitioned Parquet scan a predicate on the partition columns against it
+    prunes whole month folders.
     """
     if period == "all":
         return df
     if period == "year":
-        latest = df.agg(F.max("year").alias("_latest_year"))
-        return df.join(F.broadcast(latest), F.col("year") == F.col("_latest_year")).drop("_latest_year")
+        return df.filter(F.col("year") == df.agg(F.max("year")).scalar())
     if period == "month":
         ym = F.col("year") * 100 + F.col("month")
-        latest = df.agg(F.max(ym).alias("_latest_ym"))
-        return df.join(F.broadcast(latest), ym == F.col("_latest_ym")).drop("_latest_ym")
+        return df.filter(ym == df.agg(F.max(ym)).scalar())
     raise ValueError(f"unknown period {period!r}")

@@ -36,13 +36,13 @@ def d01_kpi_tiles(rollup: DataFrame) -> DataFrame:
         F.max((s == "HEALTHY").cast("int")).alias("h"), F.max((s == "WARNING").cast("int")).alias("w"),
         F.max((s == "CRITICAL").cast("int")).alias("c"), F.sum("energy_kwh").alias("e"),
         F.sum("avg_voltage").alias("v"), F.sum("avg_current").alias("a"), F.count(F.lit(1)).alias("n"))
-    days = rollup.agg(F.count_distinct(_day()).alias("_days"))
+    days = rollup.agg(F.count_distinct(_day())).scalar()
     tot = pm.agg(F.count(F.lit(1)).alias("total_meters"), F.sum("h").cast("bigint").alias("healthy_meters"),
                  F.sum("w").cast("bigint").alias("warning_meters"), F.sum("c").cast("bigint").alias("critical_meters"),
                  F.sum("e").alias("_e"), F.sum("v").alias("_v"), F.sum("a").alias("_a"), F.sum("n").alias("_n"))
-    return tot.crossJoin(days).select(
+    return tot.select(
         "total_meters", "healthy_meters", "warning_meters", "critical_meters",
-        rnd(F.col("_e") / F.col("_days") / F.col("total_meters"), 3).alias("avg_daily_kwh"),
+        rnd(F.col("_e") / days / F.col("total_meters"), 3).alias("avg_daily_kwh"),
         rnd(F.col("_v") / F.col("_n"), 2).alias("avg_voltage"),
         rnd(F.col("_a") / F.col("_n"), 3).alias("avg_current"))
 
@@ -141,12 +141,13 @@ def d14_forecast_narrative(rollup: DataFrame, level: float = 0.90) -> DataFrame:
     """One row: next month's expected kWh against the last observed month, plus a sentence."""
     nxt = _monthly_forecast(rollup, 1, level).select(F.col("period").alias("next_period"),
                                                       F.col("forecast").alias("forecast_kwh"))
-    last = (_monthly(rollup).agg(F.max_by("month_start", "month_start").alias("last_period"),
-                                 F.max_by("kwh", "month_start").alias("_last")))
-    change = rnd(safe_div(F.lit(100.0) * (F.col("forecast_kwh") - F.col("_last")), F.col("_last")), 1)
-    out = nxt.crossJoin(last).select(
-        "next_period", rnd("forecast_kwh", 1).alias("expected_kwh"), "last_period",
-        rnd("_last", 1).alias("last_period_kwh"), change.alias("change_pct"))
+    monthly = _monthly(rollup)
+    last_period = monthly.agg(F.max("month_start")).scalar()
+    last_kwh = monthly.agg(F.max_by("kwh", "month_start")).scalar()
+    change = rnd(safe_div(F.lit(100.0) * (F.col("forecast_kwh") - last_kwh), last_kwh), 1)
+    out = nxt.select(
+        "next_period", rnd("forecast_kwh", 1).alias("expected_kwh"), last_period.alias("last_period"),
+        rnd(last_kwh, 1).alias("last_period_kwh"), change.alias("change_pct"))
     text = F.concat(F.lit("Expected consumption next month: "),
                     F.col("expected_kwh").cast("decimal(20,1)").cast("string"), F.lit(" kWh ("),
                     F.coalesce(F.col("change_pct").cast("decimal(20,1)").cast("string"), F.lit("n/a")),

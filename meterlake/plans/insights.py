@@ -112,16 +112,16 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     ensure_checkpoint_dir(df.sparkSession)
     fleet = fleet.checkpoint(eager=True)
     if exact:
-        p = quantile_value(fleet, "fleet_kw", quantile).select(F.col("q").alias("_p"))
+        p = quantile_value(fleet, "fleet_kw", quantile).scalar()
     else:
-        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("_p"))
-    peaks = fleet.crossJoin(F.broadcast(p)).filter(F.col("fleet_kw") >= F.col("_p")).select("reading_ts", "fleet_kw_units")
-    total = peaks.agg(F.sum("fleet_kw_units").alias("_total"))
+        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy)).scalar()
+    peaks = fleet.filter(F.col("fleet_kw") >= p).select("reading_ts", "fleet_kw_units")
+    total = peaks.agg(F.sum("fleet_kw_units")).scalar()
     rows = df.select("meter_id", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
     hit = join_small(rows, peaks.select("reading_ts"), "reading_ts", "left_semi", max_broadcast_rows)
     per_meter = hit.groupBy("meter_id").agg(F.count(F.lit(1)).alias("peak_intervals"), F.sum("_pw").alias("_pw"))
-    out = per_meter.crossJoin(F.broadcast(total)).select(
+    out = per_meter.select(
         "meter_id", "peak_intervals",
         rnd(F.col("_pw").cast("double") / F.lit(units) / F.col("peak_intervals"), 3).alias("avg_kw_during_peaks"),
-        rnd(F.col("_pw").cast("double") / F.col("_total") * F.lit(100.0), 2).alias("pct_of_peak_load"))
+        rnd(F.col("_pw").cast("double") / total.cast("double") * F.lit(100.0), 2).alias("pct_of_peak_load"))
     return top_k(out, n, F.col("pct_of_peak_load").desc_nulls_last(), F.col("meter_id"))

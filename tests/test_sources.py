@@ -66,3 +66,12 @@ def test_quality_report_per_file(spark, tmp_dir):
     assert sum(r.rows_out for r in rep) == curated_standin(spark, SF_SMALL).count()
     for r in rep:
         assert r.rows_in == r.rows_out + r.dupes + r.nulls + r.out_of_range
+
+
+def test_latest_year_prunes_partitions(spark, tmp_dir):
+    from meterlake.plans.health import q08_health_summary
+    write_curated(curated_standin(spark, SF_SMALL), f"{tmp_dir}/cur")
+    df = q08_health_summary(spark.read.parquet(f"{tmp_dir}/cur"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "= Subquery" in plan
