@@ -61,7 +61,7 @@ def standin_raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_raw_frame(r: DataFrame) -> DataFrame:
     """Typed readings → raw CSV layout (original headers, text values)."""
-    ts = F.date_format(F.col("reading_ts"), "yyyy-MM-dd HH:mm:ss")
+    ts = F.col("reading_ts").cast("string")   # timestamp_ntz → 'yyyy-MM-dd HH:mm:ss' (grid times carry no fraction)
     vals = [ts, F.col("energy_kwh").cast("string"), F.col("avg_voltage").cast("string"),
             F.col("avg_current").cast("string"), F.col("frequency_hz").cast("string"), F.col("meter_id")]
     return r.select(*[v.alias(h) for v, h in zip(vals, RAW_HEADERS)])
