@@ -18,7 +18,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from meterlake.operators.grains import hourly_rollup  # noqa: E402
 from meterlake.plans import consumption as C, dashboard as D, health as H  # noqa: E402
 from meterlake.plans import insights as A, power_quality as P, predict as PR  # noqa: E402
 from meterlake.plans.jobs import curation_job, rollup_job  # noqa: E402

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import readings as R
 from ..functions.numeric import rnd
-from ..rules import RULES, Rules
 from .common import latest_period, top_k
 
 

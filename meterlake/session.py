@@ -57,9 +57,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (for local bookkeeping only)."""
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "shared_dir", "local_path"]
+__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "shared_dir"]
