@@ -141,9 +141,8 @@ def d14_forecast_narrative(rollup: DataFrame, level: float = 0.90) -> DataFrame:
     """One row: next month's expected kWh against the last observed month, plus a sentence."""
     nxt = _monthly_forecast(rollup, 1, level).select(F.col("period").alias("next_period"),
                                                       F.col("forecast").alias("forecast_kwh"))
-    monthly = _monthly(rollup)
-    last_period = monthly.agg(F.max("month_start")).scalar()
-    last_kwh = monthly.agg(F.max_by("kwh", "month_start")).scalar()
+    last = _monthly(rollup).agg(F.max_by(F.struct("month_start", "kwh"), "month_start")).scalar()
+    last_period, last_kwh = last.getField("month_start"), last.getField("kwh")
     change = rnd(safe_div(F.lit(100.0) * (F.col("forecast_kwh") - last_kwh), last_kwh), 1)
     out = nxt.select(
         "next_period", rnd("forecast_kwh", 1).alias("expected_kwh"), last_period.alias("last_period"),

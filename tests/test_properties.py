@@ -96,3 +96,17 @@ def test_approx_meter_count_close(spark):
     approx = {r.health_status: r.meters for r in q08_health_summary(cur, "all", approx_meters=True).collect()}
     for k, v in exact.items():
         assert abs(approx[k] - v) <= max(2, 0.05 * v)
+
+
+def test_plan_audit_has_no_udf_or_cartesian(spark):
+    """Every registered query: no Python evaluation, no cartesian / nested-loop join."""
+    import __spark_entry__ as E
+    from tools.plan_audit import audit
+    for name, fn in E.queries().items():
+        if name in ("incremental_ingest", "health_alerts_stream", "read_raw_csv", "write_curated", "register_table",
+                    "write_clean_csv", "row_count_metric"):
+            continue   # side-effecting entries are covered by their own tests
+        df = fn(spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        r = audit(df._jdf.queryExecution().executedPlan().toString())
+        assert r["udf"] == 0 and r["cart"] == 0, name
