@@ -26,7 +26,9 @@ from meterlake.sources.standin import standin_raw_frame  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
-WARMUP_SF_DIR = os.environ.get("BENCH_WARMUP_SF_DIR", "/root/testdata/sf0.001")
+WARMUP_SF_DIR = os.environ.get("BENCH_WARMUP_SF_DIR", "/root/testdata/sf0.01")
+# also time the curation job on the stand-in landed as k× the meters (steady-state throughput); 0 = skip
+SCALED = int(os.environ.get("BENCH_SCALED", "8"))
 # k > 1 lands k copies of the stand-in as k times as many meters over the same months (copy j appends
 # its number to every meter id, keeping the town prefix), to measure throughput at the reference's run
 # size (k=36 at sf0.1 ≈ 21.7M rows). Default 1: the given scale.
@@ -87,6 +89,7 @@ def main() -> None:
     warm = f"{work}/warm"
     standin_raw_frame(spark, WARMUP_SF_DIR).write.option("header", True).csv(f"{warm}/raw")
     curation_job(spark, f"{warm}/raw", f"{warm}/curated")
+    rollup_job(spark, f"{warm}/curated", f"{warm}/rollup")
 
     times: dict[str, float] = {}
     t0 = time.time()
@@ -116,6 +119,16 @@ def main() -> None:
         times[name] = time.time() - t0
 
     total = sum(times.values())
+    scaled = {}
+    if SCALED > 1 and not ONLY_CURATE:
+        big = f"{work}/raw_x{SCALED}"
+        landed_raw(spark, SF_DIR, SCALED).write.option("header", True).csv(big)   # setup, untimed
+        big_in = spark.read.option("header", True).csv(big).count()
+        t0 = time.time()
+        curation_job(spark, big, f"{work}/curated_x{SCALED}")
+        el = time.time() - t0
+        scaled = {f"curate_x{SCALED}_sec": round(el, 3), f"curate_x{SCALED}_rows_in": big_in,
+                  f"curate_x{SCALED}_rows_per_sec": round(big_in / el, 1)}
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_sec", "value": round(total, 3), "unit": "sec",
@@ -124,6 +137,7 @@ def main() -> None:
         "cpus": CPUS, "scaleup": SCALEUP, "rows_in": rows_in, "rows_curated": rows_out,
         "curate_rows_per_sec": round(rows_in / times["curate"], 1),
         "query_sec": round(total - times["curate"] - times["rollup"], 3),
+        **scaled,
     }))
     spark.stop()
 
