@@ -52,3 +52,35 @@ def test_load_profile_scales_to_hour(spark):
 def test_segments_use_480_per_day(spark):
     seg = {r.meter_id: (r.avg_daily_kwh, r.usage_segment) for r in A.a4_segments(dense(spark)).collect()}
     assert seg["MH02"] == (9.6, "HIGH")
+
+
+def test_next_month_wraps_the_year(spark):
+    rows = []
+    for m in (10, 11, 12):
+        rows.append((f"2020-{m:02d}-15 00:03:00", 0.01 * m, 230.0, 1.0, 50.0, "BR01"))
+    df = spark.createDataFrame(rows, "reading_ts string, energy_kwh double, avg_voltage double, "
+                                     "avg_current double, frequency_hz double, meter_id string")
+    r = PR.p2_next_month(curate(df)).collect()[0]
+    assert (r.months_observed, r.pred_year, r.pred_month, r.predicted_kwh) == (3, 2021, 1, 0.13)
+
+
+def test_load_factor_null_sorts_last(spark):
+    from meterlake.plans.power_quality import q26_load_factor
+    rows = [("2020-01-01 00:03:00", 0.01, 230.0, 0.0, 50.0, "BR01"),     # no demand at all → NULL
+            ("2020-01-01 00:03:00", 0.01, 230.0, 2.0, 50.0, "MH02"),
+            ("2020-01-01 00:06:00", 0.01, 230.0, 4.0, 50.0, "MH02")]
+    df = spark.createDataFrame(rows, "reading_ts string, energy_kwh double, avg_voltage double, "
+                                     "avg_current double, frequency_hz double, meter_id string")
+    got = [(r.meter_id, r.load_factor) for r in q26_load_factor(curate(df)).collect()]
+    assert got == [("MH02", 0.75), ("BR01", None)]
+
+
+def test_anomaly_needs_history(spark):
+    from meterlake.plans.insights import a1_anomaly_days
+    rows = [(f"2020-01-{d:02d} 00:03:00", 0.01 + 0.001 * (d % 2), 230.0, 1.0, 50.0, "BR01") for d in range(1, 11)]
+    rows.append(("2020-01-11 00:03:00", 5.0, 230.0, 1.0, 50.0, "BR01"))
+    df = curate(spark.createDataFrame(rows, "reading_ts string, energy_kwh double, avg_voltage double, "
+                                            "avg_current double, frequency_hz double, meter_id string"))
+    got = a1_anomaly_days(df).collect()
+    assert [(str(r.d), r.anomaly_type) for r in got] == [("2020-01-11", "SPIKE")]
+    assert a1_anomaly_days(df, min_history=11).count() == 0

@@ -76,3 +76,20 @@ def test_replayed_batch_reapplies_staged_merge(spark, tmp_dir):
     spark.read.parquet(f"{tmp_dir}/broken").write.mode("overwrite").partitionBy("year", "month").parquet(table)
     merge_batch(spark, raw, table, staging, batch_id=7)   # replay of the same batch id
     assert _same(spark.read.parquet(table).select(*CURATED_COLUMNS), expected)
+
+
+def test_alert_stream_drops_rows_behind_the_watermark(spark, tmp_dir):
+    """A file landed after the watermark passed its readings contributes nothing (late data is dropped)."""
+    ev = events_readings(spark, SF_SMALL)
+    days = F.dayofmonth("reading_ts")
+    as_raw_frame(ev.filter(days >= 16)).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/land/a_late_half")
+    sink, ck = f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    health_alerts_stream(spark, f"{tmp_dir}/land", sink, ck)
+    first = spark.read.parquet(sink).count()
+    assert first > 0
+    # the first half of the month arrives later: every reading is older than the watermark
+    as_raw_frame(ev.filter(days < 16)).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/land/b_early_half")
+    health_alerts_stream(spark, f"{tmp_dir}/land", sink, ck)
+    got = spark.read.parquet(sink)
+    assert got.count() == first
+    assert got.filter(F.dayofmonth("window_start") < 16).count() == 0
