@@ -11,17 +11,23 @@ from ..sources.raw import normalize_columns, read_raw_csv
 
 
 def curation_job(spark: SparkSession, raw_paths, output_path: str, rules: Rules = RULES,
-                 order: str = "filter_first", mode: str = "overwrite", dynamic: bool = False) -> int:
+                 order: str = "filter_first", mode: str = "overwrite", dynamic: bool = False,
+                 metrics: dict | None = None) -> int:
     """Read raw CSVs, curate, write the partitioned table; returns rows written.
 
-    The count is an ``Observation`` collected while writing, not a second
-    pass over the input.
+    Rows in and rows out are ``Observation`` metrics collected while the write
+    runs (no second pass over the input); pass a dict as ``metrics`` to get
+    ``rows_in``, ``rows_out`` and ``rejected`` (nulls, out of range and
+    duplicate copies together).
     """
-    raw = normalize_columns(read_raw_csv(spark, raw_paths))
-    obs = Observation("curate")
-    curated = curate_laid_out(raw, rules, order).observe(obs, F.count(F.lit(1)).alias("rows"))
+    seen, kept = Observation("raw_rows"), Observation("curated_rows")
+    raw = normalize_columns(read_raw_csv(spark, raw_paths)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    curated = curate_laid_out(raw, rules, order).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_curated(curated, output_path, mode=mode, dynamic=dynamic, laid_out=True)
-    return int(obs.get["rows"])
+    rows_in, rows_out = int(seen.get["rows"]), int(kept.get["rows"])
+    if metrics is not None:
+        metrics.update(rows_in=rows_in, rows_out=rows_out, rejected=rows_in - rows_out)
+    return rows_out
 
 
 def curate_laid_out(raw: DataFrame, rules: Rules = RULES, order: str = "filter_first") -> DataFrame:

@@ -21,8 +21,11 @@ def test_aggregated_files_are_skipped(spark, tmp_dir):
 
 def test_curation_job_and_partition_pruning(spark, tmp_dir):
     standin_raw_frame(spark, SF_SMALL).write.option("header", True).csv(f"{tmp_dir}/raw")
-    n = curation_job(spark, f"{tmp_dir}/raw", f"{tmp_dir}/cur")
+    m = {}
+    n = curation_job(spark, f"{tmp_dir}/raw", f"{tmp_dir}/cur", metrics=m)
     assert n == curated_standin(spark, SF_SMALL).count()
+    raw_rows = standin_raw_frame(spark, SF_SMALL).count()
+    assert m == {"rows_in": raw_rows, "rows_out": n, "rejected": raw_rows - n}
     df = read_curated(spark, f"{tmp_dir}/cur", since="1998-02-10", until="1998-05-01")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [" in plan
