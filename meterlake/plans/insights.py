@@ -111,10 +111,12 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     fleet = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units", "fleet_kw")
     ensure_checkpoint_dir(df.sparkSession)
     fleet = fleet.checkpoint(eager=True)
+    # the threshold is one number: read it once from the checkpointed series and use it as a literal
     if exact:
-        p = quantile_value(fleet, "fleet_kw", quantile).scalar()
+        p = quantile_value(fleet, "fleet_kw", quantile).first()["q"]
     else:
-        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy)).scalar()
+        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("q")).first()["q"]
+    p = F.lit(p).cast("double")
     peaks = fleet.filter(F.col("fleet_kw") >= p).select("reading_ts", "fleet_kw_units")
     total = peaks.agg(F.sum("fleet_kw_units")).scalar()
     rows = df.select("meter_id", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
