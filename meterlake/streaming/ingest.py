@@ -1,16 +1,19 @@
 """Incremental ingest: newly landed CSV files → merged into the curated table.
 
-Each micro-batch is curated on its own, then merged with the rows already
-stored for the months it touches, de-duplicated by key and written back with
-dynamic partition overwrite (only those months are replaced).
+Each micro-batch is curated on its own and matched by key against the stored
+rows of the months it touches. New keys are appended; a month is rewritten
+(dynamic partition overwrite) only when the batch brings a copy of a stored
+key that wins the de-duplication, so the usual batch of new readings writes
+new files and rewrites nothing.
 
-Failure safety: the merged months are first written to a staging folder whose
-path is fixed by the batch id (under the stream's checkpoint), followed by a
-completion marker; only then is the table overwritten from the staging copy.
+Failure safety: a rewrite is first written to a staging folder whose path is
+fixed by the batch id (under the stream's checkpoint), followed by a marker
+listing the months; only then is the table overwritten from the staged copy.
 A batch replayed after a crash finds the marker and re-applies the staged
 result instead of merging again, so a month whose overwrite was cut short is
-never merged from incomplete stored rows. Staging also avoids reading and
-overwriting one path in a single plan.
+never merged from incomplete stored rows. Appends skip keys the table already
+holds, so a replayed append adds nothing twice. Staging also avoids reading
+and overwriting one path in a single plan.
 """
 from __future__ import annotations
 
@@ -19,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.clean import curate, dedup_key
-from ..rules import CURATED_COLUMNS, RULES, Rules
+from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
 from ..session import shared_dir
 from ..sources.curated import write_curated
 from ..sources.raw import RAW_HEADERS, normalize_columns
@@ -33,29 +36,70 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _ym() -> F.Column:
+    return F.col("year") * 100 + F.col("month")
+
+
+def _beats(new: str, old: str) -> F.Column:
+    """The new copy of a key wins the de-duplication (lower by the measure order) over the stored one."""
+    return (F.struct(*[F.col(f"{new}.{c}") for c in MEASURES])
+            < F.struct(*[F.col(f"{old}.{c}") for c in MEASURES]))
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_root: str,
                 rules: Rules = RULES, batch_id: int = 0) -> int:
-    """Merge one batch of raw rows (curated names) into the table; returns the months rewritten."""
+    """Merge one batch of raw rows (curated names) into the table; returns the months rewritten.
+
+    Each curated batch row is matched by key against the stored rows of the
+    months it touches (key and measure columns only):
+    - a new key is appended (no existing file is touched);
+    - a key whose stored copy wins is dropped;
+    - a key the batch wins forces its month to be rewritten: stored rows and
+      batch rows of that month are merged, staged and written back with
+      dynamic partition overwrite.
+    Replays are safe: the rewrite is re-applied from its staged copy (marker
+    file), and appends skip keys the table already holds.
+    """
     stage, done = f"{staging_root}/batch-{batch_id}", f"{staging_root}/batch-{batch_id}.done"
-    if _existing(spark, done) is None:
-        new = curate(batch, rules).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ym = F.col("year") * 100 + F.col("month")
-            months = [r[0] for r in new.select(ym.alias("ym")).distinct().collect()]  # a handful of months
-            if not months:
-                return 0
+    new = curate(batch, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        months = [r[0] for r in new.select(_ym().alias("ym")).distinct().collect()]  # a handful of months
+        if not months:
+            return 0
+        marker = _existing(spark, done)
+        if marker is None:
             old = _existing(spark, table_path)
-            merged = new
-            if old is not None:
-                merged = dedup_key(old.filter(ym.isin(months)).select(*CURATED_COLUMNS).unionByName(new))
-            merged.write.mode("overwrite").parquet(stage)
-            spark.createDataFrame([(batch_id, len(months))], "batch_id long, months int") \
+            if old is None:
+                rewrite = months
+            else:
+                stored = old.filter(_ym().isin(months)).select(*KEY, *MEASURES)
+                wins = (new.alias("n").join(stored.alias("o"), list(KEY))
+                           .filter(_beats("n", "o")).select(F.col("n.year") * 100 + F.col("n.month")))
+                rewrite = [r[0] for r in wins.distinct().collect()]
+            if rewrite:
+                scope = _ym().isin(rewrite)
+                merged = new.filter(scope)
+                if old is not None:
+                    merged = dedup_key(old.filter(scope).select(*CURATED_COLUMNS).unionByName(merged))
+                merged.write.mode("overwrite").parquet(stage)
+            spark.createDataFrame([(batch_id, rewrite)], "batch_id long, months array<int>") \
                 .write.mode("overwrite").parquet(done)
-        finally:
-            new.unpersist()
-    staged = spark.read.parquet(stage)
-    write_curated(staged, table_path, mode="overwrite", dynamic=True)
-    return spark.read.parquet(done).first()["months"]
+            marker = spark.read.parquet(done)
+        rewrite = list(marker.first()["months"])
+        if rewrite:
+            write_curated(spark.read.parquet(stage), table_path, mode="overwrite", dynamic=True)
+        rest = [m for m in months if m not in rewrite]
+        if rest:
+            add = new.filter(_ym().isin(rest))
+            old = _existing(spark, table_path)
+            if old is not None:   # idempotent: keys already stored (earlier attempt or stored winner) are skipped
+                add = add.join(old.filter(_ym().isin(rest)).select(*KEY), list(KEY), "left_anti")
+            appended = f"{stage}-append"
+            add.write.mode("overwrite").parquet(appended)
+            write_curated(spark.read.parquet(appended), table_path, mode="append")
+        return len(rewrite)
+    finally:
+        new.unpersist()
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str | None = None,
