@@ -45,9 +45,9 @@ def p2_next_month(df: DataFrame, min_months: int = 3, drop_partial: bool = False
     m = (df.groupBy("meter_id", "year", "month").agg(*aggs)
            .withColumn("m_idx", F.col("year") * 12 + F.col("month")))
     if drop_partial:
-        w = Window.partitionBy("meter_id")
         dim = F.dayofmonth(F.last_day(F.make_date("year", "month", F.lit(1))))
-        partial = (F.col("m_idx") == F.max("m_idx").over(w)) & (F.col("_days") < dim * min_coverage)
+        m = m.withColumn("_last", F.max("m_idx").over(Window.partitionBy("meter_id")))
+        partial = (F.col("m_idx") == F.col("_last")) & (F.col("_days") < dim * min_coverage)
         m = m.filter(~partial)
     fit = (m.groupBy("meter_id")
             .agg(F.regr_slope("kwh", "m_idx").alias("slope"), F.regr_intercept("kwh", "m_idx").alias("intercept"),

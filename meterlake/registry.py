@@ -115,6 +115,9 @@ def registered_queries() -> dict[str, Query]:
     q["forecast_grouped"] = _forecast_grouped
     q["forecast_seasonal"] = _forecast_seasonal
     q["daily_rollup"] = _on_curated(grains.daily_rollup)
+    q["q08_health_summary_month"] = _on_curated(H.q08_health_summary, period="month")
+    q["p4_seasonal_index_per_year"] = _on_curated(PR.p4_seasonal_index, per_year=True)
+    q["p2_next_month_drop_partial"] = _on_curated(PR.p2_next_month, drop_partial=True)
     q["q21_heatmap_wide"] = _on_curated(C.q21_heatmap, wide=True)
     q["anomaly_series"] = _anomaly_series
     from .registry_curation import registered as curation_queries
