@@ -109,14 +109,15 @@ def main() -> None:
     times["rollup"] = time.time() - t0
     rollup = spark.read.parquet(roll_dir)
 
-    for name, fn in CURATED_QUERIES.items():
-        t0 = time.time()
-        run(fn(curated))
-        times[name] = time.time() - t0
-    for name, fn in ROLLUP_QUERIES.items():
-        t0 = time.time()
-        run(fn(rollup))
-        times[name] = time.time() - t0
+    errors: dict[str, str] = {}
+    for group, table in ((CURATED_QUERIES, curated), (ROLLUP_QUERIES, rollup)):
+        for name, fn in group.items():
+            t0 = time.time()
+            try:
+                run(fn(table))
+                times[name] = time.time() - t0
+            except Exception as e:  # noqa: BLE001 - report and keep measuring the others
+                errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     total = sum(times.values())
     scaled = {}
@@ -138,6 +139,7 @@ def main() -> None:
         "curate_rows_per_sec": round(rows_in / times["curate"], 1),
         "query_sec": round(total - times["curate"] - times["rollup"], 3),
         **scaled,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
