@@ -84,7 +84,8 @@ def enrich(df: DataFrame, rules: Rules = RULES) -> DataFrame:
         t["is_weekend"].alias("is_weekend"), "power_kw",
         R.voltage_band(rules).alias("voltage_band"),
         R.current_band(rules).alias("current_band"),
-        R.power_band(rules).alias("power_band"),
+        R.power_band(rules, None if rules.power_band_on_rounded
+                     else F.col("avg_voltage") * F.col("avg_current") / F.lit(1000.0)).alias("power_band"),
         R.health_score(rules).alias("health_score"),
         R.health_status(rules).alias("health_status"),
         t["year"].alias("year"), t["month"].alias("month"),

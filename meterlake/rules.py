@@ -39,6 +39,9 @@ class Rules:
     dead_voltage_min: float = 100.0      # > : energised
 
     # ---- fixed values: reading cadence and raw format ----
+    # power_band from the rounded power_kw (batch script) or from unrounded V·I/1000 (SQL job form)
+    power_band_on_rounded: bool = True
+
     interval_minutes: int = 3
     timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
     power_decimals: int = 4

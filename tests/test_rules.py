@@ -120,3 +120,17 @@ def test_timestamp_other_format(spark):
     df = spark.createDataFrame([("01/02/2020 13:45",)], "s string")
     r = df.select(parse_wallclock(F.col("s"), "dd/MM/yyyy HH:mm").alias("t")).collect()[0]
     assert str(r.t) == "2020-02-01 13:45:00"
+
+
+def test_power_band_rounded_vs_unrounded(spark):
+    """The two job forms differ only where rounding to 4 decimals crosses a band edge (C3)."""
+    from dataclasses import replace
+    from meterlake.rules import RULES
+    rows = [(TS, "0.1", "200.0005", "10.0", "50", "BR01"),   # 2.000005 kW → rounds to 2.0: MEDIUM vs HIGH
+            (TS, "0.1", "230", "0.0000004", "50", "BR02"),   # 9.2e-8 kW → rounds to 0: IDLE vs LOW
+            (TS, "0.1", "230", "5", "50", "BR03")]           # 1.15 kW either way
+    script = {r.meter_id: r.power_band for r in curate(_frame(spark, rows)).collect()}
+    sql_form = {r.meter_id: r.power_band
+                for r in curate(_frame(spark, rows), replace(RULES, power_band_on_rounded=False)).collect()}
+    assert script == {"BR01": "MEDIUM", "BR02": "IDLE", "BR03": "MEDIUM"}
+    assert sql_form == {"BR01": "HIGH", "BR02": "LOW", "BR03": "MEDIUM"}
