@@ -28,11 +28,15 @@ def a2_theft_indicator(df: DataFrame, min_prev_kwh: float = 5.0, drop_ratio: flo
     The town trend is an aggregate over (town, year, month): a two-letter town
     prefix times calendar months, so its size is bounded independently of the
     number of readings or meters and it is broadcast to the meter-month rows.
+    The meter-month series with its lag feeds both the trend and the join, so
+    it is checkpointed once (meters × months rows) instead of being computed
+    from the readings twice.
     """
     monthly = (df.groupBy("meter_id", R.town().alias("town"), "year", "month")
                  .agg(F.sum("energy_kwh").alias("kwh")))
     w = Window.partitionBy("meter_id").orderBy("year", "month")
-    with_lag = monthly.withColumn("prev_kwh", F.lag("kwh").over(w))
+    ensure_checkpoint_dir(df.sparkSession)
+    with_lag = monthly.withColumn("prev_kwh", F.lag("kwh").over(w)).checkpoint(eager=True)
     town = (with_lag.groupBy("town", "year", "month")
                     .agg(safe_div(F.sum("kwh"), F.sum("prev_kwh")).alias("town_ratio")))
     j = with_lag.join(F.broadcast(town), ["town", "year", "month"])
