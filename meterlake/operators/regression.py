@@ -11,6 +11,8 @@ from statistics import NormalDist
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def z_value(level: float) -> float:
     """Two-sided normal quantile for a central ``level`` interval (0.90 → 1.6449)."""
@@ -63,6 +65,9 @@ def forecast_grouped(df: DataFrame, keys: list[str], x: str, y: str, horizon: in
 
 def _seasonal(df: DataFrame, keys: list[str], x: str, y: str, horizon: int, level: float,
               min_points: int, period: int) -> DataFrame:
+    # the series feeds the fit, the residuals and the index: checkpoint it once (series-grain rows)
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(*keys, x, y).checkpoint(eager=True)
     lin = forecast_grouped(df, keys, x, y, horizon, level, min_points)
     fit = fit_lines(df, keys, x, y, min_points).select(*keys, "slope", "intercept")
     if keys:

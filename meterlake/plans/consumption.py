@@ -7,6 +7,7 @@ from ..functions import readings as R
 from ..functions.numeric import rnd, safe_div
 from ..operators import grains
 from ..rules import RULES, Rules
+from ..session import ensure_checkpoint_dir
 from .common import top_k
 
 
@@ -92,6 +93,8 @@ def q28_completeness(df: DataFrame, rules: Rules = RULES, threshold_pct: float =
     threshold = expected * threshold_pct / 100.0
     counts = df.groupBy("meter_id", R.reading_date().alias("reading_date")).agg(F.count(F.lit(1)).alias("readings"))
     if fill_calendar:
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)   # meter-day grain, read by the span and by the join
         span = counts.groupBy("meter_id").agg(F.min("reading_date").alias("_a"), F.max("reading_date").alias("_b"))
         days = span.select("meter_id", F.explode(F.sequence("_a", "_b")).alias("reading_date"))
         counts = (days.join(counts, ["meter_id", "reading_date"], "left")

@@ -14,6 +14,7 @@ from ..functions.numeric import rnd, safe_div
 from ..operators.anomaly import anomaly_series
 from ..operators.regression import forecast_grouped
 from ..rules import RULES, Rules
+from ..session import ensure_checkpoint_dir
 from .common import top_k
 
 
@@ -87,7 +88,9 @@ def month_from_index(idx: str) -> F.Column:
 
 
 def _monthly_forecast(rollup: DataFrame, horizon: int, level: float) -> DataFrame:
-    m = _monthly(rollup).select(month_index("month_start").alias("x"), "kwh")
+    """``rollup`` may also be the monthly series itself (month_start, kwh)."""
+    monthly = rollup if "hour_ts" not in rollup.columns else _monthly(rollup)
+    m = monthly.select(month_index("month_start").alias("x"), "kwh")
     fc = forecast_grouped(m, [], "x", "kwh", horizon, level)
     return fc.select(month_from_index("x_future").alias("period"), "step", "forecast", "lower", "upper")
 
@@ -138,10 +141,16 @@ def d13_power_combo(rollup: DataFrame) -> DataFrame:
 
 
 def d14_forecast_narrative(rollup: DataFrame, level: float = 0.90) -> DataFrame:
-    """One row: next month's expected kWh against the last observed month, plus a sentence."""
-    nxt = _monthly_forecast(rollup, 1, level).select(F.col("period").alias("next_period"),
+    """One row: next month's expected kWh against the last observed month, plus a sentence.
+
+    The fleet monthly series (one row per month) is checkpointed once; the
+    forecast and the last-month lookup both read it.
+    """
+    ensure_checkpoint_dir(rollup.sparkSession)
+    monthly = _monthly(rollup).checkpoint(eager=True)
+    nxt = _monthly_forecast(monthly, 1, level).select(F.col("period").alias("next_period"),
                                                       F.col("forecast").alias("forecast_kwh"))
-    last = _monthly(rollup).agg(F.max_by(F.struct("month_start", "kwh"), "month_start")).scalar()
+    last = monthly.agg(F.max_by(F.struct("month_start", "kwh"), "month_start")).scalar()
     last_period, last_kwh = last.getField("month_start"), last.getField("kwh")
     change = rnd(safe_div(F.lit(100.0) * (F.col("forecast_kwh") - last_kwh), last_kwh), 1)
     out = nxt.select(

@@ -48,10 +48,13 @@ def standin_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         meter_id.alias("meter_id"),
         ((ok * 3 + ln) % 211 == 0).alias("_dup"),
     )
-    copies = base.filter("_dup").select(
-        "reading_ts", _d(0.5).alias("energy_kwh"), _d(230).alias("avg_voltage"),
-        _d(1.5).alias("avg_current"), _d(50).alias("frequency_hz"), "meter_id")
-    return base.drop("_dup").unionByName(copies)
+    # a duplicate-key copy (same meter and time, fixed values) for some rows, generated from the same scan
+    cols = ["reading_ts", "energy_kwh", "avg_voltage", "avg_current", "frequency_hz", "meter_id"]
+    row = F.struct(*[F.col(c) for c in cols])
+    copy = F.struct(F.col("reading_ts"), _d(0.5).alias("energy_kwh"), _d(230).alias("avg_voltage"),
+                    _d(1.5).alias("avg_current"), _d(50).alias("frequency_hz"), F.col("meter_id"))
+    both = F.when(F.col("_dup"), F.array(row, copy)).otherwise(F.array(row))
+    return base.select(F.explode(both).alias("_r")).select("_r.*")
 
 
 def standin_raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
