@@ -36,6 +36,16 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _rewrite_months(spark: SparkSession, done: str) -> list[int] | None:
+    """Months listed by a batch's completion marker; None when the marker is absent or unreadable."""
+    marker = _existing(spark, done)
+    try:
+        row = marker.first() if marker is not None else None
+    except Exception:  # noqa: BLE001 - a marker cut short by a crash counts as absent
+        row = None
+    return None if row is None else list(row["months"])
+
+
 def _ym() -> F.Column:
     return F.col("year") * 100 + F.col("month")
 
@@ -66,8 +76,8 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
         months = [r[0] for r in new.select(_ym().alias("ym")).distinct().collect()]  # a handful of months
         if not months:
             return 0
-        marker = _existing(spark, done)
-        if marker is None:
+        rewrite = _rewrite_months(spark, done)
+        if rewrite is None:
             old = _existing(spark, table_path)
             if old is None:
                 rewrite = months
@@ -84,8 +94,6 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
                 merged.write.mode("overwrite").parquet(stage)
             spark.createDataFrame([(batch_id, rewrite)], "batch_id long, months array<int>") \
                 .write.mode("overwrite").parquet(done)
-            marker = spark.read.parquet(done)
-        rewrite = list(marker.first()["months"])
         if rewrite:
             write_curated(spark.read.parquet(stage), table_path, mode="overwrite", dynamic=True)
         rest = [m for m in months if m not in rewrite]
