@@ -118,6 +118,7 @@ def registered_queries() -> dict[str, Query]:
     q["q08_health_summary_month"] = _on_curated(H.q08_health_summary, period="month")
     q["p4_seasonal_index_per_year"] = _on_curated(PR.p4_seasonal_index, per_year=True)
     q["p2_next_month_drop_partial"] = _on_curated(PR.p2_next_month, drop_partial=True)
+    q["a6_peak_contributors_approx"] = _on_curated(A.a6_peak_contributors, exact=False, accuracy=1_000_000)
     q["q21_heatmap_wide"] = _on_curated(C.q21_heatmap, wide=True)
     q["anomaly_series"] = _anomaly_series
     from .registry_curation import registered as curation_queries
