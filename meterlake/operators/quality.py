@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numeric import rnd
+from ..functions.numeric import rnd, safe_div
 from ..rules import BASE_COLUMNS, KEY, MEASURES, RULES, Rules
+from ..session import ensure_checkpoint_dir
 from .clean import in_range, typed_readings
 
 REASONS = ("null", "out_of_range", "duplicate")
@@ -83,20 +84,22 @@ def rejects(raw: DataFrame, rules: Rules = RULES, order=MEASURES) -> DataFrame:
 NUMERIC_SUMMARY = ("energy_kwh", "avg_voltage", "avg_current", "frequency_hz", "power_kw", "health_score")
 
 
-def exact_quantiles(df: DataFrame, columns=NUMERIC_SUMMARY, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact discrete quantiles per column: the smallest value v with #(x ≤ v) ≥ ceil(p·n).
+def value_counts(df: DataFrame, columns=NUMERIC_SUMMARY) -> DataFrame:
+    """(column, value, n): how many rows hold each distinct non-NULL value of each column.
 
-    Readings carry a fixed measurement precision (0.01 V, 0.0001 kW, …), so
-    the distinct values of a column are bounded by range / precision, not by
-    the number of readings. The columns are stacked into (column, value),
-    counted per distinct value (partial aggregation, so a value held by most
-    rows is folded in each task), and a running count over the sorted
-    distinct values of each column picks the quantiles.
+    Readings carry a fixed measurement precision (0.01 V, 0.0001 kW, …), so the
+    distinct values of a column are bounded by range / precision, not by the
+    number of readings. The columns are stacked into (column, value) and
+    counted with partial aggregation, so a value held by most rows is folded
+    inside each task.
     """
     stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                               for c in columns])).alias("s"))
                  .select("s.*").filter(F.col("value").isNotNull()))
-    counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quantiles_from_counts(counts: DataFrame, probs) -> DataFrame:
     run = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.select("column", "value", F.sum("n").over(run).alias("cum"),
                         F.sum("n").over(Window.partitionBy("column")).alias("total"))
@@ -105,6 +108,15 @@ def exact_quantiles(df: DataFrame, columns=NUMERIC_SUMMARY, probs=(0.25, 0.5, 0.
     return cum.groupBy("column").agg(*picks)
 
 
+def exact_quantiles(df: DataFrame, columns=NUMERIC_SUMMARY, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact discrete quantiles per column: the smallest value v with #(x ≤ v) ≥ ceil(p·n).
+
+    A running count over the sorted distinct values of each column
+    (``value_counts``) picks the quantiles.
+    """
+    return _quantiles_from_counts(value_counts(df, columns), probs)
+
+
 def quantile_value(df: DataFrame, column: str, p: float) -> DataFrame:
     """One-row DataFrame ``(q)``: the exact discrete ``p`` quantile of ``column`` (see ``exact_quantiles``)."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
@@ -118,25 +130,37 @@ def quantile_value(df: DataFrame, column: str, p: float) -> DataFrame:
 def summary_stats(df: DataFrame, columns=NUMERIC_SUMMARY, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 %, max per numeric column, long form.
 
-    Moments come from one aggregate pass (an array of per-column structs,
-    exploded afterwards). Quartiles are exact by default (``exact_quantiles``);
-    ``exact=False`` uses ``percentile_approx`` with relative rank error
-    1/``accuracy`` instead, for columns of unbounded precision.
+    ``exact=True`` (default): one scan of the readings builds the distinct
+    value counts (``value_counts``), which are checkpointed (bounded by value
+    precision) and give everything: count and mean, the sample deviation by a
+    second pass over the small table (Σ n·(v − mean)²), min, max and the exact
+    quartiles. ``exact=False`` uses one aggregate pass with
+    ``percentile_approx`` (relative rank error 1/``accuracy``), for columns of
+    unbounded precision.
     """
+    if exact:
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = value_counts(df, columns).checkpoint(eager=True)
+        base = counts.groupBy("column").agg(
+            F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean"),
+            F.min("value").alias("min"), F.max("value").alias("max"))
+        spread = (counts.join(base.select("column", "_mean"), "column")
+                  .groupBy("column")
+                  .agg(F.sum(F.col("n") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean")))
+                       .alias("_ss")))
+        out = base.join(spread, "column").join(_quantiles_from_counts(counts, (0.25, 0.5, 0.75)), "column")
+        std = F.sqrt(safe_div(F.col("_ss"), F.col("count") - F.lit(1)))
+        return out.select("column", "count", rnd("_mean", 6).alias("mean"), rnd(std, 6).alias("std"),
+                          "min", "p25", "p50", "p75", "max")
     stats = []
     for c in columns:
-        extra = []
-        if not exact:
-            q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
-            extra = [q[0].cast("double").alias("p25"), q[1].cast("double").alias("p50"),
-                     q[2].cast("double").alias("p75")]
+        q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
         stats.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("count"),
                               rnd(F.avg(c), 6).alias("mean"), rnd(F.stddev_samp(c), 6).alias("std"),
-                              F.min(c).cast("double").alias("min"), *extra, F.max(c).cast("double").alias("max")))
-    moments = df.agg(F.array(*stats).alias("_s")).select(F.explode("_s").alias("s")).select("s.*")
-    if exact:
-        moments = moments.join(exact_quantiles(df, columns), "column")
-    return moments.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+                              F.min(c).cast("double").alias("min"), q[0].cast("double").alias("p25"),
+                              q[1].cast("double").alias("p50"), q[2].cast("double").alias("p75"),
+                              F.max(c).cast("double").alias("max")))
+    return df.agg(F.array(*stats).alias("_s")).select(F.explode("_s").alias("s")).select("s.*")
 
 
 def id_summary(df: DataFrame, column: str = "meter_id") -> DataFrame:
