@@ -1,7 +1,10 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -10,6 +13,35 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers, once for each application, as ``--py-files`` does."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query that first ships the package."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+    run.__name__ = query.__name__
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,4 +70,4 @@ def text_batches(batches: Iterator[pa.RecordBatch], name: str = "text", limit: i
             yield batch.slice(first, last - first)
             first = last
 
-__all__ = ["crc_mod", "read_table", "shared_dir", "stored", "text_batches"]
+__all__ = ["crc_mod", "read_table", "shared_dir", "ship_package", "shipped", "stored", "text_batches"]

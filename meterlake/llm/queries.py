@@ -1,15 +1,19 @@
 """Registered queries of this subpackage and their DuckDB SQL where it can express them."""
 from __future__ import annotations
 
-from . import packing, token_counts, url_filter
+from . import decontamination, fingerprints, packing, token_counts, url_filter
+from .common import shipped
 
 
 def registered() -> dict:
-    return {
+    queries = {
+        "op1_decontamination": decontamination.op1_decontamination,
         "op4_packing": packing.op4_packing,
+        "op5_fingerprints": fingerprints.op5_fingerprints,
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_token_counts": token_counts.op9_token_counts,
     }
+    return {name: shipped(query) for name, query in queries.items()}
 
 
 def sql() -> dict[str, str]:

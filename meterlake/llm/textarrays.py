@@ -19,6 +19,8 @@ _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 2**64, 256, dtype=np.u
 _BYTE_VALUE[ord("A"):ord("Z") + 1] = _BYTE_VALUE[ord("a"):ord("z") + 1]
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Blanks and all other ASCII characters but digits and letters.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -65,9 +67,10 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end byte and text number of every word in ``data``; no word spans two texts."""
-    space = _IS_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end byte and text number of every word in ``data``; no word spans two texts.
+    ``blank`` says which bytes part words."""
+    space = blank[data]
     inside = ~space
     begins = inside.copy()
     begins[1:] &= space[:-1]
@@ -97,14 +100,14 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     return mix((sums[stops - 1] - before) + length.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
-def words(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def words(texts: pa.Array, limit: int = SLICE_BYTES, blank: np.ndarray = _IS_SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each slice of texts: first and end text, hash of each word, and for each text its first word
     (one more entry than texts)."""
     offsets, data = buffers(texts)
     for first, last in slices(offsets, limit):
         own = offsets[first:last + 1] - offsets[first]
         part = data[offsets[first]:offsets[last]]
-        starts, stops, text = word_bounds(part, own)
+        starts, stops, text = word_bounds(part, own, blank)
         hashes = word_hashes(part, starts, stops)
         yield first, last, hashes, np.searchsorted(text, np.arange(last - first + 1))
 
@@ -127,20 +130,24 @@ def shingles(hashes: np.ndarray, at: np.ndarray, width: int = 5) -> tuple[np.nda
     return out[keep], text[keep]
 
 
+def distinct(value: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and texts sorted by text and value, each pair once."""
+    order = np.lexsort((value, text))
+    value, text = value[order], text[order]
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+    return value[new], text[new]
+
+
 def shingle_sets(texts: pa.Array, width: int = 5, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each slice of texts: first and end text, the distinct shingle hashes of each text in
     ascending order, and each text's first entry (one more than texts)."""
     for first, last, hashes, at in words(texts, limit):
-        value, text = shingles(hashes, at, width)
-        order = np.lexsort((value, text))
-        value, text = value[order], text[order]
-        new = np.ones(len(value), dtype=bool)
-        new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
-        value, text = value[new], text[new]
+        value, text = distinct(*shingles(hashes, at, width))
         yield first, last, value, np.searchsorted(text, np.arange(last - first + 1))
 
 
-def power_hash(word: bytes) -> int:
+def word_hash(word: bytes) -> int:
     """The hash of one word, without numpy; for tests and small lists."""
     total = 0
     for i, b in enumerate(word):
