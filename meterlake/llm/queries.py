@@ -1,13 +1,14 @@
 """Registered queries of this subpackage and their DuckDB SQL where it can express them."""
 from __future__ import annotations
 
-from . import decontamination, fingerprints, language_id, packing, token_counts, url_filter
+from . import decontamination, fingerprints, language_id, packing, quality, token_counts, url_filter
 from .common import shipped
 
 
 def registered() -> dict:
     queries = {
         "op1_decontamination": decontamination.op1_decontamination,
+        "op2_quality": quality.op2_quality,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op7_language_id": language_id.op7_language_id,
