@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and their DuckDB SQL where it can express them."""
 from __future__ import annotations
 
-from . import decontamination, fingerprints, language_id, packing, quality, token_counts, url_filter
+from . import decontamination, fingerprints, language_id, ngram_join, packing, quality, token_counts, url_filter
 from .common import shipped
 
 
@@ -9,6 +9,7 @@ def registered() -> dict:
     queries = {
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_quality": quality.op2_quality,
+        "op3_ngram_join": ngram_join.op3_ngram_join,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op7_language_id": language_id.op7_language_id,
