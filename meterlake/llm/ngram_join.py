@@ -16,8 +16,10 @@ most the prefix's total frequency / l, since each must be met l times.
 4. Pairs of a bucket whose classes are still in different components, fit in size and in position, and
    that meet in as many buckets as asked, are verified; no such pair is left out.
 
-Verification intersects the whole sets, which a scan computes for the documents concerned only. Sets and
-shingles are known by 64-bit hashes: of a set its bytes' BLAKE2, of words and shingles those of
+Verification first compares signatures, a bit for the parity of the shingles in each of about n ranges of
+hashes: where two differ, the sets differ, so pairs whose signatures differ in more places than sets of the
+asked similarity can are dropped. It then intersects the whole sets, which a scan computes for the documents
+that are left only. Sets and shingles are known by 64-bit hashes: of a set its bytes' BLAKE2, of words and shingles those of
 ``textarrays``.
 
 Cases: a document with fewer than five words has its whole sequence as one shingle; one without words, or
@@ -59,6 +61,23 @@ def digest_of(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def signature_of(values: np.ndarray) -> bytes:
+    """Parities of the number of shingles in equal ranges of hashes, at least as many ranges as shingles."""
+    bits = max(6, (len(values) - 1).bit_length())
+    ranges = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.packbits(ranges & 1).tobytes()
+
+
+def signature_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two sets has."""
+    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(len(y), -1), axis=1)
+    return int((x ^ y).sum())
+
+
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     for first, last, value, at in ta.shingle_sets(texts, SHINGLE):
         for i in range(last - first):
@@ -87,10 +106,10 @@ class _Counter:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``id, n_shingles, class`` of every document, and ``shingle, n`` of shingles that tasks met repeatedly.
-    Copies within a task count once for the frequencies."""
+    """``id, n_shingles, class, signature`` of every document, and ``shingle, n`` of shingles that tasks met
+    repeatedly. Copies within a task count once for the frequencies, and have one signature among them."""
     kind = docs.schema[id_col].dataType.simpleString()
-    fields = [id_col, "n_shingles", "class", "shingle", "n"]
+    fields = [id_col, "n_shingles", "class", "signature", "shingle", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, seen = _Counter(), set()
@@ -99,25 +118,27 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
             for values, counts in found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(values), id_type), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()),
-                     pa.array(values), pa.array(counts, pa.int64())], names=fields)
+                     pa.nulls(len(values), pa.binary()), pa.array(values), pa.array(counts, pa.int64())], names=fields)
 
         id_type = pa.null()
         for batch in text_batches(batches):
-            id_type, sizes, classes = batch.column(0).type, [], []
+            id_type, sizes, classes, signatures = batch.column(0).type, [], [], []
             for _, values in _sets(ta.utf8(batch.column(1))):
                 sizes.append(len(values))
                 classes.append(digest_of(values) if len(values) else None)
+                signatures.append(None)
                 if len(values) and classes[-1] not in seen:
                     seen.add(classes[-1])
+                    signatures[-1] = signature_of(values)
                     yield from frequent(counter.add(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(signatures, pa.binary()),
                  pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.int64())], names=fields)
         yield from frequent(counter.flush())
 
-    schema = f"`{id_col}` {kind}, n_shingles bigint, class bigint, shingle bigint, n bigint"
+    schema = f"`{id_col}` {kind}, n_shingles bigint, class bigint, signature binary, shingle bigint, n bigint"
     both = stored(docs.select(id_col, F.col(text_col).alias("text")).mapInArrow(run, schema), "shingle-sets")
-    return (both.filter(F.col("n_shingles").isNotNull()).select(id_col, "n_shingles", "class"),
+    return (both.filter(F.col("n_shingles").isNotNull()).select(id_col, "n_shingles", "class", "signature"),
             both.filter(F.col("n").isNotNull()).select("shingle", "n"))
 
 
@@ -271,8 +292,25 @@ def class_sets(docs: DataFrame, documents: DataFrame, classes: DataFrame, id_col
     return sets.join(classes, "class", "left_semi").dropDuplicates(["class"])
 
 
+def alike(documents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose signatures allow the similarity."""
+    known = (documents.filter("signature IS NOT NULL").select("class", "n_shingles", "signature").dropDuplicates(["class"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [(NUMERATOR + DENOMINATOR) * signature_difference(x, y) <= (DENOMINATOR - NUMERATOR) * n
+                    for n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    a, b = (known.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"sign_{side}"))
+            for side in "ab")
+    return (pairs.join(a, "a").join(b, "b").select("a", "b", F.expr("n_a + n_b"), "sign_a", "sign_b")
+            .mapInArrow(run, "a bigint, b bigint"))
+
+
 def linked(docs: DataFrame, documents: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs ``a, b`` whose whole sets reach the similarity."""
+    pairs = stored(alike(documents, pairs), "alike-pairs")
     classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = stored(class_sets(docs, documents, classes, id_col, text_col), "class-sets")
 
@@ -307,7 +345,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                .withColumn("component", F.coalesce("component", "class")))
     roots = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(roots, "component").select("class", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
-    return (documents.join(named, "class", "left")
+    return (documents.drop("signature").join(named, "class", "left")
             .select(id_col, "n_shingles", F.coalesce("component_id", id_col).alias("component_id"),
                     F.coalesce("links", F.lit(0)).alias("links")))
 
