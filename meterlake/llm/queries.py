@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and their DuckDB SQL where it can express them."""
 from __future__ import annotations
 
-from . import decontamination, fingerprints, language_id, ngram_join, packing, quality, token_counts, url_filter
+from . import decontamination, fingerprints, language_id, ngram_join, packing, pii, quality, token_counts, url_filter
 from .common import shipped
 
 
@@ -12,6 +12,7 @@ def registered() -> dict:
         "op3_ngram_join": ngram_join.op3_ngram_join,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprints.op5_fingerprints,
+        "op6_pii": pii.op6_pii,
         "op7_language_id": language_id.op7_language_id,
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_token_counts": token_counts.op9_token_counts,
