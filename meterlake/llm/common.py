@@ -57,12 +57,12 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 def text_batches(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose texts hold about ``limit`` bytes, or one row."""
+    """The same rows in batches whose texts (or binary values) hold about ``limit`` bytes, or one row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        offsets = pa.compute.cumulative_sum(
-            pa.compute.fill_null(pa.compute.binary_length(batch.column(name).cast(pa.large_string())), 0)).to_numpy()
+        length = pa.compute.fill_null(pa.compute.binary_length(batch.column(name)), 0)
+        offsets = pa.compute.cumulative_sum(length.cast(pa.int64())).to_numpy()
         first = 0
         while first < batch.num_rows:
             start = offsets[first - 1] if first else 0

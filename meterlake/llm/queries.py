@@ -1,12 +1,13 @@
 """Registered queries of this subpackage and their DuckDB SQL where it can express them."""
 from __future__ import annotations
 
-from . import decontamination, fingerprints, language_id, ngram_join, packing, pii, quality, token_counts, url_filter
+from . import decontamination, fingerprints, hmm_scoring, language_id, ngram_join, packing, pii, quality, token_counts, url_filter
 from .common import shipped
 
 
 def registered() -> dict:
     queries = {
+        "op10_hmm_scoring": hmm_scoring.op10_hmm_scoring,
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_quality": quality.op2_quality,
         "op3_ngram_join": ngram_join.op3_ngram_join,
