@@ -350,5 +350,33 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     F.coalesce("links", F.lit(0)).alias("links")))
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with all their columns, less those that have one of smaller id in their component. Rows with one
+    id stay or go together, and equal rows among them are one. Only documents that a filter of the ids concerned
+    passes are shuffled."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    ids = found.groupBy(id_col).agg(F.max("component_id").alias("component_id"), F.count("*").alias("n"))
+    gone = ~F.col("component_id").eqNullSafe(F.col(id_col))
+    concerned = stored(ids.filter(gone | (F.col("n") > 1)).select(F.col(id_col).alias("_id"), gone.alias("_gone")), "concerned-ids")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(concerned.select(F.xxhash64("_id").alias("place"))))
+    columns = docs.columns
+    schema = docs.withColumn("_place", F.lit(0).cast("bigint")).schema
+
+    def filtered(passed: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.frombuffer(shared.value, dtype="<u4")
+            for batch in batches:
+                place = batch.column(len(columns)).to_numpy().astype(np.int64) & ((1 << FILTER_BITS) - 1)
+                hit = ((bits[place >> 5] >> (place & 31).astype("<u4")) & 1 == 1)
+                yield batch.filter(pa.array(hit == passed))
+
+        return docs.withColumn("_place", F.xxhash64(id_col)).mapInArrow(run, schema).drop("_place")
+
+    unsure = filtered(True).join(concerned, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    repeated = unsure.filter("NOT _gone").drop("_id", "_gone").dropDuplicates([id_col, text_col])
+    return (filtered(False).unionByName(unsure.filter("_id IS NULL AND _gone IS NULL").drop("_id", "_gone"))
+            .unionByName(repeated))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
