@@ -123,7 +123,7 @@ def shingles(hashes: np.ndarray, at: np.ndarray, width: int = 5) -> tuple[np.nda
     for k in range(width):
         inside = left > k
         step = np.zeros(n, dtype=np.uint64)
-        step[:n - k] = hashes[k:]
+        step[:max(n - k, 0)] = hashes[k:]
         out = np.where(inside, mix(out * _U(_MULTIPLIER) + step + _U(k + 1)), out)
     whole = np.arange(n) == np.repeat(at[:-1], count)
     keep = (left >= width) | (whole & (left < width))
