@@ -150,13 +150,13 @@ class LabelModel:
 
 
 def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> LabelModel:
-    """Expectation-maximisation. At first a document has the fault of which half the labellers or more speak,
+    """Expectation-maximisation. At first a document has the fault of which more than half the labellers speak,
     or else is good. Rates are smoothed by one vote."""
     codes, counts = codes[codes > 0], counts[codes > 0].astype(np.float64)  # 0: nobody votes
     v = _unpacked(codes)
     kinds = np.array([kind for *_, kind in LABELLERS])
     said = np.stack([(v[:, kinds == k] == BAD).mean(axis=1) for k in range(KINDS)])
-    start = np.where(said.max(axis=0) >= 0.5, said.argmax(axis=0) + 1, 0)
+    start = np.where(said.max(axis=0) > 0.5, said.argmax(axis=0) + 1, 0)
     share = (np.arange(KINDS + 1)[:, None] == start) * 0.9 + 0.1 / (KINDS + 1)
     for _ in range(rounds):
         weight = share * counts
