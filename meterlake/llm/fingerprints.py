@@ -165,7 +165,7 @@ def in_id_order(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.col(id_col).cast("double")
     cuts = docs.select(number.alias("n")).stat.approxQuantile("n", [i / buckets for i in range(1, buckets)], 1 / (8 * buckets))
-    bucketizer = Bucketizer(splits=[-math.inf, *sorted(set(cuts)), math.inf], inputCol="_n", outputCol="_b", handleInvalid="keep")
+    bucketizer = Bucketizer(splits=[-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf], inputCol="_n", outputCol="_b", handleInvalid="keep")
 
     def dealt(df):
         df = bucketizer.transform(df.withColumn("_n", F.coalesce(number, F.lit(-math.inf))))

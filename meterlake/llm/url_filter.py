@@ -132,12 +132,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH split AS (
-  SELECT page_id, url, strpos(url, '://') AS at FROM pages
+  SELECT page_id, url, strpos(url, '://') AS sep FROM pages
 ), parts AS (
   SELECT page_id,
-    CASE WHEN at > 0 THEN translate(regexp_extract(substr(url, at + 3), '^[^/?#]*'),
+    CASE WHEN sep > 0 THEN translate(regexp_extract(substr(url, sep + 3), '^[^/?#]*'),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-    CASE WHEN at > 0 THEN regexp_extract(substr(url, at + 3), '(?s)^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    CASE WHEN sep > 0 THEN regexp_extract(substr(url, sep + 3), '(?s)^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM split
 ), rules(verdict, rhost, rpath) AS (
   VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
