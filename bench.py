@@ -42,7 +42,7 @@ def landed_raw(spark, sf_dir: str, copies: int):
     base = standin_readings(spark, sf_dir)
     if copies <= 1:
         return as_raw_frame(base)
-    k = spark.range(copies).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("_k"))
+    k = spark.range(copies).select(F.lpad(F.col("id").cast("string"), len(str(copies - 1)), "0").alias("_k"))
     more_meters = base.crossJoin(F.broadcast(k)).withColumn(
         "meter_id", F.concat(F.col("meter_id"), F.col("_k"))).drop("_k")
     return as_raw_frame(more_meters)

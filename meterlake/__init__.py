@@ -1,4 +1,4 @@
-"""meterlake — interval smart-meter analytics on Spark DataFrames.
+"""meterlake — analytics of interval electricity readings on Spark DataFrames.
 
 Raw readings → ``operators.clean.curate`` → month-partitioned Parquet →
 consumption, power-quality, health, prediction, insight and dashboard queries

@@ -102,3 +102,11 @@ def health_status(rules: Rules = RULES) -> Column:
 def town(meter: str = "meter_id") -> Column:
     """Two-letter town prefix of the meter id (BR, MH)."""
     return F.substring(F.col(meter), 1, 2)
+
+
+def in_towns(towns, meter: str = "meter_id") -> Column:
+    """``town() IN towns`` as prefixes, which reach the Parquet reader; an empty list is no row."""
+    cond = F.lit(False)
+    for t in towns:
+        cond = cond | (F.col(meter).startswith(t) if len(t) == 2 else town(meter) == t)
+    return cond

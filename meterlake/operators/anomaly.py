@@ -22,15 +22,18 @@ def rolling_scores(series: DataFrame, keys: list[str], order: str, value: str,
 
 def anomaly_series(series: DataFrame, keys: list[str], order: str, value: str, window: int = 30,
                    sigmas: float = 3.0, min_history: int = 2, n: int | None = 200,
-                   value_decimals: int = 3) -> DataFrame:
+                   value_decimals: int = 3, noise: float = 1e-9) -> DataFrame:
     """Points farther than ``sigmas`` sample deviations from their trailing mean.
 
+    A deviation of less than ``noise`` of the mean is the rounding error of
+    sums in double, not a spread: such a series has no anomalies.
     Output: keys…, order, value, rolling_mean_30d, z_score, anomaly_type
     (SPIKE above the mean, COLLAPSE below), strongest first, top ``n``.
     """
     s = rolling_scores(series, keys, order, value, window, min_history)
     dev = F.col(value) - F.col("mu")
-    flagged = s.filter((F.col("sigma") > 0) & (F.abs(dev) > F.lit(sigmas) * F.col("sigma")))
+    spread = F.col("sigma") > F.lit(noise) * F.greatest(F.abs(F.col("mu")), F.abs(F.col(value)))
+    flagged = s.filter(spread & (F.abs(dev) > F.lit(sigmas) * F.col("sigma")))
     z = safe_div(dev, F.col("sigma"))
     out = flagged.select(
         *keys, order, rnd(value, value_decimals).alias(value), rnd("mu", value_decimals).alias("rolling_mean_30d"),

@@ -7,6 +7,8 @@ so a source made mostly of copies never reaches a single task whole.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import rnd, safe_div
@@ -100,31 +102,52 @@ def value_counts(df: DataFrame, columns=NUMERIC_SUMMARY) -> DataFrame:
 
 
 def _quantiles_from_counts(counts: DataFrame, probs) -> DataFrame:
-    run = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.select("column", "value", F.sum("n").over(run).alias("cum"),
-                        F.sum("n").over(Window.partitionBy("column")).alias("total"))
-    picks = [F.min(F.when(F.col("cum") >= F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total"))), F.col("value")))
-             .alias(f"p{round(p * 100)}") for p in probs]
-    return cum.groupBy("column").agg(*picks)
+    """Quantiles of each column from its value counts, ``column`` and one ``p…`` column for each of ``probs``.
+
+    The counts are range-partitioned by column and value and checkpointed; the
+    totals of the partitions (a row for each column and partition) say on the
+    driver which partition holds each quantile and at what rank, and a running
+    count is taken inside those few partitions only.
+    """
+    spark = counts.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = (counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id())
+             .checkpoint(eager=True))
+    totals: dict[str, list] = {}
+    for r in parts.groupBy("column", "part").agg(F.sum("n").alias("n")).orderBy("column", "part").collect():
+        totals.setdefault(r["column"], []).append((r["part"], r["n"]))
+    wanted = []
+    for column, sizes in totals.items():
+        total = sum(n for _, n in sizes)
+        for p in probs:
+            rank, before = max(1, math.ceil(p * total)), 0
+            for part, n in sizes:
+                if rank <= before + n:
+                    wanted.append((column, part, f"p{round(p * 100)}", rank - before))
+                    break
+                before += n
+    ranks = spark.createDataFrame(wanted, "column string, part int, label string, rank bigint")
+    near = parts.join(ranks.select("column", "part").distinct(), ["column", "part"], "left_semi")
+    run = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    found = (near.withColumn("cum", F.sum("n").over(run)).join(ranks, ["column", "part"])
+             .filter(F.col("cum") >= F.col("rank")))
+    return found.groupBy("column").agg(*(F.min(F.when(F.col("label") == f"p{round(p * 100)}", F.col("value")))
+                                         .alias(f"p{round(p * 100)}") for p in probs))
 
 
 def exact_quantiles(df: DataFrame, columns=NUMERIC_SUMMARY, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact discrete quantiles per column: the smallest value v with #(x ≤ v) ≥ ceil(p·n).
 
-    A running count over the sorted distinct values of each column
-    (``value_counts``) picks the quantiles.
+    The running count over the sorted distinct values (``value_counts``) is
+    split by value ranges, so no column is gathered in one task.
     """
     return _quantiles_from_counts(value_counts(df, columns), probs)
 
 
-def quantile_value(df: DataFrame, column: str, p: float) -> DataFrame:
-    """One-row DataFrame ``(q)``: the exact discrete ``p`` quantile of ``column`` (see ``exact_quantiles``)."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    run = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    # one window partition: only for a column whose distinct values are bounded (e.g. one per timestamp)
-    cum = counts.select("value", F.sum("n").over(run).alias("cum"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    target = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total")))
-    return cum.agg(F.min(F.when(F.col("cum") >= target, F.col("value"))).alias("q"))
+def quantile_value(df: DataFrame, column: str, p: float) -> float | None:
+    """The exact discrete ``p`` quantile of ``column`` (see ``exact_quantiles``); None without values."""
+    row = exact_quantiles(df, (column,), (p,)).first()
+    return None if row is None else row[1]
 
 
 def summary_stats(df: DataFrame, columns=NUMERIC_SUMMARY, exact: bool = True, accuracy: int = 10_000) -> DataFrame:

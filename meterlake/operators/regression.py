@@ -11,6 +11,7 @@ from statistics import NormalDist
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.numeric import safe_div
 from ..session import ensure_checkpoint_dir
 
 
@@ -43,6 +44,7 @@ def forecast_grouped(df: DataFrame, keys: list[str], x: str, y: str, horizon: in
     ``method="seasonal"`` adds an additive seasonal index: the mean residual of
     the series' points in the same phase ``x mod period`` (12 for months, 7
     for days), joined to the horizon rows on (keys, phase).
+    A series whose x never changes has no line: its forecast and interval are NULL.
     """
     if method == "seasonal":
         return _seasonal(df, keys, x, y, horizon, level, min_points, period or 12)
@@ -52,10 +54,11 @@ def forecast_grouped(df: DataFrame, keys: list[str], x: str, y: str, horizon: in
     fit = fit_lines(df, keys, x, y, min_points)
     steps = fit.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
     xf = (F.col("last_x") + F.col("step")).cast("double")
-    sse = F.greatest(F.lit(0.0), F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"))
-    s = F.sqrt(sse / (F.col("n") - F.lit(2)))
+    sse = F.col("syy") - safe_div(F.col("sxy") * F.col("sxy"), "sxx")
+    sse = F.when(sse < 0, F.lit(0.0)).otherwise(sse)
+    s = F.sqrt(safe_div(sse, F.col("n") - F.lit(2)))
     half = F.lit(z) * s * F.sqrt(F.lit(1.0) + F.lit(1.0) / F.col("n")
-                                 + (xf - F.col("xbar")) * (xf - F.col("xbar")) / F.col("sxx"))
+                                 + safe_div((xf - F.col("xbar")) * (xf - F.col("xbar")), "sxx"))
     yhat = F.col("intercept") + F.col("slope") * xf
     return steps.select(*keys, "step", (F.col("last_x") + F.col("step")).alias("x_future"),
                         yhat.alias("forecast"), (yhat - half).alias("lower"), (yhat + half).alias("upper"),

@@ -15,6 +15,7 @@ from ..operators.anomaly import anomaly_series
 from ..operators.regression import forecast_grouped
 from ..rules import RULES, Rules
 from ..session import ensure_checkpoint_dir
+from ..sources.curated import partition_predicate
 from .common import top_k
 
 
@@ -207,18 +208,18 @@ def dashboard_filter(rollup: DataFrame, since=None, until=None, meters: Sequence
 
     A meter selection given as a DataFrame (an unbounded list) is applied as a
     semi join; a literal list becomes an ``IN`` predicate pushed to the scan.
+    The time range also limits year and month, the partitions of the table.
     """
     out = rollup
-    if since is not None:
-        out = out.filter(F.col("hour_ts") >= F.lit(since).cast("timestamp_ntz"))
-    if until is not None:
-        out = out.filter(F.col("hour_ts") < F.lit(until).cast("timestamp_ntz"))
+    within = partition_predicate(since, until, ts="hour_ts")
+    if within is not None:
+        out = out.filter(within)
     if isinstance(meters, DataFrame):
         out = out.join(meters.select("meter_id").distinct(), "meter_id", "left_semi")
     elif meters:
         out = out.filter(F.col("meter_id").isin(list(meters)))
     if towns:
-        out = out.filter(R.town().isin(list(towns)))
+        out = out.filter(R.in_towns(towns))
     if statuses:
         out = out.filter(F.col("worst_health_status").isin(list(statuses)))
     return out
@@ -226,5 +227,5 @@ def dashboard_filter(rollup: DataFrame, since=None, until=None, meters: Sequence
 
 def town_view(df: DataFrame, towns: Sequence[str], name: str = "town_view") -> DataFrame:
     """Row-level restriction by town, registered as a temporary view ``name``."""
-    df.filter(R.town().isin(list(towns))).createOrReplaceTempView(name)
+    df.filter(R.in_towns(towns)).createOrReplaceTempView(name)
     return df.sparkSession.table(name)

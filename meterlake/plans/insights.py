@@ -7,7 +7,6 @@ from ..functions import readings as R
 from ..functions.numeric import rnd, safe_div
 from ..operators import grains
 from ..operators.anomaly import anomaly_series
-from ..operators.joins import join_small
 from ..operators.quality import quantile_value
 from ..operators.spells import outage_spells as _spells
 from ..rules import RULES, Rules
@@ -26,8 +25,8 @@ def a2_theft_indicator(df: DataFrame, min_prev_kwh: float = 5.0, drop_ratio: flo
     """Meter-months whose kWh fell below ``drop_ratio`` × previous month while the town held up.
 
     The town trend is an aggregate over (town, year, month): a two-letter town
-    prefix times calendar months, so its size is bounded independently of the
-    number of readings or meters and it is broadcast to the meter-month rows.
+    prefix times calendar months. It is joined without a hint; Spark broadcasts
+    it by its measured size, or splits a skewed town in the shuffle join.
     The meter-month series with its lag feeds both the trend and the join, so
     it is checkpointed once (meters × months rows) instead of being computed
     from the readings twice.
@@ -39,7 +38,7 @@ def a2_theft_indicator(df: DataFrame, min_prev_kwh: float = 5.0, drop_ratio: flo
     with_lag = monthly.withColumn("prev_kwh", F.lag("kwh").over(w)).checkpoint(eager=True)
     town = (with_lag.groupBy("town", "year", "month")
                     .agg(safe_div(F.sum("kwh"), F.sum("prev_kwh")).alias("town_ratio")))
-    j = with_lag.join(F.broadcast(town), ["town", "year", "month"])
+    j = with_lag.join(town, ["town", "year", "month"])
     flagged = j.filter((F.col("prev_kwh") > min_prev_kwh) & (F.col("kwh") < F.lit(drop_ratio) * F.col("prev_kwh"))
                        & (F.col("town_ratio") > min_town_ratio))
     return (flagged.select("meter_id", "year", "month", rnd("prev_kwh", 1).alias("prev_month_kwh"),
@@ -97,8 +96,7 @@ def a5_voltage_quality(df: DataFrame, statutory=(216.2, 253.0), contract=(220.0,
 
 
 def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None = 20,
-                         exact: bool = True, accuracy: int = 1_000_000, rules: Rules = RULES,
-                         max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                         exact: bool = True, accuracy: int = 1_000_000, rules: Rules = RULES) -> DataFrame:
     """Meters behind the fleet's top-(1−quantile) demand intervals.
 
     Fleet demand is an exact integer sum of the 4-decimal ``power_kw`` (10^-4
@@ -108,8 +106,8 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     peak total: computed once, and it survives the loss of an executor. The threshold is the exact
     discrete quantile of the fleet series (its size is bounded by the number
     of timestamps, not of readings); ``exact=False`` uses ``percentile_approx``.
-    The peak set is broadcast only after its row count is checked
-    (``join_small``); otherwise a shuffle join.
+    The peak set is joined on its month and time, so months without a peak are
+    pruned from a partitioned scan; Spark broadcasts it by its measured size.
     """
     units = 10.0 ** rules.power_decimals
     fleet = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units", "fleet_kw")
@@ -117,17 +115,18 @@ def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None =
     fleet = fleet.checkpoint(eager=True)
     # the threshold is one number: read it once from the checkpointed series and use it as a literal
     if exact:
-        p = quantile_value(fleet, "fleet_kw", quantile).first()["q"]
+        p = quantile_value(fleet, "fleet_kw", quantile)
     else:
         p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("q")).first()["q"]
     p = F.lit(p).cast("double")
-    peaks = fleet.filter(F.col("fleet_kw") >= p).select("reading_ts", "fleet_kw_units")
+    peaks = fleet.filter(F.col("fleet_kw") >= p).select(
+        F.year("reading_ts").alias("year"), F.month("reading_ts").alias("month"), "reading_ts", "fleet_kw_units")
     total = peaks.agg(F.sum("fleet_kw_units")).scalar()
-    rows = df.select("meter_id", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
-    hit = join_small(rows, peaks.select("reading_ts"), "reading_ts", "left_semi", max_broadcast_rows)
+    rows = df.select("meter_id", "year", "month", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))
+    hit = rows.join(peaks.drop("fleet_kw_units"), ["year", "month", "reading_ts"], "left_semi")
     per_meter = hit.groupBy("meter_id").agg(F.count(F.lit(1)).alias("peak_intervals"), F.sum("_pw").alias("_pw"))
     out = per_meter.select(
         "meter_id", "peak_intervals",
         rnd(F.col("_pw").cast("double") / F.lit(units) / F.col("peak_intervals"), 3).alias("avg_kw_during_peaks"),
-        rnd(F.col("_pw").cast("double") / total.cast("double") * F.lit(100.0), 2).alias("pct_of_peak_load"))
+        rnd(safe_div(F.col("_pw").cast("double"), total.cast("double")) * F.lit(100.0), 2).alias("pct_of_peak_load"))
     return top_k(out, n, F.col("pct_of_peak_load").desc_nulls_last(), F.col("meter_id"))

@@ -46,4 +46,4 @@ def curate_laid_out(raw: DataFrame, rules: Rules = RULES, order: str = "filter_f
 def rollup_job(spark: SparkSession, curated: DataFrame | str, output_path: str) -> None:
     """Hourly rollup persisted as Parquet partitioned like the curated table."""
     df = spark.read.parquet(curated) if isinstance(curated, str) else curated
-    write_table(hourly_rollup(df), output_path, partition_by=("year", "month"))
+    write_table(hourly_rollup(df), output_path, partition_by=("year", "month"), sort_by=("meter_id", "hour_ts"))

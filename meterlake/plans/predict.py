@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numeric import rnd
+from ..functions.numeric import rnd, safe_div
 from ..operators import grains
 from ..rules import RULES, Rules
 
@@ -11,14 +11,13 @@ from ..rules import RULES, Rules
 def p1_next_day(df: DataFrame, history_days: int = 30) -> DataFrame:
     """Per-meter linear trend of daily kWh over the last ``history_days`` (+1) days → next day.
 
-    The day index counts from the meter's first day; ``d >= last_day - 30``
-    keeps up to 31 days, as in the reference. One day of history → NULL.
+    The day index counts back from the meter's last day (a line's prediction
+    does not depend on where its x begins); ``d >= last_day - 30`` keeps up to
+    31 days, as in the reference. One day of history → NULL.
     """
     d = grains.daily(df)
-    w = Window.partitionBy("meter_id")
-    win = d.select("meter_id", "d", "kwh",
-                   F.datediff("d", F.min("d").over(w)).alias("day_idx"),
-                   F.max("d").over(w).alias("last_day"))
+    last = F.max("d").over(Window.partitionBy("meter_id"))
+    win = d.select("meter_id", "d", "kwh", last.alias("last_day"), F.datediff("d", last).alias("day_idx"))
     fit = (win.filter(F.col("d") >= F.date_add("last_day", -history_days))
               .groupBy("meter_id")
               .agg(F.regr_slope("kwh", "day_idx").alias("slope"),
@@ -84,5 +83,5 @@ def p4_seasonal_index(df: DataFrame, per_year: bool = False) -> DataFrame:
         monthly = df.groupBy("month").agg((F.sum("energy_kwh") / F.count_distinct("meter_id")).alias("kwh_per_meter"))
     mean = F.avg("kwh_per_meter").over(Window.partitionBy())
     return (monthly.select("month", rnd("kwh_per_meter", 2).alias("kwh_per_meter"),
-                           rnd(F.col("kwh_per_meter") / mean, 3).alias("seasonal_index"))
+                           rnd(safe_div("kwh_per_meter", mean), 3).alias("seasonal_index"))
             .orderBy("month"))

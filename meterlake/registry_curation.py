@@ -54,7 +54,8 @@ def q_read_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CU.register_table(spark, "meter_readings_curated", _written_curated(spark, sf_dir)).select(*CURATED_COLUMNS)
+    path = _written_curated(spark, sf_dir)
+    return CU.register_table(spark, f"meter_readings_{path[-12:]}", path).select(*CURATED_COLUMNS)
 
 
 def q_write_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

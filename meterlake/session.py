@@ -12,7 +12,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # wall-clock readings are timestamp_ntz; pin the zone for anything zoned (streaming watermarks)
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -35,11 +34,16 @@ def get_session(master: str | None = None, app: str = "meterlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; a local temporary one only when none is configured (tests)."""
+    """The session's checkpoint directory; a local temporary one only when none is configured on a
+    local master (tests). Executors of a cluster do not share such a folder: there it is an error."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meterlake-ckpt-")
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
+            conf_dir = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         sc.setCheckpointDir(conf_dir)
         base = sc.getCheckpointDir()
     return base
@@ -49,8 +53,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The directory comes from the session (``spark.checkpoint.dir`` or
-    ``SparkContext.setCheckpointDir``). Only when neither is set (local tests)
-    a temporary folder is created and registered as the checkpoint dir.
+    ``SparkContext.setCheckpointDir``); see ``ensure_checkpoint_dir`` for when
+    neither is set.
     """
     base = ensure_checkpoint_dir(spark)
     name = "-".join(parts) if parts else "scratch"

@@ -2,11 +2,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..rules import CURATED_COLUMNS, PARTITION_COLUMNS
 
+# fixed values: types of the curated table
+CURATED_TYPES = {
+    "reading_ts": "timestamp_ntz", "energy_kwh": "double", "avg_voltage": "double", "avg_current": "double",
+    "frequency_hz": "double", "meter_id": "string", "day": "int", "hour": "int", "day_of_week": "string",
+    "is_weekend": "boolean", "power_kw": "double", "voltage_band": "string", "current_band": "string",
+    "power_band": "string", "health_score": "double", "health_status": "string", "year": "int", "month": "int",
+}
+
 
 def layout(df: DataFrame) -> DataFrame:
     """Clustering for the partitioned write.
@@ -26,27 +35,33 @@ def write_curated(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bo
 
     ``laid_out=True``: ``df`` already went through ``layout`` (e.g. before its
     derived columns were added, so the shuffle and sort moved only the base
-    columns). ``dynamic=True`` replaces only the months present in ``df``.
+    columns). ``dynamic=True`` replaces only the months present in ``df``; otherwise
+    an overwrite replaces the whole table, whatever the session's default is.
     """
     out = df.select(*CURATED_COLUMNS)
     if not laid_out:
         out = layout(out)
     w = (out.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
-         .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file))
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+         .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     w.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (),
+                sort_by: tuple[str, ...] = (), dynamic: bool = False) -> None:
     """Snappy Parquet; with ``partition_by``, rows are first rebalanced on those columns.
 
     Without the rebalance every task would write one file into every
     partition folder it happens to hold (tasks × partitions small files).
+    ``sort_by`` orders the rows of each file, so its statistics prune filters
+    on those columns; ``dynamic=True`` replaces only the partitions in ``df``.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode(mode).option("compression", "snappy")
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    w = (df.write.mode(mode).option("compression", "snappy")
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -84,10 +99,23 @@ def read_curated(spark: SparkSession, path: str, since=None, until=None,
     return df.select(*(columns or CURATED_COLUMNS))
 
 
+def _plain(path: str) -> str:
+    """A location without the ``file:`` scheme and trailing slashes."""
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """External Parquet table over ``path`` with its partitions discovered (MSCK REPAIR)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    """External Parquet table over ``path`` with the curated schema, its partitions discovered (MSCK REPAIR).
+
+    A table of that name is kept if it lies at ``path``, and refused otherwise;
+    nothing is dropped.
+    """
+    columns = ", ".join(f"{c} {CURATED_TYPES[c]}" for c in CURATED_COLUMNS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'")
+    at = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Location", "")
+    if _plain(at) != _plain(path):
+        raise ValueError(f"table {name} exists at {at or 'no location'}, not at {path}")
     spark.catalog.recoverPartitions(name)
     return spark.table(name)
 

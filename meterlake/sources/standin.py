@@ -21,6 +21,13 @@ def _d(x) -> Column:
     return F.lit(x).cast("double")
 
 
+def _meter_id(number: Column) -> Column:
+    """Town prefix and the number, padded to four digits; longer numbers keep all of theirs."""
+    digits = number.cast("string")
+    return F.concat(F.when(number % 2 == 0, F.lit("BR")).otherwise(F.lit("MH")),
+                    F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0")))
+
+
 def standin_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw typed readings (reading_ts, energy_kwh, avg_voltage, avg_current, frequency_hz, meter_id)."""
     li = load_table(spark, sf_dir, "lineitem").select(
@@ -33,8 +40,7 @@ def standin_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     spike = F.when((sk % 7 == 3) & (ok % 31 == 0), _d(64)).otherwise(_d(1))
     outage = (ok + ln) % 23 == 0
     reading_ts = F.timestamp_add("MINUTE", (o * 3).cast("int"), F.col("l_shipdate"))
-    meter_id = F.concat(F.when(sk % 2 == 0, F.lit("BR")).otherwise(F.lit("MH")),
-                        F.lpad(sk.cast("string"), 4, "0"))
+    meter_id = _meter_id(sk)
     base = li.select(
         reading_ts.alias("reading_ts"),
         F.when((ok + ln) % 29 == 0, _d(0))
@@ -89,6 +95,5 @@ def events_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(_d(196) + (eid % 320).cast("double") * _d(0.125)).alias("avg_voltage"),
         ((eid % 13).cast("double") * _d(0.75)).alias("avg_current"),
         F.when(outage, _d(0)).otherwise(_d(49.25) + (eid % 100).cast("double") / _d(64)).alias("frequency_hz"),
-        F.concat(F.when(uid % 2 == 0, F.lit("BR")).otherwise(F.lit("MH")),
-                 F.lpad(uid.cast("string"), 4, "0")).alias("meter_id"),
+        _meter_id(uid).alias("meter_id"),
     )

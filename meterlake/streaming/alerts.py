@@ -7,7 +7,7 @@ from ..operators.clean import drop_nulls, enrich, range_filter, typed_readings
 from ..rules import BASE_COLUMNS, RULES, Rules
 from ..session import shared_dir
 from ..sources.raw import RAW_HEADERS, normalize_columns
-from .eventtime import to_instant, to_wallclock
+from ..functions.wallclock import to_instant, to_wallclock
 from .source import raw_csv_stream
 
 
@@ -18,6 +18,9 @@ def alert_windows(readings: DataFrame, rules: Rules = RULES, window: str = "15 m
     Stateless cleaning and enrichment, then exact copies dropped within the
     watermark and a tumbling-window count per status. Rows later than the
     watermark are dropped; a window is emitted once the watermark passes its end.
+    Only exact copies are dropped, as a stream can not take back a reading: two
+    different readings of one meter and time both count here, while the curated
+    table keeps one of them.
     """
     valid = range_filter(drop_nulls(typed_readings(readings, rules)), rules)
     ev = enrich(valid.select(*BASE_COLUMNS), rules).withColumn("_et", to_instant(F.col("reading_ts")))

@@ -1,6 +1,7 @@
 """Shared DuckDB CTEs: stand-in readings from ``lineitem``, cleaning, curated columns.
 
-Written independently of the Spark code path; the two must agree row for row.
+The band, score and status ladders state fixed thresholds in the order that the rules dictate; the rest is
+written from the survey's definitions. Spark's results and these must agree row for row.
 """
 from __future__ import annotations
 
@@ -43,7 +44,7 @@ gen AS (
     CASE WHEN (ok + ln) % 23 = 0 THEN {D(0)}
          ELSE {D(49.25)} + {D('(ok * 13 + ln) % 100')} / {D(64)}
     END AS frequency_hz,
-    (CASE WHEN sk % 2 = 0 THEN 'BR' ELSE 'MH' END) || lpad(CAST(sk AS VARCHAR), 4, '0') AS meter_id,
+    (CASE WHEN sk % 2 = 0 THEN 'BR' ELSE 'MH' END) || lpad(CAST(sk AS VARCHAR), CAST(greatest(4, length(CAST(sk AS VARCHAR))) AS INTEGER), '0') AS meter_id,
     (ok * 3 + ln) % 211 = 0 AS dup
   FROM li
 ),

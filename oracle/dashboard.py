@@ -89,7 +89,7 @@ SELECT day, kwh, rolling_mean_30d, z_score, anomaly_type FROM (
   SELECT day, {R('kwh', 3)} AS kwh, {R('mu', 3)} AS rolling_mean_30d, {R('(kwh - mu) / NULLIF(sigma, 0)', 2)} AS z_score,
          CASE WHEN kwh > mu THEN 'SPIKE' ELSE 'COLLAPSE' END AS anomaly_type,
          {R('abs((kwh - mu) / NULLIF(sigma, 0))', 6)} AS strength
-  FROM sc WHERE history >= 2 AND sigma > 0 AND abs(kwh - mu) > 3 * sigma)
+  FROM sc WHERE history >= 2 AND sigma > 1e-9 * greatest(abs(mu), abs(kwh)) AND abs(kwh - mu) > 3 * sigma)
 ORDER BY strength DESC, day LIMIT 10""", f"""dd AS (SELECT {DAY} AS day, sum(energy_kwh) AS kwh FROM roll GROUP BY 1),
 sc AS (SELECT day, kwh, avg(kwh) OVER w AS mu, stddev_samp(kwh) OVER w AS sigma, count(kwh) OVER w AS history
        FROM dd WINDOW w AS (ORDER BY day ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))""")
@@ -157,7 +157,7 @@ FROM cur GROUP BY 1, 2""")
     q["anomaly_series"] = with_curated(f"""
 SELECT town, d, {R('kwh', 3)} AS kwh, {R('mu', 3)} AS rolling_mean_30d, {R('(kwh - mu) / NULLIF(sigma, 0)', 2)} AS z_score,
        CASE WHEN kwh > mu THEN 'SPIKE' ELSE 'COLLAPSE' END AS anomaly_type
-FROM sc WHERE history >= 2 AND sigma > 0 AND abs(kwh - mu) > 3 * sigma""",
+FROM sc WHERE history >= 2 AND sigma > 1e-9 * greatest(abs(mu), abs(kwh)) AND abs(kwh - mu) > 3 * sigma""",
         f"""td AS (SELECT substr(meter_id, 1, 2) AS town, CAST(reading_ts AS DATE) AS d, sum(energy_kwh) AS kwh FROM cur GROUP BY 1, 2),
 sc AS (SELECT town, d, kwh, avg(kwh) OVER w AS mu, stddev_samp(kwh) OVER w AS sigma, count(kwh) OVER w AS history
        FROM td WINDOW w AS (PARTITION BY town ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))""")

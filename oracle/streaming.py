@@ -11,7 +11,7 @@ er AS (
               ELSE {D(196)} + {D('eid % 320')} * {D(0.125)} END AS avg_voltage,
          {D('eid % 13')} * {D(0.75)} AS avg_current,
          CASE WHEN eid % 41 = 0 THEN {D(0)} ELSE {D(49.25)} + {D('eid % 100')} / {D(64)} END AS frequency_hz,
-         (CASE WHEN uid % 2 = 0 THEN 'BR' ELSE 'MH' END) || lpad(CAST(uid AS VARCHAR), 4, '0') AS meter_id
+         (CASE WHEN uid % 2 = 0 THEN 'BR' ELSE 'MH' END) || lpad(CAST(uid AS VARCHAR), CAST(greatest(4, length(CAST(uid AS VARCHAR))) AS INTEGER), '0') AS meter_id
   FROM ev),
 evalid AS (
   SELECT DISTINCT * FROM er
