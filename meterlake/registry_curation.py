@@ -29,16 +29,33 @@ def q_normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_read_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the stand-in as raw CSV next to a daily ``Aggregated`` file set, read back the interval files."""
+    """Land the stand-in as raw CSV with two header orders and spellings, next to daily ``Aggregated`` files in the
+    same folder; read back the interval files."""
     land = shared_dir(spark, "landing")
-    ST.standin_raw_frame(spark, sf_dir).write.option("header", True).csv(f"{land}/SM_interval")
+    raw = ST.standin_raw_frame(spark, sf_dir)
+    bareilly = F.col("meter").startswith("BR")
+    raw.filter(bareilly).write.option("header", True).csv(f"{land}/SM_interval")
+    turned = raw.filter(~bareilly).toDF(*VARIANT_HEADERS)
+    turned.select(*(F.col(f"`{c}`") for c in reversed(VARIANT_HEADERS))).write.option("header", True).csv(f"{land}/SM_other")
     daily = (ST.standin_readings(spark, sf_dir)
              .groupBy(F.col("meter_id").alias("meter"), F.to_date("reading_ts").cast("string").alias("Date"))
              .agg(F.sum("energy_kwh").cast("string").alias("t_kWh")))
-    daily.write.option("header", True).csv(f"{land}/SM_Aggregated_daily")
+    land_aggregated(daily, land)
     return CL.typed_readings(RAW.normalize_columns(RAW.read_raw_csv(spark, land)))
 
 
+def land_aggregated(daily: DataFrame, land: str) -> None:
+    """Daily files under names that say ``Aggregated``, as the reference's cleaner knows them."""
+    spark = daily.sparkSession
+    daily.coalesce(1).write.option("header", True).csv(f"{land}/daily")
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{land}/daily")
+    fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(files):
+        path = status.getPath()
+        if path.getName().endswith(".csv"):
+            fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"SM_Aggregated_{path.getName()}"))
+
+
 def _written_curated(spark: SparkSession, sf_dir: str) -> str:
     path = shared_dir(spark, "curated")
     CU.write_curated(curated_standin(spark, sf_dir), path)
@@ -62,7 +79,8 @@ def q_write_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "clean-csv")
     CU.write_clean_csv(CL.clean(ST.standin_readings(spark, sf_dir)), path)
     same = {c: c for c in BASE_COLUMNS}
-    return CL.typed_readings(RAW.normalize_columns(RAW.read_raw_csv(spark, path, exclude=None), same))
+    raw = RAW.read_raw_csv(spark, path, exclude=None, mapping=same, mark="^reading_ts,")
+    return CL.typed_readings(RAW.normalize_columns(raw, same))
 
 
 def q_row_count_metric(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder by Hadoop's file systems, wherever ``path`` lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -61,4 +67,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "shared_dir"]
+__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "shared_dir"]

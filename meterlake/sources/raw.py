@@ -1,9 +1,10 @@
 """Raw interval CSV: read all columns as strings, then map header spellings."""
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..rules import BASE_COLUMNS
 
@@ -27,39 +28,133 @@ RENAMES = {
 }
 
 
-def list_files(spark: SparkSession, paths: str | Iterable[str], pattern: str = "*.csv",
-               exclude: str | None = None) -> list[str]:
-    """File paths under ``paths`` matching ``pattern``, minus paths containing ``exclude``.
+#: what only a header line holds: one of the interval files' own column names
+HEADER_MARK = r"(?i)x_timestamp|t_kwh|y_freq|z_avg"
+MAX_HEADERS = 1000
+
+
+def _files(reader, pattern: str):
+    return reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+
+
+def _of_interval_files(df: DataFrame, exclude: str | None) -> DataFrame:
+    """Without the files whose *name* contains ``exclude``; folders are free to."""
+    return df.filter(~F.col("_metadata.file_name").contains(exclude)) if exclude else df
 
-    Listed by a Spark job over the ``binaryFile`` source with only the path
-    column selected (file contents are not read); only names reach the driver.
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-               .option("recursiveFileLookup", "true").load(paths).select("path"))
-    if exclude:
-        listing = listing.filter(~F.col("path").contains(exclude))
-    return sorted(r.path for r in listing.collect())
+
+def header_lines(spark: SparkSession, paths: str | list[str], pattern: str, exclude: str | None, mark: str) -> DataFrame:
+    """``file, header`` of every file that has a header line (a text scan that parses nothing)."""
+    lines = _of_interval_files(_files(spark.read.format("text"), pattern).load(paths), exclude)
+    return (lines.filter(F.col("value").rlike(mark)).groupBy(F.col("_metadata.file_path").alias("file"))
+            .agg(F.min("value").alias("header")))
+
+
+def _cells(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]))
+
+
+def _by_name(header: str, names: list[str], mapping: dict[str, str]) -> list[int | None]:
+    """Where a file's header has each of ``names``: by the curated name of either, else by the name itself."""
+    def known(name: str) -> str:
+        return mapping.get(name.lower().strip(), name.lower().strip())
+    own: dict[str, int] = {}
+    for i, cell in enumerate(_cells(header)):
+        own.setdefault(known(cell), i)
+    return [own.get(known(name)) for name in names]
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], exclude: str | None = "Aggregated",
-                 keep_file: bool = False, pattern: str = "*.csv") -> DataFrame:
+                 keep_file: bool = False, pattern: str = "*.csv", mapping: dict[str, str] | None = None,
+                 mark: str = HEADER_MARK) -> DataFrame:
     """Headered interval CSVs, every column a string (no inference pass).
 
+    Each file is read by its own header: the result has the columns of the
+    fullest header, and a file whose header has other spellings or another
+    order gives each column by its curated name (``mapping``). Only the few
+    distinct headers reach the driver, never the list of files; with more than
+    one, the rows meet their file's header in a join, which Spark broadcasts or
+    shuffles by its size.
+
     Files whose name contains ``exclude`` (the daily ``*Aggregated*`` files,
-    another layout) are left out before reading, so they can neither supply
-    the header nor be parsed with the wrong columns. ``keep_file`` adds
-    ``source_file`` (file name, from the hidden ``_metadata`` column) for
-    per-file quality accounting.
+    another layout) are left out. A file without a header (``mark``), or whose
+    header lacks a column, is an error. ``keep_file`` adds ``source_file`` (file
+    name, from the hidden ``_metadata`` column) for per-file accounting.
     """
-    files = list_files(spark, paths, pattern, exclude)
-    if not files:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    mapping = RENAMES if mapping is None else mapping
+    listed = _files(spark.read.format("binaryFile"), pattern).load(paths).filter("length > 0")
+    if exclude:
+        listed = listed.filter(~F.element_at(F.split("path", "/"), -1).contains(exclude))
+    n_files = listed.count()
+    if not n_files:
         raise FileNotFoundError(f"no {pattern} files under {paths}")
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(files))
-    if keep_file:
-        df = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_name").alias("source_file"))
-    return df
+    of_file = header_lines(spark, paths, pattern, exclude, mark)
+    headers = _distinct_headers(of_file)
+    if sum(h.n for h in headers) != n_files:
+        raise ValueError(f"{n_files - sum(h.n for h in headers)} of {n_files} files under {paths} have no header line")
+    width = max(len(_cells(h.header)) for h in headers)
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    df = _of_interval_files(_files(spark.read.schema(schema).option("header", True), pattern).csv(paths), exclude)
+    extra = [F.col("_metadata.file_name").alias("source_file")] if keep_file else []
+    return _in_order(df.select("*", F.col("_metadata.file_path").alias("_file"), *extra), of_file, headers, mapping)
+
+
+def _distinct_headers(of_file: DataFrame) -> list:
+    """``header, n, file`` (number of files and one of them), the most frequent first."""
+    headers = (of_file.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file"))
+               .orderBy(F.desc("n"), "header").limit(MAX_HEADERS + 1).collect())
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"over {MAX_HEADERS} different headers, such as {headers[-1].header!r} of {headers[-1].file}")
+    return headers
+
+
+def _in_order(rows: DataFrame, of_file: DataFrame, headers: list, mapping: dict[str, str]) -> DataFrame:
+    """Rows with cells ``_c0 …`` and ``_file``, by the names of the fullest header (that with most curated columns, or
+    else the most frequent); other columns stay."""
+    headers = sorted(headers, key=lambda h: -len({mapping.get(c.lower().strip()) for c in _cells(h.header)}))
+    names = [c.strip() for c in _cells(headers[0].header)]
+    places = {h.header: tuple(_by_name(h.header, names, mapping)) for h in headers}
+    for h in headers:
+        missing = [n for n, place in zip(names, places[h.header]) if place is None and n.lower().strip() in mapping]
+        if missing:
+            raise ValueError(f"{h.file}: no column for {missing} in its header {h.header!r}")
+    rest = [c for c in rows.columns if not c.startswith("_c") and c != "_file"]
+    commonest = places[headers[0].header]
+    others = sorted({p for p in places.values() if p != commonest})
+    if others:
+        number = F.lit(None).cast("int")
+        for header, order in places.items():
+            if order != commonest:
+                number = F.when(F.col("header") == header, others.index(order)).otherwise(number)
+        exceptions = of_file.select(F.col("file").alias("_file"), number.alias("_order")).filter("_order IS NOT NULL")
+        rows = rows.join(exceptions, "_file", "left")
+
+    def cell(place: int | None) -> Column:  # a column that is no curated one may be absent from a file
+        return F.lit(None).cast("string") if place is None else F.col(f"_c{place}")
+
+    def pick(i: int) -> Column:
+        out = cell(commonest[i])
+        for k, order in enumerate(others):
+            out = F.when(F.col("_order") == k, cell(order[i])).otherwise(out)
+        return out
+
+    return rows.select(*(pick(i).alias(n) for i, n in enumerate(names)), *rest)
+
+
+def parse_lines(lines: DataFrame, mapping: dict[str, str] | None = None, mark: str = HEADER_MARK) -> DataFrame:
+    """Text rows (``value``, ``file``) of whole CSV files as ``read_raw_csv`` gives them: each file by its own header."""
+    of_file = lines.filter(F.col("value").rlike(mark)).groupBy("file").agg(F.min("value").alias("header"))
+    headers = _distinct_headers(of_file)
+    bare = lines.join(of_file, "file", "left_anti").select("file").limit(1).collect()
+    if bare:
+        raise ValueError(f"{bare[0].file} has no header line")
+    width = max((len(_cells(h.header)) for h in headers), default=0)
+    if not width:
+        return lines.sparkSession.createDataFrame([], ", ".join(f"`{h}` string" for h in RAW_HEADERS))
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    cells = (lines.filter(~F.col("value").rlike(mark) & (F.trim("value") != ""))
+             .select(F.from_csv("value", schema).alias("c"), F.col("file").alias("_file")).select("c.*", "_file"))
+    return _in_order(cells, of_file, headers, RENAMES if mapping is None else mapping)
 
 
 def normalize_columns(df: DataFrame, mapping: dict[str, str] | None = None,
@@ -76,7 +171,7 @@ def normalize_columns(df: DataFrame, mapping: dict[str, str] | None = None,
             found[target] = c
     missing = [c for c in BASE_COLUMNS if c not in found]
     if missing:
-        raise ValueError(f"Missing expected columns after rename: {missing}. Got: {df.columns}")
+        raise ValueError(f"no column for {', '.join(missing)} among {', '.join(df.columns)}")
     keep = [F.col(f"`{found[c]}`").alias(c) for c in BASE_COLUMNS]
     keep += [F.col(c) for c in passthrough if c in df.columns]
     return df.select(*keep)

@@ -1,4 +1,4 @@
-"""Streaming source over landed raw CSV files."""
+"""Streaming sources over landed raw CSV files."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -6,15 +6,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..sources.raw import RAW_HEADERS
 
 
+def _reader(spark: SparkSession, max_files_per_trigger: int | None, pattern: str):
+    r = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    return r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r
+
+
 def raw_csv_stream(spark: SparkSession, landing: str, headers=RAW_HEADERS, exclude: str | None = "Aggregated",
                    max_files_per_trigger: int | None = None, pattern: str = "*.csv") -> DataFrame:
-    """Landed interval CSVs as a stream of text columns (explicit schema: no inference)."""
+    """Landed interval CSVs as a stream of text columns (explicit schema: no inference).
+
+    Columns are read by position, so every file must have just these headers:
+    one that has not stops the query. ``exclude`` tests the file name.
+    """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    r = (spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", pattern)
-         .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(landing)
+    df = (_reader(spark, max_files_per_trigger, pattern).schema(schema).option("header", True)
+          .option("enforceSchema", False).csv(landing))
     if exclude:
-        df = df.filter(~F.col("_metadata.file_path").contains(exclude))
+        df = df.filter(~F.col("_metadata.file_name").contains(exclude))
     return df.select(*[F.col(f"`{h}`") for h in headers])
+
+
+def raw_line_stream(spark: SparkSession, landing: str, exclude: str | None = "Aggregated",
+                    max_files_per_trigger: int | None = None, pattern: str = "*.csv") -> DataFrame:
+    """Landed files as lines with their file (``value``, ``file``), for ``parse_lines`` inside a micro-batch."""
+    df = _reader(spark, max_files_per_trigger, pattern).format("text").load(landing)
+    if exclude:
+        df = df.filter(~F.col("_metadata.file_name").contains(exclude))
+    return df.select("value", F.col("_metadata.file_path").alias("file"))

@@ -1,4 +1,7 @@
 """Streaming: availableNow over split files equals batch; a replayed run is a no-op; late corrections merge."""
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from meterlake.rules import CURATED_COLUMNS
@@ -111,3 +114,45 @@ def test_new_keys_append_without_rewriting_months(spark, tmp_dir):
     assert _same(got, expected)
     # the second batch may rewrite the few months where one of its copies beats a stored copy of a key
     assert len(files_before & files_after) >= len(files_before) // 2
+
+
+HEADER = "x_Timestamp,t_kWh,z_Avg Voltage (Volt),z_Avg Current (Amp),y_Freq (Hz),meter"
+
+
+def _landed(folder, name, header, *rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write("\n".join([header, *rows]) + "\n")
+
+
+def test_ingest_maps_headers_counts_all_batches_and_drops_staging(spark, tmp_dir):
+    land, table, ck = f"{tmp_dir}/Aggregated_zone/in", f"{tmp_dir}/table", f"{tmp_dir}/ck"
+    for i in range(4):
+        _landed(land, f"f{i}.csv", HEADER, f"2020-0{i + 1}-01 00:00:00,0.01,23{i},1.5,50,BR01")
+    _landed(land, "g.csv", "meter,x_timestamp,t_kwh,z_avg_current_(amp),z_avg_voltage_(volt),y_freq (hz)", "BR02,2020-01-01 00:00:00,0.02,2.5,199,49.9")
+    _landed(land, "SM_Aggregated.csv", "meter,Date,t_kWh", "BR01,2020-01-01,1")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        out = incremental_ingest(spark, land, table, ck, max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (out["batches"], out["rows"], out["months"]) == (5, 5, [202001, 202002, 202003, 202004])
+    odd = spark.read.parquet(table).filter("meter_id = 'BR02'").first()
+    assert (odd.avg_voltage, odd.avg_current, odd.energy_kwh) == (199.0, 2.5, 0.02)
+    assert not os.listdir(f"{ck}/staging")
+
+
+def test_an_unreadable_table_is_not_an_empty_one(spark, tmp_dir):
+    _landed(f"{tmp_dir}/land", "a.csv", HEADER, "2020-01-01 00:00:00,0.01,230,1.5,50,BR01")
+    os.makedirs(f"{tmp_dir}/table/year=2020/month=1")
+    with open(f"{tmp_dir}/table/year=2020/month=1/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        incremental_ingest(spark, f"{tmp_dir}/land", f"{tmp_dir}/table", f"{tmp_dir}/ck")
+    assert open(f"{tmp_dir}/table/year=2020/month=1/part-0.parquet").read() == "not parquet"
+
+
+def test_alert_stream_refuses_other_headers(spark, tmp_dir):
+    _landed(f"{tmp_dir}/land", "a.csv", "x_Timestamp,t_kWh,z_Avg Current (Amp),z_Avg Voltage (Volt),y_Freq (Hz),meter", "2020-01-01 00:00:00,0.01,1.5,230,50,BR01")
+    with pytest.raises(Exception, match="error while reading file .*a.csv"):
+        health_alerts_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
