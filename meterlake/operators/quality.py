@@ -1,6 +1,6 @@
 """Data-quality accounting: per-source report, reject rows, summary statistics, load checks.
 
-Everything is one or two grouped aggregations over the readings; nothing is
+Everything is grouped aggregations over one scan of the readings; no reading is
 collected. Exact copies are first collapsed into one row with a ``copies``
 count (partial aggregation folds a heavily copied row inside each map task),
 so a source made mostly of copies never reaches a single task whole.
@@ -27,12 +27,17 @@ def _any_null(cols=BASE_COLUMNS) -> F.Column:
 
 
 def classify(raw: DataFrame, source: str | None = None, rules: Rules = RULES) -> DataFrame:
-    """Distinct typed rows with ``copies`` and ``reason`` (NULL = valid), per ``source``."""
-    typed = typed_readings(raw, rules)
-    keys = ([source] if source else []) + list(BASE_COLUMNS)
-    d = typed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    """Distinct raw rows with ``copies``, their typed values, ``_raw`` (the values as given) and ``reason`` (NULL =
+    valid), per ``source``.
+
+    Copies are copies of what was given: two rows with different unparseable
+    text are two rejects, not one and a copy.
+    """
+    given = F.struct(*[F.col(c) for c in BASE_COLUMNS]).alias("_raw")
+    d = raw.groupBy(*([source] if source else []), *BASE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    typed = typed_readings(d.select("*", given), rules)
     reason = F.when(_any_null(), F.lit("null")).when(~in_range(rules), F.lit("out_of_range"))
-    return d.withColumn("reason", reason)
+    return typed.withColumn("reason", reason)
 
 
 def quality_report(raw: DataFrame, source: str = "source_file", rules: Rules = RULES) -> DataFrame:
@@ -41,46 +46,51 @@ def quality_report(raw: DataFrame, source: str = "source_file", rules: Rules = R
     Order of the checks as in the batch cleaner: exact copies, then NULL or
     unparseable values, then range, then repeated (meter_id, reading_ts) keys.
     Invariant: rows_in = rows_out + dupes + nulls + out_of_range.
+
+    One scan and one chain of aggregates that carries the counts along: raw row,
+    key, meter, source. Rejected rows share the key NULL, as counts that each
+    task has summed up already.
     """
     d = classify(raw, source, rules)
-    counts = d.groupBy(source).agg(
-        F.sum("copies").alias("rows_in"), F.sum(F.col("copies") - 1).alias("_exact"),
+    valid = F.col("reason").isNull()
+    key = [F.when(valid, F.col(c)).alias(c) for c in KEY]
+    keys = d.groupBy(source, *key).agg(
+        F.sum("copies").alias("rows_in"), F.sum(F.col("copies") - 1).alias("copied"),
         F.count_if(F.col("reason") == "null").alias("nulls"),
-        F.count_if(F.col("reason") == "out_of_range").alias("out_of_range"))
-    keys = (d.filter(F.col("reason").isNull())
-             .groupBy(source, *KEY).agg(F.count(F.lit(1)).alias("variants")))
-    out = keys.groupBy(source).agg(
-        F.count(F.lit(1)).alias("rows_out"), F.sum(F.col("variants") - 1).alias("_keydup"),
-        F.count_distinct("meter_id").alias("meters"), F.min("reading_ts").alias("min_ts"),
-        F.max("reading_ts").alias("max_ts"))
-    zero = F.lit(0).cast("bigint")
-    return (counts.join(out, source, "left")
-            .select(source, "rows_in", (F.col("_exact") + F.coalesce("_keydup", zero)).alias("dupes"),
-                    "nulls", "out_of_range", F.coalesce("rows_out", zero).alias("rows_out"),
-                    F.coalesce("meters", zero).alias("meters"), "min_ts", "max_ts")
-            .orderBy(source))
+        F.count_if(F.col("reason") == "out_of_range").alias("out_of_range"), F.count_if(valid).alias("variants"))
+    per_meter = keys.groupBy(source, "meter_id").agg(
+        *(F.sum(c).alias(c) for c in ("rows_in", "copied", "nulls", "out_of_range")),
+        F.count_if(F.col("variants") > 0).alias("rows_out"),
+        F.sum(F.greatest(F.col("variants") - 1, F.lit(0))).alias("lost"),
+        F.min("reading_ts").alias("min_ts"), F.max("reading_ts").alias("max_ts"))
+    return (per_meter.groupBy(source).agg(
+        F.sum("rows_in").alias("rows_in"), (F.sum("copied") + F.sum("lost")).alias("dupes"), F.sum("nulls").alias("nulls"),
+        F.sum("out_of_range").alias("out_of_range"), F.sum("rows_out").alias("rows_out"),
+        F.count_if(F.col("rows_out") > 0).alias("meters"), F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
+        .orderBy(source))
 
 
 def rejects(raw: DataFrame, rules: Rules = RULES, order=MEASURES) -> DataFrame:
-    """Rejected rows with ``reject_reason`` and ``copies`` (how many raw rows each line stands for).
+    """Rejected rows as they were given, with ``reject_reason`` and ``copies`` (how many raw rows each line stands for).
 
     ``duplicate`` covers every copy that loses the (meter_id, reading_ts)
     de-duplication, including extra exact copies of the surviving row. The
-    survivor is the lowest row by ``order``, as in ``dedup_key``.
+    survivor is the lowest row by ``order``, as in ``dedup_key``; of equal
+    typed rows it is the one whose given values sort first. Only keys that
+    have several variants are joined back to their rows.
     """
     d = classify(raw, None, rules)
-    bad = d.filter(F.col("reason").isNotNull()).select(*BASE_COLUMNS, F.col("reason").alias("reject_reason"), "copies")
-    valid = d.filter(F.col("reason").isNull())
-    survivors = (valid.groupBy(*KEY).agg(F.min(F.struct(*order)).alias("_s"))
-                      .select(*KEY, *[F.col(f"_s.{c}").alias(f"_s_{c}") for c in order]))
-    j = valid.join(survivors, list(KEY))
-    is_survivor = F.lit(True)
-    for c in order:
-        is_survivor = is_survivor & (F.col(c) == F.col(f"_s_{c}"))
-    lost = F.when(is_survivor, F.col("copies") - 1).otherwise(F.col("copies"))
-    dups = (j.select(*BASE_COLUMNS, F.lit("duplicate").alias("reject_reason"), lost.alias("copies"))
-             .filter(F.col("copies") > 0))
-    return bad.unionByName(dups)
+    rank = F.struct(*order, "_raw")
+    several = (d.filter("reason IS NULL").groupBy(*KEY).agg(F.min(rank).alias("_first"), F.count(F.lit(1)).alias("_n"))
+               .filter("_n > 1").select(*[F.col(c).alias(f"_{c}") for c in KEY], "_first"))
+    same_key = F.lit(True)
+    for c in KEY:
+        same_key = same_key & (F.col(c) == F.col(f"_{c}"))
+    j = d.join(several, same_key & F.col("reason").isNull(), "left")
+    survives = F.col("_first").isNull() | (rank == F.col("_first"))
+    lost = F.when(F.col("reason").isNotNull() | ~survives, F.col("copies")).otherwise(F.col("copies") - 1)
+    return (j.select("_raw.*", F.coalesce("reason", F.lit("duplicate")).alias("reject_reason"), lost.alias("copies"))
+            .filter(F.col("copies") > 0))
 
 
 NUMERIC_SUMMARY = ("energy_kwh", "avg_voltage", "avg_current", "frequency_hz", "power_kw", "health_score")
@@ -203,13 +213,15 @@ def curated_checks(raw: DataFrame, curated: DataFrame, rules: Rules = RULES,
     Means exclude outage readings (0 V, 0 Hz). The bounds are parameters; the
     defaults are the nominal supply, which real fleets may well miss.
     """
-    rows_in = raw.agg(F.count(F.lit(1))).scalar()
-    rejected = rejects(raw, rules).agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint")).scalar()
+    report = quality_report(raw.withColumn("_all", F.lit(True)), "_all", rules)
+    balance = report.select(F.struct("rows_in", (F.col("dupes") + F.col("nulls") + F.col("out_of_range")).alias("rejected"))).scalar()
     cur = curated.agg(F.count(F.lit(1)).alias("rows_out"),
                       F.count_if(F.col("year").isNull() | F.col("month").isNull()).alias("null_partitions"),
                       F.avg(F.when(F.col("avg_voltage") > 0, F.col("avg_voltage"))).alias("_v"),
                       F.avg(F.when(F.col("frequency_hz") > 0, F.col("frequency_hz"))).alias("_hz"))
-    j = cur.select("*", rows_in.alias("rows_in"), rejected.alias("rejected"))
+    zero = F.lit(0).cast("bigint")  # an empty input has no report
+    j = cur.select("*", balance.alias("_b")).select(
+        "*", F.coalesce("_b.rows_in", zero).alias("rows_in"), F.coalesce("_b.rejected", zero).alias("rejected"))
     return j.select(
         "rows_in", "rejected", "rows_out",
         (F.col("rows_in") == F.col("rows_out") + F.col("rejected")).alias("balance_ok"),

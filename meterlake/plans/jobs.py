@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import clean, enrich
 from ..operators.grains import hourly_rollup
+from ..operators.quality import rejects
 from ..rules import RULES, Rules
 from ..sources.curated import layout, write_curated, write_table
 from ..sources.raw import normalize_columns, read_raw_csv
@@ -12,16 +13,20 @@ from ..sources.raw import normalize_columns, read_raw_csv
 
 def curation_job(spark: SparkSession, raw_paths, output_path: str, rules: Rules = RULES,
                  order: str = "filter_first", mode: str = "overwrite", dynamic: bool = False,
-                 metrics: dict | None = None) -> int:
+                 metrics: dict | None = None, rejects_path: str | None = None) -> int:
     """Read raw CSVs, curate, write the partitioned table; returns rows written.
 
     Rows in and rows out are ``Observation`` metrics collected while the write
     runs (no second pass over the input); pass a dict as ``metrics`` to get
     ``rows_in``, ``rows_out`` and ``rejected`` (nulls, out of range and
-    duplicate copies together).
+    duplicate copies together). With ``rejects_path``, the rejected rows are
+    written there as given, with reason and number of copies (a second scan).
     """
     seen, kept = Observation("raw_rows"), Observation("curated_rows")
-    raw = normalize_columns(read_raw_csv(spark, raw_paths)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    given = normalize_columns(read_raw_csv(spark, raw_paths))
+    if rejects_path:
+        write_table(rejects(given, rules), rejects_path)
+    raw = given.observe(seen, F.count(F.lit(1)).alias("rows"))
     curated = curate_laid_out(raw, rules, order).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_curated(curated, output_path, mode=mode, dynamic=dynamic, laid_out=True)
     rows_in, rows_out = int(seen.get["rows"]), int(kept.get["rows"])

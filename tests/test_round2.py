@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators.anomaly import anomaly_series
-from meterlake.operators.quality import exact_quantiles, quantile_value
+from meterlake.operators.quality import exact_quantiles, quality_report, quantile_value, rejects
 from meterlake.operators.regression import forecast_grouped
 from meterlake.plans import insights, predict
 from meterlake.session import ensure_checkpoint_dir, get_session
@@ -158,3 +158,43 @@ def test_filters_reach_the_scan(spark, tmp_dir):
     text = plan(dashboard_filter(spark.read.parquet(f"{tmp_dir}/roll"), since="1996-01-01", until="1997-01-01", towns=["BR"]))
     assert "PartitionFilters: [" in text and "(((year" in text and "StringStartsWith(meter_id,BR)" in text
     assert "StringStartsWith(meter_id,MH)" in plan(town_view(spark.read.parquet(f"{tmp_dir}/roll"), ["MH"], "v"))
+
+
+RAW = "reading_ts string, energy_kwh string, avg_voltage string, avg_current string, frequency_hz string, meter_id string"
+T0 = "2020-01-01 00:00:00"
+
+
+def test_copies_are_copies_of_the_text(spark):
+    """Different unparseable texts are different rejects, and keep their text."""
+    rows = [(T0, "abc", "230", "1", "50", "BR01"), (T0, "xyz", "230", "1", "50", "BR01"), (T0, "xyz", "230", "1", "50", "BR01"),
+            (T0, "0.1", "230", "1", "50", "BR01"), (T0, "0.10", "230", "1", "50", "BR01"), (T0, "0.05", "230", "1", "50", "BR01"),
+            (T0, "0.2", "999", "1", "50", "BR02"), (T0, "0.2", "230", "1", "50", "BR03"), (T0, "0.2", "230", "1", "50", "BR03")]
+    raw = spark.createDataFrame(rows, RAW).withColumn("src", F.lit("f"))
+    r = quality_report(raw, "src").first()
+    assert (r.rows_in, r.dupes, r.nulls, r.out_of_range, r.rows_out, r.meters) == (9, 4, 2, 1, 2, 2)
+    got = sorted((x.energy_kwh, x.avg_voltage, x.reject_reason, x.copies) for x in rejects(raw.drop("src")).collect())
+    assert got == [("0.1", "230", "duplicate", 1), ("0.10", "230", "duplicate", 1), ("0.2", "230", "duplicate", 1),
+                   ("0.2", "999", "out_of_range", 1), ("abc", "230", "null", 1), ("xyz", "230", "null", 2)]
+
+
+def test_quality_reads_the_rows_once(spark, tmp_dir):
+    standin_readings(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw")
+    raw = spark.read.parquet(f"{tmp_dir}/raw")
+
+    def scans(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        return final.count("FileScan parquet"), final
+    n, plan = scans(quality_report(raw.withColumn("s", F.substring("meter_id", 1, 2)), "s"))
+    assert n == 1 and "Join" not in plan
+    assert quality_report(raw.limit(0).withColumn("s", F.lit("x")), "s").count() == 0
+
+
+def test_curation_job_writes_the_rejects(spark, tmp_dir):
+    from meterlake.plans.jobs import curation_job
+    from meterlake.sources.standin import standin_raw_frame
+    standin_raw_frame(spark, SF_SMALL).write.option("header", True).csv(f"{tmp_dir}/raw")
+    m = {}
+    curation_job(spark, f"{tmp_dir}/raw", f"{tmp_dir}/cur", metrics=m, rejects_path=f"{tmp_dir}/rejects")
+    assert spark.read.parquet(f"{tmp_dir}/rejects").agg(F.sum("copies")).first()[0] == m["rejected"]
