@@ -21,6 +21,11 @@ def day_of(df: DataFrame) -> F.Column:
     return F.col("reading_date")
 
 
+def day_number(day: str) -> F.Column:
+    """Days since 1970-01-01, for frames over calendar days."""
+    return F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+
+
 def daily(df: DataFrame, value: str = "energy_kwh", alias: str = "kwh", date_alias: str = "d") -> DataFrame:
     """Per meter-day sum: (meter_id, d, kwh).
 

@@ -47,13 +47,17 @@ def q10_weekend_split(df: DataFrame) -> DataFrame:
         rnd(F.avg("energy_kwh"), 5).alias("avg_interval_kwh"))
 
 
-def q16_trend_7d_ma(df: DataFrame, days: int = 7) -> DataFrame:
-    """Fleet daily total with a trailing moving average over ``days`` rows.
+def q16_trend_7d_ma(df: DataFrame, days: int = 7, calendar: bool = False) -> DataFrame:
+    """Fleet daily total with a trailing moving average over ``days`` rows, or with ``calendar=True`` over the
+    days present among the last ``days`` calendar days.
 
     The window has no partition key, which is only acceptable because it runs
     on the fleet-day series (one row per calendar day), never on readings.
     """
-    w = Window.orderBy("d").rowsBetween(-(days - 1), 0)
+    if calendar:
+        w = Window.orderBy(grains.day_number("d")).rangeBetween(-(days - 1), 0)
+    else:
+        w = Window.orderBy("d").rowsBetween(-(days - 1), 0)
     return (grains.fleet_daily(df)
             .select("d", rnd("kwh", 2).alias("daily_kwh"), rnd(F.avg("kwh").over(w), 2).alias("kwh_7day_ma"))
             .orderBy("d"))
@@ -72,10 +76,15 @@ def q21_heatmap(df: DataFrame, wide: bool = False) -> DataFrame:
     return wide_df.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in range(24)]).orderBy("day_of_week")
 
 
-def q23_mom_growth(df: DataFrame) -> DataFrame:
-    """Month-over-month change against the previous month present for the meter."""
+def q23_mom_growth(df: DataFrame, calendar: bool = False) -> DataFrame:
+    """Month-over-month change against the previous month present for the meter; with ``calendar=True`` only
+    against the calendar month before."""
     w = Window.partitionBy("meter_id").orderBy("year", "month")
-    m = grains.monthly(df).withColumn("_prev", F.lag("kwh").over(w))
+    prev = F.lag("kwh").over(w)
+    if calendar:
+        number = F.col("year") * 12 + F.col("month")
+        prev = F.when(number - F.lag(number).over(w) == 1, prev)
+    m = grains.monthly(df).withColumn("_prev", prev)
     return (m.select("meter_id", "year", "month", rnd("kwh", 2).alias("kwh"),
                      rnd(safe_div(F.lit(100.0) * (F.col("kwh") - F.col("_prev")), F.col("_prev")), 1)
                      .alias("mom_growth_pct"))

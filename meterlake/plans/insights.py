@@ -15,9 +15,10 @@ from .common import top_k
 
 
 def a1_anomaly_days(df: DataFrame, window: int = 30, sigmas: float = 3.0, n: int | None = 200,
-                    min_history: int = 2) -> DataFrame:
-    """Meter-days deviating more than ``sigmas`` σ from the meter's previous ``window`` days (rows)."""
-    return anomaly_series(grains.daily(df), ["meter_id"], "d", "kwh", window, sigmas, min_history, n)
+                    min_history: int = 2, calendar: bool = False) -> DataFrame:
+    """Meter-days deviating more than ``sigmas`` σ from the meter's previous ``window`` days: rows, or with
+    ``calendar=True`` calendar days."""
+    return anomaly_series(grains.daily(df), ["meter_id"], "d", "kwh", window, sigmas, min_history, n, calendar=calendar)
 
 
 def a2_theft_indicator(df: DataFrame, min_prev_kwh: float = 5.0, drop_ratio: float = 0.4,

@@ -1,10 +1,12 @@
 """Batch jobs: raw CSV → curated table, curated table → hourly rollup."""
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import clean, enrich
-from ..operators.grains import hourly_rollup
+from ..operators.grains import daily_rollup, hourly_rollup
 from ..operators.quality import rejects
 from ..rules import RULES, Rules
 from ..sources.curated import layout, write_curated, write_table
@@ -48,7 +50,30 @@ def curate_laid_out(raw: DataFrame, rules: Rules = RULES, order: str = "filter_f
     return enrich(layout(base), rules)
 
 
-def rollup_job(spark: SparkSession, curated: DataFrame | str, output_path: str) -> None:
-    """Hourly rollup persisted as Parquet partitioned like the curated table."""
-    df = spark.read.parquet(curated) if isinstance(curated, str) else curated
-    write_table(hourly_rollup(df), output_path, partition_by=("year", "month"), sort_by=("meter_id", "hour_ts"))
+def _of_months(spark: SparkSession, table: DataFrame | str, months: Iterable[int] | None) -> DataFrame:
+    df = spark.read.parquet(table) if isinstance(table, str) else table
+    return df if months is None else df.filter((F.col("year") * 100 + F.col("month")).isin(list(months)))
+
+
+def rollup_job(spark: SparkSession, curated: DataFrame | str, output_path: str,
+               months: Iterable[int] | None = None) -> None:
+    """Hourly rollup persisted as Parquet partitioned like the curated table; with ``months``
+    (``year * 100 + month``) only those are rebuilt, and the files of others stay."""
+    write_table(hourly_rollup(_of_months(spark, curated, months)), output_path, partition_by=("year", "month"),
+                sort_by=("meter_id", "hour_ts"), dynamic=months is not None)
+
+
+def daily_rollup_job(spark: SparkSession, table: DataFrame | str, output_path: str,
+                     months: Iterable[int] | None = None) -> None:
+    """Daily rollup of the curated table or of the hourly rollup, persisted like the hourly one."""
+    write_table(daily_rollup(_of_months(spark, table, months)), output_path, partition_by=("year", "month"),
+                sort_by=("meter_id", "reading_date"), dynamic=months is not None)
+
+
+def refresh_rollups(spark: SparkSession, curated: str, hourly_path: str, daily_path: str, months: Iterable[int]) -> None:
+    """Rebuild both rollups for the months that an ingest has touched (``incremental_ingest`` reports them); the daily
+    one from the hourly one."""
+    months = sorted(months)
+    if months:
+        rollup_job(spark, curated, hourly_path, months)
+        daily_rollup_job(spark, hourly_path, daily_path, months)

@@ -18,7 +18,7 @@ from .operators import grains
 from .operators.anomaly import anomaly_series
 from .operators.regression import forecast_grouped
 from .plans import consumption as C, dashboard as D, health as H, insights as A, power_quality as P, predict as PR
-from .testdata import curated_table, rollup_table
+from .testdata import curated_table, daily_table, rollup_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,14 @@ def _on_rollup(fn, **params) -> Query:
     return run
 
 
+def _on_daily(fn, **params) -> Query:
+    """Day- and month-grain query over the daily rollup (up to 480 times fewer rows than the readings)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(daily_table(spark, sf_dir), **params)
+    run.__name__ = fn.__name__
+    return run
+
+
 def _hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup operator itself, computed from the curated table (not read back)."""
     return grains.hourly_rollup(curated_table(spark, sf_dir))
@@ -85,20 +93,24 @@ def _anomaly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
-    for fn in (C.q01_daily_kwh, C.q02_fleet_daily_avg, C.q03_monthly_kwh, C.q04_top_consumers,
+    for fn in (C.q01_daily_kwh, C.q02_fleet_daily_avg, C.q03_monthly_kwh, C.q16_trend_7d_ma, C.q23_mom_growth,
+               PR.p1_next_day, PR.p2_next_month, A.a1_anomaly_days):
+        q[fn.__name__] = _on_daily(fn)
+    for fn in (C.q16_trend_7d_ma, C.q23_mom_growth, A.a1_anomaly_days):
+        q[f"{fn.__name__}_calendar"] = _on_daily(fn, calendar=True)
+    for fn in (C.q04_top_consumers,
                C.q05_peak_hours, P.q06_voltage_bands, P.q07_current_bands, H.q08_health_summary,
                H.q09_health_trend, C.q10_weekend_split, P.q11_hourly_power, P.q12_abnormal_voltage,
-               H.q13_unhealthiest, P.q14_peak_load, P.q15_base_load, C.q16_trend_7d_ma,
+               H.q13_unhealthiest, P.q14_peak_load, P.q15_base_load,
                P.q17_voltage_trend, H.q18_overvoltage, P.q20_freq_stability, C.q21_heatmap,
-               P.q22_high_load, C.q23_mom_growth, H.q24_kpis, H.q25_dominant_status,
+               P.q22_high_load, H.q24_kpis, H.q25_dominant_status,
                P.q26_load_factor, P.q27_sag_swell, C.q28_completeness):
         q[fn.__name__] = _on_curated(fn)
     q["q19_dead_meters"] = _on_curated(H.q19_dead_meters, min_readings=0)
-    for fn in (PR.p1_next_day, PR.p2_next_month, PR.p3_load_profile, PR.p4_seasonal_index,
-               A.a1_anomaly_days, A.a4_segments, A.a5_voltage_quality, A.a6_peak_contributors,
+    for fn in (PR.p3_load_profile, PR.p4_seasonal_index, A.a4_segments, A.a5_voltage_quality, A.a6_peak_contributors,
                A.outage_spells):
         q[fn.__name__] = _on_curated(fn)
-    q["a2_theft_indicator"] = _on_curated(A.a2_theft_indicator, min_prev_kwh=0.005)
+    q["a2_theft_indicator"] = _on_daily(A.a2_theft_indicator, min_prev_kwh=0.005)
     q["a3_outage_hours"] = _on_curated(A.a3_outage_hours, min_readings=2)
     q["hourly_rollup"] = _hourly_rollup
     q["worst_status"] = _worst_status

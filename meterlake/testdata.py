@@ -43,6 +43,17 @@ def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_WRITTEN[key]).select(*CURATED_COLUMNS)
 
 
+def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rollup, written once per application from the hourly one."""
+    from .plans.jobs import daily_rollup_job
+    key = _key(spark, sf_dir, "daily")
+    if key not in _WRITTEN:
+        path = shared_dir(spark, "daily-standin")
+        daily_rollup_job(spark, rollup_table(spark, sf_dir), path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
 def rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.jobs import rollup_job
     key = _key(spark, sf_dir, "rollup")

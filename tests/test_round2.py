@@ -198,3 +198,32 @@ def test_curation_job_writes_the_rejects(spark, tmp_dir):
     m = {}
     curation_job(spark, f"{tmp_dir}/raw", f"{tmp_dir}/cur", metrics=m, rejects_path=f"{tmp_dir}/rejects")
     assert spark.read.parquet(f"{tmp_dir}/rejects").agg(F.sum("copies")).first()[0] == m["rejected"]
+
+
+def test_rollups_are_refreshed_by_touched_month(spark, tmp_dir):
+    import os
+    from meterlake.plans.jobs import daily_rollup_job, refresh_rollups, rollup_job
+    cur = curated_standin(spark, SF_SMALL).filter("year = 1996")
+    paths = [f"{tmp_dir}/{n}" for n in ("cur", "hourly", "daily")]
+    write_curated(cur, paths[0])
+    rollup_job(spark, paths[0], paths[1])
+    daily_rollup_job(spark, paths[1], paths[2])
+    files = lambda p, m: sorted(f for f in os.listdir(f"{p}/year=1996/month={m}") if f.endswith(".parquet"))
+    before = {(p, m): files(p, m) for p in paths[1:] for m in (2, 3)}
+    write_curated(cur.filter("month = 3").withColumn("energy_kwh", F.col("energy_kwh") * 2), paths[0], dynamic=True)
+    refresh_rollups(spark, *paths, months=[199603])
+    for p in paths[1:]:
+        assert files(p, 2) == before[p, 2] and files(p, 3) != before[p, 3]
+    sums = [{r[0]: r[1] for r in spark.read.parquet(p).groupBy("month").agg(F.sum("energy_kwh")).collect()} for p in paths]
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) == 12
+
+
+def test_calendar_frames_skip_no_days(spark):
+    from meterlake.plans import consumption
+    rows = [("BR01", dt.date(2020, 1, 1), 1.0), ("BR01", dt.date(2020, 1, 7), 3.0), ("BR01", dt.date(2020, 1, 9), 5.0), ("BR01", dt.date(2020, 3, 1), 8.0)]
+    daily = (spark.createDataFrame(rows, "meter_id string, reading_date date, energy_kwh double")
+             .withColumn("year", F.year("reading_date")).withColumn("month", F.month("reading_date")).withColumn("readings", F.lit(1)))
+    assert [r.kwh_7day_ma for r in consumption.q16_trend_7d_ma(daily, calendar=True).collect()] == [1.0, 2.0, 4.0, 8.0]
+    assert [r.kwh_7day_ma for r in consumption.q16_trend_7d_ma(daily).collect()] == [1.0, 2.0, 3.0, 4.25]
+    assert [r.mom_growth_pct for r in consumption.q23_mom_growth(daily, calendar=True).collect()] == [None, None]
+    assert [r.mom_growth_pct for r in consumption.q23_mom_growth(daily).collect()] == [None, -11.1]
