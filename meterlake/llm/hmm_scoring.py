@@ -37,6 +37,7 @@ STATES = 8
 ROUNDS = 8
 BLOCK = 256
 LANES = 512
+LONG = 1 << 15  # symbols; the matrices of chunks cost more steps of work than a sequence's own steps
 CHUNK = 2048
 SMOOTHING = 0.1
 EMISSION_PRIOR = 20.0
@@ -259,11 +260,11 @@ def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray) -> np.ndarra
     """log10 probability of each sequence, by the scaled forward recursion over its whole length."""
     lengths = np.diff(at)
     out = np.zeros(len(lengths))
-    short = np.flatnonzero((lengths > 0) & (lengths <= 2 * CHUNK))
+    short = np.flatnonzero((lengths > 0) & (lengths <= LONG))
     short = short[np.argsort(-lengths[short], kind="stable")]
     if len(short):
         out[short] = _in_lanes(model, flat, at[short], lengths[short])
-    for i in np.flatnonzero(lengths > 2 * CHUNK):
+    for i in np.flatnonzero(lengths > LONG):
         out[i] = _in_chunks(model, flat[at[i]:at[i + 1]])
     return out
 

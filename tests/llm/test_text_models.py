@@ -148,6 +148,7 @@ def test_likelihood_equals_all_paths_and_chunks_equal_steps(monkeypatch):
     long = np.random.default_rng(3).integers(0, 5, 3_001)
     whole = hmm_scoring.log_likelihoods(model, long, np.array([0, len(long)]))
     monkeypatch.setattr(hmm_scoring, "CHUNK", 7)
+    monkeypatch.setattr(hmm_scoring, "LONG", 14)
     assert hmm_scoring.log_likelihoods(model, long, np.array([0, len(long)])) == pytest.approx(whole)
 
 
