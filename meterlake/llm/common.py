@@ -13,11 +13,17 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+ARROW_ROWS = 1000
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers, once for each application, as ``--py-files`` does."""
+    """Give the package to the executors' Python workers, once for each application, as ``--py-files`` does.
+
+    Whole texts travel in Arrow batches: unless the session has its own setting, they hold ``ARROW_ROWS`` rows
+    instead of Spark's 10,000, so that a batch of long texts stays small on both sides."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

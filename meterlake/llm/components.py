@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large and small stars."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -14,13 +14,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     its smaller neighbours and itself; a few rounds of both leave each node linked to its component.
     Minima are aggregated before they are joined back, so a node with very many links is never gathered,
     and each round is written to the shared folder."""
-    links = stored(_directed(edges), "links")
+    links, state = _written(_directed(edges))
     while True:
-        large = _star(links, larger=True)
-        nearer = stored(_star(large, larger=False), "links")
-        if _state(nearer) == _state(links):
+        nearer, new_state = _written(_star(_star(links, larger=True), larger=False))
+        if new_state == state:
             break
-        links = nearer
+        links, state = nearer, new_state
     roots = links.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
@@ -44,6 +43,9 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return _directed(moved)
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links in the shared folder, and their number and digest, observed while they are written."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    links = stored(links.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "links")
+    return links, (seen.get["n"], seen.get["digest"])

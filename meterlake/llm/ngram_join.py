@@ -13,13 +13,18 @@ most the prefix's total frequency / l, since each must be met l times.
 2. A second scan indexes the prefix of each class. Shingles with a single class go at once.
 3. In each shingle's bucket every class is paired with one centre, the class with most copies, and those
    pairs are verified, which joins most of a large group of near copies without pairing its members.
-4. Pairs of a bucket whose classes are still in different components, fit in size and in position, and
-   that meet in as many buckets as asked, are verified; no such pair is left out.
-
-Verification first compares signatures, a bit for the parity of the shingles in each of about n ranges of
-hashes: where two differ, the sets differ, so pairs whose signatures differ in more places than sets of the
-asked similarity can are dropped. It then intersects the whole sets, which a scan computes for the documents
-that are left only. Sets and shingles are known by 64-bit hashes: of a set its bytes' BLAKE2, of words and shingles those of
+4. Then the pairs of a bucket whose classes are still in different components and fit in size. Buckets of up
+   to ``LARGE`` such classes are joined, and pairs must fit in position and meet in as many buckets as asked.
+   Larger buckets are taken together by their centre, and what is outside of the centre's component is
+   compared with everything else in blocks of about ``SIDE`` by ``SIDE`` classes, by signatures inside a task:
+   no pairs of a group are written out but those that can be similar.
+5. Of these pairs each class first verifies its ``FIRST`` most alike ones; when those have been linked, all
+   pairs whose classes are still in different components are verified. No such pair is left out.
+
+A signature has a bit for the parity of the shingles in each of about n ranges of hashes: where two differ,
+the sets differ, so pairs whose signatures differ in more places than sets of the asked similarity can are
+dropped. Verification then intersects the whole sets, which a scan computes for the documents that are left
+only. Sets and shingles are known by 64-bit hashes: of a set its bytes' BLAKE2, of words and shingles those of
 ``textarrays``.
 
 Cases: a document with fewer than five words has its whole sequence as one shingle; one without words, or
@@ -49,6 +54,9 @@ HOT = 100_000
 LOCAL_COUNT = 3
 COPIED = 50_000
 MAX_MATCHES = 8
+LARGE = 64
+SIDE = 256
+FIRST = 3
 FILTER_BITS = 24
 
 
@@ -87,7 +95,7 @@ def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 class _Counter:
     """Frequencies within a task: shingles are sorted out in blocks and only those that a block repeats stay."""
 
-    def __init__(self, block: int = 1 << 21):
+    def __init__(self, block: int = 1 << 20):
         self.block, self.parts, self.size = block, [], 0
 
     def add(self, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -227,33 +235,111 @@ def centre_pairs(index: DataFrame) -> DataFrame:
             .filter("met >= asked").select("a", "b"))
 
 
-def cross_pairs(index: DataFrame, components: DataFrame, tried: DataFrame) -> DataFrame:
-    """``a, b``: all pairs of classes of different components that share as many indexed shingles as asked,
-    and that can still reach the similarity, given their sizes and where in their orders they first meet;
-    without those in ``tried``."""
+def open_buckets(index: DataFrame, components: DataFrame) -> DataFrame:
+    """The index entries of buckets that still hold classes of different components, with ``component`` and the
+    bucket's size ``open``."""
     named = components.select(F.col("node").alias("class"), "component")
-    rows = (index.drop("members", "centre").join(named, "class", "left")
-            .withColumn("component", F.coalesce("component", "class")))
+    rows = index.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
     bucket = W.partitionBy("shingle")
     rows = (rows.withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
-            .filter("low <> high").select("shingle", "class", "n", "place", "matches", "component"))
-    rows = stored(rows, "open-buckets")
-    a, b = (rows.select("shingle", *(F.col(c).alias(c + side) for c in ("class", "n", "place", "matches", "component")))
+            .filter("low <> high"))
+    return rows.select("shingle", "class", "n", "place", "matches", "component", F.col("centre.class").alias("centre"),
+                       F.col("members").alias("open"))
+
+
+def small_bucket_pairs(rows: DataFrame) -> DataFrame:
+    """``a, b``: pairs of different components that share as many indexed shingles as asked in small buckets, and that can
+    still reach the similarity, given their sizes and where in their orders they meet.
+
+    A pair that also meets in a large bucket is found there, whatever it meets here."""
+    a, b = (rows.filter(F.col("open") <= LARGE).select("shingle", *(F.col(c).alias(c + side) for c in ("class", "n", "place", "matches", "component")))
             for side in ("_a", "_b"))
     # at most what precedes in both orders, and the rest of the shorter tail, can be shared
     reach = F.least("place_a", "place_b") + F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
-    enough = F.expr(f"{NUMERATOR} * (n_a + n_b)")
-    total = NUMERATOR + DENOMINATOR
     met = (a.join(b, "shingle")
-           .filter(F.expr("class_a < class_b AND component_a <> component_b") & _near_in_size("n_a", "n_b") & (reach * total >= enough))
+           .filter(F.expr("class_a < class_b AND component_a <> component_b") & _near_in_size("n_a", "n_b")
+                   & (reach * (NUMERATOR + DENOMINATOR) >= F.expr(f"{NUMERATOR} * (n_a + n_b)")))
            .groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-           .agg(F.count("*").alias("met"), F.min("place_a").alias("place_a"), F.min("place_b").alias("place_b"),
-                F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"),
-                F.first(F.least("matches_a", "matches_b")).alias("asked")))
-    fit = met.filter("met >= asked").filter(
-        F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b")) * total >= enough).select("a", "b")
+           .agg(F.count("*").alias("met"), F.first(F.least("matches_a", "matches_b")).alias("asked")))
+    return met.filter("met >= asked").select("a", "b")
+
+
+def large_bucket_pairs(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """``a, b``: pairs of different components in the large buckets of one centre that fit in size and whose signatures
+    allow the similarity."""
+    groups = (rows.filter(F.col("open") > LARGE).groupBy("centre", "class")
+              .agg(F.max("n").alias("n"), F.max("component").alias("component")))
+    homes = rows.filter("class = centre").select("centre", F.col("component").alias("home")).distinct()
+    groups = groups.join(homes, "centre", "left").withColumn("outside", ~F.col("component").eqNullSafe(F.col("home"))).drop("home")
+    counts = groups.groupBy("centre").agg(*(F.ceil(F.count_if(side) / SIDE).cast("int").alias(name) for name, side in
+                                            (("blocks_out", F.col("outside")), ("blocks_in", ~F.col("outside")))))
+    known = documents.filter("signature IS NOT NULL").select("class", "signature").dropDuplicates(["class"])
+    rows = groups.join(counts, "centre").join(known, "class").withColumn(
+        "block", F.pmod(F.xxhash64("class", F.lit(7)), F.when(F.col("outside"), F.col("blocks_out")).otherwise(F.col("blocks_in"))).cast("int"))
+    # an outside class meets all blocks: those inside, and those outside once for each pair of blocks
+    many = F.greatest(F.col("blocks_out"), F.lit(1))
+    inner = F.when(F.col("blocks_in") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("blocks_in"), F.lit(1)) - 1),
+                                                       lambda j: F.struct(F.col("block").alias("i"), (-j - 1).alias("j"))))
+    outer = F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    inside = F.when(F.col("blocks_out") > 0, F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.struct(i.alias("i"), (-F.col("block") - 1).alias("j"))))
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    cells = F.when(F.col("outside"), F.concat(outer, F.coalesce(inner, none))).otherwise(F.coalesce(inside, none))
+    return (rows.withColumn("cell", F.explode(cells)).select("centre", "cell.i", "cell.j", "class", "n", "component", "outside", "block", "signature")
+            .groupBy("centre", "i", "j").applyInArrow(_block_pairs, "a bigint, b bigint"))
+
+
+def _block_pairs(cell: pa.Table) -> pa.Table:
+    """The pairs of one cell that fit in size, in signature, and are of different components: of a block outside with
+    itself, with another block outside, or (j below 0) with a block inside."""
+    i, j = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
+    own = cell.column("class").to_numpy()
+    n, component, outside, block = (cell.column(c).to_numpy() for c in ("n", "component", "outside", "block"))
+    bits = [np.frombuffer(s, np.uint8) for s in cell.column("signature").to_pylist()]
+    sizes = np.array([len(b) for b in bits])
+    stacks = {}  # of all signatures of a size, folded to a smaller one where asked
+
+    def folded(size: int, to: int) -> np.ndarray:
+        if (size, to) not in stacks:
+            whole = np.stack([np.unpackbits(bits[r]) for r in np.flatnonzero(sizes == size)])
+            stacks[size, to] = np.packbits(np.bitwise_xor.reduce(whole.reshape(len(whole), 8 * to, -1), axis=2), axis=1)
+        return stacks[size, to]
+
+    place = np.zeros(len(own), dtype=np.int64)
+    for size in np.unique(sizes):
+        place[sizes == size] = np.arange((sizes == size).sum())
+    a, b = [], []
+    for r in np.flatnonzero(outside & (block == i)):
+        other_side = ~outside if j < 0 else outside & (block == j)
+        for size in np.unique(sizes):
+            others = np.flatnonzero(sizes == size)
+            to = min(size, sizes[r])
+            difference = np.bitwise_count(folded(size, to) ^ folded(sizes[r], to)[place[r]]).sum(axis=1)
+            fit = ((component[others] != component[r]) & (DENOMINATOR * np.minimum(n[others], n[r]) >= NUMERATOR * np.maximum(n[others], n[r]))
+                   & ((NUMERATOR + DENOMINATOR) * difference <= (DENOMINATOR - NUMERATOR) * (n[others] + n[r])))
+            hits = others[fit & other_side[others]]
+            a.extend(np.minimum(own[hits], own[r]).tolist())
+            b.extend(np.maximum(own[hits], own[r]).tolist())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def without(pairs: DataFrame, tried: DataFrame) -> DataFrame:
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return fit.join(done, ["a", "b"], "left_anti")
+    return pairs.distinct().join(done, ["a", "b"], "left_anti")
+
+
+def first_tries(pairs: DataFrame) -> DataFrame:
+    """Of ``a, b, difference``, the most alike ones of either class."""
+    both = pairs.select("a", "b", "difference", F.explode(F.array("a", "b")).alias("class"))
+    rank = F.row_number().over(W.partitionBy("class").orderBy("difference", "a", "b"))
+    return both.withColumn("rank", rank).filter(F.col("rank") <= FIRST).select("a", "b").distinct()
+
+
+def still_apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components."""
+    of = components.select("node", "component")
+    a, b = (of.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")) for side in "ab")
+    return (pairs.join(a, "a", "left").join(b, "b", "left")
+            .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
 
 
 def _bitmap(ids: DataFrame) -> bytes:
@@ -293,24 +379,25 @@ def class_sets(docs: DataFrame, documents: DataFrame, classes: DataFrame, id_col
 
 
 def alike(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose signatures allow the similarity."""
+    """``a, b, difference`` of the pairs whose signatures allow the similarity."""
     known = (documents.filter("signature IS NOT NULL").select("class", "n_shingles", "signature").dropDuplicates(["class"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [(NUMERATOR + DENOMINATOR) * signature_difference(x, y) <= (DENOMINATOR - NUMERATOR) * n
-                    for n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]))]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            n, x, y = (c.to_pylist() for c in batch.columns[2:])
+            difference = [signature_difference(*xy) for xy in zip(x, y)]
+            keep = [(NUMERATOR + DENOMINATOR) * d <= (DENOMINATOR - NUMERATOR) * m for d, m in zip(difference, n)]
+            out = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(difference, pa.int64())], names=["a", "b", "difference"])
+            yield out.filter(pa.array(keep, pa.bool_()))
 
     a, b = (known.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"sign_{side}"))
             for side in "ab")
     return (pairs.join(a, "a").join(b, "b").select("a", "b", F.expr("n_a + n_b"), "sign_a", "sign_b")
-            .mapInArrow(run, "a bigint, b bigint"))
+            .mapInArrow(run, "a bigint, b bigint, difference bigint"))
 
 
 def linked(docs: DataFrame, documents: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs ``a, b`` whose whole sets reach the similarity."""
-    pairs = stored(alike(documents, pairs), "alike-pairs")
     classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = stored(class_sets(docs, documents, classes, id_col, text_col), "class-sets")
 
@@ -335,9 +422,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     order = shingle_order(documents, frequent)
     index = stored(prefix_index(docs, order, id_col, text_col), "prefix-index")
     tried = stored(centre_pairs(index), "centre-pairs")
-    edges = stored(linked(docs, documents, tried, id_col, text_col), "links")
-    rest = stored(cross_pairs(index, connected_components(edges), tried), "cross-pairs")
-    edges = stored(edges.unionByName(linked(docs, documents, rest, id_col, text_col)), "links")
+    links_of = lambda pairs: linked(docs, documents, pairs, id_col, text_col)
+    edges = stored(links_of(stored(alike(documents, tried).select("a", "b"), "alike-pairs")), "links")
+    rows = stored(open_buckets(index, connected_components(edges)), "open-buckets")
+    pairs = without(small_bucket_pairs(rows).unionByName(large_bucket_pairs(rows, documents)), tried)
+    pairs = stored(alike(documents, pairs), "alike-pairs")
+    first = stored(first_tries(pairs), "first-tries")
+    edges = stored(edges.unionByName(links_of(first)), "links")
+    rest = stored(still_apart(without(pairs.select("a", "b"), first), connected_components(edges)), "last-pairs")
+    edges = stored(edges.unionByName(links_of(rest)), "links")
     components = connected_components(edges)
     links = edges.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
     classes = (documents.filter("class IS NOT NULL").groupBy("class").agg(F.min(id_col).alias("least"))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _U = np.uint64
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 2**64, 256, dtype=np.uint64, endpoint=False)

@@ -65,7 +65,10 @@ def test_join_equals_all_pairs(spark):
     assert got == components({r.doc_id: r.text for r in docs.collect()})
 
 
-def test_join_of_a_large_group_of_near_copies_and_a_shared_passage(spark):
+@pytest.mark.parametrize("large, side, first", [(64, 256, 3), (5, 16, 1), (100_000, 256, 3)])
+def test_join_of_a_large_group_of_near_copies_and_a_shared_passage(spark, monkeypatch, large, side, first):
+    for name, value in (("LARGE", large), ("SIDE", side), ("FIRST", first)):
+        monkeypatch.setattr(ngram_join, name, value)
     import random
     r = random.Random(4)
     base, passage = prose(2, 160).split(), prose(3, 60)
