@@ -19,7 +19,11 @@ most the prefix's total frequency / l, since each must be met l times.
    compared with everything else in blocks of about ``SIDE`` by ``SIDE`` classes, by signatures inside a task:
    no pairs of a group are written out but those that can be similar.
 5. Of these pairs each class first verifies its ``FIRST`` most alike ones; when those have been linked, all
-   pairs whose classes are still in different components are verified. No such pair is left out.
+   pairs whose classes are still in different components are verified. No such pair is left out, so these
+   components are those of all links.
+6. Every link lies inside a component. In components of three classes and more the whole sets of all pairs are
+   compared, in cells of two blocks of at most ``CELL`` classes; cells give the number of links of each class, or
+   the pairs themselves where they are asked for.
 
 A signature has a bit for the parity of the shingles in each of about n ranges of hashes: where two differ,
 the sets differ, so pairs whose signatures differ in more places than sets of the asked similarity can are
@@ -56,6 +60,9 @@ COPIED = 50_000
 MAX_MATCHES = 8
 LARGE = 64
 SIDE = 256
+CELL = 1024
+CELL_SHINGLES = 1 << 20
+COLUMNS = 2048
 FIRST = 3
 FILTER_BITS = 24
 
@@ -396,10 +403,11 @@ def alike(documents: DataFrame, pairs: DataFrame) -> DataFrame:
             .mapInArrow(run, "a bigint, b bigint, difference bigint"))
 
 
-def linked(docs: DataFrame, documents: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets reach the similarity."""
+def linked(docs: DataFrame, documents: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs ``a, b`` whose whole sets reach the similarity, and ``class, shingles, n``: the sets that were compared."""
     classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = stored(class_sets(docs, documents, classes, id_col, text_col), "class-sets")
+    sets = class_sets(docs, documents, classes, id_col, text_col).withColumn("n", F.expr("octet_length(shingles) div 8"))
+    sets = stored(sets, "class-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,29 +420,113 @@ def linked(docs: DataFrame, documents: DataFrame, pairs: DataFrame, id_col: str,
 
     a, b = (sets.select(F.col("class").alias(side), F.col("shingles").alias(f"set_{side}")) for side in "ab")
     return (pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-            .mapInArrow(run, "a bigint, b bigint"))
-
-
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id, links`` for every row: the smallest id of its component, and how many verified
-    links its class takes part in (links within a component that had been joined already are not sought)."""
+            .mapInArrow(run, "a bigint, b bigint")), sets
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets share, above the diagonal: frequent values by a matrix product, the others
+    pair by pair."""
+    rows = len(sets)
+    out = np.zeros((rows, rows), dtype=np.int64)
+    owner = np.repeat(np.arange(rows), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    frequent = count > max(8, rows // 16)
+    often = np.flatnonzero(frequent)
+    place = np.full(len(count), -1)
+    for first in range(0, len(often), COLUMNS):
+        part = often[first:first + COLUMNS]
+        place[part] = np.arange(len(part))
+        hit = np.flatnonzero(place[column] >= 0)
+        has = np.zeros((rows, len(part)), dtype=np.float32)
+        has[owner[hit], place[column[hit]]] = 1
+        out += (has @ has.T).astype(np.int64)  # a product's whole numbers stay below 2 ** 24
+        place[part] = -1
+    rest = np.flatnonzero((count > 1)[column] & ~frequent[column])
+    rest = rest[np.argsort(column[rest], kind="stable")]
+    column, owner = column[rest], owner[rest]
+    for ahead in range(1, len(column)):
+        same = column[ahead:] == column[:-ahead]
+        if not same.any():
+            break
+        np.add.at(out, (owner[:-ahead][same], owner[ahead:][same]), 1)
+    return np.triu(out, 1)
+
+
+def _cell_pairs(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The classes of a cell, and the places of those two that link: of a block with itself, or of two blocks."""
+    i, j = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
+    sets = {c: (b, s) for c, b, s in zip(*(cell.column(x).to_pylist() for x in ("class", "block", "shingles")))}
+    block = np.array([b for b, _ in sets.values()])
+    values = [np.frombuffer(s, np.uint64) for _, s in sets.values()]
+    n = np.array([len(v) for v in values])
+    shared = shared_counts(values)
+    links = (shared > 0) & (DENOMINATOR * shared >= NUMERATOR * (n[:, None] + n - shared))
+    if i != j:
+        links &= block[:, None] != block
+    return np.array(list(sets), dtype=np.int64), *np.nonzero(links)
+
+
+def _cell_links(cell: pa.Table) -> pa.Table:
+    own, a, b = _cell_pairs(cell)
+    return pa.table({"class": own, "links": np.bincount(np.concatenate([a, b]), minlength=len(own)).astype(np.int64)})
+
+
+def _cell_list(cell: pa.Table) -> pa.Table:
+    own, a, b = _cell_pairs(cell)
+    return pa.table({"a": np.minimum(own[a], own[b]), "b": np.maximum(own[a], own[b])})
+
+
+def cells(components: DataFrame, sets: DataFrame):
+    """The sets of all classes in components of three and more, grouped so that each two of a component meet in one
+    cell. A class may have several rows in ``sets``."""
+    sizes = (components.join(sets.select("class", "n").distinct(), F.col("node") == F.col("class")).groupBy("component")
+             .agg(F.count("*").alias("classes"), F.sum("n").alias("shingles")).filter("classes > 2")
+             .select("component", F.greatest(F.ceil(F.col("classes") / CELL), F.ceil(F.col("shingles") / CELL_SHINGLES)).cast("int").alias("blocks")))
+    members = (components.join(sizes, "component").select(F.col("node").alias("class"), "component", "blocks")
+               .withColumn("block", F.pmod(F.xxhash64("class", F.lit(7)), "blocks").cast("int")))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                      lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    return (sets.join(members, "class").withColumn("cell", F.explode(met))
+            .select("component", "cell.i", "cell.j", "class", "block", "shingles").groupBy("component", "i", "j"))
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The described documents, ``node, component`` of all classes with links, links that join each component, and the
+    sets of these classes."""
     documents, frequent = described(docs, id_col, text_col)
     order = shingle_order(documents, frequent)
     index = stored(prefix_index(docs, order, id_col, text_col), "prefix-index")
     tried = stored(centre_pairs(index), "centre-pairs")
     links_of = lambda pairs: linked(docs, documents, pairs, id_col, text_col)
-    edges = stored(links_of(stored(alike(documents, tried).select("a", "b"), "alike-pairs")), "links")
+    found, sets = links_of(stored(alike(documents, tried).select("a", "b"), "alike-pairs"))
+    edges = stored(found, "links")
     rows = stored(open_buckets(index, connected_components(edges)), "open-buckets")
     pairs = without(small_bucket_pairs(rows).unionByName(large_bucket_pairs(rows, documents)), tried)
     pairs = stored(alike(documents, pairs), "alike-pairs")
     first = stored(first_tries(pairs), "first-tries")
-    edges = stored(edges.unionByName(links_of(first)), "links")
+    found, more = links_of(first)
+    edges, sets = stored(edges.unionByName(found), "links"), sets.unionByName(more)
     rest = stored(still_apart(without(pairs.select("a", "b"), first), connected_components(edges)), "last-pairs")
-    edges = stored(edges.unionByName(links_of(rest)), "links")
-    components = connected_components(edges)
-    links = edges.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    found, more = links_of(rest)
+    edges, sets = stored(edges.unionByName(found), "links"), sets.unionByName(more)
+    return documents, connected_components(edges), edges, sets
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_shingles, component_id, links`` for every row: the smallest id of its component, and how many other
+    classes its class links to."""
+    documents, components, edges, sets = _joined(docs, id_col, text_col)
+    in_cells = (cells(components, sets).applyInArrow(_cell_links, "class bigint, links bigint")
+                .groupBy("class").agg(F.sum("links").alias("many")))
+    links = (edges.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+             .join(in_cells, "class", "left").select("class", F.coalesce("many", "links").alias("links")))
+    return _named(documents, components.join(links, F.col("node") == F.col("class")).drop("class"), id_col)
+
+
+def _named(documents: DataFrame, components: DataFrame, id_col: str) -> DataFrame:
+    """``id, n_shingles, component_id, links`` of every document; ``components`` has a column ``links`` too."""
     classes = (documents.filter("class IS NOT NULL").groupBy("class").agg(F.min(id_col).alias("least"))
-               .join(components.withColumnRenamed("node", "class"), "class", "left").join(links, "class", "left")
+               .join(components.withColumnRenamed("node", "class"), "class", "left")
                .withColumn("component", F.coalesce("component", "class")))
     roots = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(roots, "component").select("class", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
@@ -443,11 +535,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     F.coalesce("links", F.lit(0)).alias("links")))
 
 
+def class_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``a, b, id_a, id_b``: every link between two classes once, with the smallest id of either. A group of k classes has
+    up to k (k - 1) / 2 of them."""
+    documents, components, edges, sets = _joined(docs, id_col, text_col)
+    pair = components.groupBy("component").agg(F.count("*").alias("classes")).filter("classes = 2")
+    pair = components.join(pair, "component").select(F.col("node").alias("a"))
+    links = (edges.join(pair, "a", "left_semi").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+             .unionByName(cells(components, sets).applyInArrow(_cell_list, "a bigint, b bigint")))
+    least = documents.filter("class IS NOT NULL").groupBy("class").agg(F.min(id_col).alias("id"))
+    a, b = (least.select(F.col("class").alias(side), F.col("id").alias(f"id_{side}")) for side in "ab")
+    return links.join(a, "a").join(b, "b").select("a", "b", "id_a", "id_b")
+
+
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with all their columns, less those that have one of smaller id in their component. Rows with one
     id stay or go together, and equal rows among them are one. Only documents that a filter of the ids concerned
     passes are shuffled."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    documents, components, _, _ = _joined(docs, id_col, text_col)
+    found = _named(documents, components.withColumn("links", F.lit(None).cast("bigint")), id_col)  # links are not counted here
     ids = found.groupBy(id_col).agg(F.max("component_id").alias("component_id"), F.count("*").alias("n"))
     gone = ~F.col("component_id").eqNullSafe(F.col(id_col))
     concerned = stored(ids.filter(gone | (F.col("n") > 1)).select(F.col(id_col).alias("_id"), gone.alias("_gone")), "concerned-ids")

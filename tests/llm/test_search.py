@@ -85,6 +85,55 @@ def test_join_of_a_large_group_of_near_copies_and_a_shared_passage(spark, monkey
     assert got == components(texts)
 
 
+def _links(texts):
+    """Pairs of different sets of Jaccard 0.75 or more, each as the smallest keys of either."""
+    least = {}
+    for k in sorted(texts):
+        least.setdefault(frozenset(shingles(texts[k])), k)
+    sets = [s for s in least if s]
+    return {tuple(sorted((least[a], least[b]))) for i, a in enumerate(sets) for b in sets[i + 1:]
+            if 4 * len(a & b) >= 3 * len(a | b)}, {k: least[frozenset(shingles(t))] for k, t in texts.items()}
+
+
+@pytest.mark.parametrize("cell, columns", [(1024, 2048), (11, 7)])
+def test_every_link_inside_a_component_counts(spark, monkeypatch, cell, columns):
+    import random
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    monkeypatch.setattr(ngram_join, "COLUMNS", columns)
+    r = random.Random(6)
+    texts = {}
+    for group, size in enumerate((2, 3, 4, 90)):  # the last: some pairs of one component link and some do not
+        base = prose(20 + group, 160).split()
+        for k in range(size):
+            w = list(base)
+            for _ in range(1 + k % 9 if size == 90 else 1):
+                w[r.randrange(len(w))] = f"y{group}{k}"
+            texts[1000 * group + k] = " ".join(w)
+    texts[5000], texts[5001] = texts[1000], texts[3000].upper()  # one class with another document
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()], DOC_SCHEMA).repartition(4)
+    want, least = _links(texts)
+    count = {k: sum(least[k] in pair for pair in want) for k in texts}
+    assert {r.doc_id: r.links for r in ngram_join.near_duplicates(docs).collect()} == count
+    assert max(count.values()) > 20 and count[1000] == 2 and len(want) < 90 * 89 / 2
+    listed = [tuple(sorted((r.id_a, r.id_b))) for r in ngram_join.class_links(docs).collect()]
+    assert len(listed) == len(set(listed)) and set(listed) == want
+
+
+def test_links_equal_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want, least = _links({r.doc_id: r.text for r in docs.collect()})
+    got = {r.doc_id: r.links for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == {k: sum(least[k] in pair for pair in want) for k in got}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=20), min_size=1, max_size=40))
+def test_shared_counts(sets):
+    import numpy as np
+    got = ngram_join.shared_counts([np.array(sorted(s), dtype=np.uint64) for s in sets])
+    assert all(got[i, j] == (len(a & b) if i < j else 0) for i, a in enumerate(sets) for j, b in enumerate(sets))
+
+
 def test_join_of_awkward_tables(spark, awkward, empty):
     rows = ngram_join.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
