@@ -1,14 +1,15 @@
 """Language-model scoring with a hidden Markov model.
 
-A text's tokens are its words (``A-Z`` lower-cased) and one end. The ``FREQUENT`` most frequent tokens are
-symbols of their own; all others belong to one of ``CLASSES`` classes by length and last byte, and are drawn
-from their class by add-0.1 frequencies. So the model's vocabulary is bounded while every token of the corpus
-counts: latent states emit symbols, and the likelihood of a text is that of its symbols times that of each
-rare token in its class. Rare tokens meet their counts in a shuffle join.
-
-Baum-Welch: each partition sums up the expected counts of its training sequences by the scaled
-forward-backward recursion, Spark adds them up by symbol, and the driver turns the bounded totals into the
-next model. For training only, a sequence is cut into blocks of ``BLOCK`` symbols, each with a start of its
+A text's tokens are its words (``A-Z`` lower-cased) and one end. Every token of the training texts has an emission
+probability in each state. The ``FREQUENT`` most frequent tokens are symbols and held by every task. Each other one
+belongs to one of ``CLASSES`` classes by length and last byte, which are symbols too: a state emits the class, and
+in it the token by its own expected count in that state, with ``SMOOTHING`` shared out to the states and as much for
+what training never saw. The counts of these rare tokens are a table by token. It is joined in each round to the
+tokens of each group of about ``GROUP`` tokens of text, and grows with the corpus; what tasks hold does not.
+
+Baum-Welch: each group sums up the expected counts of its training sequences by the scaled forward-backward
+recursion, Spark adds them up by symbol and by rare token, and the driver turns the bounded totals of the symbols
+into the next model. For training only, a sequence is cut into blocks of ``BLOCK`` symbols, each with a start of its
 own; scoring runs the scaled forward recursion over whole texts, and is exact. Long texts are scored in
 chunks whose transfer matrices are multiplied, which is the same recursion with bounded steps.
 
@@ -18,6 +19,7 @@ by id); an empty table gives an empty result; other input columns are not read.
 """
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path
 from . import textarrays as ta
-from .common import crc_mod, read_table, stored, text_batches
+from .common import crc_mod, read_table, shared_dir, stored, text_batches
 
 FREQUENT = 65_000
 CLASSES = 128
@@ -42,6 +45,7 @@ CHUNK = 2048
 SMOOTHING = 0.1
 EMISSION_PRIOR = 20.0
 COUNT_BLOCK = 1 << 22
+GROUP = 1 << 21
 END = ta.word_hash(b" ")  # no word holds a blank
 _U = np.uint64
 
@@ -133,17 +137,17 @@ def vocabulary(counts: DataFrame, frequent: int) -> Vocabulary:
     return Vocabulary(tokens, n, total, distinct, rest[0].astype(np.float64), rest[1].astype(np.float64))
 
 
-SEQUENCES = ("row bigint, held_out boolean, n_tokens bigint, symbols binary, known bigint, base double, rare binary, rare_class binary")
+SEQUENCES = ("part bigint, held_out boolean, n_tokens bigint, symbols binary, known bigint, base double, rare binary, rare_class binary")
 
 
 def sequences(docs: DataFrame, words: Vocabulary, id_col: str) -> DataFrame:
-    """A row for each text: its symbols as unsigned 16-bit integers, what its frequent tokens give to the base score,
-    and its rare tokens with their classes."""
+    """A row for each text: its group, its symbols as unsigned 16-bit integers (at most 65,535 by ``vocabulary``), what its
+    frequent tokens give to the base score, and its rare tokens with their classes."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, row = shared.value, TaskContext.get().partitionId() << 36
+        known, part, held = shared.value, TaskContext.get().partitionId() << 36, 0
         base = known.log_base(known.counts)
         for batch in text_batches(batches):
             columns: list[list] = [[] for _ in range(7)]
@@ -155,11 +159,11 @@ def sequences(docs: DataFrame, words: Vocabulary, id_col: str) -> DataFrame:
                 for i in range(last - first):
                     own = slice(at[i], at[i + 1])
                     rare = ~often[own]
-                    for column, x in zip(columns, (row, int(at[i + 1] - at[i]), symbol[own].tobytes(), int(seen[at[i + 1]] - seen[at[i]]),
+                    for column, x in zip(columns, (part + held // GROUP, int(at[i + 1] - at[i]), symbol[own].tobytes(), int(seen[at[i + 1]] - seen[at[i]]),
                                                    math.fsum(gained[own].tolist()), tokens[own][rare].tobytes(),
                                                    classes[own][rare].astype("u1").tobytes())):
                         column.append(x)
-                    row += 1
+                    held += int(at[i + 1] - at[i])
             types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.binary(), pa.binary()]
             made = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays([batch.column(0), made[0], batch.column(1), *made[1:]],
@@ -173,6 +177,7 @@ class Model:
     start: np.ndarray
     moves: np.ndarray
     emits: np.ndarray  # symbols x states
+    rooms: np.ndarray | None = None  # classes x states: what the counts of rare tokens are divided by; None before the first round
 
     @staticmethod
     def first(unigram: np.ndarray, states: int) -> "Model":
@@ -185,12 +190,32 @@ class Model:
 
 def expected(model: Model, symbols: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of blocks of like length, by the scaled forward-backward recursion."""
+    start, moves, gamma, symbol, _ = _posteriors(model, symbols, lengths)
+    return start, moves, _summed(symbol, gamma, len(model.emits))
+
+
+def _summed(item: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(item, weights=gamma[:, j], minlength=n) for j in range(gamma.shape[1])], axis=1)
+
+
+def _posteriors(model: Model, symbols: list[np.ndarray], lengths: np.ndarray, rare: list[np.ndarray] | None = None,
+                factors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """Expected starts and moves; of each place the states' probabilities, its symbol and its row of ``factors``, by which
+    its emission is multiplied."""
     steps, lanes, k = int(lengths.max()), len(lengths), len(model.start)
-    seen = np.zeros((steps, lanes), dtype=np.int64)
-    for lane, s in enumerate(symbols):
-        seen[:len(s), lane] = s
+
+    def filled(parts: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((steps, lanes), dtype=np.int64)
+        for lane, s in enumerate(parts):
+            out[:len(s), lane] = s
+        return out
+
+    seen = filled(symbols)
     inside = np.arange(steps)[:, None] < lengths
     likely = np.where(inside[:, :, None], model.emits[seen], 1.0)
+    if rare is not None:
+        own = filled(rare)
+        likely *= factors[own]
     forward, scale = np.empty((steps, lanes, k)), np.empty((steps, lanes))
     a = model.start * likely[0]
     for t in range(steps):
@@ -210,91 +235,215 @@ def expected(model: Model, symbols: list[np.ndarray], lengths: np.ndarray) -> tu
     forward[0] *= b
     gamma = forward[inside]
     gamma /= gamma.sum(axis=1, keepdims=True)
-    symbol = seen[inside]
-    emits = np.stack([np.bincount(symbol, weights=gamma[:, j], minlength=len(model.emits)) for j in range(k)], axis=1)
-    return (forward[0] / forward[0].sum(axis=1, keepdims=True)).sum(axis=0), moves * model.moves, emits
+    start = (forward[0] / forward[0].sum(axis=1, keepdims=True)).sum(axis=0)
+    return start, moves * model.moves, gamma, seen[inside], own[inside] if rare is not None else None
 
 
-def _totals(training: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of all training sequences. Rows are symbols, and below 0 the start and the states moved from."""
-    shared, k = training.sparkSession.sparkContext.broadcast(model), len(model.start)
-
+def needed(coded: DataFrame, counts: DataFrame) -> DataFrame:
+    """``part, token, kind, n, here``: the rare tokens of each group with their class, their number in training, and their
+    number in the group's training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        start, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits)
-        for batch in text_batches(batches, "symbols", 1 << 21):
-            flat = [np.frombuffer(s, "<u2") for s in batch.column(0).to_pylist()]
-            blocks = sorted((s[i:i + BLOCK] for s in flat for i in range(0, len(s), BLOCK)), key=len)
-            for i in range(0, len(blocks), LANES):
-                part = blocks[i:i + LANES]
-                s, m, e = expected(own, part, np.array([len(p) for p in part]))
-                start += s
-                moves += m
-                emits += e
-        used = np.flatnonzero(emits.sum(axis=1))
-        rows = np.concatenate([np.arange(-1 - k, 0), used])
-        values = np.concatenate([moves[::-1], start[None], emits[used]])
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *(pa.array(values[:, j]) for j in range(k))],
-                                         names=["item", *(f"w{j}" for j in range(k))])
-
-    parts = training.mapInArrow(run, ", ".join(["item bigint", *(f"w{j} double" for j in range(k))]))
-    total = parts.groupBy("item").agg(*(F.sum(f"w{j}").alias(f"w{j}") for j in range(k))).toPandas()
-    item, values = total["item"].to_numpy(), total.drop(columns="item").to_numpy(np.float64)
+        for batch in text_batches(batches, "rare"):
+            tokens = [np.frombuffer(t, np.int64) for t in batch.column(1).to_pylist()]
+            kinds = np.frombuffer(b"".join(batch.column(2).to_pylist()), "u1").astype(np.int32)
+            sizes = [len(t) for t in tokens]
+            part, learned = (np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), ~batch.column(3).to_numpy(zero_copy_only=False)))
+            token = np.concatenate(tokens)
+            for p in np.unique(part):
+                of = part == p
+                own, where, place = np.unique(token[of], return_index=True, return_inverse=True)
+                here = np.bincount(place, weights=learned[of], minlength=len(own)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), p)), pa.array(own), pa.array(kinds[of][where]), pa.array(here)],
+                                                 names=["part", "token", "kind", "here"])
+
+    found = (coded.filter(F.length("rare") > 0).select("part", "rare", "rare_class", "held_out")
+             .mapInArrow(run, "part bigint, token bigint, kind int, here bigint")
+             .groupBy("part", "token").agg(F.max("kind").alias("kind"), F.sum("here").alias("here")))
+    return (found.join(counts.select("token", "n"), "token", "left")
+            .select("part", "token", "kind", F.coalesce("n", F.lit(0)).alias("n"), "here"))
+
+
+def _weights(k: int) -> list[str]:
+    return [f"w{j}" for j in range(k)]
+
+
+SYMBOL, SHARED, LOCAL = 0, 1, 2
+NEED = ["part", "token", "kind", "n"]
+
+
+class Counted:
+    """Expected counts as the groups gave them: of symbols, of rare tokens that several groups share, and of those of a
+    single group, which need not be summed up."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, k: int):
+        self.path, self.weights = path, _weights(k)
+        self.rows = spark.read.schema(schema).parquet(path)
+
+    def symbols(self) -> tuple[np.ndarray, np.ndarray]:
+        total = self.rows.filter(F.col("what") == SYMBOL).groupBy("token").agg(*(F.sum(w).alias(w) for w in self.weights)).toPandas()
+        return total["token"].to_numpy(np.int64), total[self.weights].to_numpy(np.float64)
+
+    def shared(self) -> DataFrame:
+        return (self.rows.filter(F.col("what") == SHARED).groupBy("token")
+                .agg(*(F.sum(w).cast("float").alias(w) for w in self.weights)))
+
+    def local(self) -> DataFrame:
+        return self.rows.filter(F.col("what") == LOCAL).select(*NEED, *self.weights)
+
+    def joined(self, need: DataFrame, rare: DataFrame) -> DataFrame:
+        return (need.select(*NEED).join(rare, "token", "left")
+                .select(*NEED, *(F.coalesce(w, F.lit(0.0).cast("float")).alias(w) for w in self.weights)))
+
+    def for_training(self, need: DataFrame) -> DataFrame:
+        return self.joined(need.filter("here > 0 AND here < n"), self.shared()).unionByName(self.local())
+
+    def for_scoring(self, need: DataFrame) -> DataFrame:
+        return self.joined(need, self.shared().unionByName(self.local().select("token", *self.weights)))
+
+
+def _uncounted(need: DataFrame, k: int) -> DataFrame:
+    return need.select(*NEED, *(F.lit(0.0).cast("float").alias(w) for w in _weights(k)))
+
+
+def _factors(tokens: pa.Table, model: Model, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A group's rare tokens in order with their numbers in training, and the probability of each in its class by state.
+    Row 0 of the probabilities is for symbols that are no class."""
+    k = len(model.start)
+    token = tokens.column("token").to_numpy()
+    order = np.argsort(token)
+    kind, n = tokens.column("kind").to_numpy()[order], tokens.column("n").to_numpy()[order]
+    if model.rooms is None:
+        p = (n + SMOOTHING) / (words.class_total + SMOOTHING * (words.class_distinct + 1))[kind]
+        own = np.repeat(p[:, None], k, axis=1)
+    else:
+        own = np.stack([tokens.column(w).to_numpy()[order].astype(np.float64) for w in _weights(k)], axis=1)
+        own = (own + SMOOTHING / k) / model.rooms[kind]
+    return token[order], n, np.concatenate([np.ones((1, k)), own])
+
+
+def _places(symbols: np.ndarray, rare: bytes, known: int, token: np.ndarray) -> np.ndarray:
+    """The row of the factors for each symbol of a sequence."""
+    out = np.zeros(len(symbols), dtype=np.int64)
+    out[symbols >= known] = np.searchsorted(token, np.frombuffer(rare, np.int64)) + 1
+    return out
+
+
+def _totals(training: DataFrame, need: DataFrame, counted: Counted | None, model: Model, words: Vocabulary) -> tuple[tuple, Counted]:
+    """Expected counts of all training sequences: starts, moves and emissions of symbols, and the counts of rare tokens.
+    Rows of symbols are numbers from 0, and below 0 the start and the states moved from."""
+    spark, k = training.sparkSession, len(model.start)
+    shared = spark.sparkContext.broadcast((model, words))
+    schema = ", ".join(["part bigint", "token bigint", "kind int", "n bigint", *(f"{w} float" for w in _weights(k)), "what int"])
+    tokens = counted.for_training(need) if counted else _uncounted(need.filter("here > 0"), k)
+
+    def run(rows: pa.Table, tokens: pa.Table) -> pa.Table:
+        own, vocabulary = shared.value
+        token, n, factors = _factors(tokens, own, vocabulary)
+        start, moves, emits, members = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits), np.zeros_like(factors)
+        here, blocks = np.zeros(len(factors), dtype=np.int64), []
+        for s, r in zip(rows.column("symbols").to_pylist(), rows.column("rare").to_pylist()):
+            s = np.frombuffer(s, "<u2")
+            place = _places(s, r, len(vocabulary.tokens), token)
+            blocks.extend((s[i:i + BLOCK], place[i:i + BLOCK]) for i in range(0, len(s), BLOCK))
+        blocks.sort(key=lambda b: len(b[0]))
+        for i in range(0, len(blocks), LANES):
+            symbols, places = zip(*blocks[i:i + LANES])
+            s, m, gamma, symbol, place = _posteriors(own, symbols, np.array([len(x) for x in symbols]), places, factors)
+            start += s
+            moves += m
+            emits += _summed(symbol, gamma, len(emits))
+            rare_only = place > 0
+            members += _summed(place[rare_only], gamma[rare_only], len(members))
+            here += np.bincount(place, minlength=len(here))
+        used, met = np.flatnonzero(emits.sum(axis=1)), np.flatnonzero(here[1:])
+        kind = tokens.column("kind").to_numpy()[np.argsort(tokens.column("token").to_numpy())]
+        first = np.zeros(1 + k + len(used), dtype=np.int64)
+        values = np.concatenate([moves[::-1], start[None], emits[used], members[1:][met]]).astype(np.float32)
+        part = rows.column("part")[0].as_py() if len(rows) else 0
+        return pa.table({"part": np.full(len(values), part, dtype=np.int64), "token": np.concatenate([np.arange(-1 - k, 0), used, token[met]]).astype(np.int64),
+                         "kind": np.concatenate([first, kind[met]]).astype(np.int32), "n": np.concatenate([first, n[met]]).astype(np.int64),
+                         **{w: values[:, j] for j, w in enumerate(_weights(k))},
+                         "what": np.concatenate([first + SYMBOL, np.where(here[1:][met] == n[met], LOCAL, SHARED)]).astype(np.int32)})
+
+    path = shared_dir(spark, "expected-counts")
+    (training.select("part", "symbols", "rare").groupBy("part").cogroup(tokens.groupBy("part")).applyInArrow(run, schema)
+     .write.partitionBy("what").parquet(path))
+    counted = Counted(spark, path, schema, k)
+    item, values = counted.symbols()
     out = np.zeros((len(model.emits) + k + 1, k))
     out[item + k + 1] = values
-    return out[k], out[:k][::-1], out[k + 1:]
+    return (out[k], out[:k][::-1], out[k + 1:]), counted
 
 
-def baum_welch(training: DataFrame, words: Vocabulary, states: int, rounds: int) -> Model:
+def baum_welch(training: DataFrame, need: DataFrame, words: Vocabulary, states: int, rounds: int) -> tuple[Model, Counted | None]:
+    """The model, and the expected counts of rare tokens by state."""
     unigram = words.unigram()
-    model = Model.first(unigram, states)
+    model, counted = Model.first(unigram, states), None
     for _ in range(rounds):
-        start, moves, emits = _totals(training, model)
+        _released(training.sparkSession)
+        last = counted
+        (start, moves, emits), counted = _totals(training, need, last, model, words)
+        if last:
+            delete_path(training.sparkSession, last.path)
+        rooms = emits[len(words.tokens):] + SMOOTHING / states * (words.class_distinct[:, None] + 1)
         start, moves = start + 0.1, moves + 0.1
         emits = emits + EMISSION_PRIOR * unigram[:, None]
-        model = Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
-    return model
+        model = Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0), rooms)
+    _released(training.sparkSession)
+    return model, counted
 
 
-def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 probability of each sequence, by the scaled forward recursion over its whole length."""
+def _released(spark: SparkSession) -> None:
+    """Has Spark give back the shuffles that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray, rare: np.ndarray | None = None,
+                    factors: np.ndarray | None = None) -> np.ndarray:
+    """log10 probability of each sequence, by the scaled forward recursion over its whole length. ``rare`` has for each
+    symbol the row of ``factors`` that its emission is multiplied by."""
+    if rare is None:
+        rare, factors = np.zeros(len(flat), dtype=np.int64), np.ones((1, len(model.start)))
     lengths = np.diff(at)
     out = np.zeros(len(lengths))
     short = np.flatnonzero((lengths > 0) & (lengths <= LONG))
     short = short[np.argsort(-lengths[short], kind="stable")]
     if len(short):
-        out[short] = _in_lanes(model, flat, at[short], lengths[short])
+        out[short] = _in_lanes(model, flat, at[short], lengths[short], rare, factors)
     for i in np.flatnonzero(lengths > LONG):
-        out[i] = _in_chunks(model, flat[at[i]:at[i + 1]])
+        out[i] = _in_chunks(model, flat[at[i]:at[i + 1]], rare[at[i]:at[i + 1]], factors)
     return out
 
 
-def _in_lanes(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _in_lanes(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, rare: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """Sequences in falling order of length, one step of all that still run at a time."""
     log = np.zeros(len(starts))
     live = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-    a = model.start * model.emits[flat[starts]]
+    a = model.start * model.emits[flat[starts]] * factors[rare[starts]]
     for t, n in enumerate(live):
         if t:
-            a = (a[:n] @ model.moves) * model.emits[flat[starts[:n] + t]]
+            here = starts[:n] + t
+            a = (a[:n] @ model.moves) * model.emits[flat[here]] * factors[rare[here]]
         scale = a.sum(axis=1)
         a = a / scale[:, None]
         log[:n] += np.log10(scale)
     return log
 
 
-def _in_chunks(model: Model, symbols: np.ndarray) -> float:
+def _in_chunks(model: Model, symbols: np.ndarray, rare: np.ndarray, factors: np.ndarray) -> float:
     """One long sequence: the transfer matrices of its chunks, computed side by side, applied in turn."""
-    state = model.start * model.emits[symbols[0]]
+    state = model.start * model.emits[symbols[0]] * factors[rare[0]]
     total, state = math.log10(state.sum()), state / state.sum()
-    rest = symbols[1:]
+    rest, rare = symbols[1:], rare[1:]
     whole = len(rest) // CHUNK
     for group in range(0, whole, 64):
-        chunks = rest[group * CHUNK:min(group + 64, whole) * CHUNK].reshape(-1, CHUNK)
+        span = slice(group * CHUNK, min(group + 64, whole) * CHUNK)
+        chunks, own = rest[span].reshape(-1, CHUNK), rare[span].reshape(-1, CHUNK)
         matrices = np.tile(np.eye(len(state)), (len(chunks), 1, 1))
         logs = np.zeros(len(chunks))
         for t in range(CHUNK):
-            matrices = (matrices @ model.moves) * model.emits[chunks[:, t]][:, None, :]
+            matrices = (matrices @ model.moves) * (model.emits[chunks[:, t]] * factors[own[:, t]])[:, None, :]
             scale = matrices.sum(axis=(1, 2))
             matrices /= scale[:, None, None]
             logs += np.log10(scale)
@@ -302,49 +451,40 @@ def _in_chunks(model: Model, symbols: np.ndarray) -> float:
             state = state @ matrix
             total += log + math.log10(state.sum())
             state /= state.sum()
-    for s in rest[whole * CHUNK:]:
-        state = (state @ model.moves) * model.emits[s]
+    for s, r in zip(rest[whole * CHUNK:], rare[whole * CHUNK:]):
+        state = (state @ model.moves) * model.emits[s] * factors[r]
         total += math.log10(state.sum())
         state /= state.sum()
     return total
 
 
-def likelihoods(coded: DataFrame, model: Model, id_col: str) -> DataFrame:
-    shared = coded.sparkSession.sparkContext.broadcast(model)
-    columns = [id_col, "row", "held_out", "n_tokens", "known", "base"]
-    rows = coded.select(*columns, "symbols")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "symbols", 1 << 23):
-            parts = [np.frombuffer(s, "<u2") for s in batch.column(len(columns)).to_pylist()]
-            at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-            log = log_likelihoods(shared.value, np.concatenate(parts).astype(np.int64), at)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(log)], names=[*columns, "log"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{fields}, log double")
-
-
-def rare_sums(coded: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
-    """``row, known, base, log``: what the rare tokens of each text add, from their counts in a shuffle join."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "rare"):
-            tokens = [np.frombuffer(t, np.int64) for t in batch.column(1).to_pylist()]
-            classes = [np.frombuffer(c, "u1") for c in batch.column(2).to_pylist()]
-            row = np.repeat(batch.column(0).to_numpy(), [len(t) for t in tokens])
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(classes).astype(np.int32))],
-                                             names=["row", "token", "kind"])
-
-    one = (coded.filter(F.length("rare") > 0).select("row", "rare", "rare_class")
-           .mapInArrow(run, "row bigint, token bigint, kind int"))
-    room = np.log10(words.class_total + SMOOTHING * (words.class_distinct + 1))
-    base = math.log10(words.total + SMOOTHING * (words.distinct + 1))
-    n = F.coalesce("n", F.lit(0))
-    weight = F.log10(n + SMOOTHING)
-    return (one.join(counts.select("token", "n"), "token", "left")
-            .select("row", (n > 0).cast("long").alias("known"), (weight - base).alias("base"),
-                    (weight - F.element_at(F.array(*(F.lit(float(r)) for r in room)), F.col("kind") + 1)).alias("log"))
-            .groupBy("row").agg(*(F.sum(c).alias(f"rare_{c}") for c in ("known", "base", "log"))))
+def likelihoods(coded: DataFrame, need: DataFrame, counted: Counted | None, model: Model, words: Vocabulary, id_col: str) -> DataFrame:
+    """``id, held_out, n_tokens, known, base, log`` of every row, its rare tokens included."""
+    shared = coded.sparkSession.sparkContext.broadcast((model, words))
+    columns = [id_col, "held_out", "n_tokens"]
+    rows = coded.select(*columns, "known", "base", "part", "symbols", "rare")
+    base_room = math.log10(words.total + SMOOTHING * (words.distinct + 1))
+
+    def run(rows: pa.Table, tokens: pa.Table) -> pa.Table:
+        own, vocabulary = shared.value
+        token, n, factors = _factors(tokens, own, vocabulary)
+        parts = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
+        at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        if not parts:
+            log, known, base = np.zeros(0), np.zeros(0, np.int64), np.zeros(0)
+        else:
+            place = np.concatenate([_places(s, r, len(vocabulary.tokens), token) for s, r in zip(parts, rows.column("rare").to_pylist())])
+            log = log_likelihoods(own, np.concatenate(parts).astype(np.int64), at, place, factors)
+            text = np.repeat(np.arange(len(parts)), np.diff(at))[place > 0]
+            number = n[place[place > 0] - 1]
+            known = rows.column("known").to_numpy() + np.bincount(text, weights=number > 0, minlength=len(parts)).astype(np.int64)
+            base = rows.column("base").to_numpy() + np.bincount(text, weights=np.log10(number + SMOOTHING) - base_room, minlength=len(parts))
+        return pa.table([*(rows.column(c) for c in columns), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(log, pa.float64())],
+                        names=[*columns, "known", "base", "log"])
+
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*columns, "known", "base"])
+    tokens = counted.for_scoring(need) if counted else _uncounted(need, len(model.start))
+    return rows.groupBy("part").cogroup(tokens.groupBy("part")).applyInArrow(run, f"{fields}, log double")
 
 
 def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS,
@@ -355,12 +495,11 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
     counts = stored(token_counts(rows.filter("NOT held_out").select("text")), "token-counts")
     words = vocabulary(counts, frequent)
     coded = stored(sequences(rows, words, id_col), "symbol-sequences")
-    model = baum_welch(coded.filter("NOT held_out").select("symbols"), words, states, rounds)
-    zero = F.lit(0.0)
-    return (likelihoods(coded, model, id_col).join(rare_sums(coded, counts, words), "row", "left")
-            .select(id_col, "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-                    F.lit(words.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-                    (F.col("log") + F.coalesce("rare_log", zero)).alias("score")))
+    need = stored(needed(coded, counts), "needed-tokens")
+    model, counted = baum_welch(coded.filter("NOT held_out"), need, words, states, rounds)
+    return (likelihoods(coded, need, counted, model, words, id_col)
+            .select(id_col, "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(words.total).cast("long").alias("train_tokens"),
+                    F.col("base").alias("base_score"), F.col("log").alias("score")))
 
 
 def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,6 +159,19 @@ def test_training_raises_the_likelihood(spark):
     assert more[0] > few[0] and more[0] > more[1]
 
 
+def test_tokens_beyond_the_frequent_ones_have_states_of_their_own(spark):
+    """Two sorts of text whose words share every class of length and last byte: only the words' own counts tell them apart."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(7)
+    sorts = [[f"{a}{i:02d}z" for i in range(40)] for a in "pq"]
+    rows = [(i, " ".join(rng.choice(sorts[i % 2], 60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    few, many = (hmm_scoring.scores(docs, F.col("doc_id") % 10 < 2, states=2, rounds=12, frequent=n).filter("held_out")
+                 .agg(F.sum("score"), F.sum("base_score")).first() for n in (1, 65_000))
+    assert few[0] - few[1] > 0.2 * 40 * 60  # of log10(2) a word, the most that two sorts can give
+    assert few[0] == pytest.approx(many[0], rel=0.02)
+
+
 def test_scores_of_awkward_tables(spark, awkward, empty):
     from pyspark.sql import functions as F
     rows = hmm_scoring.scores(awkward, F.col("doc_id") == 9, states=2, rounds=2).collect()
