@@ -9,8 +9,8 @@ narrower margin than ``reject_margin`` is marked rejected.
 Training texts are a bounded sample: for each language the ``sample_docs`` different texts with the
 smallest hashes, as many as ``dictionary_bytes`` hold, texts of over an eighth of that after all others;
 which texts these are does not depend on partitions. Candidates are thinned by a threshold on the hash before they
-are ranked, so no language is gathered in one task. The languages learned are the ``MAX_LANGUAGES`` most
-frequent values, the bound of the model that is broadcast (32 MB).
+are ranked, so no language is gathered in one task. Every language value is learned: the model that is broadcast
+holds ``MODEL_BYTES`` in all, so beyond 128 languages each has a smaller dictionary, of ``LEAST_BYTES`` at least.
 
 Cases: a null text or one without a letter is ``und`` with score 0; with no training language at all
 every text is ``und``; equal sizes go to the language with more training rows, then by name; repeated
@@ -35,7 +35,8 @@ PART_BYTES = 4096
 LEVEL = 3
 REJECT_MARGIN = 0.02
 UNKNOWN = "und"
-MAX_LANGUAGES = 128
+MODEL_BYTES = 32 << 20
+LEAST_BYTES = 256
 
 
 def letters(text: Column) -> Column:
@@ -45,14 +46,15 @@ def letters(text: Column) -> Column:
 def train(texts: DataFrame, *, lang_col: str = "lang", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
           dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """Languages with their dictionaries, those with most rows first."""
+    values = texts.select(F.col(lang_col).alias("lang")).filter("lang IS NOT NULL").distinct().count()
+    dictionary_bytes = min(dictionary_bytes, max(MODEL_BYTES // max(values, 1), LEAST_BYTES))
     rows = (texts.select(F.col(lang_col).alias("lang"), letters(F.col(text_col)).alias("text"))
             .filter(F.col("lang").isNotNull() & (F.col("text") != "")).withColumn("place", F.xxhash64("text")))
-    counts = (rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("place").alias("different"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES))
+    counts = (rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("place").alias("different")))
     # the hash is uniform: about four times the texts wanted pass the threshold, or all of a small language
     share = F.least(F.lit(1.0), F.lit(4.0 * sample_docs + 100) / F.col("different"))
     long = F.octet_length("text") > dictionary_bytes // 8
-    ranked = (rows.join(F.broadcast(counts), "lang")
+    ranked = (rows.join(F.broadcast(counts), "lang")  # a few bytes for each language value
               .filter(F.pmod("place", F.lit(1 << 30)) < share * F.lit(1 << 30))
               .dropDuplicates(["lang", "place"])
               .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy(long, "place"))))

@@ -81,6 +81,24 @@ def test_a_language_of_copies_still_has_a_dictionary(spark):
     assert set(models) == {"de", "en"} and models["de"].count(b"satz") == 5
 
 
+def test_every_language_value_is_learned(spark, monkeypatch):
+    from .helpers import prose
+    letters = "abcdefghijklmnopqrst"
+    own = {f"l{i:03d}": f"{letters[i // 20]}{letters[i % 20]}q" for i in range(150)}
+    rows = [(lang, " ".join(w + tail for w in prose(k, 30).replace(".", "").split())) for lang, tail in own.items()
+            for k in range(3 if lang < "l140" else 2)]
+    texts = spark.createDataFrame(rows, "lang string, text string")
+    models = language_id.train(texts)
+    assert {name for name, _ in models} == set(own)
+    rare = [row for row in rows if row[0] >= "l140"]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rare)], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, models).collect()}
+    assert [got[i] for i in range(len(rare))] == [lang for lang, _ in rare]
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 150 * 300)
+    small = language_id.train(texts)
+    assert {name for name, _ in small} == set(own) and sum(len(d) for _, d in small) <= 150 * 300
+
+
 # ---- language-model scoring ----
 
 def _base(docs, held):
