@@ -1,5 +1,6 @@
 """Structured Streaming: incremental ingest of landed CSV files and windowed health alerts."""
 from .ingest import incremental_ingest
 from .alerts import alert_windows, health_alerts_stream
+from .versioned import merge_version, versioned_ingest
 
-__all__ = ["incremental_ingest", "alert_windows", "health_alerts_stream"]
+__all__ = ["incremental_ingest", "merge_version", "versioned_ingest", "alert_windows", "health_alerts_stream"]
