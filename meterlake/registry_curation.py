@@ -47,7 +47,7 @@ def q_read_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_aggregated(daily: DataFrame, land: str) -> None:
     """Daily files under names that say ``Aggregated``, as the reference's cleaner knows them."""
     spark = daily.sparkSession
-    daily.coalesce(1).write.option("header", True).csv(f"{land}/daily")
+    daily.write.option("header", True).csv(f"{land}/daily")
     files = spark._jvm.org.apache.hadoop.fs.Path(f"{land}/daily")
     fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in fs.listStatus(files):

@@ -1,12 +1,12 @@
 """Raw interval CSV: read all columns as strings, then map header spellings."""
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..rules import BASE_COLUMNS
+from ..session import shared_dir
 
 # Exact header of the interval files, in file order.
 RAW_HEADERS = ("x_Timestamp", "t_kWh", "z_Avg Voltage (Volt)", "z_Avg Current (Amp)", "y_Freq (Hz)", "meter")
@@ -30,7 +30,6 @@ RENAMES = {
 
 #: what only a header line holds: one of the interval files' own column names
 HEADER_MARK = r"(?i)x_timestamp|t_kwh|y_freq|z_avg"
-MAX_HEADERS = 1000
 
 
 def _files(reader, pattern: str):
@@ -42,25 +41,72 @@ def _of_interval_files(df: DataFrame, exclude: str | None) -> DataFrame:
     return df.filter(~F.col("_metadata.file_name").contains(exclude)) if exclude else df
 
 
-def header_lines(spark: SparkSession, paths: str | list[str], pattern: str, exclude: str | None, mark: str) -> DataFrame:
-    """``file, header`` of every file that has a header line (a text scan that parses nothing)."""
-    lines = _of_interval_files(_files(spark.read.format("text"), pattern).load(paths), exclude)
-    return (lines.filter(F.col("value").rlike(mark)).groupBy(F.col("_metadata.file_path").alias("file"))
-            .agg(F.min("value").alias("header")))
+def header_lines(lines: DataFrame, mark: str = HEADER_MARK) -> DataFrame:
+    """``file, header`` of every file with lines (``value``, ``file``); null where no line is a header. One pass, and one
+    row of a task for each file it reads."""
+    return lines.groupBy("file").agg(F.min(F.when(F.col("value").rlike(mark), F.col("value"))).alias("header"))
+
 
+def _known(name: Column, mapping: dict[str, str]) -> Column:
+    """The curated name of a header cell, or its own in lower case."""
+    lower = F.lower(F.trim(name))
+    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), lower), lower) if pairs else lower
 
-def _cells(header: str) -> list[str]:
-    return next(csv.reader([header.lstrip("\ufeff")]))
 
+class Headers:
+    """The headers of many files: the column names of the fullest one, and where each file has them.
 
-def _by_name(header: str, names: list[str], mapping: dict[str, str]) -> list[int | None]:
-    """Where a file's header has each of ``names``: by the curated name of either, else by the name itself."""
-    def known(name: str) -> str:
-        return mapping.get(name.lower().strip(), name.lower().strip())
-    own: dict[str, int] = {}
-    for i, cell in enumerate(_cells(header)):
-        own.setdefault(known(cell), i)
-    return [own.get(known(name)) for name in names]
+    ``of_file`` (``file, header``) is written to the shared folder once. What reaches the driver is the fullest
+    header (that with most curated columns, or else the most frequent); any number of files and of different
+    headers is matched to it by Spark.
+    """
+
+    def __init__(self, of_file: DataFrame, mapping: dict[str, str]):
+        spark = of_file.sparkSession
+        path = shared_dir(spark, "headers")
+        of_file.write.parquet(path)
+        self.of_file = spark.read.schema(of_file.schema).parquet(path)
+        seen = self.of_file.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("header").isNull(), F.col("file"))).alias("bare"),
+                                F.max(F.size(F.split("header", ","))).alias("width")).first()
+        self.n_files, self.bare, self.width, self.names = seen["n"], seen["bare"], seen["width"] or 0, []
+        if self.bare is not None or not self.width:
+            return
+        cells = F.from_csv(F.regexp_replace("header", "^\ufeff", ""), ", ".join(f"_c{i} string" for i in range(self.width)))
+        own = (self.of_file.select("file", "header", cells.alias("c"))
+               .select("file", "header", F.array(*(F.col(f"c._c{i}") for i in range(self.width))).alias("cells"))
+               .withColumn("known", F.transform("cells", lambda c: _known(F.coalesce(c, F.lit("")), mapping))))
+        among = F.array(*(F.lit(m) for m in sorted(set(mapping.values())))).cast("array<string>")
+        fullest = (own.groupBy("header", "cells", "known").agg(F.count(F.lit(1)).alias("n"))
+                   .orderBy(F.size(F.array_intersect("known", among)).desc(), F.desc("n"), "header").first())
+        names = list(fullest["cells"])
+        while names and names[-1] is None:
+            names.pop()
+        self.names = [(c or "").strip() for c in names]
+        wanted = fullest["known"][:len(self.names)]
+        places = F.array(*(F.array_position("known", F.lit(w)) for w in wanted))
+        self.commonest = [fullest["known"].index(w) + 1 for w in wanted]
+        self.files = own.select("file", "header", places.alias("places"))
+        curated = [i for i, n in enumerate(self.names) if n.lower().strip() in mapping]
+        if curated:
+            lacking = F.array_compact(F.array(*(F.when(F.col("places")[i] == 0, F.lit(self.names[i])) for i in curated)))
+            bad = self.files.select("file", "header", lacking.alias("lacking")).filter(F.size("lacking") > 0).first()
+            if bad:
+                raise ValueError(f"{bad['file']}: no column for {bad['lacking']} in its header {bad['header']!r}")
+
+    def in_order(self, rows: DataFrame) -> DataFrame:
+        """Rows with cells ``_c0 …`` and ``_file`` as columns of the names; other columns stay."""
+        rest = [c for c in rows.columns if not c.startswith("_c") and c != "_file"]
+        usual = F.array(*(F.lit(p) for p in self.commonest)).cast("array<bigint>")
+        others = self.files.filter(F.col("places") != usual).select(F.col("file").alias("_file"), F.col("places").alias("_places"))
+        if others.isEmpty():
+            return rows.select(*(F.col(f"_c{p - 1}").alias(n) for p, n in zip(self.commonest, self.names)), *rest)
+        cells = F.array(*(F.col(f"_c{i}") for i in range(self.width)))
+        joined = rows.join(others, "_file", "left")
+        # a column that is no curated one may be absent from a file: place 0, null
+        picked = (F.when(F.col("_places").isNull(), F.col(f"_c{p - 1}")).otherwise(F.get(cells, F.col("_places")[i].cast("int") - 1)).alias(n)
+                  for i, (p, n) in enumerate(zip(self.commonest, self.names)))
+        return joined.select(*picked, *rest)
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], exclude: str | None = "Aggregated",
@@ -70,10 +116,9 @@ def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], exclude: str |
 
     Each file is read by its own header: the result has the columns of the
     fullest header, and a file whose header has other spellings or another
-    order gives each column by its curated name (``mapping``). Only the few
-    distinct headers reach the driver, never the list of files; with more than
-    one, the rows meet their file's header in a join, which Spark broadcasts or
-    shuffles by its size.
+    order gives each column by its curated name (``mapping``). Only the fullest
+    header reaches the driver; rows of files with another order meet their
+    places in a join, which Spark broadcasts or shuffles by its size.
 
     Files whose name contains ``exclude`` (the daily ``*Aggregated*`` files,
     another layout) are left out. A file without a header (``mark``), or whose
@@ -82,79 +127,32 @@ def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], exclude: str |
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     mapping = RENAMES if mapping is None else mapping
-    listed = _files(spark.read.format("binaryFile"), pattern).load(paths).filter("length > 0")
-    if exclude:
-        listed = listed.filter(~F.element_at(F.split("path", "/"), -1).contains(exclude))
-    n_files = listed.count()
-    if not n_files:
-        raise FileNotFoundError(f"no {pattern} files under {paths}")
-    of_file = header_lines(spark, paths, pattern, exclude, mark)
-    headers = _distinct_headers(of_file)
-    if sum(h.n for h in headers) != n_files:
-        raise ValueError(f"{n_files - sum(h.n for h in headers)} of {n_files} files under {paths} have no header line")
-    width = max(len(_cells(h.header)) for h in headers)
-    schema = ", ".join(f"_c{i} string" for i in range(width))
+    lines = _of_interval_files(_files(spark.read.format("text"), pattern).load(paths), exclude)
+    headers = Headers(header_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), mark), mapping)
+    if not headers.n_files:
+        raise FileNotFoundError(f"no {pattern} files with lines under {paths}")
+    if headers.bare is not None:
+        raise ValueError(f"{headers.bare} has no header line")
+    schema = ", ".join(f"_c{i} string" for i in range(headers.width))
     df = _of_interval_files(_files(spark.read.schema(schema).option("header", True), pattern).csv(paths), exclude)
     extra = [F.col("_metadata.file_name").alias("source_file")] if keep_file else []
-    return _in_order(df.select("*", F.col("_metadata.file_path").alias("_file"), *extra), of_file, headers, mapping)
-
-
-def _distinct_headers(of_file: DataFrame) -> list:
-    """``header, n, file`` (number of files and one of them), the most frequent first."""
-    headers = (of_file.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file"))
-               .orderBy(F.desc("n"), "header").limit(MAX_HEADERS + 1).collect())
-    if len(headers) > MAX_HEADERS:
-        raise ValueError(f"over {MAX_HEADERS} different headers, such as {headers[-1].header!r} of {headers[-1].file}")
-    return headers
-
-
-def _in_order(rows: DataFrame, of_file: DataFrame, headers: list, mapping: dict[str, str]) -> DataFrame:
-    """Rows with cells ``_c0 …`` and ``_file``, by the names of the fullest header (that with most curated columns, or
-    else the most frequent); other columns stay."""
-    headers = sorted(headers, key=lambda h: -len({mapping.get(c.lower().strip()) for c in _cells(h.header)}))
-    names = [c.strip() for c in _cells(headers[0].header)]
-    places = {h.header: tuple(_by_name(h.header, names, mapping)) for h in headers}
-    for h in headers:
-        missing = [n for n, place in zip(names, places[h.header]) if place is None and n.lower().strip() in mapping]
-        if missing:
-            raise ValueError(f"{h.file}: no column for {missing} in its header {h.header!r}")
-    rest = [c for c in rows.columns if not c.startswith("_c") and c != "_file"]
-    commonest = places[headers[0].header]
-    others = sorted({p for p in places.values() if p != commonest})
-    if others:
-        number = F.lit(None).cast("int")
-        for header, order in places.items():
-            if order != commonest:
-                number = F.when(F.col("header") == header, others.index(order)).otherwise(number)
-        exceptions = of_file.select(F.col("file").alias("_file"), number.alias("_order")).filter("_order IS NOT NULL")
-        rows = rows.join(exceptions, "_file", "left")
-
-    def cell(place: int | None) -> Column:  # a column that is no curated one may be absent from a file
-        return F.lit(None).cast("string") if place is None else F.col(f"_c{place}")
-
-    def pick(i: int) -> Column:
-        out = cell(commonest[i])
-        for k, order in enumerate(others):
-            out = F.when(F.col("_order") == k, cell(order[i])).otherwise(out)
-        return out
-
-    return rows.select(*(pick(i).alias(n) for i, n in enumerate(names)), *rest)
-
-
-def parse_lines(lines: DataFrame, mapping: dict[str, str] | None = None, mark: str = HEADER_MARK) -> DataFrame:
-    """Text rows (``value``, ``file``) of whole CSV files as ``read_raw_csv`` gives them: each file by its own header."""
-    of_file = lines.filter(F.col("value").rlike(mark)).groupBy("file").agg(F.min("value").alias("header"))
-    headers = _distinct_headers(of_file)
-    bare = lines.join(of_file, "file", "left_anti").select("file").limit(1).collect()
-    if bare:
-        raise ValueError(f"{bare[0].file} has no header line")
-    width = max((len(_cells(h.header)) for h in headers), default=0)
-    if not width:
-        return lines.sparkSession.createDataFrame([], ", ".join(f"`{h}` string" for h in RAW_HEADERS))
-    schema = ", ".join(f"_c{i} string" for i in range(width))
+    return headers.in_order(df.select("*", F.col("_metadata.file_path").alias("_file"), *extra))
+
+
+def parse_lines(lines: DataFrame, mapping: dict[str, str] | None = None, mark: str = HEADER_MARK, keep: bool = False) -> DataFrame:
+    """Text rows (``value``, ``file``) of whole CSV files as ``read_raw_csv`` gives them: each file by its own header.
+    ``keep`` keeps the line itself and its file, as ``_line`` and ``_source``."""
+    headers = Headers(header_lines(lines, mark), RENAMES if mapping is None else mapping)
+    if headers.bare is not None:
+        raise ValueError(f"{headers.bare} has no header line")
+    extra = {"_line": F.col("value"), "_source": F.col("file")} if keep else {}
+    if not headers.width:
+        return lines.sparkSession.createDataFrame([], ", ".join(f"`{h}` string" for h in (*RAW_HEADERS, *extra)))
+    schema = ", ".join(f"_c{i} string" for i in range(headers.width))
     cells = (lines.filter(~F.col("value").rlike(mark) & (F.trim("value") != ""))
-             .select(F.from_csv("value", schema).alias("c"), F.col("file").alias("_file")).select("c.*", "_file"))
-    return _in_order(cells, of_file, headers, RENAMES if mapping is None else mapping)
+             .select(F.from_csv("value", schema).alias("c"), F.col("file").alias("_file"), *(e.alias(n) for n, e in extra.items()))
+             .select("c.*", "_file", *extra))
+    return headers.in_order(cells)
 
 
 def normalize_columns(df: DataFrame, mapping: dict[str, str] | None = None,
