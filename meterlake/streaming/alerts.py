@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.clean import drop_nulls, enrich, range_filter, typed_readings
 from ..rules import BASE_COLUMNS, RULES, Rules
 from ..session import shared_dir
-from ..sources.raw import RAW_HEADERS, normalize_columns
 from ..functions.wallclock import to_instant, to_wallclock
-from .source import raw_csv_stream
+from .staged import stage_landed, staged_readings
 
 
 def alert_windows(readings: DataFrame, rules: Rules = RULES, window: str = "15 minutes",
@@ -45,14 +44,19 @@ def alert_windows(readings: DataFrame, rules: Rules = RULES, window: str = "15 m
 
 def health_alerts_stream(spark: SparkSession, landing: str, sink_path: str, checkpoint: str | None = None,
                          rules: Rules = RULES, window: str = "15 minutes", watermark: str = "10 minutes",
-                         min_unhealthy: int = 1, headers=RAW_HEADERS,
-                         max_files_per_trigger: int | None = None) -> dict:
-    """Run the alert stream over the landed files (``availableNow``) into a Parquet sink (append)."""
+                         min_unhealthy: int = 1, max_files_per_trigger: int | None = None,
+                         exclude: str | None = "Aggregated") -> dict:
+    """Run the alert stream over the files landed since the last run (``availableNow``) into a Parquet sink (append).
+
+    Landed files are first staged by their own headers (``staged``): rejected and late rows are kept as
+    ``dead_letters(spark, out["staged"])``, and ``accounting`` adds them up.
+    """
     checkpoint = checkpoint or shared_dir(spark, "alerts-checkpoint")
-    src = normalize_columns(raw_csv_stream(spark, landing, headers, "Aggregated", max_files_per_trigger))
-    alerts = alert_windows(src, rules, window, watermark, min_unhealthy)
+    root = f"{checkpoint.rstrip('/')}/staged"
+    done = stage_landed(spark, landing, root, watermark, rules, max_files_per_trigger, exclude)
+    alerts = alert_windows(staged_readings(spark, root).drop("_et"), rules, window, watermark, min_unhealthy)
     q = (alerts.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
+         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/windows").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return {"batches": len(q.recentProgress), "checkpoint": checkpoint}
+    return {"batches": done["batches"], "rows": done["rows"], "checkpoint": checkpoint, "staged": root}

@@ -1,7 +1,7 @@
 """Oracle SQL for the streaming operators."""
 from __future__ import annotations
 
-from .base import CURATED_COLUMNS_SQL, D, enrich_sql, with_curated
+from .base import CURATED_COLUMNS_SQL, D, R, enrich_sql, with_curated, with_raw
 
 EVENTS_READINGS = f"""ev AS (SELECT event_id AS eid, ts, user_id AS uid, hour(ts) * 60 + minute(ts) AS mod FROM events),
 er AS (
@@ -33,7 +33,30 @@ emax AS (SELECT max(reading_ts) AS m FROM evalid)"""
 
 
 def sql() -> dict[str, str]:
+    in_range = ("energy_kwh BETWEEN 0 AND 50 AND avg_voltage BETWEEN 0 AND 400 AND avg_current BETWEEN 0 AND 200 "
+                "AND frequency_hz BETWEEN 0 AND 70")
+    columns = "reading_ts, energy_kwh, avg_voltage, avg_current, frequency_hz, meter_id"
+    missing = " OR ".join(f"{c} IS NULL" for c in columns.split(", "))
     return {
+        "versioned_ingest": with_curated(f"SELECT {CURATED_COLUMNS_SQL} FROM cur"),
+        "clustered_table": with_curated(f"""SELECT {CURATED_COLUMNS_SQL} FROM cur
+WHERE reading_ts >= TIMESTAMP '1995-02-01' AND reading_ts < TIMESTAMP '1995-05-01' AND meter_id LIKE 'BR%'"""),
+        # a spell is open until the newest reading is ten minutes past the second after its last gap
+        "outage_spells_stream": with_curated(f"""
+SELECT meter_id, min(reading_ts) AS spell_start, max(reading_ts) AS spell_end, count(*) AS readings,
+       {R('count(*) * 3.0::DOUBLE / 60.0::DOUBLE', 2)} AS est_hours
+FROM islands GROUP BY meter_id, island
+HAVING max(reading_ts) + INTERVAL 181 SECOND <= (SELECT max(reading_ts) FROM valid) - INTERVAL 10 MINUTE""", """zero AS (
+  SELECT meter_id, reading_ts, lag(reading_ts) OVER (PARTITION BY meter_id ORDER BY reading_ts) AS before
+  FROM cur WHERE avg_voltage = 0),
+islands AS (SELECT *, sum(CASE WHEN before IS NULL OR date_diff('second', before, reading_ts) > 180 THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY meter_id ORDER BY reading_ts) AS island FROM zero)"""),
+        "dead_letters": with_raw(f"""
+SELECT reason, count(*) AS rows FROM (
+  SELECT CASE WHEN {missing} THEN 'null' WHEN NOT ({in_range}) THEN 'out_of_range'
+              WHEN day(reading_ts) = 1 AND reading_ts <= mark THEN 'late' END AS reason
+  FROM raw, (SELECT max(reading_ts) - INTERVAL 10 MINUTE AS mark FROM valid WHERE day(reading_ts) <> 1) m)
+WHERE reason IS NOT NULL GROUP BY reason"""),
         "incremental_ingest": with_curated(f"SELECT {CURATED_COLUMNS_SQL} FROM cur"),
         "health_alerts_stream": with_curated("""
 SELECT meter_id, window_start, window_start + INTERVAL 15 MINUTE AS window_end, readings, unhealthy, critical,

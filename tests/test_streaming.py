@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterlake.rules import CURATED_COLUMNS
 from meterlake.sources.standin import as_raw_frame, events_readings, standin_raw_frame, standin_readings
-from meterlake.streaming import alert_windows, health_alerts_stream, incremental_ingest
+from meterlake.streaming import accounting, alert_windows, dead_letters, health_alerts_stream, incremental_ingest, outage_spells_stream
 from meterlake.testdata import curated_standin
 from tests.conftest import SF_SMALL
 
@@ -152,7 +152,79 @@ def test_an_unreadable_table_is_not_an_empty_one(spark, tmp_dir):
     assert open(f"{tmp_dir}/table/year=2020/month=1/part-0.parquet").read() == "not parquet"
 
 
-def test_alert_stream_refuses_other_headers(spark, tmp_dir):
-    _landed(f"{tmp_dir}/land", "a.csv", "x_Timestamp,t_kWh,z_Avg Current (Amp),z_Avg Voltage (Volt),y_Freq (Hz),meter", "2020-01-01 00:00:00,0.01,1.5,230,50,BR01")
-    with pytest.raises(Exception, match="error while reading file .*a.csv"):
+TURNED = "meter,x_timestamp,t_kwh,z_avg_current_(amp),z_avg_voltage_(volt),y_freq (hz)"
+
+
+def test_alert_stream_takes_each_file_by_its_header(spark, tmp_dir):
+    _landed(f"{tmp_dir}/land", "a.csv", HEADER, "2020-01-01 00:00:00,0.01,250,1.5,50,BR01", "2020-01-02 00:00:00,0.01,230,1.5,50,BR09")
+    _landed(f"{tmp_dir}/land", "b.csv", TURNED, "BR02,2020-01-01 00:03:00,0.02,2.5,199,49.9")
+    out = health_alerts_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    got = {(r.meter_id, r.critical, r.warning) for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
+    assert got == {("BR01", 1, 0), ("BR02", 0, 1)}
+    assert accounting(spark, out["staged"]) == {"landed": 3, "staged": 3, "null": 0, "out_of_range": 0, "late": 0}
+
+
+def test_alert_stream_stops_at_a_file_without_a_header(spark, tmp_dir):
+    _landed(f"{tmp_dir}/land", "a.csv", "2020-01-01 00:00:00,0.01,230,1.5,50,BR01")
+    with pytest.raises(Exception, match="a.csv has no header line"):
         health_alerts_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+
+
+def test_every_landed_row_is_counted_a_copy_rejected_or_late(spark, tmp_dir):
+    """Rows landed = counted in windows + copies + rejected + late, over several runs."""
+    land, sink, ck = f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    row = "2020-01-01 {},0.01,250,1.5,50,BR01".format
+    _landed(land, "a.csv", HEADER, row("10:00:00"), row("10:03:00"), row("10:03:00"), row("10:06:00").replace("250", "450"),
+            row("10:09:00").replace("0.01", "x"), "garbage")
+    run = lambda: health_alerts_stream(spark, land, sink, ck, min_unhealthy=0)
+    out = run()
+    # 10:00 is behind 10:03 less ten minutes by none; 09:53 is exactly at the watermark, and late
+    _landed(land, "b.csv", HEADER, row("09:53:00"), row("09:54:00"), row("09:30:00"), row("10:20:00"))
+    run()
+    _landed(land, "c.csv", TURNED, "BR02,2020-01-02 00:00:00,0.02,2.5,199,49.9")
+    run()
+    assert accounting(spark, out["staged"]) == {"landed": 11, "staged": 6, "null": 2, "out_of_range": 1, "late": 2}
+    dead = {(r.line, os.path.basename(r.file), r.reason) for r in dead_letters(spark, out["staged"]).collect()}
+    assert dead == {(row("10:06:00").replace("250", "450"), "a.csv", "out_of_range"), (row("10:09:00").replace("0.01", "x"), "a.csv", "null"),
+                    ("garbage", "a.csv", "null"), (row("09:53:00"), "b.csv", "late"), (row("09:30:00"), "b.csv", "late")}
+    got = {(str(r.window_start), r.readings) for r in spark.read.parquet(sink).collect()}
+    # the windows of BR01 are closed, the one of BR02 is open
+    assert got == {("2020-01-01 09:45:00", 1), ("2020-01-01 10:00:00", 2), ("2020-01-01 10:15:00", 1)}
+    # 11 landed = 4 counted + 1 in the open window + 1 copy + 3 rejected + 2 late
+    assert run()["rows"] == 0
+
+
+def _times(*minutes):
+    import datetime as dt
+    return [dt.datetime(2020, 1, 1) + dt.timedelta(minutes=m) for m in minutes]
+
+
+def test_spell_stream_equals_batch_spells(spark, tmp_dir):
+    from meterlake.operators.clean import curate
+    from meterlake.operators.spells import outage_spells
+    readings = spark.createDataFrame(
+        [(t, 0.0, 0.0, 0.0, 0.0, "BR01") for t in _times(0, 3, 6, 12, 15, 60, 62.5, 65.5, 70)]
+        # a copy with voltage loses against the zero one, which is lower; a lower zero-energy copy with voltage wins
+        + [(t, 0.5, 230.0, 1.5, 50.0, "BR01") for t in _times(3)] + [(t, 0.25, 0.0, 0.0, 0.0, "BR02") for t in _times(0, 3, 6)]
+        + [(t, 0.0, 230.0, 1.5, 50.0, "BR02") for t in _times(3)] + [(t, 0.5, 230.0, 1.5, 50.0, "BR03") for t in _times(24 * 60)]
+        + [(t, 0.0, 0.0, 0.0, 0.0, "MH01") for t in _times(*range(23 * 60, 25 * 60, 3))],
+        "reading_ts timestamp_ntz, energy_kwh double, avg_voltage double, avg_current double, frequency_hz double, meter_id string")
+    for i in range(5):   # five landings; spells go on from one to the next
+        part = readings.filter(F.floor(F.hour("reading_ts") * 60 + F.minute("reading_ts")) % 5 == i) if i else readings.filter("minute(reading_ts) % 5 = 0")
+        as_raw_frame(part).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/land/p{i}")
+    sink, ck = f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    outage_spells_stream(spark, f"{tmp_dir}/land", sink, ck)
+    # a later reading closes all but the spells of the last minutes
+    _landed(f"{tmp_dir}/land", "z.csv", HEADER, "2020-01-03 00:00:00,0.01,230,1.5,50,BR01")
+    outage_spells_stream(spark, f"{tmp_dir}/land", sink, ck)
+    batch = outage_spells(curate(spark.createDataFrame(readings.rdd, readings.schema)))
+    got = spark.read.parquet(sink)
+    assert batch.count() >= 6 and _same(got.select(*batch.columns), batch)
+
+
+@pytest.mark.parametrize("seconds,spells", [(180, 1), (181, 2), (182, 2)])
+def test_spell_gap_is_one_interval(spark, tmp_dir, seconds, spells):
+    rows = [f"2020-01-01 00:00:00,0,0,0,0,BR01", f"2020-01-01 00:{seconds // 60:02d}:{seconds % 60:02d},0,0,0,0,BR01", "2020-01-02 00:00:00,0,230,0,0,BR01"]
+    _landed(f"{tmp_dir}/land", "a.csv", HEADER, *rows)
+    outage_spells_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    assert spark.read.parquet(f"{tmp_dir}/sink").count() == spells
