@@ -8,14 +8,15 @@ from ..functions.numeric import rnd
 from .common import latest_period, top_k
 
 
-def q08_health_summary(df: DataFrame, period: str = "year", approx_meters: bool = False) -> DataFrame:
+def q08_health_summary(df: DataFrame, period: str = "year", approx_meters: bool = False,
+                       at: tuple[int, int] | None = None) -> DataFrame:
     """Readings, meters and mean score per status in the latest ``period`` (year | month | all).
 
     ``approx_meters=True`` counts meters with ``approx_count_distinct`` (HyperLogLog++, ~1 % error):
     one pass with a fixed-size sketch per group instead of an exact distinct aggregation.
     """
     meters = F.approx_count_distinct("meter_id") if approx_meters else F.count_distinct("meter_id")
-    return (latest_period(df, period).groupBy("health_status")
+    return (latest_period(df, period, at).groupBy("health_status")
             .agg(F.count(F.lit(1)).alias("readings"), meters.alias("meters"),
                  rnd(F.avg("health_score"), 1).alias("avg_score"))
             .orderBy(F.col("readings").desc(), "health_status"))
@@ -72,9 +73,9 @@ def q24_kpis(df: DataFrame) -> DataFrame:
         rnd(F.sum("sc") / n, 1).alias("avg_health_score"))
 
 
-def q25_dominant_status(df: DataFrame, period: str = "month") -> DataFrame:
+def q25_dominant_status(df: DataFrame, period: str = "month", at: tuple[int, int] | None = None) -> DataFrame:
     """Meters by their most frequent status in the latest period (ties → alphabetically first status)."""
-    counts = latest_period(df, period).groupBy("meter_id", "health_status").agg(F.count(F.lit(1)).alias("n"))
+    counts = latest_period(df, period, at).groupBy("meter_id", "health_status").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("meter_id").orderBy(F.col("n").desc(), F.col("health_status"))
     top = counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
     return (top.groupBy("health_status").agg(F.count(F.lit(1)).alias("meters"))

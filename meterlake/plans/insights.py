@@ -1,18 +1,22 @@
 """Insight queries (A1–A6) and the outage-spell extension of A3."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from ..functions import readings as R
 from ..functions.numeric import rnd, safe_div
 from ..operators import grains
 from ..operators.anomaly import anomaly_series
-from ..operators.quality import quantile_value
 from ..operators.spells import outage_spells as _spells
 from ..rules import RULES, Rules
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_dir
 from .common import top_k
 
+#: accuracy of the bracket around an exact quantile (the reciprocal of its rank error)
+BRACKET = 10_000
+
 
 def a1_anomaly_days(df: DataFrame, window: int = 30, sigmas: float = 3.0, n: int | None = 200,
                     min_history: int = 2, calendar: bool = False) -> DataFrame:
@@ -96,31 +100,51 @@ def a5_voltage_quality(df: DataFrame, statutory=(216.2, 253.0), contract=(220.0,
                     rnd(F.lit(100.0) * F.col("_c") / F.col("readings"), 2).alias("pct_within_220_240")).orderBy("town")
 
 
+def _peak_threshold(fleet: DataFrame, bracket: tuple | None, n: int, quantile: float) -> F.Column:
+    """The exact discrete quantile of ``fleet_kw_units`` as a scalar subquery: the values inside ``bracket`` (which holds it)
+    are ranked, after the number of those below it."""
+    if bracket is None:
+        return F.lit(None).cast("bigint")
+    low, high = bracket
+    units = F.col("fleet_kw_units")
+    below = fleet.agg(F.count_if(units < low)).scalar()
+    inside = fleet.filter(units.between(low, high)).groupBy("fleet_kw_units").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("fleet_kw_units").rowsBetween(Window.unboundedPreceding, 0))
+    rank = max(1, math.ceil(quantile * n))
+    return (inside.withColumn("_upto", upto).filter(F.col("_upto") + below >= rank)
+            .agg(F.min("fleet_kw_units")).scalar())
+
+
 def a6_peak_contributors(df: DataFrame, quantile: float = 0.99, n: int | None = 20,
                          exact: bool = True, accuracy: int = 1_000_000, rules: Rules = RULES) -> DataFrame:
     """Meters behind the fleet's top-(1−quantile) demand intervals.
 
     Fleet demand is an exact integer sum of the 4-decimal ``power_kw`` (10^-4
     kW units), so the threshold comparison cannot lose a row to float-sum order.
-    The fleet series (one row per timestamp) is checkpointed to the shared
+    The fleet series (one row per timestamp) is written to the shared
     checkpoint folder because it feeds the threshold, the peak set and the
-    peak total: computed once, and it survives the loss of an executor. The threshold is the exact
-    discrete quantile of the fleet series (its size is bounded by the number
-    of timestamps, not of readings); ``exact=False`` uses ``percentile_approx``.
+    peak total: computed once, and it survives the loss of an executor. The
+    pass that writes it also brackets the quantile: ``percentile_approx`` keeps
+    its rank error below ``1 / BRACKET``, so the approximate quantiles that far and
+    as far again to either side have the exact one between them. The exact discrete quantile is then
+    selected inside the bracket, a few ten-thousandths of the timestamps, within the final
+    query; ``exact=False`` takes ``percentile_approx`` itself.
     The peak set is joined on its month and time, so months without a peak are
     pruned from a partitioned scan; Spark broadcasts it by its measured size.
     """
     units = 10.0 ** rules.power_decimals
-    fleet = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units", "fleet_kw")
-    ensure_checkpoint_dir(df.sparkSession)
-    fleet = fleet.checkpoint(eager=True)
-    # the threshold is one number: read it once from the checkpointed series and use it as a literal
-    if exact:
-        p = quantile_value(fleet, "fleet_kw", quantile)
-    else:
-        p = fleet.agg(F.percentile_approx("fleet_kw", quantile, accuracy).alias("q")).first()["q"]
-    p = F.lit(p).cast("double")
-    peaks = fleet.filter(F.col("fleet_kw") >= p).select(
+    spark, seen = df.sparkSession, Observation("fleet")
+    path = shared_dir(spark, "fleet-demand")
+    probs = [max(quantile - 2 / BRACKET, 0.0), min(quantile + 2 / BRACKET, 1.0)] if exact else [quantile]
+    series = grains.fleet_interval(df, rules.power_decimals).select("reading_ts", "fleet_kw_units")
+    (series.observe(seen, F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx("fleet_kw_units", probs, BRACKET if exact else accuracy).alias("q"))
+     .write.parquet(path))
+    fleet = spark.read.schema(series.schema).parquet(path)
+    q = seen.get["q"]
+    threshold = (_peak_threshold(fleet, tuple(q) if q else None, seen.get["n"], quantile) if exact
+                 else F.lit(q[0] if q else None).cast("bigint"))
+    peaks = fleet.filter(F.col("fleet_kw_units") >= threshold).select(
         F.year("reading_ts").alias("year"), F.month("reading_ts").alias("month"), "reading_ts", "fleet_kw_units")
     total = peaks.agg(F.sum("fleet_kw_units")).scalar()
     rows = df.select("meter_id", "year", "month", "reading_ts", grains.scaled_units("power_kw", rules.power_decimals).alias("_pw"))

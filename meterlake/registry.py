@@ -18,7 +18,8 @@ from .operators import grains
 from .operators.anomaly import anomaly_series
 from .operators.regression import forecast_grouped
 from .plans import consumption as C, dashboard as D, health as H, insights as A, power_quality as P, predict as PR
-from .testdata import curated_table, daily_table, rollup_table
+from .sources.curated import latest_partition
+from .testdata import curated_path, curated_table, daily_table, rollup_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,14 @@ def _on_curated(fn, **params) -> Query:
     return run
 
 
+def _of_latest(fn, **params) -> Query:
+    """Query over the latest period of the curated table, which the names of its folders tell."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(curated_table(spark, sf_dir), at=latest_partition(spark, curated_path(spark, sf_dir)), **params)
+    run.__name__ = fn.__name__
+    return run
+
+
 def _on_rollup(fn, **params) -> Query:
     """Dashboard feed over the hourly rollup Parquet table (written once per application)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,13 +108,15 @@ def registered_queries() -> dict[str, Query]:
     for fn in (C.q16_trend_7d_ma, C.q23_mom_growth, A.a1_anomaly_days):
         q[f"{fn.__name__}_calendar"] = _on_daily(fn, calendar=True)
     for fn in (C.q04_top_consumers,
-               C.q05_peak_hours, P.q06_voltage_bands, P.q07_current_bands, H.q08_health_summary,
+               C.q05_peak_hours, P.q06_voltage_bands, P.q07_current_bands,
                H.q09_health_trend, C.q10_weekend_split, P.q11_hourly_power, P.q12_abnormal_voltage,
                H.q13_unhealthiest, P.q14_peak_load, P.q15_base_load,
                P.q17_voltage_trend, H.q18_overvoltage, P.q20_freq_stability, C.q21_heatmap,
-               P.q22_high_load, H.q24_kpis, H.q25_dominant_status,
+               P.q22_high_load, H.q24_kpis,
                P.q26_load_factor, P.q27_sag_swell, C.q28_completeness):
         q[fn.__name__] = _on_curated(fn)
+    for fn in (H.q08_health_summary, H.q25_dominant_status):
+        q[fn.__name__] = _of_latest(fn)
     q["q19_dead_meters"] = _on_curated(H.q19_dead_meters, min_readings=0)
     for fn in (PR.p3_load_profile, PR.p4_seasonal_index, A.a4_segments, A.a5_voltage_quality, A.a6_peak_contributors,
                A.outage_spells):
@@ -127,7 +138,7 @@ def registered_queries() -> dict[str, Query]:
     q["forecast_grouped"] = _forecast_grouped
     q["forecast_seasonal"] = _forecast_seasonal
     q["daily_rollup"] = _on_curated(grains.daily_rollup)
-    q["q08_health_summary_month"] = _on_curated(H.q08_health_summary, period="month")
+    q["q08_health_summary_month"] = _of_latest(H.q08_health_summary, period="month")
     q["p4_seasonal_index_per_year"] = _on_curated(PR.p4_seasonal_index, per_year=True)
     q["p2_next_month_drop_partial"] = _on_curated(PR.p2_next_month, drop_partial=True)
     q["a6_peak_contributors_approx"] = _on_curated(A.a6_peak_contributors, exact=False, accuracy=1_000_000)
@@ -137,4 +148,6 @@ def registered_queries() -> dict[str, Query]:
     q.update(curation_queries())
     from .registry_streaming import registered as streaming_queries
     q.update(streaming_queries())
+    from .registry_maintenance import registered as maintenance_queries
+    q.update(maintenance_queries())
     return dict(sorted(q.items()))

@@ -99,6 +99,22 @@ def read_curated(spark: SparkSession, path: str, since=None, until=None,
     return df.select(*(columns or CURATED_COLUMNS))
 
 
+def latest_partition(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """The latest (year, month) of a partitioned table that has a file, from the names of its folders; None without any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def values(at, name: str) -> list[tuple[int, object]]:
+        found = ((re.fullmatch(rf"{name}=(\d+)", s.getPath().getName()), s.getPath()) for s in fs.listStatus(at) if s.isDirectory())
+        return sorted(((int(m[1]), p) for m, p in found if m), key=lambda v: -v[0])
+
+    for year, in_year in values(folder, "year") if fs.exists(folder) else ():
+        for month, in_month in values(in_year, "month"):
+            if any(s.getPath().getName()[0] not in "._" and s.getLen() for s in fs.listStatus(in_month)):
+                return year, month
+    return None
+
+
 def _plain(path: str) -> str:
     """A location without the ``file:`` scheme and trailing slashes."""
     return re.sub(r"^file:/*", "/", path).rstrip("/")

@@ -32,7 +32,8 @@ def _key(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str, str]:
     return spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind
 
 
-def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def curated_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the curated table, written once per application."""
     from .plans.jobs import curate_laid_out
     from .sources.curated import write_curated
     key = _key(spark, sf_dir, "curated")
@@ -40,7 +41,11 @@ def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = shared_dir(spark, "curated-standin")
         write_curated(curate_laid_out(standin_readings(spark, sf_dir)), path, laid_out=True)
         _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key]).select(*CURATED_COLUMNS)
+    return _WRITTEN[key]
+
+
+def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(curated_path(spark, sf_dir)).select(*CURATED_COLUMNS)
 
 
 def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
