@@ -13,17 +13,16 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import readings as R
 from ..rules import CURATED_COLUMNS, RULES, Rules
-from ..session import delete_path, shared_dir
+from ..session import delete_path, path_exists, shared_dir
 from ..sources.versions import FILE, live_files, read_files, version
 from .grains import scaled_units, status_from_key, worst_status_key
 
 #: decimal places of the exact sums
-PLACES = 10
+PLACES = 15
 SUMS = {"energy_kwh": "energy_kwh", "avg_voltage": "voltage_sum", "avg_current": "current_sum", "health_score": "score_sum"}
 ADDITIVE = (*SUMS.values(), "power_units", "readings")
 CELL = ("meter_id", "hour_ts")
@@ -37,7 +36,8 @@ def _signed(c: Column, sign: Column | None) -> Column:
 def cell_sums(df: DataFrame, power_decimals: int, sign: str | None = None) -> list[Column]:
     """Aggregates for the additive columns; with ``sign`` (a column of whole numbers), signed."""
     s = F.col(sign) if sign else None
-    exact = [_signed(F.col(c).cast(f"decimal(20,{PLACES})"), s).cast(_DECIMAL).alias(a) for c, a in SUMS.items()]
+    few = None if s is None else s.cast("decimal(5,0)")   # a wider factor would cost the product decimal places
+    exact = [_signed(F.col(c).cast(f"decimal(20,{PLACES})"), few).cast(_DECIMAL).alias(a) for c, a in SUMS.items()]
     return [*exact, _signed(scaled_units("power_kw", power_decimals), s).cast("bigint").alias("power_units"),
             (F.count(F.lit(1)) if s is None else F.sum(s)).cast("bigint").alias("readings")]
 
@@ -117,12 +117,7 @@ CELLS_SCHEMA = ("meter_id string, hour_ts timestamp_ntz, " + ", ".join(f"{c} {_D
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(CELLS_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CELLS_SCHEMA)
+    return spark.read.schema(CELLS_SCHEMA).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], CELLS_SCHEMA)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:

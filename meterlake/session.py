@@ -55,6 +55,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any that matches a pattern, exists (asked of Hadoop's file systems, no failing read)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -67,4 +74,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "shared_dir"]
+__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "path_exists", "shared_dir"]

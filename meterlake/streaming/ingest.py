@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import curate, dedup_key
 from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
-from ..session import delete_path, shared_dir
+from ..session import delete_path, path_exists, shared_dir
 from ..sources.curated import write_curated
 from ..sources.raw import normalize_columns, parse_lines
 from .source import raw_line_stream
@@ -31,6 +31,8 @@ from .source import raw_line_stream
 
 def _existing(spark: SparkSession, path: str, absent: tuple[str, ...] = ("PATH_NOT_FOUND",)) -> DataFrame | None:
     """The Parquet data at ``path``; None when it fails for one of the ``absent`` reasons, any other failure is raised."""
+    if "PATH_NOT_FOUND" in absent and not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:

@@ -14,12 +14,12 @@ committed all batches of the run.
 """
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.wallclock import to_instant
 from ..operators.clean import in_range, not_null, typed_readings
 from ..rules import BASE_COLUMNS, RULES, Rules
+from ..session import path_exists
 from ..sources.raw import normalize_columns, parse_lines
 from .source import raw_line_stream
 
@@ -30,12 +30,9 @@ MARKS_SCHEMA = "batch_id bigint, watermark timestamp_ntz, newest timestamp_ntz,
 
 
 def _marks(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(MARKS_SCHEMA).parquet(f"{root}/marks")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, f"{root}/marks"):
         return spark.createDataFrame([], MARKS_SCHEMA)
+    return spark.read.schema(MARKS_SCHEMA).parquet(f"{root}/marks")
 
 
 def stage_batch(spark: SparkSession, lines: DataFrame, batch_id: int, root: str, delay: str, rules: Rules = RULES) -> dict:
@@ -81,12 +78,10 @@ def staged_readings(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _kind(spark: SparkSession, root: str, kind: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/rows/batch=*/kind={kind}")
-    except AnalysisException as e:  # no row of that kind so far
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folders = f"{root}/rows/batch=*/kind={kind}"
+    if not path_exists(spark, folders):  # no row of that kind so far
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folders)
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:
