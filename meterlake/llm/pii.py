@@ -80,6 +80,8 @@ class Family:
     shape: object
 
 
+#: matches of a text that are placed together
+MATCH_BLOCK = 256
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 FAMILIES = (
     Family("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@",
@@ -108,12 +110,21 @@ FAMILIES = (
 )
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _matches(text: Column, family: Family) -> Column:
     """``before, value, after`` of each match: the text since the match before it, the match, and the text up to the next."""
-    pieces = F.split(text, family.expression, -1)
-    values = F.regexp_extract_all(text, F.lit(family.expression), F.lit(0))
-    zipped = F.transform(values, lambda v, i: F.struct(F.get(pieces, i).alias("before"), v.alias("value"), F.get(pieces, i + 1).alias("after")))
-    return F.when(text.rlike(family.signal), zipped).otherwise(F.array().cast("array<struct<before:string,value:string,after:string>>"))
+    paired = F.zip_with(F.split(text, family.expression, -1), F.regexp_extract_all(text, F.lit(family.expression), F.lit(0)),
+                        lambda before, value: F.struct(before.alias("before"), value.alias("value")))  # the last has no value
+
+    def with_after(pairs: Column) -> Column:
+        return F.filter(F.transform(pairs, lambda p, i: F.struct(p["before"].alias("before"), p["value"].alias("value"), F.get(pairs, i + 1)["before"].alias("after"))),
+                        lambda m: m["value"].isNotNull())
+
+    return F.when(text.rlike(family.signal), _let(paired, with_after)).otherwise(F.array().cast("array<struct<before:string,value:string,after:string>>"))
 
 
 def _votes(match: Column, family: Family) -> Column:
@@ -142,12 +153,31 @@ def candidates(text: Column) -> Column:
     kind = "array<struct<kind:string,start:int,end:int,pattern:string>>"
 
     def of(family: Family) -> Column:
+        def length(match: Column) -> Column:
+            return F.length(match["before"]) + F.length(match["value"])
+
         def placed(done: Column, match: Column) -> Column:
-            start = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + F.length(match["before"])
-            return F.concat(done, F.array(F.struct(
-                F.lit(family.kind).alias("kind"), start.cast("int").alias("start"), (start + F.length(match["value"])).cast("int").alias("end"),
-                F.when(_is_candidate(match, family), _pattern(match, family)).otherwise("").alias("pattern"))))
-        return F.filter(F.aggregate(_matches(text, family), F.array().cast(kind), placed), lambda c: c["pattern"] != "")
+            start = done["at"] + F.length(match["before"])
+            end = done["at"] + length(match)
+            one = F.struct(F.lit(family.kind).alias("kind"), start.alias("start"), end.alias("end"),
+                           F.when(_is_candidate(match, family), _pattern(match, family)).otherwise("").alias("pattern"))
+            return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
+
+        def in_block(block: Column, at: Column) -> Column:
+            return F.aggregate(block, F.struct(at.alias("at"), F.array().cast(kind).alias("out")), placed)["out"]
+
+        def in_blocks(blocks: Column) -> Column:
+            # a growing array is copied for each element: only those of one block, and that of the blocks' first places, grow
+            totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, m: total + length(m)))
+            firsts = F.aggregate(totals, F.array(F.lit(0)), lambda done, total: F.concat(done, F.array(F.element_at(done, -1) + total)))
+            return F.flatten(F.zip_with(blocks, F.slice(firsts, F.lit(1), F.size(blocks)), in_block))
+
+        def cut(matches: Column) -> Column:
+            number = F.ceil(F.size(matches) / F.lit(MATCH_BLOCK)).cast("int")
+            return F.transform(F.filter(F.sequence(F.lit(0), number), lambda k: k < number),
+                               lambda k: F.slice(matches, k * MATCH_BLOCK + 1, F.lit(MATCH_BLOCK)))
+
+        return F.filter(_let(_let(_matches(text, family), cut), in_blocks), lambda c: c["pattern"] != "")
 
     return F.concat(*(of(f) for f in FAMILIES))
 
