@@ -548,10 +548,17 @@ def class_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return links.join(a, "a").join(b, "b").select("a", "b", "id_a", "id_b")
 
 
+def _unused(columns: list[str], name: str) -> str:
+    """A column name that none of ``columns`` has, in any case."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with all their columns, less those that have one of smaller id in their component. Rows with one
     id stay or go together, and equal rows among them are one. Only documents that a filter of the ids concerned
-    passes are shuffled."""
+    passes are shuffled. Rows that differ in any column both stay (columns of maps are not compared)."""
     documents, components, _, _ = _joined(docs, id_col, text_col)
     found = _named(documents, components.withColumn("links", F.lit(None).cast("bigint")), id_col)  # links are not counted here
     ids = found.groupBy(id_col).agg(F.max("component_id").alias("component_id"), F.count("*").alias("n"))
@@ -559,7 +566,8 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     concerned = stored(ids.filter(gone | (F.col("n") > 1)).select(F.col(id_col).alias("_id"), gone.alias("_gone")), "concerned-ids")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(concerned.select(F.xxhash64("_id").alias("place"))))
     columns = docs.columns
-    schema = docs.withColumn("_place", F.lit(0).cast("bigint")).schema
+    place_col, key_col, gone_col = (_unused(columns, name) for name in ("place", "key", "gone"))
+    schema = docs.withColumn(place_col, F.lit(0).cast("bigint")).schema
 
     def filtered(passed: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -569,11 +577,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 hit = ((bits[place >> 5] >> (place & 31).astype("<u4")) & 1 == 1)
                 yield batch.filter(pa.array(hit == passed))
 
-        return docs.withColumn("_place", F.xxhash64(id_col)).mapInArrow(run, schema).drop("_place")
+        return docs.withColumn(place_col, F.xxhash64(id_col)).mapInArrow(run, schema).drop(place_col)
 
-    unsure = filtered(True).join(concerned, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    repeated = unsure.filter("NOT _gone").drop("_id", "_gone").dropDuplicates([id_col, text_col])
-    return (filtered(False).unionByName(unsure.filter("_id IS NULL AND _gone IS NULL").drop("_id", "_gone"))
+    named = concerned.select(F.col("_id").alias(key_col), F.col("_gone").alias(gone_col))
+    unsure = filtered(True).join(named, F.col(id_col).eqNullSafe(F.col(key_col)), "left")
+    compared = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    repeated = unsure.filter(~F.col(gone_col)).drop(key_col, gone_col).dropDuplicates(compared)
+    return (filtered(False).unionByName(unsure.filter(F.col(key_col).isNull() & F.col(gone_col).isNull()).drop(key_col, gone_col))
             .unionByName(repeated))
 
 

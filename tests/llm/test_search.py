@@ -171,3 +171,16 @@ def test_components_of_chains_and_stars(spark, edges):
                 parent[a] = parent[b] = min(parent[a], parent[b])
                 changed = True
     assert got == parent
+
+
+def test_one_of_each_keeps_clashing_columns_and_rows_that_differ(spark):
+    from meterlake.llm import ngram_join
+    text = prose(4, 60)
+    rows = [(1, text, "a"), (2, text, "b"), (3, prose(5, 60), "c"), (3, prose(5, 60), "c"), (3, prose(5, 60), "d"), (None, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, note string").selectExpr(
+        "*", "10 AS _place", "'x' AS _id", "true AS _gone", "1 AS key", "2 AS GONE", "3 AS place")
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r[0], r[2], r["_place"], r["_id"], r["_gone"], r["key"], r["GONE"], r["place"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "a", 10, "x", True, 1, 2, 3), (3, "c", 10, "x", True, 1, 2, 3), (3, "d", 10, "x", True, 1, 2, 3),
+                          (None, "e", 10, "x", True, 1, 2, 3)], key=repr)
