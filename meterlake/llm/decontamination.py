@@ -5,9 +5,10 @@ shingles. MinHash estimates Jaccard similarity, which a short item and a long do
 the search works on parts of like size. Items are partitioned by the power of two above their shingle
 count, w; a document of at most 2w shingles is one window, a longer one is covered by windows of 2w
 consecutive shingles that overlap by half, so that a passage of the item's length lies whole in one.
-An item and its window then have a Jaccard similarity of at least 0.17 (at threshold 0.75), and with 64
-hash functions, each a band of its own, a pair escapes with probability below 1e-5. Every candidate pair
-is then verified by counting the item's shingles in the whole document's set.
+An item of four shingles or more and its window then have a Jaccard similarity of at least 0.17 (at threshold
+0.75), and with 64 hash functions, each a band of its own, a pair escapes with probability below 1e-5. Items of
+fewer shingles are much smaller than the least window; they are looked up by their shingles themselves, and none
+escapes. Every candidate pair is then verified by counting the item's shingles in the whole document's set.
 
 The minima of the windows of all widths come from one pass: those of width 2w are minima of two of
 width w. Item signatures and shingles travel to the tasks in chunks of ``chunk_items`` items, each of a
@@ -35,6 +36,7 @@ SHINGLE = 5
 THRESHOLD = 0.75
 HASHES = 64
 LEAST_WIDTH = 8
+TINY = 3  # shingles
 CHUNK_ITEMS = 20_000
 CHUNK_SHINGLES = 4_000_000
 _U = np.uint64
@@ -53,15 +55,22 @@ def width_of(n_shingles: int) -> int:
 
 
 class ItemIndex:
-    """A chunk of items: their shingle sets, and for each width and hash function their sorted minima."""
+    """A chunk of items: their shingle sets, for each width and hash function their sorted minima, and the tiny items
+    by shingle."""
 
     def __init__(self, ids: list, sets: list[np.ndarray]):
         self.ids, self.sets = ids, sets
         self.shingles = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
         self.minima: dict[int, list] = {}
         of_width: dict[int, list[int]] = {}
+        tiny: list[int] = []
         for i, s in enumerate(sets):
-            of_width.setdefault(width_of(len(s)), []).append(i)
+            (tiny if len(s) <= TINY else of_width.setdefault(width_of(len(s)), [])).append(i)
+        value = np.concatenate([np.zeros(0, _U), *(sets[i] for i in tiny)])
+        order = np.argsort(value, kind="stable")
+        self.tiny, self.tiny_items = value[order], np.repeat(np.array(tiny, dtype=np.int64), [len(sets[i]) for i in tiny])[order]
+        self.tiny_seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self.tiny_seen[value >> _U(64 - _FILTER_BITS)] = True
         for width, members in of_width.items():
             tables = []
             for k in range(HASHES):
@@ -73,10 +82,12 @@ class ItemIndex:
             self.minima[width] = tables
 
     def candidates(self, hashes: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
-        """Pairs of text and item whose minima agree in a window."""
+        """Pairs of text and item whose minima agree in a window, and of text and tiny item that share a shingle."""
         found: set[tuple[int, int]] = set()
+        if len(self.tiny):
+            self._tiny_matches(hashes, at, found)
         starts, text = _blocks(at, LEAST_WIDTH)
-        if not len(starts):
+        if not len(starts) or not self.minima:
             return found
         levels, width = [], LEAST_WIDTH
         while width <= max(self.minima):
@@ -94,6 +105,15 @@ class ItemIndex:
                 least = least[even]
         return found
 
+    def _tiny_matches(self, hashes: np.ndarray, at: np.ndarray, found: set) -> None:
+        likely = np.flatnonzero(self.tiny_seen[hashes >> _U(64 - _FILTER_BITS)])
+        low = np.searchsorted(self.tiny, hashes[likely], side="left")
+        high = np.searchsorted(self.tiny, hashes[likely], side="right")
+        text = np.searchsorted(at, likely, side="right") - 1
+        for j in np.flatnonzero(high > low):
+            for i in self.tiny_items[low[j]:high[j]].tolist():
+                found.add((int(text[j]), i))
+
     @staticmethod
     def _matches(table, window: np.ndarray, text: np.ndarray, found: set) -> None:
         least, members, seen = table

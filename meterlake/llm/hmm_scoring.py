@@ -9,9 +9,10 @@ tokens of each group of about ``GROUP`` tokens of text, and grows with the corpu
 
 Baum-Welch: each group sums up the expected counts of its training sequences by the scaled forward-backward
 recursion, Spark adds them up by symbol and by rare token, and the driver turns the bounded totals of the symbols
-into the next model. For training only, a sequence is cut into blocks of ``BLOCK`` symbols, each with a start of its
-own; scoring runs the scaled forward recursion over whole texts, and is exact. Long texts are scored in
-chunks whose transfer matrices are multiplied, which is the same recursion with bounded steps.
+into the next model. Training reads whole texts: those of over ``BLOCK`` symbols go through the recursion in blocks, side
+by side, once the blocks' transfer matrices have carried the forward and backward messages to their ends, which gives
+the same counts as the uncut recursion. Scoring runs the scaled forward recursion over whole texts; long texts are scored
+in chunks whose transfer matrices are multiplied, which is the same recursion with bounded steps.
 
 Cases: a null or empty text is its end alone; a token that training never saw counts 0; with no training
 texts N and V are 0; repeated rows are scored row by row (rows are told apart by a number of their own, not
@@ -198,26 +199,31 @@ def _summed(item: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(item, weights=gamma[:, j], minlength=n) for j in range(gamma.shape[1])], axis=1)
 
 
+def _filled(parts: list[np.ndarray], steps: int) -> np.ndarray:
+    out = np.zeros((steps, len(parts)), dtype=np.int64)
+    for lane, s in enumerate(parts):
+        out[:len(s), lane] = s
+    return out
+
+
 def _posteriors(model: Model, symbols: list[np.ndarray], lengths: np.ndarray, rare: list[np.ndarray] | None = None,
-                factors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+                factors: np.ndarray | None = None, before: np.ndarray | None = None,
+                after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
     """Expected starts and moves; of each place the states' probabilities, its symbol and its row of ``factors``, by which
-    its emission is multiplied."""
+    its emission is multiplied. ``before`` and ``after`` are the messages from the rest of each block's text: the states'
+    probabilities at the symbol before it (all 0 where the text begins), and the likelihood of all that follows by the
+    block's last state, to any scale."""
     steps, lanes, k = int(lengths.max()), len(lengths), len(model.start)
-
-    def filled(parts: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((steps, lanes), dtype=np.int64)
-        for lane, s in enumerate(parts):
-            out[:len(s), lane] = s
-        return out
-
-    seen = filled(symbols)
+    seen = _filled(symbols, steps)
     inside = np.arange(steps)[:, None] < lengths
     likely = np.where(inside[:, :, None], model.emits[seen], 1.0)
     if rare is not None:
-        own = filled(rare)
+        own = _filled(rare, steps)
         likely *= factors[own]
+    before = np.zeros((lanes, k)) if before is None else before
+    begins = before.sum(axis=1) == 0
     forward, scale = np.empty((steps, lanes, k)), np.empty((steps, lanes))
-    a = model.start * likely[0]
+    a = np.where(begins[:, None], model.start, before @ model.moves) * likely[0]
     for t in range(steps):
         if t:
             a = (a @ model.moves) * likely[t]
@@ -226,19 +232,72 @@ def _posteriors(model: Model, symbols: list[np.ndarray], lengths: np.ndarray, ra
         forward[t] = a
     moves = np.zeros((k, k))
     b = np.ones((lanes, k))
+    if after is not None:
+        b = after / (forward[lengths - 1, np.arange(lanes)] * after).sum(axis=1, keepdims=True)
     for t in range(steps - 1, 0, -1):
         ahead = likely[t] * b / scale[t][:, None]
         live = inside[t][:, None]
         moves += (forward[t - 1] * live).T @ ahead
         forward[t] *= np.where(live, b, 1.0)
         b = np.where(live, ahead @ model.moves.T, b)
+    moves += before.T @ (likely[0] * b / scale[0][:, None])
     forward[0] *= b
     gamma = forward[inside]
     gamma /= gamma.sum(axis=1, keepdims=True)
-    start = (forward[0] / forward[0].sum(axis=1, keepdims=True)).sum(axis=0)
+    start = (forward[0] / forward[0].sum(axis=1, keepdims=True))[begins].sum(axis=0)
     return start, moves * model.moves, gamma, seen[inside], own[inside] if rare is not None else None
 
 
+def _transfers(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray], factors: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Of each block, to a scale, the matrix that takes the states' weights before it to those at its last symbol; of a
+    text's first block, the start to those at its last symbol."""
+    k = len(model.start)
+    out = np.empty((len(symbols), k, k))
+    lengths = np.array([len(s) for s in symbols])
+    order = np.argsort(-lengths, kind="stable")
+    for i in range(0, len(order), LANES):
+        lanes = order[i:i + LANES]
+        steps = int(lengths[lanes[0]])
+        likely = model.emits[_filled([symbols[j] for j in lanes], steps)] * factors[_filled([rare[j] for j in lanes], steps)]
+        m = np.where(begins[lanes][:, None, None], np.eye(k), model.moves) * likely[0][:, None, :]
+        live = np.searchsorted(-lengths[lanes], -np.arange(1, steps + 1), side="right")
+        for t in range(1, steps):
+            n = live[t]
+            m[:n] = (m[:n].reshape(-1, k) @ model.moves).reshape(-1, k, k) * likely[t, :n, None, :]
+            if t % 8 == 0:
+                m /= m.sum(axis=(1, 2), keepdims=True)
+        out[lanes] = m / m.sum(axis=(1, 2), keepdims=True)
+    return out
+
+
+def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray] | None = None,
+                factors: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """What ``_posteriors`` gives for whole texts of any length, in portions of bounded size."""
+    k = len(model.start)
+    if rare is None:
+        rare, factors = [np.zeros(len(s), dtype=np.int64) for s in symbols], np.ones((1, k))
+    text = np.repeat(np.arange(len(symbols)), [-(-len(s) // BLOCK) for s in symbols])
+    cut, cut_rare = ([s[i:i + BLOCK] for s in parts for i in range(0, len(s), BLOCK)] for parts in (symbols, rare))
+    begins, ends = np.append(True, text[1:] != text[:-1]), np.append(text[1:] != text[:-1], True)
+    before, after = np.zeros((len(cut), k)), np.ones((len(cut), k))
+    several = np.flatnonzero(~(begins & ends))
+    if len(several):
+        matrices = dict(zip(several.tolist(), _transfers(model, [cut[i] for i in several], [cut_rare[i] for i in several], factors, begins[several])))
+        for i in several.tolist():
+            if not begins[i]:
+                state = (model.start if begins[i - 1] else before[i - 1]) @ matrices[i - 1]
+                before[i] = state / state.sum()
+        for i in several[::-1].tolist():
+            if not ends[i]:
+                state = matrices[i + 1] @ after[i + 1]
+                after[i] = state / state.sum()
+    lengths = np.array([len(s) for s in cut], dtype=np.int64)
+    order = np.argsort(lengths, kind="stable")
+    for i in range(0, len(order), LANES):
+        lanes = order[i:i + LANES]
+        yield _posteriors(model, [cut[j] for j in lanes], lengths[lanes], [cut_rare[j] for j in lanes], factors, before[lanes], after[lanes])
+
+
 def needed(coded: DataFrame, counts: DataFrame) -> DataFrame:
     """``part, token, kind, n, here``: the rare tokens of each group with their class, their number in training, and their
     number in the group's training texts."""
@@ -340,15 +399,10 @@ def _totals(training: DataFrame, need: DataFrame, counted: Counted | None, model
         own, vocabulary = shared.value
         token, n, factors = _factors(tokens, own, vocabulary)
         start, moves, emits, members = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits), np.zeros_like(factors)
-        here, blocks = np.zeros(len(factors), dtype=np.int64), []
-        for s, r in zip(rows.column("symbols").to_pylist(), rows.column("rare").to_pylist()):
-            s = np.frombuffer(s, "<u2")
-            place = _places(s, r, len(vocabulary.tokens), token)
-            blocks.extend((s[i:i + BLOCK], place[i:i + BLOCK]) for i in range(0, len(s), BLOCK))
-        blocks.sort(key=lambda b: len(b[0]))
-        for i in range(0, len(blocks), LANES):
-            symbols, places = zip(*blocks[i:i + LANES])
-            s, m, gamma, symbol, place = _posteriors(own, symbols, np.array([len(x) for x in symbols]), places, factors)
+        here = np.zeros(len(factors), dtype=np.int64)
+        symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
+        places = [_places(s, r, len(vocabulary.tokens), token) for s, r in zip(symbols, rows.column("rare").to_pylist())]
+        for s, m, gamma, symbol, place in whole_texts(own, symbols, places, factors):
             start += s
             moves += m
             emits += _summed(symbol, gamma, len(emits))

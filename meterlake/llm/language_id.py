@@ -9,7 +9,8 @@ narrower margin than ``reject_margin`` is marked rejected.
 Training texts are a bounded sample: for each language the ``sample_docs`` different texts with the
 smallest hashes, as many as ``dictionary_bytes`` hold, texts of over an eighth of that after all others;
 which texts these are does not depend on partitions. Candidates are thinned by a threshold on the hash before they
-are ranked, so no language is gathered in one task. Every language value is learned: the model that is broadcast
+are ranked, so no language is gathered in one task. Of the ranked texts only those that a dictionary has room for
+reach the driver, and of each no more than the dictionary's size. Every language value is learned: the model that is broadcast
 holds ``MODEL_BYTES`` in all, so beyond 128 languages each has a smaller dictionary, of ``LEAST_BYTES`` at least.
 
 Cases: a null text or one without a letter is ``und`` with score 0; with no training language at all
@@ -57,13 +58,15 @@ def train(texts: DataFrame, *, lang_col: str = "lang", text_col: str = "text", s
     ranked = (rows.join(F.broadcast(counts), "lang")  # a few bytes for each language value
               .filter(F.pmod("place", F.lit(1 << 30)) < share * F.lit(1 << 30))
               .dropDuplicates(["lang", "place"])
-              .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy(long, "place"))))
-    sample = ranked.filter(F.col("nth") <= sample_docs).orderBy(F.desc("n"), "lang", "nth")
+              .select("lang", "n", "place", (F.octet_length("text") + 1).alias("room"), long.alias("long"),
+                      F.left("text", F.lit(dictionary_bytes)).alias("text")))
+    in_order = W.partitionBy("lang").orderBy("long", "place")
+    ranked = ranked.select("*", F.row_number().over(in_order).alias("nth"),
+                           (F.sum(F.col("room").cast("long")).over(in_order.rowsBetween(W.unboundedPreceding, 0)) - F.col("room")).alias("before"))
+    sample = ranked.filter((F.col("nth") <= sample_docs) & (F.col("before") < dictionary_bytes)).orderBy(F.desc("n"), "lang", "nth")
     found: dict[str, bytes] = {}
     for row in sample.select("lang", "text").toLocalIterator():
-        have = found.get(row.lang, b"")
-        if len(have) < dictionary_bytes:
-            found[row.lang] = (have + row.text.encode() + b" ")[:dictionary_bytes]
+        found[row.lang] = (found.get(row.lang, b"") + row.text.encode() + b" ")[:dictionary_bytes]
     return list(found.items())
 
 

@@ -7,8 +7,8 @@ documents, without any given label. The posterior of a document's pattern is its
 of a bounded sample train a linear scorer over hashed words and binned statistics by logistic regression,
 whose gradients the partitions sum up; the scorer then judges every whole document.
 
-The sample is the documents whose hash falls below ``train_docs`` / all documents: about that many,
-the same ones whatever the partitions. A document is rejected when its score is below ``threshold``.
+The sample is the different texts whose hash falls below ``train_docs`` / all different texts: about that many, the
+same ones whatever the partitions, and a text with many copies counts once. A document is rejected when its score is below ``threshold``.
 
 Cases: a null text, or one without words, has score 0 and is rejected; repeated rows are judged row by
 row, and alike; an empty table gives an empty result; other input columns are not read by the scorer and
@@ -203,11 +203,17 @@ def train(docs: DataFrame, *, text_col: str = "text", train_docs: int = TRAIN_DO
     if not len(codes):
         return LabelModel(np.full(KINDS + 1, 1 / (KINDS + 1)), np.full((KINDS + 1, len(LABELLERS), 3), 1 / 3)), np.zeros(dims)
     model = estimate(codes, counts)
-    share = min(1.0, train_docs / counts.sum())
+    texts = docs.select(text_col, F.xxhash64(text_col, F.length(text_col)).alias("digest"))
+    share = min(1.0, train_docs / max(texts.agg(F.approx_count_distinct("digest", 0.02)).first()[0], 1))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()  # of the sample, which is bounded
         for batch in text_batches(batches, text_col):
-            for _, _, stats, hashes, at in described(ta.utf8(batch.column(0))):
+            batch = batch.take(pa.array([i for i, d in enumerate(batch.column(1).to_pylist()) if d not in met and not met.add(d)], pa.int64()))
+            if not batch.num_rows:
+                continue
+            digests = batch.column(1).to_numpy()
+            for first, last, stats, hashes, at in described(ta.utf8(batch.column(0))):
                 code = votes(stats, np.diff(at))
                 voted = (code > 0) & (np.diff(at) > 0)
                 bucket, weight, text = features(stats, hashes, at, bits)
@@ -218,11 +224,12 @@ def train(docs: DataFrame, *, text_col: str = "text", train_docs: int = TRAIN_DO
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([bucket[cuts[i]:cuts[i + 1]].tobytes() for i in rows], pa.binary()),
                      pa.array([weight[cuts[i]:cuts[i + 1]].tobytes() for i in rows], pa.binary()),
-                     pa.array(model.posterior(code)[rows], pa.float64())], names=["bucket", "weight", "good"])
+                     pa.array(model.posterior(code)[rows], pa.float64()), pa.array(digests[first:last][rows])],
+                    names=["bucket", "weight", "good", "digest"])
 
-    chosen = F.pmod(F.xxhash64(text_col, F.length(text_col)), F.lit(1 << 30)) < share * (1 << 30)
-    sample = stored(docs.filter(chosen).select(text_col).mapInArrow(featured, "bucket binary, weight binary, good double")
-                    .repartition(8), "quality-sample")
+    chosen = F.pmod("digest", F.lit(1 << 30)) < share * (1 << 30)
+    sample = stored(texts.filter(chosen).mapInArrow(featured, "bucket binary, weight binary, good double, digest bigint")
+                    .dropDuplicates(["digest"]).drop("digest").repartition(8), "quality-sample")
     weights, squares = np.zeros(dims), np.full(dims, 1e-6)
     for _ in range(epochs):
         gradient, n = _gradient(sample, weights)

@@ -48,6 +48,19 @@ def test_a_passage_is_found_wherever_windows_begin():
         assert [r[:2] for r in decontamination._verified(text, index, 0.75)] == [(0, 0)], lead
 
 
+def test_items_of_few_words_are_found_at_the_ends_of_long_texts(spark):
+    rows, items = [], []
+    for i in range(300):
+        own = " ".join(f"w{i}x{j}" for j in range(5 + i % 4))
+        items.append((i, own))
+        around = prose(1_000 + i, 150)
+        rows.append((i, " ".join([own, around] if i % 2 else [around, own])))
+    rows.append((300, " ".join(items[1][1].split()[:5])))  # one of an item's two shingles
+    docs, tests = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.leaks(docs, tests).collect()
+    assert {tuple(r)[:4] for r in got} == _leaks(docs.collect(), tests.collect()) == {(i, i, 1 + i % 4, 1 + i % 4) for i in range(300)}
+
+
 class _Items:
     def __init__(self, rows):
         self.rows = rows

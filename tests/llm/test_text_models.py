@@ -53,6 +53,16 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert max(abs(one[k] - many[k]) for k in one) < 1e-6
 
 
+def test_the_sample_counts_a_text_once(spark, monkeypatch):
+    rows = [(i, f"The story of {i} and of the other one is told, in the end, by a child of the house. " * 3) for i in range(40)]
+    sizes = []
+    monkeypatch.setattr(quality, "_gradient", lambda sample, weights: (sizes.append(sample.count()), (np.zeros(len(weights)), 0))[1])
+    for copies in (1, 60):
+        docs = spark.createDataFrame(rows + rows[:1] * (copies - 1) + [(-1, None)], "doc_id long, text string").repartition(5)
+        quality.train(docs)
+    assert sizes[0] == sizes[1] == 40
+
+
 # ---- language ----
 
 def test_held_out_languages(spark):
@@ -64,6 +74,19 @@ def test_held_out_languages(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_dictionaries_equal_those_of_whole_texts(spark):
+    """Only as much text as a dictionary holds comes to the driver; the dictionaries are those of all ranked texts."""
+    rng, size = np.random.default_rng(3), 3_000
+    rows = [(lang, " ".join("".join(rng.choice(list("abcdefé"), 5)) for _ in range(n))) for lang in ("x", "y") for n in [8] * 30 + [9_000] * 3]
+    texts = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    ranked = texts.selectExpr("lang", "text", "xxhash64(text) AS place").collect()
+    want = {}
+    for lang in ("x", "y"):
+        own = sorted((r for r in ranked if r.lang == lang), key=lambda r: (len(r.text.encode()) > size // 8, r.place))
+        want[lang] = b"".join(r.text.encode() + b" " for r in own)[:size]
+    assert dict(language_id.train(texts, dictionary_bytes=size)) == want
+
+
 def test_language_of_awkward_tables(spark, awkward, empty):
     models = language_id.train(awkward)
     assert {name for name, _ in models} == {"en", "fr", "de"} and models[0][0] == "en"
@@ -157,6 +180,19 @@ def test_expected_counts_equal_all_paths():
         assert got == pytest.approx(sum(w[i] for w in want), abs=1e-12)
 
 
+def test_counts_of_long_texts_equal_the_uncut_recursion(monkeypatch):
+    """Also of a text of 5,000 symbols, of one that ends at a block's end, and of one that is a block."""
+    model, rng = _model(4, 30, 5), np.random.default_rng(6)
+    texts = [rng.integers(0, 30, n) for n in (5_000, 1, 40, 512, 256, 257, 3)]
+    want = [hmm_scoring.expected(model, [t], np.array([len(t)])) for t in texts]
+    for block in (256, 7):
+        monkeypatch.setattr(hmm_scoring, "BLOCK", block)
+        got = [[s, m, hmm_scoring._summed(symbol, gamma, 30)] for s, m, gamma, symbol, _ in hmm_scoring.whole_texts(model, texts)]
+        for i in range(3):
+            assert sum(g[i] for g in got) == pytest.approx(sum(w[i] for w in want), rel=1e-9, abs=1e-9)
+    assert list(hmm_scoring.whole_texts(model, [])) == []
+
+
 def test_likelihood_equals_all_paths_and_chunks_equal_steps(monkeypatch):
     model = _model(3, 5, 2)
     sequences = [np.array(s) for s in ([4], [1, 0], [0, 3, 2, 2, 1, 4, 0])]
