@@ -3,9 +3,11 @@
 A text's tokens are its words (``A-Z`` lower-cased) and one end. Every token of the training texts has an emission
 probability in each state. The ``FREQUENT`` most frequent tokens are symbols and held by every task. Each other one
 belongs to one of ``CLASSES`` classes by length and last byte, which are symbols too: a state emits the class, and
-in it the token by its own expected count in that state, with ``SMOOTHING`` shared out to the states and as much for
-what training never saw. The counts of these rare tokens are a table by token. It is joined in each round to the
-tokens of each group of about ``GROUP`` tokens of text, and grows with the corpus; what tasks hold does not.
+in it the token by its own expected count in that state. All tokens, and an unseen one of each class, have the same prior:
+``EMISSION_PRIOR`` counts, shared out as the tokens are in training. What a task holds of rare tokens are those of
+one group of about ``GROUP`` tokens of text. In each round a group keeps the counts of tokens that no other group trains,
+and sends those of the others, as their mean states in half precision and in packed arrays, to buckets of about
+``BUCKET`` by hash, which sum them up and send them back. They grow with the corpus; what tasks hold does not.
 
 Baum-Welch: each group sums up the expected counts of its training sequences by the scaled forward-backward
 recursion, Spark adds them up by symbol and by rare token, and the driver turns the bounded totals of the symbols
@@ -20,10 +22,9 @@ by id); an empty table gives an empty result; other input columns are not read.
 """
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import delete_path
 from . import textarrays as ta
-from .common import crc_mod, read_table, shared_dir, stored, text_batches
+from .common import crc_mod, read_table, shared_dir, text_batches
 
 FREQUENT = 65_000
 CLASSES = 128
@@ -46,7 +47,8 @@ CHUNK = 2048
 SMOOTHING = 0.1
 EMISSION_PRIOR = 20.0
 COUNT_BLOCK = 1 << 22
-GROUP = 1 << 21
+GROUP = 1 << 22  # tokens
+BUCKET = 1 << 18  # rare tokens of groups
 END = ta.word_hash(b" ")  # no word holds a blank
 _U = np.uint64
 
@@ -108,9 +110,16 @@ class Vocabulary:
     def symbols(self) -> int:
         return len(self.tokens) + CLASSES
 
+    @property
+    def mass(self) -> float:
+        """All training tokens, and ``SMOOTHING`` for each distinct one and for an unseen one of each class."""
+        return float(self._room().sum())
+
+    def _room(self) -> np.ndarray:
+        return np.concatenate([self.counts + SMOOTHING, self.class_total + SMOOTHING * (self.class_distinct + 1)])
+
     def unigram(self) -> np.ndarray:
-        n = np.concatenate([self.counts, self.class_total]) + SMOOTHING
-        return n / n.sum()
+        return self._room() / self.mass
 
     def log_base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
@@ -138,39 +147,65 @@ def vocabulary(counts: DataFrame, frequent: int) -> Vocabulary:
     return Vocabulary(tokens, n, total, distinct, rest[0].astype(np.float64), rest[1].astype(np.float64))
 
 
-SEQUENCES = ("part bigint, held_out boolean, n_tokens bigint, symbols binary, known bigint, base double, rare binary, rare_class binary")
+CODED = ("part bigint, id {kind}, held_out boolean, n_tokens bigint, symbols binary, known bigint, base double, rare binary, "
+         "token binary, class binary, here binary")
 
 
-def sequences(docs: DataFrame, words: Vocabulary, id_col: str) -> DataFrame:
+def sequences(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """A row for each text: its group, its symbols as unsigned 16-bit integers (at most 65,535 by ``vocabulary``), what its
-    frequent tokens give to the base score, and its rare tokens with their classes."""
+    frequent tokens give to the base score, and the places of its rare tokens in the group's list. And a row for each
+    group, without ``n_tokens``: the list of its rare tokens in order, their classes, and their numbers in its training texts."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = docs.schema["id"].dataType.simpleString()
+    names = [f.split()[0] for f in CODED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, part, held = shared.value, TaskContext.get().partitionId() << 36, 0
-        base = known.log_base(known.counts)
+        vocabulary, part, size = shared.value, TaskContext.get().partitionId() << 36, 0
+        base = vocabulary.log_base(vocabulary.counts)
+        held: list[tuple] = []
+
+        def rows(n: int, given: dict) -> pa.RecordBatch:
+            columns = [given.get(f.name, pa.nulls(n, f.type)) for f in schema]
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        def group():
+            tokens, classes = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+            learned = np.concatenate([np.repeat(~h[1], h[4]) for h in held])
+            token, where, place = np.unique(tokens, return_index=True, return_inverse=True)
+            here = np.bincount(place, weights=learned, minlength=len(token))
+            ends = np.cumsum(np.concatenate([h[4] for h in held]))
+            at = 0
+            for ids, out, _, _, counts, given in held:
+                stops = ends[at:at + len(counts)]
+                own = [place[stop - n:stop].astype("<u4").tobytes() for stop, n in zip(stops, counts)]
+                at += len(counts)
+                yield rows(len(ids), {"part": np.full(len(ids), part), "id": ids, "held_out": out, "rare": own, **given})
+            yield rows(1, {"part": [part], "token": [token.astype("<u8").tobytes()], "class": [classes[where].astype("u1").tobytes()],
+                           "here": [here.astype("<i4").tobytes()]})
+            held.clear()
+
         for batch in text_batches(batches):
-            columns: list[list] = [[] for _ in range(7)]
-            for first, last, tokens, classes, at in _tokens(ta.utf8(batch.column(2))):
-                place, often = known.find(tokens)
-                symbol = np.where(often, place, len(known.tokens) + classes).astype("<u2")
-                seen = np.concatenate([[0], np.cumsum(often & (known.counts[place] > 0))])
+            if not size and not held:
+                schema = pa.schema([(n, t) for n, t in zip(names, [pa.int64(), batch.schema.field("id").type, pa.bool_(), pa.int64(), pa.binary(), pa.int64(),
+                                                                   pa.float64(), *[pa.binary()] * 4])])
+            out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            for first, last, tokens, classes, at in _tokens(ta.utf8(batch.column("text"))):
+                place, often = vocabulary.find(tokens)
+                symbol = np.where(often, place, len(vocabulary.tokens) + classes).astype("<u2")
+                seen = np.concatenate([[0], np.cumsum(often & (vocabulary.counts[place] > 0))])
+                rare = np.concatenate([[0], np.cumsum(~often)])
                 gained = np.where(often, base[place], 0.0)
-                for i in range(last - first):
-                    own = slice(at[i], at[i + 1])
-                    rare = ~often[own]
-                    for column, x in zip(columns, (part + held // GROUP, int(at[i + 1] - at[i]), symbol[own].tobytes(), int(seen[at[i + 1]] - seen[at[i]]),
-                                                   math.fsum(gained[own].tolist()), tokens[own][rare].tobytes(),
-                                                   classes[own][rare].astype("u1").tobytes())):
-                        column.append(x)
-                    held += int(at[i + 1] - at[i])
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.binary(), pa.binary()]
-            made = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), made[0], batch.column(1), *made[1:]],
-                                             names=[id_col, *(f.split()[0] for f in SEQUENCES.split(", "))])
-
-    return docs.mapInArrow(run, f"`{id_col}` {kind}, {SEQUENCES}")
+                given = {"n_tokens": np.diff(at), "symbols": [symbol[i:j].tobytes() for i, j in zip(at, at[1:])], "known": np.diff(seen[at]),
+                         "base": [math.fsum(gained[i:j].tolist()) for i, j in zip(at, at[1:])]}
+                held.append((batch.column("id").slice(first, last - first), out[first:last], tokens[~often], classes[~often], np.diff(rare[at]), given))
+                size += len(tokens)
+                if size >= GROUP:
+                    yield from group()
+                    part, size = part + 1, 0
+        if held:
+            yield from group()
+
+    return docs.select("id", "held_out", "text").mapInArrow(run, CODED.format(kind=kind))
 
 
 @dataclass(frozen=True)
@@ -178,7 +213,7 @@ class Model:
     start: np.ndarray
     moves: np.ndarray
     emits: np.ndarray  # symbols x states
-    rooms: np.ndarray | None = None  # classes x states: what the counts of rare tokens are divided by; None before the first round
+    rooms: np.ndarray | None = None  # classes x states: what the counts and priors of rare tokens are divided by
 
     @staticmethod
     def first(unigram: np.ndarray, states: int) -> "Model":
@@ -298,159 +333,233 @@ def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray]
         yield _posteriors(model, [cut[j] for j in lanes], lengths[lanes], [cut_rare[j] for j in lanes], factors, before[lanes], after[lanes])
 
 
-def needed(coded: DataFrame, counts: DataFrame) -> DataFrame:
-    """``part, token, kind, n, here``: the rare tokens of each group with their class, their number in training, and their
-    number in the group's training texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "rare"):
-            tokens = [np.frombuffer(t, np.int64) for t in batch.column(1).to_pylist()]
-            kinds = np.frombuffer(b"".join(batch.column(2).to_pylist()), "u1").astype(np.int32)
-            sizes = [len(t) for t in tokens]
-            part, learned = (np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), ~batch.column(3).to_numpy(zero_copy_only=False)))
-            token = np.concatenate(tokens)
-            for p in np.unique(part):
-                of = part == p
-                own, where, place = np.unique(token[of], return_index=True, return_inverse=True)
-                here = np.bincount(place, weights=learned[of], minlength=len(own)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), p)), pa.array(own), pa.array(kinds[of][where]), pa.array(here)],
-                                                 names=["part", "token", "kind", "here"])
-
-    found = (coded.filter(F.length("rare") > 0).select("part", "rare", "rare_class", "held_out")
-             .mapInArrow(run, "part bigint, token bigint, kind int, here bigint")
-             .groupBy("part", "token").agg(F.max("kind").alias("kind"), F.sum("here").alias("here")))
-    return (found.join(counts.select("token", "n"), "token", "left")
-            .select("part", "token", "kind", F.coalesce("n", F.lit(0)).alias("n"), "here"))
-
-
-def _weights(k: int) -> list[str]:
-    return [f"w{j}" for j in range(k)]
-
-
-SYMBOL, SHARED, LOCAL = 0, 1, 2
-NEED = ["part", "token", "kind", "n"]
-
-
-class Counted:
-    """Expected counts as the groups gave them: of symbols, of rare tokens that several groups share, and of those of a
-    single group, which need not be summed up."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, k: int):
-        self.path, self.weights = path, _weights(k)
-        self.rows = spark.read.schema(schema).parquet(path)
-
-    def symbols(self) -> tuple[np.ndarray, np.ndarray]:
-        total = self.rows.filter(F.col("what") == SYMBOL).groupBy("token").agg(*(F.sum(w).alias(w) for w in self.weights)).toPandas()
-        return total["token"].to_numpy(np.int64), total[self.weights].to_numpy(np.float64)
-
-    def shared(self) -> DataFrame:
-        return (self.rows.filter(F.col("what") == SHARED).groupBy("token")
-                .agg(*(F.sum(w).cast("float").alias(w) for w in self.weights)))
-
-    def local(self) -> DataFrame:
-        return self.rows.filter(F.col("what") == LOCAL).select(*NEED, *self.weights)
-
-    def joined(self, need: DataFrame, rare: DataFrame) -> DataFrame:
-        return (need.select(*NEED).join(rare, "token", "left")
-                .select(*NEED, *(F.coalesce(w, F.lit(0.0).cast("float")).alias(w) for w in self.weights)))
+# what a row that goes to a group holds
+LISTED, NUMBERS, OWN, SHARED, SYMBOL = range(5)
+GIVEN = "part bigint, what int, bucket int, token binary, class binary, here binary, data binary"
+SYMBOL_BLOCK = 4096
+START = -1  # the bucket of the start and the moves
+
+
+class RareTokens:
+    """The list of a group's rare tokens with their classes, their numbers in the group's training texts and in all, and
+    their expected counts by state, as the rows that go to the group give them.
+
+    A token with training texts in one group only is the group's ``own``; the others are ``shared``, and their counts come
+    by bucket of their hash, each bucket in the list's order. After the last round every token comes so."""
+
+    def __init__(self, rows: pa.Table, buckets: int, k: int, final: bool = False):
+        what, bucket = rows.column("what").to_numpy(), rows.column("bucket").to_numpy()
+        data, listed = rows.column("data").to_pylist(), rows.slice(int(np.flatnonzero(what == LISTED)[0]), 1)
+        self.token, self.classes, self.here = (np.frombuffer(listed.column(c)[0].as_py(), t) for c, t in (("token", "<u8"), ("class", "u1"), ("here", "<i4")))
+        self.buckets = buckets
+        self.n = np.zeros(len(self.token), dtype=np.int64)
+        places = dict(self.by_bucket(np.arange(len(self.token))))
+        for i in np.flatnonzero(what == NUMBERS):
+            self.n[places[bucket[i]]] = np.frombuffer(data[i], "<i8")
+        self.counts = np.zeros((len(self.token), k))
+        if not final:
+            places = dict(self.by_bucket(self.shared()))
+        for i in np.flatnonzero((what == OWN) | (what == SHARED)):
+            at = self.own() if what[i] == OWN else places[bucket[i]]
+            self.counts[at] = np.frombuffer(data[i], "<f2").reshape(-1, k) * self.n[at, None]
+
+    def own(self) -> np.ndarray:
+        return np.flatnonzero((self.here > 0) & (self.here == self.n))
+
+    def shared(self) -> np.ndarray:
+        return np.flatnonzero((self.here > 0) & (self.here < self.n))
+
+    def by_bucket(self, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        return _by_bucket(self.token, chosen, self.buckets)
+
+    def factors(self, model: "Model", words: Vocabulary) -> np.ndarray:
+        """The probability of each token in its class by state; row 0 is for symbols that are no class."""
+        prior = EMISSION_PRIOR * (self.n + SMOOTHING) / words.mass
+        return np.concatenate([np.ones((1, self.counts.shape[1])), (self.counts + prior[:, None]) / model.rooms[self.classes]])
+
+    def places(self, symbols: np.ndarray, rare: bytes, known: int) -> np.ndarray:
+        """The row of the factors for each symbol of a text."""
+        out = np.zeros(len(symbols), dtype=np.int64)
+        out[symbols >= known] = np.frombuffer(rare, "<u4").astype(np.int64) + 1
+        return out
+
+
+def _by_bucket(token: np.ndarray, chosen: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    key = token[chosen] % _U(buckets)
+    order = np.argsort(key, kind="stable")
+    found, at = np.unique(key[order], return_index=True)
+    for b, places in zip(found.tolist(), np.split(chosen[order], at[1:])):
+        yield b, places
+
+
+def _numbers(listed: DataFrame, buckets: int) -> DataFrame:
+    """``part, what, bucket, data``: the numbers in training of each group's rare tokens, summed up over the groups."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, token, here in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                token, here = np.frombuffer(token, "<u8"), np.frombuffer(here, "<i4")
+                for b, places in _by_bucket(token, np.arange(len(token)), buckets):
+                    yield pa.RecordBatch.from_pydict({"part": [part], "bucket": pa.array([b], pa.int32()), "token": [token[places].tobytes()],
+                                                      "here": [here[places].tobytes()]})
+
+    def summed(rows: pa.Table) -> pa.Table:
+        tokens = [np.frombuffer(t, "<u8") for t in rows.column("token").to_pylist()]
+        _, place = np.unique(np.concatenate(tokens), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([np.frombuffer(h, "<i4") for h in rows.column("here").to_pylist()])).astype("<i8")[place]
+        return _given(rows, NUMBERS, n, tokens)
+
+    return (listed.select("part", "token", "here").mapInArrow(spread, "part bigint, bucket int, token binary, here binary")
+            .groupBy("bucket").applyInArrow(summed, "part bigint, what int, bucket int, data binary"))
+
+
+def _given(rows: pa.Table, what: int, values: np.ndarray, tokens: list[np.ndarray]) -> pa.Table:
+    """A bucket's values for the groups that asked for them."""
+    parts = np.split(values, np.cumsum([len(t) for t in tokens])[:-1])
+    return pa.table({"part": rows.column("part"), "what": pa.array(np.full(len(rows), what), pa.int32()), "bucket": rows.column("bucket"),
+                     "data": pa.array([v.tobytes() for v in parts], pa.binary())})
+
+
+def _shared_counts(rows: DataFrame, k: int) -> DataFrame:
+    """``part, what, bucket, data``: for each group, the mean states of its shared tokens over all groups."""
+    def summed(rows: pa.Table) -> pa.Table:
+        tokens = [np.frombuffer(t, "<u8") for t in rows.column("token").to_pylist()]
+        here = np.concatenate([np.frombuffer(h, "<i4") for h in rows.column("here").to_pylist()]).astype(np.float64)
+        means = np.concatenate([np.frombuffer(d, "<f2") for d in rows.column("data").to_pylist()]).reshape(-1, k)
+        _, place = np.unique(np.concatenate(tokens), return_inverse=True)
+        n = np.maximum(np.bincount(place, weights=here), 1)
+        total = np.stack([np.bincount(place, weights=means[:, j] * here) for j in range(k)], axis=1)
+        return _given(rows, SHARED, (total / n[:, None])[place].astype("<f2"), tokens)
+
+    return (rows.filter(F.col("what") == SHARED).select("part", "bucket", "token", "here", "data")
+            .groupBy("bucket").applyInArrow(summed, "part bigint, what int, bucket int, data binary"))
+
+
+def _symbol_counts(rows: DataFrame, symbols: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, moves and emissions of symbols, summed up in the tasks that read them and then by block of symbols."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, item, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if bucket not in sums:
+                    sums[bucket] = np.zeros((k + 1 if bucket == START else SYMBOL_BLOCK, k))
+                if item is None:
+                    sums[bucket] += np.frombuffer(data, "<f8").reshape(-1, k)
+                else:
+                    sums[bucket][np.frombuffer(item, "<i4")] += np.frombuffer(data, "<f4").reshape(-1, k)
+        for bucket, total in sums.items():
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "token": pa.array([None], pa.binary()), "data": [total.tobytes()]})
+
+    schema = "bucket int, token binary, data binary"
+    sums = (rows.filter(F.col("what") == SYMBOL).select("bucket", "token", "data").mapInArrow(summed, schema)
+            .repartition("bucket").mapInArrow(summed, schema).collect())  # at most the model's size
+    first, emits = np.zeros((k + 1, k)), np.zeros((-(-symbols // SYMBOL_BLOCK) * SYMBOL_BLOCK, k))
+    for r in sums:
+        total = np.frombuffer(r["data"], "<f8").reshape(-1, k)
+        if r["bucket"] == START:
+            first += total
+        else:
+            emits[r["bucket"] * SYMBOL_BLOCK:(r["bucket"] + 1) * SYMBOL_BLOCK] += total
+    return first[0], first[1:], emits[:symbols]
 
-    def for_training(self, need: DataFrame) -> DataFrame:
-        return self.joined(need.filter("here > 0 AND here < n"), self.shared()).unionByName(self.local())
 
-    def for_scoring(self, need: DataFrame) -> DataFrame:
-        return self.joined(need, self.shared().unionByName(self.local().select("token", *self.weights)))
+def _expected_counts(training: DataFrame, given: DataFrame, model: Model, words: Vocabulary, buckets: int, last: bool) -> DataFrame:
+    """``part, what, bucket, token, here, data``: what the training texts of each group give to the counts: of symbols
+    in blocks, of the group's own rare tokens, and of its shared ones by bucket, as mean states in half precision."""
+    k = len(model.start)
+    shared = training.sparkSession.sparkContext.broadcast((model, words))
 
+    def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
+        own, vocabulary = shared.value
+        rare = RareTokens(rare_rows, buckets, k)
+        factors = rare.factors(own, vocabulary)
+        first, emits, members = np.zeros((k + 1, k)), np.zeros_like(own.emits), np.zeros_like(factors)
+        symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
+        places = [rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(symbols, rows.column("rare").to_pylist())]
+        for start, moves, gamma, symbol, place in whole_texts(own, symbols, places, factors):
+            first[0] += start
+            first[1:] += moves
+            emits += _summed(symbol, gamma, len(emits))
+            members += _summed(place[place > 0], gamma[place > 0], len(members))
+        out: list[tuple] = []
+        if symbols:
+            out.append((SYMBOL, START, np.arange(k + 1, dtype="<i4").tobytes(), None, first.astype("<f4").tobytes()))
+        used = np.flatnonzero(emits.sum(axis=1))
+        for block in np.unique(used // SYMBOL_BLOCK).tolist():
+            items = used[used // SYMBOL_BLOCK == block]
+            out.append((SYMBOL, block, (items % SYMBOL_BLOCK).astype("<i4").tobytes(), None, emits[items].astype("<f4").tobytes()))
+        means = (members[1:] / np.maximum(rare.here, 1)[:, None]).astype("<f2")
+        if not last and len(rare.own()):
+            out.append((OWN, 0, None, None, means[rare.own()].tobytes()))
+        for b, at in rare.by_bucket(np.arange(len(rare.token)) if last else rare.shared()):
+            out.append((SHARED, b, rare.token[at].tobytes(), rare.here[at].tobytes(), means[at].tobytes()))
+        part = rare_rows.column("part")[0].as_py()
+        what, bucket, token, here, data = zip(*out) if out else ((),) * 5
+        return pa.table({"part": pa.array([part] * len(out), pa.int64()), "what": pa.array(what, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
+                         "token": pa.array(token, pa.binary()), "here": pa.array(here, pa.binary()), "data": pa.array(data, pa.binary())})
+
+    return (training.select("part", "symbols", "rare").groupBy("part").cogroup(given.groupBy("part"))
+            .applyInArrow(run, "part bigint, what int, bucket int, token binary, here binary, data binary"))
+
+
+def _written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """``df`` as a table of the shared folder, and its path. Its rows may hold megabytes: the writer looks at its memory
+    after each."""
+    path = shared_dir(df.sparkSession, what)
+    (df.write.option("parquet.block.size", str(32 << 20)).option("parquet.block.size.row.check.min", "1")
+     .option("parquet.page.size.row.check.min", "1").parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _all_given(*tables: DataFrame | None) -> DataFrame:
+    """The rows that go to the groups, with the columns of ``GIVEN``."""
+    fields = [f.split() for f in GIVEN.split(", ")]
+    made = [t.select(*(F.col(n) if n in t.columns else F.lit(None).cast(kind).alias(n) for n, kind in fields)) for t in tables if t is not None]
+    out = made[0]
+    for t in made[1:]:
+        out = out.unionByName(t)
+    return out
 
-def _uncounted(need: DataFrame, k: int) -> DataFrame:
-    return need.select(*NEED, *(F.lit(0.0).cast("float").alias(w) for w in _weights(k)))
 
+class _ShufflesFreed:
+    """Spark gives back a query's shuffle files when it ends, instead of whenever the driver collects its garbage."""
 
-def _factors(tokens: pa.Table, model: Model, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A group's rare tokens in order with their numbers in training, and the probability of each in its class by state.
-    Row 0 of the probabilities is for symbols that are no class."""
-    k = len(model.start)
-    token = tokens.column("token").to_numpy()
-    order = np.argsort(token)
-    kind, n = tokens.column("kind").to_numpy()[order], tokens.column("n").to_numpy()[order]
-    if model.rooms is None:
-        p = (n + SMOOTHING) / (words.class_total + SMOOTHING * (words.class_distinct + 1))[kind]
-        own = np.repeat(p[:, None], k, axis=1)
-    else:
-        own = np.stack([tokens.column(w).to_numpy()[order].astype(np.float64) for w in _weights(k)], axis=1)
-        own = (own + SMOOTHING / k) / model.rooms[kind]
-    return token[order], n, np.concatenate([np.ones((1, k)), own])
-
-
-def _places(symbols: np.ndarray, rare: bytes, known: int, token: np.ndarray) -> np.ndarray:
-    """The row of the factors for each symbol of a sequence."""
-    out = np.zeros(len(symbols), dtype=np.int64)
-    out[symbols >= known] = np.searchsorted(token, np.frombuffer(rare, np.int64)) + 1
-    return out
+    KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+    def __init__(self, spark: SparkSession):
+        self.conf = spark.conf
 
-def _totals(training: DataFrame, need: DataFrame, counted: Counted | None, model: Model, words: Vocabulary) -> tuple[tuple, Counted]:
-    """Expected counts of all training sequences: starts, moves and emissions of symbols, and the counts of rare tokens.
-    Rows of symbols are numbers from 0, and below 0 the start and the states moved from."""
-    spark, k = training.sparkSession, len(model.start)
-    shared = spark.sparkContext.broadcast((model, words))
-    schema = ", ".join(["part bigint", "token bigint", "kind int", "n bigint", *(f"{w} float" for w in _weights(k)), "what int"])
-    tokens = counted.for_training(need) if counted else _uncounted(need.filter("here > 0"), k)
+    def __enter__(self) -> None:
+        self.before = self.conf.get(self.KEY, None)
+        self.conf.set(self.KEY, "true")
 
-    def run(rows: pa.Table, tokens: pa.Table) -> pa.Table:
-        own, vocabulary = shared.value
-        token, n, factors = _factors(tokens, own, vocabulary)
-        start, moves, emits, members = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits), np.zeros_like(factors)
-        here = np.zeros(len(factors), dtype=np.int64)
-        symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
-        places = [_places(s, r, len(vocabulary.tokens), token) for s, r in zip(symbols, rows.column("rare").to_pylist())]
-        for s, m, gamma, symbol, place in whole_texts(own, symbols, places, factors):
-            start += s
-            moves += m
-            emits += _summed(symbol, gamma, len(emits))
-            rare_only = place > 0
-            members += _summed(place[rare_only], gamma[rare_only], len(members))
-            here += np.bincount(place, minlength=len(here))
-        used, met = np.flatnonzero(emits.sum(axis=1)), np.flatnonzero(here[1:])
-        kind = tokens.column("kind").to_numpy()[np.argsort(tokens.column("token").to_numpy())]
-        first = np.zeros(1 + k + len(used), dtype=np.int64)
-        values = np.concatenate([moves[::-1], start[None], emits[used], members[1:][met]]).astype(np.float32)
-        part = rows.column("part")[0].as_py() if len(rows) else 0
-        return pa.table({"part": np.full(len(values), part, dtype=np.int64), "token": np.concatenate([np.arange(-1 - k, 0), used, token[met]]).astype(np.int64),
-                         "kind": np.concatenate([first, kind[met]]).astype(np.int32), "n": np.concatenate([first, n[met]]).astype(np.int64),
-                         **{w: values[:, j] for j, w in enumerate(_weights(k))},
-                         "what": np.concatenate([first + SYMBOL, np.where(here[1:][met] == n[met], LOCAL, SHARED)]).astype(np.int32)})
-
-    path = shared_dir(spark, "expected-counts")
-    (training.select("part", "symbols", "rare").groupBy("part").cogroup(tokens.groupBy("part")).applyInArrow(run, schema)
-     .write.partitionBy("what").parquet(path))
-    counted = Counted(spark, path, schema, k)
-    item, values = counted.symbols()
-    out = np.zeros((len(model.emits) + k + 1, k))
-    out[item + k + 1] = values
-    return (out[k], out[:k][::-1], out[k + 1:]), counted
-
-
-def baum_welch(training: DataFrame, need: DataFrame, words: Vocabulary, states: int, rounds: int) -> tuple[Model, Counted | None]:
-    """The model, and the expected counts of rare tokens by state."""
-    unigram = words.unigram()
-    model, counted = Model.first(unigram, states), None
-    for _ in range(rounds):
-        _released(training.sparkSession)
-        last = counted
-        (start, moves, emits), counted = _totals(training, need, last, model, words)
-        if last:
-            delete_path(training.sparkSession, last.path)
-        rooms = emits[len(words.tokens):] + SMOOTHING / states * (words.class_distinct[:, None] + 1)
-        start, moves = start + 0.1, moves + 0.1
-        emits = emits + EMISSION_PRIOR * unigram[:, None]
+    def __exit__(self, *error) -> None:
+        if self.before is None:
+            self.conf.unset(self.KEY)
+        else:
+            self.conf.set(self.KEY, self.before)
+
+
+def baum_welch(training: DataFrame, listed: DataFrame, words: Vocabulary, states: int, rounds: int, buckets: int) -> tuple[Model, DataFrame]:
+    """The model, and the rows that give each group its rare tokens with their expected counts by state."""
+    spark, unigram = training.sparkSession, words.unigram()
+    prior = EMISSION_PRIOR * unigram[:, None]
+    rare_prior = np.repeat(prior[len(words.tokens):], states, axis=1)
+    model = replace(Model.first(unigram, states), rooms=rare_prior)
+    numbers, _ = _written(_numbers(listed, buckets), "rare-token-numbers")
+    counts, path = None, None
+    for i in range(rounds):
+        found, found_path = _written(_expected_counts(training, _all_given(listed, numbers, counts), model, words, buckets, i == rounds - 1),
+                                     "expected-counts")
+        start, moves, emits = _symbol_counts(found, words.symbols, states)
+        own = found.filter(F.col("what") == OWN).select("part", "what", "bucket", "data")
+        counts, last = _written(_shared_counts(found, states).unionByName(own), "rare-token-counts"), path
+        counts, path = counts
+        for done in (found_path, last):
+            if done:
+                delete_path(spark, done)
+        start, moves, rooms, emits = start + 0.1, moves + 0.1, emits[len(words.tokens):] + rare_prior, emits + prior
         model = Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0), rooms)
-    _released(training.sparkSession)
-    return model, counted
-
-
-def _released(spark: SparkSession) -> None:
-    """Has Spark give back the shuffles that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    return model, _all_given(listed, numbers, counts)
 
 
 def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray, rare: np.ndarray | None = None,
@@ -512,47 +621,49 @@ def _in_chunks(model: Model, symbols: np.ndarray, rare: np.ndarray, factors: np.
     return total
 
 
-def likelihoods(coded: DataFrame, need: DataFrame, counted: Counted | None, model: Model, words: Vocabulary, id_col: str) -> DataFrame:
+def likelihoods(coded: DataFrame, given: DataFrame, model: Model, words: Vocabulary, buckets: int) -> DataFrame:
     """``id, held_out, n_tokens, known, base, log`` of every row, its rare tokens included."""
     shared = coded.sparkSession.sparkContext.broadcast((model, words))
-    columns = [id_col, "held_out", "n_tokens"]
+    columns = ["id", "held_out", "n_tokens"]
     rows = coded.select(*columns, "known", "base", "part", "symbols", "rare")
     base_room = math.log10(words.total + SMOOTHING * (words.distinct + 1))
 
-    def run(rows: pa.Table, tokens: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
-        token, n, factors = _factors(tokens, own, vocabulary)
+        rare = RareTokens(rare_rows, buckets, len(own.start), final=True)
+        factors = rare.factors(own, vocabulary)
         parts = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
         at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        if not parts:
-            log, known, base = np.zeros(0), np.zeros(0, np.int64), np.zeros(0)
-        else:
-            place = np.concatenate([_places(s, r, len(vocabulary.tokens), token) for s, r in zip(parts, rows.column("rare").to_pylist())])
-            log = log_likelihoods(own, np.concatenate(parts).astype(np.int64), at, place, factors)
-            text = np.repeat(np.arange(len(parts)), np.diff(at))[place > 0]
-            number = n[place[place > 0] - 1]
-            known = rows.column("known").to_numpy() + np.bincount(text, weights=number > 0, minlength=len(parts)).astype(np.int64)
-            base = rows.column("base").to_numpy() + np.bincount(text, weights=np.log10(number + SMOOTHING) - base_room, minlength=len(parts))
+        place = np.concatenate([rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(parts, rows.column("rare").to_pylist())])
+        log = log_likelihoods(own, np.concatenate(parts).astype(np.int64), at, place, factors)
+        text = np.repeat(np.arange(len(parts)), np.diff(at))[place > 0]
+        number = rare.n[place[place > 0] - 1]
+        known = rows.column("known").to_numpy() + np.bincount(text, weights=number > 0, minlength=len(parts)).astype(np.int64)
+        base = rows.column("base").to_numpy() + np.bincount(text, weights=np.log10(number + SMOOTHING) - base_room, minlength=len(parts))
         return pa.table([*(rows.column(c) for c in columns), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(log, pa.float64())],
                         names=[*columns, "known", "base", "log"])
 
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*columns, "known", "base"])
-    tokens = counted.for_scoring(need) if counted else _uncounted(need, len(model.start))
-    return rows.groupBy("part").cogroup(tokens.groupBy("part")).applyInArrow(run, f"{fields}, log double")
+    fields = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*columns, "known", "base"])
+    return rows.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(run, f"{fields}, log double")
 
 
 def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS,
            frequent: int = FREQUENT) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row; texts with ``held_out`` (a
     condition) are scored but not learned from."""
-    rows = docs.select(F.col(id_col), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    counts = stored(token_counts(rows.filter("NOT held_out").select("text")), "token-counts")
-    words = vocabulary(counts, frequent)
-    coded = stored(sequences(rows, words, id_col), "symbol-sequences")
-    need = stored(needed(coded, counts), "needed-tokens")
-    model, counted = baum_welch(coded.filter("NOT held_out"), need, words, states, rounds)
-    return (likelihoods(coded, need, counted, model, words, id_col)
-            .select(id_col, "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(words.total).cast("long").alias("train_tokens"),
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
+    with _ShufflesFreed(docs.sparkSession):
+        counts, path = _written(token_counts(rows.filter("NOT held_out").select("text")), "token-counts")
+        words = vocabulary(counts, frequent)
+        delete_path(docs.sparkSession, path)
+        table, _ = _written(sequences(rows, words), "symbol-sequences")
+        coded = table.filter("n_tokens IS NOT NULL")
+        listed = table.filter("n_tokens IS NULL").select("part", F.lit(LISTED).alias("what"), "token", "class", "here")
+        pairs = listed.agg(F.sum(F.length("here") / 4)).first()[0] or 0
+        buckets = max(1, math.ceil(pairs / BUCKET))
+        model, given = baum_welch(coded.filter("NOT held_out"), listed, words, states, rounds, buckets)
+    return (likelihoods(coded, given, model, words, buckets)
+            .select(F.col("id").alias(id_col), "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(words.total).cast("long").alias("train_tokens"),
                     F.col("base").alias("base_score"), F.col("log").alias("score")))
 
 
