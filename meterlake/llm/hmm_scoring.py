@@ -41,7 +41,7 @@ CLASSES = 128
 STATES = 8
 ROUNDS = 8
 BLOCK = 256
-LANES = 512
+PORTION = 1 << 18  # symbols of blocks that go through the recursion side by side
 LONG = 1 << 15  # symbols; the matrices of chunks cost more steps of work than a sequence's own steps
 CHUNK = 2048
 SMOOTHING = 0.1
@@ -234,53 +234,73 @@ def _summed(item: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(item, weights=gamma[:, j], minlength=n) for j in range(gamma.shape[1])], axis=1)
 
 
-def _filled(parts: list[np.ndarray], steps: int) -> np.ndarray:
-    out = np.zeros((steps, len(parts)), dtype=np.int64)
-    for lane, s in enumerate(parts):
-        out[:len(s), lane] = s
-    return out
+class _Lanes:
+    """Blocks side by side, the longest first: the symbols of one step lie together, those of the next step after them."""
+
+    def __init__(self, symbols: list[np.ndarray], rare: list[np.ndarray] | None):
+        lengths = np.array([len(s) for s in symbols], dtype=np.int64)
+        self.order = np.argsort(-lengths, kind="stable")
+        self.lengths = lengths[self.order]
+        self.steps, self.lanes = int(self.lengths[0]), len(lengths)
+        self.live = np.searchsorted(-self.lengths, -np.arange(1, self.steps + 1), side="right").tolist()
+        self.first = np.concatenate([[0], np.cumsum(self.live)])
+        step = np.arange(self.first[-1]) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.at = self.first[step] + np.repeat(np.arange(self.lanes), self.lengths)
+        self.symbol = self.packed(symbols)
+        self.rare = None if rare is None else self.packed(rare)
+
+    def packed(self, parts: list[np.ndarray]) -> np.ndarray:
+        given = np.concatenate([parts[i] for i in self.order])
+        out = np.empty_like(given)
+        out[self.at] = given
+        return out.astype(np.intp)
+
+    def likely(self, model: Model, factors: np.ndarray | None) -> np.ndarray:
+        """States x symbols: how likely each state emits each symbol."""
+        out = np.take(np.ascontiguousarray(model.emits.T), self.symbol, axis=1)
+        if self.rare is not None:
+            of = np.flatnonzero(self.rare)
+            out[:, of] *= factors[self.rare[of]].T
+        return out
 
 
 def _posteriors(model: Model, symbols: list[np.ndarray], lengths: np.ndarray, rare: list[np.ndarray] | None = None,
                 factors: np.ndarray | None = None, before: np.ndarray | None = None,
                 after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
     """Expected starts and moves; of each place the states' probabilities, its symbol and its row of ``factors``, by which
-    its emission is multiplied. ``before`` and ``after`` are the messages from the rest of each block's text: the states'
-    probabilities at the symbol before it (all 0 where the text begins), and the likelihood of all that follows by the
-    block's last state, to any scale."""
-    steps, lanes, k = int(lengths.max()), len(lengths), len(model.start)
-    seen = _filled(symbols, steps)
-    inside = np.arange(steps)[:, None] < lengths
-    likely = np.where(inside[:, :, None], model.emits[seen], 1.0)
-    if rare is not None:
-        own = _filled(rare, steps)
-        likely *= factors[own]
-    before = np.zeros((lanes, k)) if before is None else before
-    begins = before.sum(axis=1) == 0
-    forward, scale = np.empty((steps, lanes, k)), np.empty((steps, lanes))
-    a = np.where(begins[:, None], model.start, before @ model.moves) * likely[0]
-    for t in range(steps):
+    its emission is multiplied (row 0 is 1). ``before`` and ``after`` are the messages from the rest of each block's text:
+    the states' probabilities at the symbol before it (all 0 where the text begins), and the likelihood of all that follows
+    by the block's last state, to any scale. The arithmetic has the precision of the model's emissions."""
+    blocks, k, kind = _Lanes(symbols, rare), len(model.start), model.emits.dtype
+    lanes, live, first = blocks.lanes, blocks.live, blocks.first.tolist()
+    likely = blocks.likely(model, factors)
+    forward, scale = np.empty_like(likely), np.empty(likely.shape[1], dtype=kind)
+    before = np.zeros((k, lanes), dtype=kind) if before is None else before[blocks.order].T.astype(kind)
+    begins = before.sum(axis=0) == 0
+    onward = np.ascontiguousarray(model.moves.T)
+    a = np.where(begins, model.start[:, None], onward @ before)
+    for t in range(blocks.steps):
+        now = slice(first[t], first[t + 1])
         if t:
-            a = (a @ model.moves) * likely[t]
-        scale[t] = a.sum(axis=1)
-        a = a / scale[t][:, None]
-        forward[t] = a
+            a = onward @ a[:, :live[t]]
+        a = np.multiply(a, likely[:, now], out=forward[:, now])
+        a /= np.add.reduce(a, axis=0, out=scale[now])
+    likely /= scale
     moves = np.zeros((k, k))
-    b = np.ones((lanes, k))
+    b = np.ones((k, lanes), dtype=kind)
     if after is not None:
-        b = after / (forward[lengths - 1, np.arange(lanes)] * after).sum(axis=1, keepdims=True)
-    for t in range(steps - 1, 0, -1):
-        ahead = likely[t] * b / scale[t][:, None]
-        live = inside[t][:, None]
-        moves += (forward[t - 1] * live).T @ ahead
-        forward[t] *= np.where(live, b, 1.0)
-        b = np.where(live, ahead @ model.moves.T, b)
-    moves += before.T @ (likely[0] * b / scale[0][:, None])
-    forward[0] *= b
-    gamma = forward[inside]
-    gamma /= gamma.sum(axis=1, keepdims=True)
-    start = (forward[0] / forward[0].sum(axis=1, keepdims=True))[begins].sum(axis=0)
-    return start, moves * model.moves, gamma, seen[inside], own[inside] if rare is not None else None
+        b = after[blocks.order].T.astype(kind)
+        b /= (forward[:, blocks.first[blocks.lengths - 1] + np.arange(lanes)] * b).sum(axis=0)
+    for t in range(blocks.steps - 1, 0, -1):
+        now, n = slice(first[t], first[t + 1]), live[t]
+        ahead = likely[:, now] * b[:, :n]
+        moves += forward[:, first[t - 1]:first[t - 1] + n] @ ahead.T
+        forward[:, now] *= b[:, :n]
+        b[:, :n] = model.moves @ ahead
+    moves += before @ (likely[:, :lanes] * b).T
+    forward[:, :lanes] *= b
+    forward /= forward.sum(axis=0)
+    return forward[:, :lanes][:, begins].sum(axis=1, dtype=np.float64), moves * model.moves, forward.T, blocks.symbol, blocks.rare
 
 
 def _transfers(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray], factors: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -288,21 +308,35 @@ def _transfers(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray],
     text's first block, the start to those at its last symbol."""
     k = len(model.start)
     out = np.empty((len(symbols), k, k))
+    onward = np.ascontiguousarray(model.moves.T)
     lengths = np.array([len(s) for s in symbols])
     order = np.argsort(-lengths, kind="stable")
-    for i in range(0, len(order), LANES):
-        lanes = order[i:i + LANES]
-        steps = int(lengths[lanes[0]])
-        likely = model.emits[_filled([symbols[j] for j in lanes], steps)] * factors[_filled([rare[j] for j in lanes], steps)]
-        m = np.where(begins[lanes][:, None, None], np.eye(k), model.moves) * likely[0][:, None, :]
-        live = np.searchsorted(-lengths[lanes], -np.arange(1, steps + 1), side="right")
-        for t in range(1, steps):
-            n = live[t]
-            m[:n] = (m[:n].reshape(-1, k) @ model.moves).reshape(-1, k, k) * likely[t, :n, None, :]
-            if t % 8 == 0:
-                m /= m.sum(axis=(1, 2), keepdims=True)
-        out[lanes] = m / m.sum(axis=(1, 2), keepdims=True)
-    return out
+    for own in _portions(order, lengths):
+        blocks = _Lanes([symbols[j] for j in own], [rare[j] for j in own])
+        own, first = own[blocks.order], blocks.first.tolist()
+        likely = blocks.likely(model, factors)
+        likely /= likely.max(axis=0)
+        # state after x state before x lane
+        m = np.where(begins[own], np.eye(k, dtype=likely.dtype)[:, :, None], onward[:, :, None]) * likely[:, None, :blocks.lanes]
+        for t in range(1, blocks.steps):
+            n = blocks.live[t]
+            if n < m.shape[2]:
+                out[own[n:m.shape[2]]] = m[:, :, n:].transpose(2, 1, 0)
+                m = np.ascontiguousarray(m[:, :, :n])
+            m = (onward @ m.reshape(k, -1)).reshape(k, k, n)
+            m *= likely[:, None, first[t]:first[t + 1]]
+            if t % 4 == 0:
+                m /= m.sum(axis=(0, 1))
+        out[own[:m.shape[2]]] = m.transpose(2, 1, 0)
+    return out / out.sum(axis=(1, 2), keepdims=True)
+
+
+def _portions(order: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """Blocks in their order, in portions of about ``PORTION`` symbols."""
+    if not len(order):
+        return []
+    number = (np.cumsum(lengths[order]) - 1) // PORTION
+    return np.split(order, np.flatnonzero(np.diff(number)) + 1)
 
 
 def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray] | None = None,
@@ -328,8 +362,7 @@ def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray]
                 after[i] = state / state.sum()
     lengths = np.array([len(s) for s in cut], dtype=np.int64)
     order = np.argsort(lengths, kind="stable")
-    for i in range(0, len(order), LANES):
-        lanes = order[i:i + LANES]
+    for lanes in _portions(order, lengths):
         yield _posteriors(model, [cut[j] for j in lanes], lengths[lanes], [cut_rare[j] for j in lanes], factors, before[lanes], after[lanes])
 
 
@@ -471,15 +504,20 @@ def _expected_counts(training: DataFrame, given: DataFrame, model: Model, words:
     def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
         rare = RareTokens(rare_rows, buckets, k)
-        factors = rare.factors(own, vocabulary)
-        first, emits, members = np.zeros((k + 1, k)), np.zeros_like(own.emits), np.zeros_like(factors)
+        factors = rare.factors(own, vocabulary).astype(np.float32)
+        own = Model(*(x.astype(np.float32) for x in (own.start, own.moves, own.emits)))
+        first, emits, members = np.zeros((k + 1, k)), np.zeros(own.emits.shape), np.zeros(factors.shape)
         symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
         places = [rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(symbols, rows.column("rare").to_pylist())]
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # of rare tokens, summed up once
         for start, moves, gamma, symbol, place in whole_texts(own, symbols, places, factors):
             first[0] += start
             first[1:] += moves
             emits += _summed(symbol, gamma, len(emits))
-            members += _summed(place[place > 0], gamma[place > 0], len(members))
+            of = np.flatnonzero(place)
+            held.append((place[of], gamma.T[:, of]))
+        if held:
+            members = _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held], axis=1).T, len(members))
         out: list[tuple] = []
         if symbols:
             out.append((SYMBOL, START, np.arange(k + 1, dtype="<i4").tobytes(), None, first.astype("<f4").tobytes()))
@@ -583,13 +621,19 @@ def _in_lanes(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nd
     """Sequences in falling order of length, one step of all that still run at a time."""
     log = np.zeros(len(starts))
     live = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-    a = model.start * model.emits[flat[starts]] * factors[rare[starts]]
+    onward, emits = np.ascontiguousarray(model.moves.T), np.ascontiguousarray(model.emits.T)
+    a = np.repeat(model.start[:, None], len(starts), axis=1)
     for t, n in enumerate(live):
+        here = starts[:n] + t
         if t:
-            here = starts[:n] + t
-            a = (a[:n] @ model.moves) * model.emits[flat[here]] * factors[rare[here]]
-        scale = a.sum(axis=1)
-        a = a / scale[:, None]
+            a = onward @ a[:, :n]
+        a *= np.take(emits, flat[here], axis=1)
+        own = rare[here]
+        if own.any():
+            of = np.flatnonzero(own)
+            a[:, of] *= factors[own[of]].T
+        scale = np.add.reduce(a, axis=0)
+        a /= scale
         log[:n] += np.log10(scale)
     return log
 

@@ -213,6 +213,65 @@ def test_training_raises_the_likelihood(spark):
     assert more[0] > few[0] and more[0] > more[1]
 
 
+def _plain_scores(texts, held, words_of, states, rounds):
+    """Baum-Welch over tokens by plain sums, each token with an emission of its own in each state, and every text's score."""
+    import pyarrow as pa
+    hashes = {w: next(hmm_scoring._tokens(hmm_scoring.ta.utf8(pa.array([w])))) for t in texts for w in t if w is not None}
+    key = lambda w: hmm_scoring.END if w is None else hashes[w][2][0]
+    count = Counter(w for t, h in zip(texts, held) if not h for w in t)
+    vocabulary = sorted({w for t in texts for w in t}, key=str)
+    unigram, first = words_of.unigram(), hmm_scoring.Model.first(words_of.unigram(), states)
+    emits, prior = {}, {}
+    for w in vocabulary:
+        prior[w] = 20 * (count[w] + 0.1) / words_of.mass
+        place = np.flatnonzero(words_of.tokens == key(w))
+        at = place[0] if len(place) else len(words_of.tokens) + hashes[w][3][0]
+        emits[w] = first.emits[at] * (1 if len(place) else prior[w] / 20 / unigram[at])
+    start, moves = first.start, first.moves
+
+    def forward(t):
+        a = [start * emits[t[0]]]
+        for w in t[1:]:
+            a.append((a[-1] @ moves) * emits[w])
+        return a
+
+    for _ in range(rounds):
+        s, m, c = np.full(states, 0.1), np.full((states, states), 0.1), {w: np.zeros(states) for w in vocabulary}
+        for t, h in zip(texts, held):
+            if not h:
+                a, b = forward(t), np.ones(states)
+                total = a[-1].sum()
+                for i in range(len(t) - 1, -1, -1):
+                    c[t[i]] = c[t[i]] + a[i] * b / total
+                    if i:
+                        m = m + np.outer(a[i - 1], emits[t[i]] * b) * moves / total
+                        b = moves @ (emits[t[i]] * b)
+                s = s + a[0] * b / total
+        room = sum(c.values()) + 20
+        start, moves, emits = s / s.sum(), m / m.sum(axis=1, keepdims=True), {w: (c[w] + prior[w]) / room for w in vocabulary}
+    return [math.log10(forward(t)[-1].sum()) for t in texts]
+
+
+@pytest.mark.parametrize("frequent", [3, 1000])
+def test_scores_equal_plain_training_over_tokens(spark, monkeypatch, frequent):
+    """With rare tokens that one group trains, that several train, that only held-out texts hold, in many buckets."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(11)
+    pool = [f"{a}{b}{'x' * int(n)}" for a, b, n in zip("abcdefghijklmnopqrstuvwxyz", "mnopqrmnopqrmnopqrmnopqrmn", rng.integers(0, 4, 26))]
+    texts = [[*(pool[min(int(i), 25)] for i in rng.exponential(6, rng.integers(0, 14))), None] for _ in range(40)]
+    texts[0] = ["seen", "once", "seen", None]
+    texts[5] = ["never", "learned", None]
+    held = [i % 5 == 0 and i > 0 for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(w for w in t if w)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    words_of = hmm_scoring.vocabulary(hmm_scoring.token_counts(docs.filter("doc_id % 5 <> 0 OR doc_id = 0").select("text")), frequent)
+    monkeypatch.setattr(hmm_scoring, "BUCKET", 5)
+    got = hmm_scoring.scores(docs, (F.col("doc_id") % 5 == 0) & (F.col("doc_id") > 0), states=3, rounds=4, frequent=frequent).collect()
+    want = _plain_scores(texts, held, words_of, 3, 4)
+    assert len(got) == 40
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], rel=2e-4)  # half precision between rounds
+
+
 def test_tokens_beyond_the_frequent_ones_have_states_of_their_own(spark):
     """Two sorts of text whose words share every class of length and last byte: only the words' own counts tell them apart."""
     from pyspark.sql import functions as F
