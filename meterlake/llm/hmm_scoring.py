@@ -4,7 +4,7 @@ A text's tokens are its words (``A-Z`` lower-cased) and one end. Every token of
 probability in each state. The ``FREQUENT`` most frequent tokens are symbols and held by every task. Each other one
 belongs to one of ``CLASSES`` classes by length and last byte, which are symbols too: a state emits the class, and
 in it the token by its own expected count in that state. All tokens, and an unseen one of each class, have the same prior:
-``EMISSION_PRIOR`` counts, shared out as the tokens are in training. What a task holds of rare tokens are those of
+``SMOOTHING`` counts, shared out to the states. What a task holds of rare tokens are those of
 one group of about ``GROUP`` tokens of text. In each round a group keeps the counts of tokens that no other group trains,
 and sends those of the others, as their mean states in half precision and in packed arrays, to buckets of about
 ``BUCKET`` by hash, which sum them up and send them back. They grow with the corpus; what tasks hold does not.
@@ -45,7 +45,6 @@ PORTION = 1 << 18  # symbols of blocks that go through the recursion side by sid
 LONG = 1 << 15  # symbols; the matrices of chunks cost more steps of work than a sequence's own steps
 CHUNK = 2048
 SMOOTHING = 0.1
-EMISSION_PRIOR = 20.0
 COUNT_BLOCK = 1 << 22
 GROUP = 1 << 22  # tokens
 BUCKET = 1 << 18  # rare tokens of groups
@@ -389,7 +388,7 @@ class RareTokens:
         places = dict(self.by_bucket(np.arange(len(self.token))))
         for i in np.flatnonzero(what == NUMBERS):
             self.n[places[bucket[i]]] = np.frombuffer(data[i], "<i8")
-        self.counts = np.zeros((len(self.token), k))
+        self.counts = np.repeat(self.n[:, None] / k, k, axis=1)  # before the first round
         if not final:
             places = dict(self.by_bucket(self.shared()))
         for i in np.flatnonzero((what == OWN) | (what == SHARED)):
@@ -405,10 +404,10 @@ class RareTokens:
     def by_bucket(self, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         return _by_bucket(self.token, chosen, self.buckets)
 
-    def factors(self, model: "Model", words: Vocabulary) -> np.ndarray:
+    def factors(self, model: "Model") -> np.ndarray:
         """The probability of each token in its class by state; row 0 is for symbols that are no class."""
-        prior = EMISSION_PRIOR * (self.n + SMOOTHING) / words.mass
-        return np.concatenate([np.ones((1, self.counts.shape[1])), (self.counts + prior[:, None]) / model.rooms[self.classes]])
+        k = self.counts.shape[1]
+        return np.concatenate([np.ones((1, k)), (self.counts + SMOOTHING / k) / model.rooms[self.classes]])
 
     def places(self, symbols: np.ndarray, rare: bytes, known: int) -> np.ndarray:
         """The row of the factors for each symbol of a text."""
@@ -504,7 +503,7 @@ def _expected_counts(training: DataFrame, given: DataFrame, model: Model, words:
     def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
         rare = RareTokens(rare_rows, buckets, k)
-        factors = rare.factors(own, vocabulary).astype(np.float32)
+        factors = rare.factors(own).astype(np.float32)
         own = Model(*(x.astype(np.float32) for x in (own.start, own.moves, own.emits)))
         first, emits, members = np.zeros((k + 1, k)), np.zeros(own.emits.shape), np.zeros(factors.shape)
         symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
@@ -580,9 +579,9 @@ class _ShufflesFreed:
 def baum_welch(training: DataFrame, listed: DataFrame, words: Vocabulary, states: int, rounds: int, buckets: int) -> tuple[Model, DataFrame]:
     """The model, and the rows that give each group its rare tokens with their expected counts by state."""
     spark, unigram = training.sparkSession, words.unigram()
-    prior = EMISSION_PRIOR * unigram[:, None]
-    rare_prior = np.repeat(prior[len(words.tokens):], states, axis=1)
-    model = replace(Model.first(unigram, states), rooms=rare_prior)
+    rare_prior = SMOOTHING / states * (words.class_distinct[:, None] + 1)
+    prior = np.concatenate([np.full((len(words.tokens), 1), SMOOTHING / states), rare_prior])
+    model = replace(Model.first(unigram, states), rooms=np.repeat(words.class_total[:, None] / states + rare_prior, states, axis=1))
     numbers, _ = _written(_numbers(listed, buckets), "rare-token-numbers")
     counts, path = None, None
     for i in range(rounds):
@@ -675,7 +674,7 @@ def likelihoods(coded: DataFrame, given: DataFrame, model: Model, words: Vocabul
     def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
         rare = RareTokens(rare_rows, buckets, len(own.start), final=True)
-        factors = rare.factors(own, vocabulary)
+        factors = rare.factors(own)
         parts = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
         at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
         place = np.concatenate([rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(parts, rows.column("rare").to_pylist())])

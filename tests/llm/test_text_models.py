@@ -221,12 +221,12 @@ def _plain_scores(texts, held, words_of, states, rounds):
     count = Counter(w for t, h in zip(texts, held) if not h for w in t)
     vocabulary = sorted({w for t in texts for w in t}, key=str)
     unigram, first = words_of.unigram(), hmm_scoring.Model.first(words_of.unigram(), states)
-    emits, prior = {}, {}
+    emits, prior = {}, 0.1 / states
+    priors = prior * (len(words_of.tokens) + (words_of.class_distinct + 1).sum())
     for w in vocabulary:
-        prior[w] = 20 * (count[w] + 0.1) / words_of.mass
         place = np.flatnonzero(words_of.tokens == key(w))
         at = place[0] if len(place) else len(words_of.tokens) + hashes[w][3][0]
-        emits[w] = first.emits[at] * (1 if len(place) else prior[w] / 20 / unigram[at])
+        emits[w] = first.emits[at] * (1 if len(place) else (count[w] + 0.1) / words_of.mass / unigram[at])
     start, moves = first.start, first.moves
 
     def forward(t):
@@ -247,8 +247,8 @@ def _plain_scores(texts, held, words_of, states, rounds):
                         m = m + np.outer(a[i - 1], emits[t[i]] * b) * moves / total
                         b = moves @ (emits[t[i]] * b)
                 s = s + a[0] * b / total
-        room = sum(c.values()) + 20
-        start, moves, emits = s / s.sum(), m / m.sum(axis=1, keepdims=True), {w: (c[w] + prior[w]) / room for w in vocabulary}
+        room = sum(c.values()) + priors
+        start, moves, emits = s / s.sum(), m / m.sum(axis=1, keepdims=True), {w: (c[w] + prior) / room for w in vocabulary}
     return [math.log10(forward(t)[-1].sum()) for t in texts]
 
 
