@@ -56,13 +56,15 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 def dedup_key(df: DataFrame, key=KEY, order=MEASURES) -> DataFrame:
     """One row per key; the survivor is the lowest by ``order`` (deterministic).
 
-    Expressed as ``min(struct(order…))`` per key: partial aggregation collapses
-    repeated keys before the shuffle, so a key with millions of copies never
-    lands whole in one task.
+    Expressed as ``min(struct(order…))`` per key. Nearly every key is there
+    once, so rows are shuffled as they are: sorting the whole input of a map
+    task for a partial aggregate that collapses nothing spilled it to disk.
+    A task then goes through its sorted rows as a stream, however many copies
+    a key has.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.min(F.struct(*order, *rest)).alias("_keep")
-    return (df.groupBy(*key).agg(packed)
+    return (df.repartition(*key).groupBy(*key).agg(packed)
               .select(*key, *[F.col(f"_keep.{c}").alias(c) for c in (*order, *rest)])
               .select(*df.columns))
 
@@ -100,13 +102,15 @@ def clean(df: DataFrame, rules: Rules = RULES, order: str = "filter_first") -> D
     are folded into the de-duplicating aggregate (``min`` skips the NULL that
     an invalid row contributes), so each raw value is parsed exactly once; a
     filter under the typing projection would be pushed below it and re-parse
-    every column. ``order="dedup_first"`` reproduces the batch script's order.
+    every column. Only rows without a key, which the shuffle by key would
+    gather in one task, are left out before it. ``order="dedup_first"``
+    reproduces the batch script's order.
     """
     typed = typed_readings(df, rules)
     if order == "filter_first":
         valid = not_null() & in_range(rules)
         packed = F.min(F.when(valid, F.struct(*MEASURES))).alias("_keep")
-        return (typed.groupBy(*KEY).agg(packed)
+        return (drop_nulls(typed, KEY).repartition(*KEY).groupBy(*KEY).agg(packed)
                      .filter(F.col("_keep").isNotNull())
                      .select("reading_ts", *[F.col(f"_keep.{c}").alias(c) for c in MEASURES], "meter_id"))
     if order == "dedup_first":

@@ -2,7 +2,10 @@
 
 All of them are hash aggregations with map-side partial aggregation, so a
 meter (or a day) holding a large share of the rows is collapsed inside each
-map task before anything is shuffled.
+map task before anything is shuffled. The two rollups may have nearly as many
+groups as there are rows, and a map task's hash table of them outgrows its
+memory: for the jobs that write them (``laid_out=True``) rows are dealt by
+ranges of their keys instead, sorted, and aggregated as a stream.
 """
 from __future__ import annotations
 
@@ -45,13 +48,30 @@ def fleet_daily(df: DataFrame, value: str = "energy_kwh", alias: str = "kwh", da
     return df.groupBy(day_of(df).alias(date_alias)).agg(F.sum(value).alias(alias))
 
 
-def daily_rollup(df: DataFrame) -> DataFrame:
+def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ranges of the keys: a task holds whole groups, and few months.
+
+    An aggregate over these keys with a struct among its buffers (Spark keeps no hash table for such) goes
+    through the sorted rows as a stream, and its result lies in the order of the keys.
+    """
+    return df.repartitionByRange(*keys)
+
+
+def daily_rollup(df: DataFrame, laid_out: bool = False) -> DataFrame:
     """Meter × day pre-aggregate: meter_id, reading_date, year, month, energy_kwh, readings.
 
     Serves the day- and month-grain queries (Q01–Q03, Q16, Q23, P1, P2, A1,
     A2) at 1/480 of the readings; built from the curated table or the hourly
-    rollup.
+    rollup. With ``laid_out=True`` it comes out by year, month and meter.
     """
+    if laid_out:
+        date, n = day_of(df), F.col("readings") if "readings" in df.columns else F.lit(1)
+        rows = df.select(F.year(date).alias("year"), F.month(date).alias("month"), "meter_id", F.dayofmonth(date).alias("_day"),
+                         date.alias("reading_date"), "energy_kwh", n.cast("bigint").alias("readings"))
+        keys = ("year", "month", "meter_id", "_day")
+        agg = in_ranges(rows, *keys).groupBy(*keys).agg(
+            F.sum("energy_kwh").alias("energy_kwh"), F.sum("readings").alias("readings"), F.min(F.struct("reading_date")).alias("_d"))
+        return agg.select("meter_id", F.col("_d.reading_date").alias("reading_date"), "year", "month", "energy_kwh", "readings")
     n = F.sum("readings") if "readings" in df.columns else F.count(F.lit(1))
     agg = df.groupBy("meter_id", day_of(df).alias("reading_date")).agg(
         F.sum("energy_kwh").alias("energy_kwh"), n.alias("readings"))
@@ -115,17 +135,27 @@ def status_from_key(key: F.Column) -> F.Column:
     return expr
 
 
-def hourly_rollup(df: DataFrame, power_decimals: int = 4) -> DataFrame:
+def hourly_rollup(df: DataFrame, power_decimals: int = 4, laid_out: bool = False) -> DataFrame:
     """Meter × hour pre-aggregate feeding the dashboard (one row per meter_id, hour_ts).
 
     Grouped on the two real keys only; the calendar columns depend on
     ``hour_ts`` and are derived after the aggregation, on 20× fewer rows.
     ``avg_power_kw`` comes from an exact integer sum of the 4-decimal
     ``power_kw`` values. ``worst_health_status`` is the status of the lowest
-    score; equal scores resolve to the more severe status.
+    score; equal scores resolve to the more severe status. With
+    ``laid_out=True`` it comes out by year, month and meter, and the groups
+    are those of (year, month, meter_id, hour_ts), which are the same.
     """
     units = 10.0 ** power_decimals
-    agg = (df.groupBy("meter_id", R.hour_ts().alias("hour_ts"))
+    t = R.time_attributes("hour_ts")
+    worst, keys = worst_status_key(), ("meter_id", "hour_ts")
+    df = df.select("meter_id", R.hour_ts().alias("hour_ts"), "energy_kwh", "avg_voltage", "avg_current", "power_kw",
+                   "health_score", "health_status")
+    if laid_out:
+        keys = ("year", "month", *keys)
+        df = in_ranges(df.select("*", t["year"].alias("year"), t["month"].alias("month")), *keys)
+        worst = F.struct(worst.alias("key"))
+    agg = (df.groupBy(*keys)
              .agg(F.sum("energy_kwh").alias("energy_kwh"),
                   F.avg("avg_voltage").alias("avg_voltage"),
                   F.avg("avg_current").alias("avg_current"),
@@ -133,14 +163,13 @@ def hourly_rollup(df: DataFrame, power_decimals: int = 4) -> DataFrame:
                   F.count(F.lit(1)).alias("readings"),
                   F.max("power_kw").alias("peak_power_kw"),
                   F.avg("health_score").alias("health_score"),
-                  F.min(worst_status_key()).alias("_worst")))
-    t = R.time_attributes("hour_ts")
+                  F.min(worst).alias("_worst")))
     return agg.select(
-        "meter_id", t["year"].alias("year"), t["month"].alias("month"), t["day"].alias("day"),
+        "meter_id", *(["year", "month"] if laid_out else [t["year"].alias("year"), t["month"].alias("month")]), t["day"].alias("day"),
         t["hour"].alias("hour"), t["day_of_week"].alias("day_of_week"), t["is_weekend"].alias("is_weekend"),
         "hour_ts", "energy_kwh", "avg_voltage", "avg_current",
         (F.col("_pw_units").cast("double") / F.col("readings") / F.lit(units)).alias("avg_power_kw"),
         "peak_power_kw", "health_score",
-        status_from_key(F.col("_worst")).alias("worst_health_status"),
+        status_from_key(F.col("_worst.key") if laid_out else F.col("_worst")).alias("worst_health_status"),
         "readings",
     )

@@ -11,7 +11,7 @@ from ..operators import grains
 from ..operators.anomaly import anomaly_series
 from ..operators.spells import outage_spells as _spells
 from ..rules import RULES, Rules
-from ..session import ensure_checkpoint_dir, shared_dir
+from ..session import shared_dir
 from .common import top_k
 
 #: accuracy of the bracket around an exact quantile (the reciprocal of its rank error)
@@ -33,14 +33,15 @@ def a2_theft_indicator(df: DataFrame, min_prev_kwh: float = 5.0, drop_ratio: flo
     prefix times calendar months. It is joined without a hint; Spark broadcasts
     it by its measured size, or splits a skewed town in the shuffle join.
     The meter-month series with its lag feeds both the trend and the join, so
-    it is checkpointed once (meters × months rows) instead of being computed
-    from the readings twice.
+    it is written once (Parquet, meters × months rows) instead of being
+    computed from the readings twice.
     """
     monthly = (df.groupBy("meter_id", R.town().alias("town"), "year", "month")
                  .agg(F.sum("energy_kwh").alias("kwh")))
     w = Window.partitionBy("meter_id").orderBy("year", "month")
-    ensure_checkpoint_dir(df.sparkSession)
-    with_lag = monthly.withColumn("prev_kwh", F.lag("kwh").over(w)).checkpoint(eager=True)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "meter-months")
+    monthly.withColumn("prev_kwh", F.lag("kwh").over(w)).write.parquet(path)
+    with_lag = spark.read.parquet(path)
     town = (with_lag.groupBy("town", "year", "month")
                     .agg(safe_div(F.sum("kwh"), F.sum("prev_kwh")).alias("town_ratio")))
     j = with_lag.join(town, ["town", "year", "month"])

@@ -59,15 +59,15 @@ def rollup_job(spark: SparkSession, curated: DataFrame | str, output_path: str,
                months: Iterable[int] | None = None) -> None:
     """Hourly rollup persisted as Parquet partitioned like the curated table; with ``months``
     (``year * 100 + month``) only those are rebuilt, and the files of others stay."""
-    write_table(hourly_rollup(_of_months(spark, curated, months)), output_path, partition_by=("year", "month"),
-                sort_by=("meter_id", "hour_ts"), dynamic=months is not None)
+    write_table(hourly_rollup(_of_months(spark, curated, months), laid_out=True), output_path, partition_by=("year", "month"),
+                dynamic=months is not None, laid_out=True)
 
 
 def daily_rollup_job(spark: SparkSession, table: DataFrame | str, output_path: str,
                      months: Iterable[int] | None = None) -> None:
     """Daily rollup of the curated table or of the hourly rollup, persisted like the hourly one."""
-    write_table(daily_rollup(_of_months(spark, table, months)), output_path, partition_by=("year", "month"),
-                sort_by=("meter_id", "reading_date"), dynamic=months is not None)
+    write_table(daily_rollup(_of_months(spark, table, months), laid_out=True), output_path, partition_by=("year", "month"),
+                dynamic=months is not None, laid_out=True)
 
 
 def refresh_rollups(spark: SparkSession, curated: str, hourly_path: str, daily_path: str, months: Iterable[int]) -> None:

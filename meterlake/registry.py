@@ -58,11 +58,11 @@ def _on_daily(fn, **params) -> Query:
 
 def _hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup operator itself, computed from the curated table (not read back)."""
-    return grains.hourly_rollup(curated_table(spark, sf_dir))
+    return grains.hourly_rollup(curated_table(spark, sf_dir), laid_out=True)
 
 
 def _worst_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grains.hourly_rollup(curated_table(spark, sf_dir)).select("meter_id", "hour_ts", "worst_health_status")
+    return grains.hourly_rollup(curated_table(spark, sf_dir), laid_out=True).select("meter_id", "hour_ts", "worst_health_status")
 
 
 def _dashboard_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +137,7 @@ def registered_queries() -> dict[str, Query]:
     q["town_view"] = _town_view
     q["forecast_grouped"] = _forecast_grouped
     q["forecast_seasonal"] = _forecast_seasonal
-    q["daily_rollup"] = _on_curated(grains.daily_rollup)
+    q["daily_rollup"] = _on_curated(grains.daily_rollup, laid_out=True)
     q["q08_health_summary_month"] = _of_latest(H.q08_health_summary, period="month")
     q["p4_seasonal_index_per_year"] = _on_curated(PR.p4_seasonal_index, per_year=True)
     q["p2_next_month_drop_partial"] = _on_curated(PR.p2_next_month, drop_partial=True)

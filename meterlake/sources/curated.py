@@ -48,15 +48,16 @@ def write_curated(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bo
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (),
-                sort_by: tuple[str, ...] = (), dynamic: bool = False) -> None:
+                sort_by: tuple[str, ...] = (), dynamic: bool = False, laid_out: bool = False) -> None:
     """Snappy Parquet; with ``partition_by``, rows are first rebalanced on those columns.
 
     Without the rebalance every task would write one file into every
     partition folder it happens to hold (tasks × partitions small files).
     ``sort_by`` orders the rows of each file, so its statistics prune filters
     on those columns; ``dynamic=True`` replaces only the partitions in ``df``.
+    ``laid_out=True``: the rows come in the order of the partitions already.
     """
-    if partition_by:
+    if partition_by and not laid_out:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
