@@ -16,9 +16,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import readings as R
-from ..rules import CURATED_COLUMNS, RULES, Rules
+from ..rules import CURATED_COLUMNS, KEY, RULES, Rules
 from ..session import delete_path, path_exists, shared_dir
-from ..sources.versions import FILE, live_files, read_files, version
+from ..sources.versions import FILE, kept_changes, live_files, read_files, version
 from .grains import scaled_units, status_from_key, worst_status_key
 
 #: decimal places of the exact sums
@@ -68,7 +68,11 @@ def hourly_from_cells(cells: DataFrame, power_decimals: int = RULES.power_decima
 
 def changed_rows(spark: SparkSession, root: str, since: int | None, until: int) -> DataFrame:
     """Curated rows with ``_sign``: how many copies version ``until`` holds more than ``since`` (None: an empty table). Reads the
-    files by which the two differ, no others; rows that are in both cancel out."""
+    changes that the versions between kept, or else the files by which the two differ, no others; rows that are in both cancel
+    out."""
+    noted = None if since is None else kept_changes(spark, root, since, until)
+    if noted is not None:
+        return noted if until == since + 1 else _net(noted)
     old = live_files(spark, root, None if since is None else version(spark, root, since)).select("file")
     new = live_files(spark, root, version(spark, root, until)).select("file")
 
@@ -79,17 +83,26 @@ def changed_rows(spark: SparkSession, root: str, since: int | None, until: int)
     came = rows(new.join(old, "file", "left_anti"), 1)
     if gone.isEmpty():  # appended files only: nothing can cancel out
         return came
-    return came.unionByName(rows(gone, -1)).groupBy(*CURATED_COLUMNS).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0")
+    return _net(came.unionByName(rows(gone, -1)))
+
+
+def _net(rows: DataFrame) -> DataFrame:
+    """Rows dealt by meter and time before they are counted: few come more than twice, and a map task would hold them all."""
+    return rows.repartition(*KEY).groupBy(*CURATED_COLUMNS).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0")
 
 
 def cell_changes(rows: DataFrame, power_decimals: int = RULES.power_decimals) -> DataFrame:
     """Signed rows → for each touched cell the signed sums, and the extremes of the new (``new_…``) and the withdrawn rows
     (``old_…``)."""
     came, gone = F.col("_sign") > 0, F.col("_sign") < 0
-    return (rows.groupBy("meter_id", R.hour_ts().alias("hour_ts"))
-            .agg(*cell_sums(rows, power_decimals, "_sign"),
-                 F.max(F.when(came, F.col("power_kw"))).alias("new_peak"), F.max(F.when(gone, F.col("power_kw"))).alias("old_peak"),
-                 F.min(F.when(came, worst_status_key())).alias("new_worst"), F.min(F.when(gone, worst_status_key())).alias("old_worst")))
+    worst = F.struct(worst_status_key().alias("key"))
+    # sparse data have a cell for nearly every row: dealt by cell and sorted (a struct is no hash table's value), not held by map tasks
+    own = rows.select("meter_id", R.hour_ts().alias("hour_ts"), *SUMS, "power_kw", "health_status", "_sign").repartition(*CELL)
+    cells = own.groupBy(*CELL).agg(
+        *cell_sums(own, power_decimals, "_sign"),
+        F.max(F.when(came, F.col("power_kw"))).alias("new_peak"), F.max(F.when(gone, F.col("power_kw"))).alias("old_peak"),
+        F.min(F.when(came, worst)).alias("new_worst"), F.min(F.when(gone, worst)).alias("old_worst"))
+    return cells.withColumns({c: F.col(f"{c}.key") for c in ("new_worst", "old_worst")})
 
 
 def merged_cells(cells: DataFrame, changes: DataFrame) -> DataFrame:
@@ -123,7 +136,7 @@ def _log(spark: SparkSession, path: str) -> DataFrame:
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     """The newest value of every cell that has readings."""
     rest = [c for c in _log(spark, path).columns if c not in (*CELL, "v")]
-    newest = _log(spark, path).groupBy(*CELL).agg(F.max_by(F.struct(*rest), "v").alias("n"))
+    newest = _log(spark, path).repartition(*CELL).groupBy(*CELL).agg(F.max_by(F.struct(*rest), "v").alias("n"))
     return newest.select(*CELL, "n.*").filter("readings > 0")
 
 
@@ -155,7 +168,7 @@ def refresh_cells(spark: SparkSession, root: str, path: str, rules: Rules = RULE
     staged = shared_dir(spark, "cells-merged")
     known = _log(spark, path).filter(F.col("v") <= (at or 0)).join(touched.select(*CELL), list(CELL), "left_semi")
     rest = [c for c in known.columns if c not in (*CELL, "v")]
-    known = known.groupBy(*CELL).agg(F.max_by(F.struct(*rest), "v").alias("n")).select(*CELL, "n.*").filter("readings > 0")
+    known = known.repartition(*CELL).groupBy(*CELL).agg(F.max_by(F.struct(*rest), "v").alias("n")).select(*CELL, "n.*").filter("readings > 0")
     merged_cells(known, touched).write.parquet(staged)
     merged = spark.read.parquet(staged)
     # the extremes of stale cells, out of the files that their hours and meters select

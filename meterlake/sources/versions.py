@@ -4,6 +4,7 @@ Under the table's root lie
 
 - ``data/commit=<id>/year=…/month=…/part-*.parquet``: the rows; a file is written once,
 - ``lists/<id>``: Parquet, the live files of one version with row counts, sizes and the range of times and meters,
+- ``changes/<id>``: Parquet, the rows (with ``_sign``) by which a version differs from the one before, if its writer kept them,
 - ``versions/<number>.json``: a committed version; it names its list.
 
 A version exists from the moment its small file is renamed into place, which fails if another writer was first.
@@ -25,7 +26,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..rules import CURATED_COLUMNS
-from ..session import delete_path
+from ..session import delete_path, path_exists
 from .curated import CURATED_TYPES, partition_predicate, write_curated
 
 LIST_SCHEMA = ("file string, year int, month int, bytes bigint, rows bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, "
@@ -77,10 +78,14 @@ def version(spark: SparkSession, root: str, number: int | None = None) -> Versio
     return Version(number, got["list"], got["batches"])
 
 
-def commit(spark: SparkSession, root: str, base: Version | None, live: DataFrame, batches: dict[str, int] | None = None) -> Version:
-    """Make ``live`` (rows of ``LIST_SCHEMA``) the files of the version after ``base``; ``CommitConflict`` if that number is taken."""
+def commit(spark: SparkSession, root: str, base: Version | None, live: DataFrame, batches: dict[str, int] | None = None,
+           changes: DataFrame | None = None) -> Version:
+    """Make ``live`` (rows of ``LIST_SCHEMA``) the files of the version after ``base``; ``CommitConflict`` if that number is taken.
+    ``changes``: curated rows with ``_sign``, those that the version gains (1) and loses (-1), kept for ``kept_changes``."""
     new = Version((base.number if base else 0) + 1, uuid.uuid4().hex, {**(base.batches if base else {}), **(batches or {})})
     live.coalesce(1 + (base is not None)).write.parquet(f"{root}/lists/{new.list_id}")
+    if changes is not None:
+        changes.write.parquet(f"{root}/changes/{new.list_id}")
     publish(spark, root, new)
     return new
 
@@ -115,6 +120,17 @@ def live_files(spark: SparkSession, root: str, at: Version | None) -> DataFrame:
     return spark.read.schema(LIST_SCHEMA).parquet(f"{root}/lists/{at.list_id}")
 
 
+def kept_changes(spark: SparkSession, root: str, since: int, until: int) -> DataFrame | None:
+    """The changes of all versions after ``since`` up to ``until``, one after the other; None if one of them has none kept."""
+    numbers = range(since + 1, until + 1)
+    if not numbers or not set(numbers) <= set(_numbers(spark, root)):
+        return None
+    paths = [f"{root}/changes/{version(spark, root, n).list_id}" for n in numbers]
+    if not all(path_exists(spark, f"{p}/_SUCCESS") for p in paths):
+        return None
+    return spark.read.schema(f"{_schema()}, _sign bigint").parquet(*paths)
+
+
 def _schema() -> str:
     return ", ".join(f"{c} {CURATED_TYPES[c]}" for c in CURATED_COLUMNS)
 
@@ -133,13 +149,15 @@ def _relative() -> Column:
 
 
 def written_files(spark: SparkSession, root: str, commit_id: str) -> DataFrame:
-    """List entries of the files of one commit, from their times and meters."""
+    """List entries of the files of one commit, from their times and meters. A file lies in one month, gathered as a set:
+    Spark then keeps the few files of a task in an object hash table, where the meters' strings alone would have made it
+    sort all rows by file."""
     df = spark.read.schema(_schema()).option("basePath", f"{root}/data").parquet(f"{root}/data/commit={commit_id}")
     return (df.select(_relative().alias("file"), "year", "month", F.col("_metadata.file_size").alias("bytes"), "reading_ts", "meter_id")
-            .groupBy("file", "year", "month", "bytes")
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("reading_ts").alias("first_ts"), F.max("reading_ts").alias("last_ts"),
+            .groupBy("file", "bytes")
+            .agg(F.collect_set(F.struct("year", "month"))[0].alias("at"), F.count(F.lit(1)).alias("rows"), F.min("reading_ts").alias("first_ts"), F.max("reading_ts").alias("last_ts"),
                  F.min("meter_id").alias("first_meter"), F.max("meter_id").alias("last_meter"))
-            .select("file", "year", "month", "bytes", "rows", "first_ts", "last_ts", "first_meter", "last_meter"))
+            .select("file", "at.year", "at.month", "bytes", "rows", "first_ts", "last_ts", "first_meter", "last_meter"))
 
 
 def write_files(spark: SparkSession, df: DataFrame, root: str, laid_out: bool = False) -> DataFrame:
@@ -195,13 +213,14 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2, older_than_s: float =
         delete_path(spark, f"{root}/versions/{n:012d}.json")
     for file in dead:
         delete_path(spark, f"{root}/data/{file}")
-    fs, lists = _fs(spark, f"{root}/lists")
     names = {v.list_id for v in kept}
-    for status in fs.listStatus(lists):
-        if status.getPath().getName() not in names and status.getModificationTime() < (time.time() - older_than_s) * 1000:
-            fs.delete(status.getPath(), True)
+    for folder in ("lists", "changes"):
+        fs, lists = _fs(spark, f"{root}/{folder}")
+        for status in fs.listStatus(lists) if fs.exists(lists) else ():
+            if status.getPath().getName() not in names and status.getModificationTime() < (time.time() - older_than_s) * 1000:
+                fs.delete(status.getPath(), True)
     return len(dead)
 
 
-__all__ = ["CommitConflict", "LIST_SCHEMA", "Version", "commit", "live_files", "publish", "read_files", "read_version",
+__all__ = ["CommitConflict", "LIST_SCHEMA", "Version", "commit", "kept_changes", "live_files", "publish", "read_files", "read_version",
            "selected", "vacuum", "version", "write_files", "written_files"]

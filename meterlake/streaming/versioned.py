@@ -14,13 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import curate
-from ..rules import KEY, MEASURES, RULES, Rules
+from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
 from ..session import delete_path, shared_dir
 from ..sources.raw import normalize_columns, parse_lines
 from ..sources.versions import (FILE, CommitConflict, commit, live_files, read_files, version, write_files)
 from .source import raw_line_stream
 
 ATTEMPTS = 10
+#: losing copies (key and file) that are sent to every task; more of them are shuffled
+FEW = 500_000
 
 
 def _beats(new: str, old: str) -> F.Column:
@@ -42,31 +44,49 @@ def merge_version(spark: SparkSession, batch: DataFrame, root: str, rules: Rules
     added), ``rewritten`` (files that lost a copy) and ``version``. With ``batch_id``, a batch of ``stream`` that the
     table already holds is left out (``rows`` 0)."""
     base = version(spark, root)
+    staged = None
     if batch_id is not None and base and base.batches.get(stream, -1) >= batch_id:
         return {"rows": 0, "files": 0, "rewritten": 0, "version": base.number}
     seen = Observation("raw_rows")
     added = write_files(spark, curate(batch.observe(seen, F.count(F.lit(1)).alias("rows")), rules), root)
     fresh = [r["file"] for r in added.select("file").collect()]
     for attempt in range(ATTEMPTS):
-        live, lost, replaced = live_files(spark, root, base), [], None
+        live, lost, replaced, changes = live_files(spark, root, base), [], None, None
+        if staged:
+            delete_path(spark, staged)
+            staged = None
         if fresh and (met := _met(live, added)):
             columns = (*KEY, *MEASURES)
-            both = (read_files(spark, root, fresh, columns).alias("n")
-                    .join(read_files(spark, root, met, columns).alias("o"), list(KEY)))
-            losers = both.select(*KEY, F.when(_beats("n", "o"), F.col(f"o.{FILE}")).otherwise(F.col(f"n.{FILE}")).alias(FILE))
+            # through the join goes a file's number, not its long name
+            number = F.broadcast(spark.createDataFrame(list(enumerate([*fresh, *met])), f"_no int, {FILE} string"))
+
+            def numbered(files: list[str]) -> DataFrame:
+                return read_files(spark, root, files, columns).join(number, FILE).drop(FILE)
+
+            both = numbered(fresh).alias("n").join(numbered(met).alias("o"), list(KEY))
+            losers = both.select(*KEY, F.when(_beats("n", "o"), F.col("o._no")).otherwise(F.col("n._no")).alias("_no")).join(number, "_no").drop("_no")
             staged = shared_dir(spark, "losing-copies")
             losers.write.parquet(staged)
             losers = spark.read.schema(losers.schema).parquet(staged)
-            lost = [r[FILE] for r in losers.select(FILE).distinct().collect()]
+            count = {r[FILE]: r["n"] for r in losers.groupBy(FILE).agg(F.count(F.lit(1)).alias("n")).collect()}
+            lost = [*count]
+            if sum(count.values()) <= FEW:
+                losers = F.broadcast(losers)
             if lost:
                 kept = read_files(spark, root, lost).join(losers, [*KEY, FILE], "left_anti")
                 replaced = write_files(spark, kept.drop(FILE), root)
-            delete_path(spark, staged)
+            if base is not None:
+                came = read_files(spark, root, fresh).join(losers, [*KEY, FILE], "left_anti")
+                gone = read_files(spark, root, [f for f in lost if f not in set(fresh)]).join(losers, [*KEY, FILE], "left_semi")
+                changes = came.select(*CURATED_COLUMNS, F.lit(1).cast("bigint").alias("_sign")).unionByName(
+                    gone.select(*CURATED_COLUMNS, F.lit(-1).cast("bigint").alias("_sign")))
         gone = spark.createDataFrame([(f,) for f in lost], "file string")
         files = live.unionByName(added).join(gone, "file", "left_anti") if lost else live.unionByName(added)
         files = files.unionByName(replaced) if replaced is not None else files
         try:
-            done = commit(spark, root, base, files, {} if batch_id is None else {stream: batch_id})
+            done = commit(spark, root, base, files, {} if batch_id is None else {stream: batch_id}, changes)
+            if staged:
+                delete_path(spark, staged)
             return {"rows": int(seen.get["rows"]), "files": len(fresh), "rewritten": len(lost), "version": done.number}
         except CommitConflict:
             if attempt + 1 == ATTEMPTS:

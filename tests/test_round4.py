@@ -3,8 +3,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from meterlake.operators import grains
+from meterlake.operators import cells as CE, grains
 from meterlake.operators.clean import clean, curate
+from meterlake.registry_streaming import _quarter_files
+from meterlake.sources import compaction, versions as V
+from meterlake.sources.raw import header_lines
+from meterlake.sources.versions import commit
+from meterlake.streaming import merge_version
 
 RAW = "reading_ts timestamp_ntz, energy_kwh double, avg_voltage double, avg_current double, frequency_hz double, meter_id string"
 
@@ -46,4 +51,46 @@ def test_no_map_task_holds_a_group_for_every_row(spark, tmp_dir):
 def test_rows_without_a_key_do_not_meet_in_a_task(spark):
     some = _few(spark).withColumn("meter_id", F.when(F.col("avg_current") > 3, F.col("meter_id")))
     assert sorted(r["meter_id"] for r in clean(some).collect()) == ["A", "B"]
-    assert "isnotnull" in _before_shuffle(clean(some))
+    assert "Filter atleastnnonnulls" in _before_shuffle(clean(some))
+
+
+def test_headers_are_found_without_sorting_all_lines(spark):
+    lines = spark.createDataFrame([("x_Timestamp,meter", "a"), ("1,A_1", "a"), ("a,METER", "b"), ("T_KWH,z", "c"), ("2,B", "c")], "value string, file string")
+    found = header_lines(lines)
+    assert {r["file"]: r["header"] for r in found.collect()} == {"a": "x_Timestamp,meter", "b": None, "c": "T_KWH,z"}
+    assert {r["file"]: r["header"] for r in header_lines(lines, "METER").collect()} == {"a": None, "b": "a,METER", "c": None}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_written_files_are_listed_without_sorting_all_rows(spark, tmp_dir):
+    listed = V.write_files(spark, curate(_few(spark)), tmp_dir)
+    assert sorted((r["year"], r["month"], r["rows"], r["first_meter"], r["last_meter"]) for r in listed.collect()) == [(2020, 1, 2, "A", "B"), (2020, 2, 3, "A", "B")]
+    commit_id = listed.first()["file"].split("/")[0].removeprefix("commit=")
+    assert "SortAggregate" not in V.written_files(spark, tmp_dir, commit_id)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_versions_changes_are_kept(spark, tmp_dir):
+    root = f"{tmp_dir}/t"
+    merge_version(spark, _few(spark), root)
+    merge_version(spark, _readings(spark, ((2, 1, 0, 3), 0.25, 230.0, 2.0, "A"), ((2, 1, 0, 3), 0.75, 230.0, 2.0, "B"), ((3, 1, 0, 0), 0.5, 230.0, 2.0, "C")), root)
+    changed = V.kept_changes(spark, root, 1, 2)
+    # A's copy wins over the stored one, B's loses, C's is new
+    assert sorted((r["meter_id"], r["energy_kwh"], r["_sign"]) for r in changed.collect()) == [("A", 0.25, 1), ("A", 0.5, -1), ("C", 0.5, 1)]
+    commit(spark, root, V.version(spark, root), V.live_files(spark, root, V.version(spark, root)))
+    assert V.kept_changes(spark, root, 1, 3) is None
+    assert _same(CE.changed_rows(spark, root, 1, 3), changed)
+
+
+def test_cluster_sorts_few_rows_in_a_task(spark, tmp_dir, monkeypatch):
+    V.commit(spark, tmp_dir, None, V.write_files(spark, curate(_few(spark)), tmp_dir))
+    monkeypatch.setattr(compaction, "SORT_ROWS", 1)
+    before = V.read_version(spark, tmp_dir)
+    assert compaction.cluster(spark, tmp_dir) == 2
+    assert V.live_files(spark, tmp_dir, V.version(spark, tmp_dir)).count() == 5
+    assert _same(V.read_version(spark, tmp_dir), before)
+
+
+def test_a_landing_has_files_by_its_input(spark):
+    frame = spark.range(0, 100, 1, 12)
+    assert _quarter_files(frame) == 6 and _quarter_files(frame.coalesce(1)) == 1
