@@ -41,10 +41,19 @@ def _of_interval_files(df: DataFrame, exclude: str | None) -> DataFrame:
     return df.filter(~F.col("_metadata.file_name").contains(exclude)) if exclude else df
 
 
+def _marked(mark: str) -> Column:
+    """Whether a line holds the mark; each of the usual names has a ``_``, which is faster to look for."""
+    found = F.col("value").rlike(mark)
+    return F.col("value").contains("_") & found if mark == HEADER_MARK else found
+
+
 def header_lines(lines: DataFrame, mark: str = HEADER_MARK) -> DataFrame:
     """``file, header`` of every file with lines (``value``, ``file``); null where no line is a header. One pass, and one
-    row of a task for each file it reads."""
-    return lines.groupBy("file").agg(F.min(F.when(F.col("value").rlike(mark), F.col("value"))).alias("header"))
+    row of a task for each file it reads. (The files are gathered in an object hash table, for the set's sake; with ``min``
+    alone Spark would sort all lines by file.)"""
+    kinds = F.collect_set(_marked(mark))
+    header = F.min(F.when(_marked(mark), F.col("value")))
+    return lines.groupBy("file").agg(F.when(F.array_contains(kinds, True), header).alias("header"))
 
 
 def _known(name: Column, mapping: dict[str, str]) -> Column:
@@ -149,7 +158,7 @@ def parse_lines(lines: DataFrame, mapping: dict[str, str] | None = None, mark: s
     if not headers.width:
         return lines.sparkSession.createDataFrame([], ", ".join(f"`{h}` string" for h in (*RAW_HEADERS, *extra)))
     schema = ", ".join(f"_c{i} string" for i in range(headers.width))
-    cells = (lines.filter(~F.col("value").rlike(mark) & (F.trim("value") != ""))
+    cells = (lines.filter(~_marked(mark) & (F.trim("value") != ""))
              .select(F.from_csv("value", schema).alias("c"), F.col("file").alias("_file"), *(e.alias(n) for n, e in extra.items()))
              .select("c.*", "_file", *extra))
     return headers.in_order(cells)

@@ -21,13 +21,16 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..operators.clean import curate, dedup_key
+from ..operators.clean import curate
 from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
 from ..session import delete_path, path_exists, shared_dir
 from ..sources.curated import write_curated
 from ..sources.raw import normalize_columns, parse_lines
 from .source import raw_line_stream
 
+#: beaten copies that are sent to every task; more of them are shuffled
+FEW = 500_000
+
 
 def _existing(spark: SparkSession, path: str, absent: tuple[str, ...] = ("PATH_NOT_FOUND",)) -> DataFrame | None:
     """The Parquet data at ``path``; None when it fails for one of the ``absent`` reasons, any other failure is raised."""
@@ -67,9 +70,9 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
     months and time range it touches (key and measure columns only):
     - a new key is appended (no existing file is touched);
     - a key whose stored copy wins is dropped;
-    - a key the batch wins forces its month to be rewritten: stored rows and
-      batch rows of that month are merged, staged and written back with
-      dynamic partition overwrite.
+    - a key the batch wins forces its month to be rewritten: the month's stored
+      rows without the beaten copies, and its new and winning batch rows, are
+      staged and written back with dynamic partition overwrite.
     Replays are safe: the rewrite is re-applied from its staged copy (marker
     file), and appends skip keys the table already holds.
     """
@@ -95,10 +98,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
     met.write.mode("overwrite").parquet(f"{stage}/met")
     met = spark.read.parquet(f"{stage}/met")
     if not replayed:
-        rewrite = sorted(r[0] for r in met.filter("_wins").select(_ym()).distinct().collect())
+        won = {r["ym"]: r["n"] for r in met.filter("_wins").groupBy(_ym().alias("ym")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        rewrite = sorted(won)
         if rewrite:
             scope = _ym().isin(rewrite)
-            merged = dedup_key(old.filter(scope).select(*CURATED_COLUMNS).unionByName(met.filter(scope).drop("_wins")))
+            beaten = met.filter("_wins").select(*KEY)
+            beaten = F.broadcast(beaten) if sum(won.values()) <= FEW else beaten
+            merged = (old.filter(scope).select(*CURATED_COLUMNS).join(beaten, list(KEY), "left_anti").select(*CURATED_COLUMNS)
+                      .unionByName(met.filter(scope & F.coalesce("_wins", F.lit(True))).drop("_wins")))
             merged.write.mode("overwrite").parquet(f"{stage}/merged")
         spark.createDataFrame([(batch_id, rewrite)], "batch_id long, months array<int>") \
             .write.mode("overwrite").parquet(done)
