@@ -16,12 +16,19 @@ from .testdata import curated_standin
 from .registry_curation import VARIANT_HEADERS
 
 
+def _quarter_files(raw: DataFrame) -> int:
+    """Files of a quarter of a landing: one for every two splits of its input, so that no file grows with the tables."""
+    return -(-raw.rdd.getNumPartitions() // 2)
+
+
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stand-in raw CSV landed as 4 files, ingested one file per micro-batch; equals batch curation."""
+    """Stand-in raw CSV landed as files dealt into 4 equal lots, ingested one lot per micro-batch; equals batch curation."""
     land = shared_dir(spark, "ingest-landing")
-    standin_raw_frame(spark, sf_dir).repartition(4).write.option("header", True).csv(land)
+    raw = standin_raw_frame(spark, sf_dir)
+    quarter = _quarter_files(raw)
+    raw.repartition(4 * quarter).write.option("header", True).csv(land)
     table = shared_dir(spark, "ingest-table")
-    incremental_ingest(spark, land, table, max_files_per_trigger=1)
+    incremental_ingest(spark, land, table, max_files_per_trigger=quarter)
     return spark.read.parquet(table).select(*CURATED_COLUMNS)
 
 
@@ -30,8 +37,9 @@ def q_versioned_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch curation."""
     land, root = shared_dir(spark, "versioned-landing"), shared_dir(spark, "versioned-table")
     raw = standin_raw_frame(spark, sf_dir)
-    raw.repartition(4).write.option("header", True).csv(f"{land}/first")
-    checkpoint = versioned_ingest(spark, land, root, max_files_per_trigger=2)["checkpoint"]
+    quarter = _quarter_files(raw)
+    raw.repartition(4 * quarter).write.option("header", True).csv(f"{land}/first")
+    checkpoint = versioned_ingest(spark, land, root, max_files_per_trigger=2 * quarter)["checkpoint"]
     raw.filter(F.col("meter").startswith("BR") & (F.month("x_Timestamp") <= 6)).write.option("header", True).csv(f"{land}/again")
     versioned_ingest(spark, land, root, checkpoint)
     compact(spark, root)
