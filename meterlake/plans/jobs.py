@@ -9,6 +9,7 @@ from ..operators.clean import clean, enrich
 from ..operators.grains import daily_rollup, hourly_rollup
 from ..operators.quality import rejects
 from ..rules import RULES, Rules
+from ..session import observed_rows
 from ..sources.curated import layout, write_curated, write_table
 from ..sources.raw import normalize_columns, read_raw_csv
 
@@ -31,7 +32,7 @@ def curation_job(spark: SparkSession, raw_paths, output_path: str, rules: Rules
     raw = given.observe(seen, F.count(F.lit(1)).alias("rows"))
     curated = curate_laid_out(raw, rules, order).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_curated(curated, output_path, mode=mode, dynamic=dynamic, laid_out=True)
-    rows_in, rows_out = int(seen.get["rows"]), int(kept.get["rows"])
+    rows_in, rows_out = observed_rows(seen, given), observed_rows(kept, curated)
     if metrics is not None:
         metrics.update(rows_in=rows_in, rows_out=rows_out, rejected=rows_in - rows_out)
     return rows_out

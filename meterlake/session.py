@@ -4,7 +4,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,6 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+def observed_rows(seen: Observation, df: DataFrame) -> int:
+    """``rows`` of an observation of ``df``. Spark reports nothing where it found at run time that no row passes the shuffle
+    above; the rows are counted then."""
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError:
+        return df.count()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder by Hadoop's file systems, wherever ``path`` lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -74,4 +84,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "path_exists", "shared_dir"]
+__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "observed_rows", "path_exists", "shared_dir"]

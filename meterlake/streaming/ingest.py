@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import curate
 from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
-from ..session import delete_path, path_exists, shared_dir
+from ..session import delete_path, observed_rows, path_exists, shared_dir
 from ..sources.curated import write_curated
 from ..sources.raw import normalize_columns, parse_lines
 from .source import raw_line_stream
@@ -87,7 +87,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
     span = new.agg(F.collect_set(_ym()).alias("months"), F.min("reading_ts").alias("a"), F.max("reading_ts").alias("z")).first()
     touched = sorted(span.months)  # bounded by the calendar
     if not touched:
-        return {"rows": int(seen.get["rows"]), "months": [], "rewritten": []}
+        return {"rows": observed_rows(seen, batch), "months": [], "rewritten": []}
     if old is None:
         met = new.withColumn("_wins", F.lit(None).cast("boolean"))
     else:
@@ -113,7 +113,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, staging_
         write_curated(spark.read.parquet(f"{stage}/merged"), table_path, mode="overwrite", dynamic=True)
     add = met.filter(F.col("_wins").isNull() & ~_ym().isin(rewrite)) if rewrite else met.filter("_wins IS NULL")
     write_curated(add, table_path, mode="append")
-    return {"rows": int(seen.get["rows"]), "months": touched, "rewritten": rewrite}
+    return {"rows": observed_rows(seen, batch), "months": touched, "rewritten": rewrite}
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.clean import curate
 from ..rules import CURATED_COLUMNS, KEY, MEASURES, RULES, Rules
-from ..session import delete_path, shared_dir
+from ..session import delete_path, observed_rows, shared_dir
 from ..sources.raw import normalize_columns, parse_lines
 from ..sources.versions import (FILE, CommitConflict, commit, live_files, read_files, version, write_files)
 from .source import raw_line_stream
@@ -87,7 +87,7 @@ def merge_version(spark: SparkSession, batch: DataFrame, root: str, rules: Rules
             done = commit(spark, root, base, files, {} if batch_id is None else {stream: batch_id}, changes)
             if staged:
                 delete_path(spark, staged)
-            return {"rows": int(seen.get["rows"]), "files": len(fresh), "rewritten": len(lost), "version": done.number}
+            return {"rows": observed_rows(seen, batch), "files": len(fresh), "rewritten": len(lost), "version": done.number}
         except CommitConflict:
             if attempt + 1 == ATTEMPTS:
                 raise

@@ -10,6 +10,7 @@ from meterlake.sources import compaction, versions as V
 from meterlake.sources.raw import header_lines
 from meterlake.sources.versions import commit
 from meterlake.streaming import merge_version
+from meterlake.streaming.ingest import merge_batch
 
 RAW = "reading_ts timestamp_ntz, energy_kwh double, avg_voltage double, avg_current double, frequency_hz double, meter_id string"
 
@@ -94,3 +95,10 @@ def test_cluster_sorts_few_rows_in_a_task(spark, tmp_dir, monkeypatch):
 def test_a_landing_has_files_by_its_input(spark):
     frame = spark.range(0, 100, 1, 12)
     assert _quarter_files(frame) == 6 and _quarter_files(frame.coalesce(1)) == 1
+
+
+def test_rows_of_a_batch_without_keys_are_counted(spark, tmp_dir):
+    nulls = _few(spark).withColumn("meter_id", F.lit(None).cast("string"))
+    assert merge_version(spark, nulls, f"{tmp_dir}/v")["rows"] == 6
+    assert merge_batch(spark, nulls, f"{tmp_dir}/t", f"{tmp_dir}/s")["rows"] == 6
+    assert merge_batch(spark, nulls.limit(0), f"{tmp_dir}/t", f"{tmp_dir}/s", batch_id=1)["rows"] == 0
