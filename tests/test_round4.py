@@ -4,6 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from meterlake.operators import cells as CE, grains
+from meterlake.operators.anomaly import rolling_scores
 from meterlake.operators.clean import clean, curate
 from meterlake.registry_streaming import _quarter_files
 from meterlake.sources import compaction, versions as V
@@ -102,3 +103,14 @@ def test_rows_of_a_batch_without_keys_are_counted(spark, tmp_dir):
     assert merge_version(spark, nulls, f"{tmp_dir}/v")["rows"] == 6
     assert merge_batch(spark, nulls, f"{tmp_dir}/t", f"{tmp_dir}/s")["rows"] == 6
     assert merge_batch(spark, nulls.limit(0), f"{tmp_dir}/t", f"{tmp_dir}/s", batch_id=1)["rows"] == 0
+
+
+def test_days_of_the_daily_rollup_are_dealt_by_meter_once(spark, tmp_dir):
+    grains.daily_rollup(curate(_few(spark))).write.parquet(tmp_dir + "/d")
+    days = spark.read.parquet(tmp_dir + "/d")
+    twice = days.unionByName(days.limit(1)).unionByName(days.withColumn("meter_id", F.lit(None).cast("string")))
+    assert _same(grains.daily(twice), twice.groupBy("meter_id", F.col("reading_date").alias("d")).agg(F.sum("energy_kwh").alias("kwh")))
+    scored = rolling_scores(grains.daily(days), ["meter_id"], "d", "kwh", min_history=0)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    # no map task holds a group for every row; the window takes the aggregate's shuffle and order
+    assert "Aggregate" not in _before_shuffle(scored) and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
