@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,6 +74,20 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for the queries inside; what it was before afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -84,4 +100,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "observed_rows", "path_exists", "shared_dir"]
+__all__ = ["DEFAULT_CONF", "get_session", "delete_path", "ensure_checkpoint_dir", "observed_rows", "path_exists", "session_conf", "shared_dir"]

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import rnd
 from ..functions.wallclock import to_instant, to_wallclock
-from ..rules import MEASURES, RULES, Rules
+from ..rules import KEY, MEASURES, RULES, Rules
 from ..session import shared_dir
 from .staged import stage_landed, staged_readings
 
@@ -31,15 +31,30 @@ def spell_sessions(readings: DataFrame, rules: Rules = RULES, watermark: str = "
                     rnd(F.col("readings") * F.lit(float(rules.interval_minutes)) / F.lit(60.0), 2).alias("est_hours")))
 
 
+def spell_readings(readings: DataFrame, before, newest, delay: str) -> DataFrame:
+    """The readings of a micro-batch that spells can depend on: every copy of a meter and time with a zero-voltage copy in
+    the batch, and all readings that may have copies in other batches: those not after ``before``, the newest time of all
+    earlier batches, and those after the watermark that the next batch will meet (``newest`` less ``delay``). The state then
+    grows with the outages, not with the readings, and the newest reading still moves the watermark."""
+    ts = F.col("reading_ts")
+    open_ = ts > F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+    if before is not None:
+        open_ = open_ | (ts <= F.lit(before).cast("timestamp_ntz"))
+    zero = readings.filter(F.col("avg_voltage") == 0).select(*KEY).hint("shuffle_hash")
+    return readings.filter(open_).unionByName(readings.filter(~open_).join(zero, list(KEY), "left_semi").select(*readings.columns))
+
+
 def outage_spells_stream(spark: SparkSession, landing: str, sink_path: str, checkpoint: str | None = None, rules: Rules = RULES,
                          watermark: str = "10 minutes", min_readings: int = 1, max_files_per_trigger: int | None = None,
                          exclude: str | None = "Aggregated") -> dict:
     """Spells that have closed, of the files landed since the last run (``availableNow``), into a Parquet sink (append).
-    An open spell waits in the state for the next run. Rejected and late rows are kept as dead letters (``staged``)."""
+    An open spell waits in the state for the next run. Rejected and late rows are kept as dead letters (``staged``);
+    readings that no spell can depend on (``spell_readings``) do not go to the stream."""
     checkpoint = checkpoint or shared_dir(spark, "spells-checkpoint")
     root = f"{checkpoint.rstrip('/')}/staged"
-    done = stage_landed(spark, landing, root, watermark, rules, max_files_per_trigger, exclude)
-    q = (spell_sessions(staged_readings(spark, root).drop("_et"), rules, watermark, min_readings)
+    done = stage_landed(spark, landing, root, watermark, rules, max_files_per_trigger, exclude,
+                        keep=lambda readings, before, newest: spell_readings(readings, before, newest, watermark))
+    q = (spell_sessions(staged_readings(spark, root, kept=True).drop("_et"), rules, watermark, min_readings)
          .writeStream.format("parquet").option("path", sink_path)
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/sessions").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()

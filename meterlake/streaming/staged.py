@@ -14,12 +14,14 @@ committed all batches of the run.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.wallclock import to_instant
 from ..operators.clean import in_range, not_null, typed_readings
 from ..rules import BASE_COLUMNS, RULES, Rules
-from ..session import path_exists
+from ..session import path_exists, session_conf
 from ..sources.raw import normalize_columns, parse_lines
 from .source import raw_line_stream
 
@@ -27,6 +29,9 @@ READINGS_SCHEMA = ("reading_ts timestamp_ntz, energy_kwh double, avg_voltage dou
                    "meter_id string")
 DEAD_SCHEMA = "line string, file string, reason string"
 MARKS_SCHEMA = "batch_id bigint, watermark timestamp_ntz, newest timestamp_ntz, rows bigint"
+#: what a stateful stream keeps of a batch's readings: these, the newest time of all earlier batches (or None), and
+#: the newest time of all so far → its rows
+Keep = Callable[[DataFrame, object, object], DataFrame]
 
 
 def _marks(spark: SparkSession, root: str) -> DataFrame:
@@ -35,10 +40,12 @@ def _marks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MARKS_SCHEMA).parquet(f"{root}/marks")
 
 
-def stage_batch(spark: SparkSession, lines: DataFrame, batch_id: int, root: str, delay: str, rules: Rules = RULES) -> dict:
-    """One micro-batch of landed lines (``value, file``); returns its number of ``rows`` and the ``watermark`` it met."""
+def stage_batch(spark: SparkSession, lines: DataFrame, batch_id: int, root: str, delay: str, rules: Rules = RULES,
+                keep: Keep | None = None) -> dict:
+    """One micro-batch of landed lines (``value, file``); returns its number of ``rows`` and the ``watermark`` it met.
+    What ``keep`` gives of its readings is written to ``kept/batch=<n>``."""
     earlier = _marks(spark, root).filter(F.col("batch_id") < batch_id).agg(F.max("newest").alias("newest"))
-    watermark = earlier.select((F.col("newest") - F.expr(f"INTERVAL {delay}")).alias("w")).first()["w"]
+    watermark, before = earlier.select((F.col("newest") - F.expr(f"INTERVAL {delay}")).alias("w"), "newest").first()
     parsed = parse_lines(lines, keep=True)
     rows = typed_readings(normalize_columns(parsed, passthrough=("_line", "_source")), rules)
     late = F.lit(False) if watermark is None else F.col("reading_ts") <= F.lit(watermark).cast("timestamp_ntz")
@@ -47,21 +54,28 @@ def stage_batch(spark: SparkSession, lines: DataFrame, batch_id: int, root: str,
     judged = (rows.withColumn("reason", reason)
               # rejected and late rows do not move the watermark
               .observe(seen, F.count(F.lit(1)).alias("rows"), F.max(F.when(F.col("reason").isNull(), F.col("reading_ts"))).alias("newest"))
-              .select(*BASE_COLUMNS, F.col("_line").alias("line"), F.col("_source").alias("file"), "reason",
-                      F.when(F.col("reason").isNull(), "readings").otherwise("dead").alias("kind")))
-    judged.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/rows/batch={batch_id}")
-    spark.createDataFrame([(batch_id, watermark, seen.get["newest"], seen.get["rows"])], MARKS_SCHEMA).coalesce(1) \
+              # of a reading nobody asks for its line
+              .select(*BASE_COLUMNS, *(F.when(F.col("reason").isNotNull(), F.col(c)).alias(n) for c, n in (("_line", "line"), ("_source", "file"))),
+                      "reason", F.when(F.col("reason").isNull(), "readings").otherwise("dead").alias("kind")))
+    # a task writes both kinds side by side; with one writer it would sort all its rows by kind
+    with session_conf(judged.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        judged.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/rows/batch={batch_id}")
+    newest = seen.get["newest"]
+    if keep and newest is not None:
+        readings = spark.read.schema(READINGS_SCHEMA).parquet(f"{root}/rows/batch={batch_id}/kind=readings")
+        keep(readings, before, max(newest, before or newest)).write.mode("overwrite").parquet(f"{root}/kept/batch={batch_id}")
+    spark.createDataFrame([(batch_id, watermark, newest, seen.get["rows"])], MARKS_SCHEMA).coalesce(1) \
         .write.mode("overwrite").parquet(f"{root}/marks/of={batch_id}")
     return {"rows": seen.get["rows"], "watermark": watermark}
 
 
 def stage_landed(spark: SparkSession, landing: str, root: str, delay: str = "10 minutes", rules: Rules = RULES,
-                 max_files_per_trigger: int | None = None, exclude: str | None = "Aggregated") -> dict:
+                 max_files_per_trigger: int | None = None, exclude: str | None = "Aggregated", keep: Keep | None = None) -> dict:
     """Stage one for every file landed since the last run (``availableNow``); returns ``batches`` and ``rows`` of this run."""
     total = {"batches": 0, "rows": 0}
 
     def stage(lines: DataFrame, batch_id: int) -> None:
-        done = stage_batch(spark, lines, batch_id, root, delay, rules)
+        done = stage_batch(spark, lines, batch_id, root, delay, rules, keep)
         total["batches"] += bool(done["rows"])
         total["rows"] += done["rows"]
 
@@ -71,9 +85,11 @@ def stage_landed(spark: SparkSession, landing: str, root: str, delay: str = "10
     return total
 
 
-def staged_readings(spark: SparkSession, root: str) -> DataFrame:
-    """The staged readings as a stream with an event time ``_et``, in the order they were staged."""
-    df = spark.readStream.schema(READINGS_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/rows/batch=*/kind=readings")
+def staged_readings(spark: SparkSession, root: str, kept: bool = False) -> DataFrame:
+    """The staged readings (``kept``: what ``keep`` gave of them) as a stream with an event time ``_et``, in the order they
+    were staged."""
+    folders = f"{root}/kept/batch=*" if kept else f"{root}/rows/batch=*/kind=readings"
+    df = spark.readStream.schema(READINGS_SCHEMA).option("recursiveFileLookup", "true").parquet(folders)
     return df.withColumn("_et", to_instant(F.col("reading_ts")))
 
 

@@ -1,5 +1,6 @@
 """Steps that must not grow with a map task's share of the input, and layouts that must."""
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from meterlake.registry_streaming import _quarter_files
 from meterlake.sources import compaction, versions as V
 from meterlake.sources.raw import header_lines
 from meterlake.sources.versions import commit
-from meterlake.streaming import merge_version
+from meterlake.streaming import dead_letters, merge_version, outage_spells_stream
 from meterlake.streaming.ingest import merge_batch
+from meterlake.streaming.outages import spell_readings
 
 RAW = "reading_ts timestamp_ntz, energy_kwh double, avg_voltage double, avg_current double, frequency_hz double, meter_id string"
 
@@ -114,3 +116,35 @@ def test_days_of_the_daily_rollup_are_dealt_by_meter_once(spark, tmp_dir):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     # no map task holds a group for every row; the window takes the aggregate's shuffle and order
     assert "Aggregate" not in _before_shuffle(scored) and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+def test_spells_take_only_readings_they_depend_on(spark):
+    rows = _readings(spark, ((1, 1, 0, 0), 0.5, 230.0, 1.0, "A"), ((1, 1, 0, 3), 0.5, 230.0, 1.0, "A"), ((1, 1, 6, 0), 0.5, 0.0, 1.0, "A"),
+                     ((1, 1, 6, 0), 0.25, 230.0, 1.0, "A"), ((1, 1, 6, 0), 0.25, 230.0, 1.0, "B"), ((1, 1, 12, 0), 0.5, 230.0, 1.0, "B"),
+                     ((1, 1, 11, 50), 0.5, 230.0, 1.0, "B"), ((1, 1, 11, 51), 0.5, 230.0, 1.0, "B"))
+    newest = dt.datetime(2020, 1, 1, 12)
+    got = lambda before: sorted((r.meter_id, r.reading_ts.strftime("%H:%M"), r.avg_voltage)
+                                for r in spell_readings(rows, before, newest, "10 minutes").collect())
+    kept = [("A", "06:00", 0.0), ("A", "06:00", 230.0), ("B", "11:51", 230.0), ("B", "12:00", 230.0)]
+    assert got(None) == kept and got(dt.datetime(2020, 1, 1)) == [("A", "00:00", 230.0), *kept]
+
+
+def test_spells_of_copies_that_land_apart(spark, tmp_dir):
+    header, day = "x_Timestamp,t_kWh,z_Avg Voltage (Volt),z_Avg Current (Amp),y_Freq (Hz),meter", "2020-01-01"
+    landings = ([f"{day} 00:00:00,0.5,0,0,0,BR01", f"{day} 00:03:00,0.5,230,1,50,BR01", f"{day} 05:00:00,0.25,230,1,50,BR02", f"{day} 05:00:00,0.5,0,0,0,BR03",
+                 "bad,0.5,0,0,0,BR01"],
+                # copies of the last minutes: this one of BR02 loses, and that of BR03
+                [f"{day} 05:00:00,0.5,0,0,0,BR02", f"{day} 05:00:00,0.75,230,1,50,BR03", f"{day} 04:57:00,0.5,0,0,0,BR03", f"{day} 04:00:00,0.5,0,0,0,BR03"],
+                ["2020-01-02 00:00:00,0.5,230,1,50,BR01"])
+    for i, rows in enumerate(landings):
+        (Path(tmp_dir) / "land").mkdir(exist_ok=True)
+        (Path(tmp_dir) / "land" / f"{i}.csv").write_text("\n".join([header, *rows]) + "\n")
+        done = outage_spells_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    got = sorted((r.meter_id, r.spell_start.strftime("%H:%M"), r.readings) for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
+    assert got == [("BR01", "00:00", 1), ("BR03", "04:57", 2)]
+    dead = sorted((r.line, r.reason) for r in dead_letters(spark, done["staged"]).collect())
+    assert dead == [(f"{day} 04:00:00,0.5,0,0,0,BR03", "late"), ("bad,0.5,0,0,0,BR01", "null")]
+    staged = spark.read.parquet(f"{done['staged']}/rows/batch=0/kind=readings")
+    assert staged.count() == 4 and staged.filter("line IS NOT NULL OR file IS NOT NULL").isEmpty()
+    # the reading of 00:03 moved nothing and went nowhere
+    assert spark.read.parquet(f"{done['staged']}/kept/batch=0").count() == 3
