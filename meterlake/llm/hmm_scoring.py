@@ -11,10 +11,12 @@ and sends those of the others, as their mean states in half precision and in pac
 
 Baum-Welch: each group sums up the expected counts of its training sequences by the scaled forward-backward
 recursion, Spark adds them up by symbol and by rare token, and the driver turns the bounded totals of the symbols
-into the next model. Training reads whole texts: those of over ``BLOCK`` symbols go through the recursion in blocks, side
-by side, once the blocks' transfer matrices have carried the forward and backward messages to their ends, which gives
-the same counts as the uncut recursion. Scoring runs the scaled forward recursion over whole texts; long texts are scored
-in chunks whose transfer matrices are multiplied, which is the same recursion with bounded steps.
+into the next model. A group's texts lie in at most ``LANES`` lanes, one after the other, and all lanes take a step at a
+time; of the forward messages one a window is kept, the others are computed again on the way back. Training reads whole texts:
+those of over ``WHOLE`` symbols go through the recursion in blocks of ``BLOCK``, side by side, once the blocks' transfer
+matrices have carried the forward and backward messages to their ends, which gives the same counts as the uncut recursion.
+Scoring runs the scaled forward recursion over whole texts; those of over ``LONG`` symbols are scored in chunks whose transfer
+matrices are multiplied, which is the same recursion with bounded steps.
 
 Cases: a null or empty text is its end alone; a token that training never saw counts 0; with no training
 texts N and V are 0; repeated rows are scored row by row (rows are told apart by a number of their own, not
@@ -23,8 +25,9 @@ by id); an empty table gives an empty result; other input columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +43,19 @@ FREQUENT = 65_000
 CLASSES = 128
 STATES = 8
 ROUNDS = 8
-BLOCK = 256
-PORTION = 1 << 18  # symbols of blocks that go through the recursion side by side
+BLOCK = 2048
+WHOLE = 12_288  # symbols; longer texts are trained in blocks
+LANES = 512
+PORTION = 1 << 22  # symbols that go through the recursion together
+WINDOW = 1 << 14  # symbols whose emissions are looked up together
+SUMMED = 1 << 18  # symbols whose probabilities are summed up together
 LONG = 1 << 15  # symbols; the matrices of chunks cost more steps of work than a sequence's own steps
 CHUNK = 2048
 SMOOTHING = 0.1
 COUNT_BLOCK = 1 << 22
 GROUP = 1 << 22  # tokens
 BUCKET = 1 << 18  # rare tokens of groups
+SLOT_BITS = 18
 END = ta.word_hash(b" ")  # no word holds a blank
 _U = np.uint64
 
@@ -123,37 +131,49 @@ class Vocabulary:
     def log_base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
 
+    @cached_property
+    def _slots(self) -> np.ndarray:
+        """For each value of a hash's leading bits, the first token from there on."""
+        return np.searchsorted(self.tokens >> _U(64 - SLOT_BITS), np.arange(1 << SLOT_BITS, dtype=_U)).astype(np.int32)
+
     def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        return place, self.tokens[place] == tokens
+        last = len(self.tokens) - 1
+        place = np.minimum(self._slots[tokens >> _U(64 - SLOT_BITS)], last)
+        found = self.tokens[place]
+        behind = np.flatnonzero(found < tokens)
+        while len(behind):  # the next in the slot
+            place[behind] += 1
+            behind = behind[place[behind] <= last]
+            found[behind] = self.tokens[place[behind]]
+            behind = behind[found[behind] < tokens[behind]]
+        return np.minimum(place, last), found == tokens
 
 
 def vocabulary(counts: DataFrame, frequent: int) -> Vocabulary:
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    per = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
+    total, distinct = int(per["n"].sum()), int(per["v"].sum())
     end = int(np.uint64(END).view(np.int64))
-    top = (counts.orderBy(F.col("token") != end, F.desc("n"), "token").limit(frequent).select("token", "n").toPandas())
-    tokens, n = top["token"].to_numpy(np.int64).view(_U), top["n"].to_numpy(np.int64)
+    top = (counts.orderBy(F.col("token") != end, F.desc("n"), "token").limit(frequent).select("token", "n", "class").toPandas())
+    tokens, n, kinds = top["token"].to_numpy(np.int64).view(_U), top["n"].to_numpy(np.int64), top["class"].to_numpy(np.int64)
+    # what the classes hold in all, less their frequent members
+    rest = [np.bincount(per["class"].to_numpy(np.int64), weights=per[c], minlength=CLASSES) - np.bincount(kinds, weights=own, minlength=CLASSES)
+            for c, own in (("n", n), ("v", np.ones(len(n))))]
     if END not in tokens.tolist():
         tokens, n = np.append(tokens, _U(END)), np.append(n, 0)
     order = np.argsort(tokens)
-    tokens, n = tokens[order], n[order]
-    # what the classes hold in all, less their frequent members
-    per = {r["class"]: r for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    listed = counts.sparkSession.createDataFrame([(int(t),) for t in tokens.view(np.int64)], "token bigint")
-    often = {r["class"]: r for r in counts.join(F.broadcast(listed), "token").groupBy("class")
-             .agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    rest = np.array([[per[c][k] - (often[c][k] if c in often else 0) if c in per else 0 for c in range(CLASSES)] for k in ("n", "v")])
-    return Vocabulary(tokens, n, total, distinct, rest[0].astype(np.float64), rest[1].astype(np.float64))
+    return Vocabulary(tokens[order], n[order], total, distinct, *rest)
 
 
-CODED = ("part bigint, id {kind}, held_out boolean, n_tokens bigint, symbols binary, known bigint, base double, rare binary, "
+CODED = ("part bigint, held_out boolean, ids array<{kind}>, lengths binary, symbols binary, known binary, base binary, rare binary, "
          "token binary, class binary, here binary")
 
 
 def sequences(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """A row for each text: its group, its symbols as unsigned 16-bit integers (at most 65,535 by ``vocabulary``), what its
-    frequent tokens give to the base score, and the places of its rare tokens in the group's list. And a row for each
-    group, without ``n_tokens``: the list of its rare tokens in order, their classes, and their numbers in its training texts."""
+    """A row for each portion of a group's texts, training texts and others apart: their ids and lengths, their symbols as
+    unsigned 16-bit integers (at most 65,535 by ``vocabulary``), the numbers of their known tokens among the frequent ones, what
+    their frequent tokens give to the base score, and the places of their rare tokens in the group's list. Texts of at most
+    ``WHOLE`` symbols lie in lanes (``_Lanes``), longer ones one after the other. And a row for each group, without
+    ``lengths``: the list of its rare tokens in order, their classes, and their numbers in its training texts."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
     kind = docs.schema["id"].dataType.simpleString()
     names = [f.split()[0] for f in CODED.split(", ")]
@@ -161,42 +181,47 @@ def sequences(docs: DataFrame, words: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, part, size = shared.value, TaskContext.get().partitionId() << 36, 0
         base = vocabulary.log_base(vocabulary.counts)
+        seen = vocabulary.counts > 0
         held: list[tuple] = []
 
-        def rows(n: int, given: dict) -> pa.RecordBatch:
-            columns = [given.get(f.name, pa.nulls(n, f.type)) for f in schema]
-            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        def row(given: dict) -> pa.RecordBatch:
+            columns = [given.get(f.name) for f in schema]
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array([c], f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        def group():
-            tokens, classes = (np.concatenate([h[i] for h in held]) for i in (2, 3))
-            learned = np.concatenate([np.repeat(~h[1], h[4]) for h in held])
-            token, where, place = np.unique(tokens, return_index=True, return_inverse=True)
-            here = np.bincount(place, weights=learned, minlength=len(token))
-            ends = np.cumsum(np.concatenate([h[4] for h in held]))
-            at = 0
-            for ids, out, _, _, counts, given in held:
-                stops = ends[at:at + len(counts)]
-                own = [place[stop - n:stop].astype("<u4").tobytes() for stop, n in zip(stops, counts)]
-                at += len(counts)
-                yield rows(len(ids), {"part": np.full(len(ids), part), "id": ids, "held_out": out, "rare": own, **given})
-            yield rows(1, {"part": [part], "token": [token.astype("<u8").tobytes()], "class": [classes[where].astype("u1").tobytes()],
-                           "here": [here.astype("<i4").tobytes()]})
+        def group() -> Iterator[pa.RecordBatch]:
+            ids = pa.concat_arrays([h[0] for h in held])
+            out, lengths, symbol, known, gained, tokens, classes = (np.concatenate([h[i] for h in held]) for i in range(1, 8))
             held.clear()
+            rare = symbol >= len(vocabulary.tokens)
+            learned = np.repeat(~out, lengths)[rare]
+            token, where, place = np.unique(tokens, return_index=True, return_inverse=True)
+            yield row({"part": part, "token": token.astype("<u8").tobytes(), "class": classes[where].astype("u1").tobytes(),
+                       "here": np.bincount(place[learned], minlength=len(token)).astype("<i4").tobytes()})
+            places = np.zeros(len(symbol), dtype="<u4")
+            places[rare] = place
+            del tokens, classes, learned, place, rare
+            at = np.concatenate([[0], np.cumsum(lengths)])
+            for aside in (False, True):
+                for long in (False, True):
+                    for own in _portions(np.flatnonzero((out == aside) & ((lengths > WHOLE) == long)), lengths):
+                        flat, of = (np.concatenate([x[at[i]:at[i + 1]] for i in own.tolist()]) for x in (symbol, places))
+                        if not long:
+                            to = _Lanes(lengths[own]).places()
+                            flat, of = _moved(flat, to), _moved(of, to)
+                        yield row({"part": part, "held_out": aside, "ids": pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), ids.take(pa.array(own))),
+                                   "lengths": lengths[own].astype("<i8").tobytes(), "symbols": flat.tobytes(), "known": known[own].astype("<i8").tobytes(),
+                                   "base": gained[own].astype("<f8").tobytes(), "rare": of[flat >= len(vocabulary.tokens)].tobytes()})
 
         for batch in text_batches(batches):
             if not size and not held:
-                schema = pa.schema([(n, t) for n, t in zip(names, [pa.int64(), batch.schema.field("id").type, pa.bool_(), pa.int64(), pa.binary(), pa.int64(),
-                                                                   pa.float64(), *[pa.binary()] * 4])])
+                schema = pa.schema([(n, t) for n, t in zip(names, [pa.int64(), pa.bool_(), pa.list_(batch.schema.field("id").type), *[pa.binary()] * 8])])
             out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             for first, last, tokens, classes, at in _tokens(ta.utf8(batch.column("text"))):
                 place, often = vocabulary.find(tokens)
                 symbol = np.where(often, place, len(vocabulary.tokens) + classes).astype("<u2")
-                seen = np.concatenate([[0], np.cumsum(often & (vocabulary.counts[place] > 0))])
-                rare = np.concatenate([[0], np.cumsum(~often)])
-                gained = np.where(often, base[place], 0.0)
-                given = {"n_tokens": np.diff(at), "symbols": [symbol[i:j].tobytes() for i, j in zip(at, at[1:])], "known": np.diff(seen[at]),
-                         "base": [math.fsum(gained[i:j].tolist()) for i, j in zip(at, at[1:])]}
-                held.append((batch.column("id").slice(first, last - first), out[first:last], tokens[~often], classes[~often], np.diff(rare[at]), given))
+                held.append((batch.column("id").slice(first, last - first), out[first:last], np.diff(at), symbol,
+                             np.add.reduceat(often & seen[place], at[:-1], dtype=np.int64), np.add.reduceat(np.where(often, base[place], 0.0), at[:-1]),
+                             tokens[~often], classes[~often].astype(np.uint8)))
                 size += len(tokens)
                 if size >= GROUP:
                     yield from group()
@@ -207,6 +232,12 @@ def sequences(docs: DataFrame, words: Vocabulary) -> DataFrame:
     return docs.select("id", "held_out", "text").mapInArrow(run, CODED.format(kind=kind))
 
 
+def _moved(values: np.ndarray, to: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[to] = values
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
     start: np.ndarray
@@ -224,8 +255,10 @@ class Model:
 
 
 def expected(model: Model, symbols: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of blocks of like length, by the scaled forward-backward recursion."""
-    start, moves, gamma, symbol, _ = _posteriors(model, symbols, lengths)
+    """Expected starts, moves and emissions of texts, by the scaled forward-backward recursion."""
+    blocks = _Lanes(lengths)
+    symbol = _moved(np.concatenate(symbols), blocks.places())
+    start, moves, gamma = _all_posteriors(model, blocks, symbol)
     return start, moves, _summed(symbol, gamma, len(model.emits))
 
 
@@ -234,123 +267,221 @@ def _summed(item: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Lanes:
-    """Blocks side by side, the longest first: the symbols of one step lie together, those of the next step after them."""
-
-    def __init__(self, symbols: list[np.ndarray], rare: list[np.ndarray] | None):
-        lengths = np.array([len(s) for s in symbols], dtype=np.int64)
-        self.order = np.argsort(-lengths, kind="stable")
-        self.lengths = lengths[self.order]
-        self.steps, self.lanes = int(self.lengths[0]), len(lengths)
-        self.live = np.searchsorted(-self.lengths, -np.arange(1, self.steps + 1), side="right").tolist()
+    """Sequences in at most ``LANES`` lanes side by side, in a lane one after the other, the lanes by falling length. The symbols
+    of one step of all lanes lie together, those of the next step after them. Where they lie follows from the lengths alone."""
+
+    def __init__(self, lengths: np.ndarray, most: int | None = None):
+        self.lengths = lengths.astype(np.int64)
+        self.lanes = min(most or LANES, len(lengths))
+        lane, begin = np.empty((2, len(lengths)), dtype=np.int64)
+        total = np.zeros(self.lanes, dtype=np.int64)
+        order, few = np.argsort(-self.lengths, kind="stable"), self.lanes if self.lanes == len(lengths) else -(-self.lanes // 8)
+        for at in range(0, len(order), few):  # the longest to the lanes that hold least
+            own = order[at:at + few]
+            to = np.argsort(total, kind="stable")[:len(own)]
+            lane[own], begin[own] = to, total[to]
+            total[to] += self.lengths[own]
+        by = np.argsort(-total, kind="stable")
+        rank = np.empty_like(by)
+        rank[by] = np.arange(self.lanes)
+        self.lane, self.begin, self.end, total = rank[lane], begin, begin + self.lengths - 1, total[by]
+        self.steps = int(total[0])
+        self.live = np.searchsorted(-total, -np.arange(1, self.steps + 1), side="right")
         self.first = np.concatenate([[0], np.cumsum(self.live)])
-        step = np.arange(self.first[-1]) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.at = self.first[step] + np.repeat(np.arange(self.lanes), self.lengths)
-        self.symbol = self.packed(symbols)
-        self.rare = None if rare is None else self.packed(rare)
-
-    def packed(self, parts: list[np.ndarray]) -> np.ndarray:
-        given = np.concatenate([parts[i] for i in self.order])
-        out = np.empty_like(given)
-        out[self.at] = given
-        return out.astype(np.intp)
-
-    def likely(self, model: Model, factors: np.ndarray | None) -> np.ndarray:
-        """States x symbols: how likely each state emits each symbol."""
-        out = np.take(np.ascontiguousarray(model.emits.T), self.symbol, axis=1)
-        if self.rare is not None:
-            of = np.flatnonzero(self.rare)
-            out[:, of] *= factors[self.rare[of]].T
-        return out
 
+    def places(self) -> np.ndarray:
+        """Where the symbols of the sequences, one sequence after the other, lie."""
+        out = self.first[np.repeat(self.begin - (np.cumsum(self.lengths) - self.lengths), self.lengths) + np.arange(self.lengths.sum())]
+        out += np.repeat(self.lane, self.lengths)
+        return out
 
-def _posteriors(model: Model, symbols: list[np.ndarray], lengths: np.ndarray, rare: list[np.ndarray] | None = None,
-                factors: np.ndarray | None = None, before: np.ndarray | None = None,
-                after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-    """Expected starts and moves; of each place the states' probabilities, its symbol and its row of ``factors``, by which
-    its emission is multiplied (row 0 is 1). ``before`` and ``after`` are the messages from the rest of each block's text:
-    the states' probabilities at the symbol before it (all 0 where the text begins), and the likelihood of all that follows
-    by the block's last state, to any scale. The arithmetic has the precision of the model's emissions."""
-    blocks, k, kind = _Lanes(symbols, rare), len(model.start), model.emits.dtype
-    lanes, live, first = blocks.lanes, blocks.live, blocks.first.tolist()
-    likely = blocks.likely(model, factors)
-    forward, scale = np.empty_like(likely), np.empty(likely.shape[1], dtype=kind)
-    before = np.zeros((k, lanes), dtype=kind) if before is None else before[blocks.order].T.astype(kind)
-    begins = before.sum(axis=0) == 0
-    onward = np.ascontiguousarray(model.moves.T)
-    a = np.where(begins, model.start[:, None], onward @ before)
-    for t in range(blocks.steps):
-        now = slice(first[t], first[t + 1])
-        if t:
-            a = onward @ a[:, :live[t]]
-        a = np.multiply(a, likely[:, now], out=forward[:, now])
-        a /= np.add.reduce(a, axis=0, out=scale[now])
-    likely /= scale
-    moves = np.zeros((k, k))
-    b = np.ones((k, lanes), dtype=kind)
-    if after is not None:
-        b = after[blocks.order].T.astype(kind)
-        b /= (forward[:, blocks.first[blocks.lengths - 1] + np.arange(lanes)] * b).sum(axis=0)
-    for t in range(blocks.steps - 1, 0, -1):
-        now, n = slice(first[t], first[t + 1]), live[t]
-        ahead = likely[:, now] * b[:, :n]
-        moves += forward[:, first[t - 1]:first[t - 1] + n] @ ahead.T
-        forward[:, now] *= b[:, :n]
-        b[:, :n] = model.moves @ ahead
-    moves += before @ (likely[:, :lanes] * b).T
-    forward[:, :lanes] *= b
-    forward /= forward.sum(axis=0)
-    return forward[:, :lanes][:, begins].sum(axis=1, dtype=np.float64), moves * model.moves, forward.T, blocks.symbol, blocks.rare
-
-
-def _transfers(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray], factors: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    def firsts(self) -> np.ndarray:
+        return self.first[self.begin] + self.lane
+
+    def lasts(self) -> np.ndarray:
+        return self.first[self.end] + self.lane
+
+    def at_steps(self, step: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+        """The sequences by rising ``step``, how many there are before each step, and their lanes."""
+        by = np.argsort(step, kind="stable")
+        return by, np.searchsorted(step[by], np.arange(self.steps + 1)).tolist(), self.lane[by]
+
+    def windows(self) -> list[tuple[int, int]]:
+        """Ranges of steps of about ``WINDOW`` symbols."""
+        cuts = np.unique(np.searchsorted(self.first, np.arange(0, self.first[-1] + WINDOW, WINDOW)).clip(max=self.steps))
+        return list(zip(cuts.tolist(), cuts[1:].tolist()))
+
+
+class _Forward:
+    """The scaled forward recursion. ``table`` has how likely each state emits each symbol, ``begins`` what goes into the first
+    step of each sequence."""
+
+    def __init__(self, model: Model, table: np.ndarray, blocks: _Lanes, symbol: np.ndarray, begins: np.ndarray):
+        self.moves, self.table, self.blocks, self.symbol = model.moves, table, blocks, symbol
+        by, self.events, self.lanes = blocks.at_steps(blocks.begin)
+        self.begins, self.first, self.live = begins[by], blocks.first.tolist(), blocks.live.tolist()
+        k, kind = table.shape[1], table.dtype
+        self.ones, self.room = np.ones((k, k), dtype=kind), np.empty((WINDOW + blocks.lanes, k), dtype=kind)
+        self.moved, self.sums, self.state = np.zeros((3, blocks.lanes, k), dtype=kind)
+
+    def run(self, a: np.ndarray, low: int, high: int, each: int, kept: np.ndarray | None = None, come: np.ndarray | None = None,
+            scale: np.ndarray | None = None) -> np.ndarray:
+        """The message after the steps from ``low`` to ``high``, scaled in each ``each``-th of them, from that before them. The
+        messages of all places go to ``kept``, what came into them to ``come``, the scales to ``scale``."""
+        first, live, events, begun = self.first, self.live, self.events, self.first[low]
+        likely = np.take(self.table, self.symbol[begun:first[high]], axis=0, out=self.room[:first[high] - begun], mode="clip")
+        for t in range(low, high):
+            here, then, n = first[t] - begun, first[t + 1] - begun, live[t]
+            now = np.matmul(a[:n], self.moves, out=self.moved[:n] if come is None else come[here:then])
+            if events[t] < events[t + 1]:
+                now[self.lanes[events[t]:events[t + 1]]] = self.begins[events[t]:events[t + 1]]
+            a = np.multiply(now, likely[here:then], out=self.state[:n] if kept is None else kept[here:then])
+            if t % each == 0:
+                a /= np.matmul(a, self.ones, out=self.sums[:n])  # each state divided by the sum of all
+                if scale is not None:
+                    scale[here:then] = self.sums[:n, 0]
+        return a
+
+
+def _posteriors(model: Model, blocks: _Lanes, symbol: np.ndarray, take: Callable[[int, int, np.ndarray], None], before: np.ndarray | None = None,
+                after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Expected starts and moves; ``take`` gets, for each range of places, the states' probabilities there. ``before`` and
+    ``after`` are the messages from the rest of each block's text: the states' probabilities at the symbol before it (all 0
+    where the text begins), and the likelihood of all that follows by the block's last state, to any scale. The arithmetic has
+    the precision of the model's emissions, of which only the proportions between the states matter here. Of the forward
+    messages one a window is kept; those of a window are computed again when the way back comes to it."""
+    k, kind, number = len(model.start), model.emits.dtype, len(blocks.lengths)
+    starts = np.ones(number, dtype=bool) if before is None else before.sum(axis=1) == 0
+    begins = np.broadcast_to(model.start, (number, k)) if before is None else np.where(starts[:, None], model.start, before @ model.moves).astype(kind)
+    forward = _Forward(model, model.emits / model.emits.max(axis=1, keepdims=True), blocks, symbol, begins)
+    windows, kept, a = blocks.windows(), [], forward.state
+    for low, high in windows:
+        kept.append(a.copy())
+        a = forward.run(a, low, high, 2)
+    by, events, lanes = blocks.at_steps(blocks.begin)
+    by_end, ends, end_lanes = blocks.at_steps(blocks.end)
+    at, at_end = blocks.first[blocks.begin[by]] + lanes, blocks.first[blocks.end[by_end]] + end_lanes
+    after, starts, begins = np.ones((number, k), dtype=kind) if after is None else after[by_end], starts[by], begins[by]
+    first, live = forward.first, forward.live
+    start, moves, backward = np.zeros(k), np.zeros((k, k)), np.ascontiguousarray(model.moves.T)
+    b = np.zeros((blocks.lanes, k), dtype=kind)
+    messages, states, came = np.empty((3, WINDOW + blocks.lanes, k), dtype=kind)
+    for (low, high), past in zip(windows[::-1], kept[::-1]):
+        begun, size = first[low], first[high] - first[low]
+        message, gamma, ahead = messages[:size], states[:size], came[:size]
+        forward.run(past, low, high, 2, message, ahead)
+        own = slice(ends[low], ends[high])
+        last = (after[own] / (message[at_end[own] - begun] * after[own]).sum(axis=1, keepdims=True)).astype(kind)
+        for t in range(high - 1, low - 1, -1):
+            here, then, n = first[t] - begun, first[t + 1] - begun, live[t]
+            if ends[t] < ends[t + 1]:
+                b[end_lanes[ends[t]:ends[t + 1]]] = last[ends[t] - ends[low]:ends[t + 1] - ends[low]]
+            now = np.multiply(message[here:then], b[:n], out=gamma[here:then])
+            now = np.divide(now, ahead[here:then], out=ahead[here:then])
+            np.matmul(now, backward, out=b[:n])
+        own = slice(events[low], events[high])
+        ahead[at[own] - begun] = 0  # nothing moves from one sequence to the next
+        moves += past[:live[low]].T @ ahead[:live[low]]
+        if live[low] == live[high - 1]:
+            moves += message[:size - live[low]].T @ ahead[live[low]:]
+        else:
+            for t in range(low + 1, high):
+                here = first[t - 1] - begun
+                moves += message[here:here + live[t]].T @ ahead[first[t] - begun:first[t + 1] - begun]
+        found, new = gamma[at[own] - begun], starts[own]
+        if before is not None:
+            moves += before[by[own][~new]].T @ (found[~new] / begins[own][~new])
+        start += found[new].sum(axis=0, dtype=np.float64)
+        gamma /= gamma @ forward.ones
+        take(begun, first[high], gamma)
+    return start, moves * model.moves
+
+
+def _all_posteriors(model: Model, blocks: _Lanes, symbol: np.ndarray, *messages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    gamma = np.empty((len(symbol), len(model.start)), dtype=model.emits.dtype)
+    return (*_posteriors(model, blocks, symbol, lambda i, j, own: np.copyto(gamma[i:j], own), *messages), gamma)
+
+
+class _Sums:
+    """Expected counts of a group's symbols and rare tokens. ``symbol`` has the symbol of each row of the emissions; the rows
+    after the symbols' are the rare tokens'."""
+
+    def __init__(self, symbol: np.ndarray, symbols: int, k: int):
+        self.symbol, self.counts, self.own, self.size = symbol, np.zeros((k, symbols)), [], 0
+        self.states = np.empty((k, SUMMED + WINDOW + LANES), dtype=np.float32)
+        self.rare: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, item: np.ndarray, gamma: np.ndarray) -> None:
+        """Of at most ``WINDOW`` + ``LANES`` places."""
+        of = np.flatnonzero(item >= self.counts.shape[1])
+        self.rare.append((item[of] - self.counts.shape[1], gamma[of]))
+        self.own.append(self.symbol[item])
+        self.states[:, self.size:self.size + len(item)] = gamma.T
+        self.size += len(item)
+        if self.size >= SUMMED:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.own:
+            own = np.concatenate(self.own)
+            for total, states in zip(self.counts, self.states):
+                total += np.bincount(own, weights=states[:self.size], minlength=len(total))
+        self.own, self.size = [], 0
+
+    def totals(self) -> tuple[np.ndarray, np.ndarray]:
+        self.flush()
+        row, gamma = (np.concatenate([r[i] for r in self.rare]) for i in range(2)) if self.rare else (np.zeros(0, np.intp), np.zeros((0, len(self.counts))))
+        members = _summed(row, gamma, len(self.symbol) - self.counts.shape[1])
+        return self.counts.T, members
+
+
+def _transfers(model: Model, symbols: list[np.ndarray], begins: np.ndarray) -> np.ndarray:
     """Of each block, to a scale, the matrix that takes the states' weights before it to those at its last symbol; of a
     text's first block, the start to those at its last symbol."""
     k = len(model.start)
     out = np.empty((len(symbols), k, k))
-    onward = np.ascontiguousarray(model.moves.T)
+    onward, table = np.ascontiguousarray(model.moves.T), np.ascontiguousarray(model.emits.T)
     lengths = np.array([len(s) for s in symbols])
-    order = np.argsort(-lengths, kind="stable")
-    for own in _portions(order, lengths):
-        blocks = _Lanes([symbols[j] for j in own], [rare[j] for j in own])
-        own, first = own[blocks.order], blocks.first.tolist()
-        likely = blocks.likely(model, factors)
-        likely /= likely.max(axis=0)
+    for own in _portions(np.argsort(-lengths, kind="stable"), lengths):
+        blocks = _Lanes(lengths[own], len(own))
+        symbol = _moved(np.concatenate([symbols[i] for i in own]), blocks.places()).astype(np.intp)
+        own, first, live = own[np.argsort(blocks.lane)], blocks.first.tolist(), blocks.live.tolist()
         # state after x state before x lane
-        m = np.where(begins[own], np.eye(k, dtype=likely.dtype)[:, :, None], onward[:, :, None]) * likely[:, None, :blocks.lanes]
-        for t in range(1, blocks.steps):
-            n = blocks.live[t]
+        m = np.where(begins[own], np.eye(k, dtype=table.dtype)[:, :, None], onward[:, :, None])
+        for t in range(blocks.steps):
+            n = live[t]
             if n < m.shape[2]:
                 out[own[n:m.shape[2]]] = m[:, :, n:].transpose(2, 1, 0)
                 m = np.ascontiguousarray(m[:, :, :n])
-            m = (onward @ m.reshape(k, -1)).reshape(k, k, n)
-            m *= likely[:, None, first[t]:first[t + 1]]
+            likely = np.take(table, symbol[first[t]:first[t + 1]], axis=1, mode="clip")
+            likely /= likely.max(axis=0)
+            if t:
+                m = (onward @ m.reshape(k, -1)).reshape(k, k, n)
+            m *= likely[:, None]
             if t % 4 == 0:
                 m /= m.sum(axis=(0, 1))
         out[own[:m.shape[2]]] = m.transpose(2, 1, 0)
     return out / out.sum(axis=(1, 2), keepdims=True)
 
 
-def _portions(order: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """Blocks in their order, in portions of about ``PORTION`` symbols."""
-    if not len(order):
+def _portions(chosen: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The chosen ones in their order, in portions of about ``PORTION`` symbols."""
+    if not len(chosen):
         return []
-    number = (np.cumsum(lengths[order]) - 1) // PORTION
-    return np.split(order, np.flatnonzero(np.diff(number)) + 1)
+    number = (np.cumsum(lengths[chosen]) - 1) // PORTION
+    return np.split(chosen, np.flatnonzero(np.diff(number)) + 1)
 
 
-def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray] | None = None,
-                factors: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """What ``_posteriors`` gives for whole texts of any length, in portions of bounded size."""
+def whole_texts(model: Model, symbols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, _Lanes]]:
+    """What ``_all_posteriors`` gives for whole texts of any length, in portions of bounded size, with the places' symbols."""
     k = len(model.start)
-    if rare is None:
-        rare, factors = [np.zeros(len(s), dtype=np.int64) for s in symbols], np.ones((1, k))
     text = np.repeat(np.arange(len(symbols)), [-(-len(s) // BLOCK) for s in symbols])
-    cut, cut_rare = ([s[i:i + BLOCK] for s in parts for i in range(0, len(s), BLOCK)] for parts in (symbols, rare))
+    cut = [s[i:i + BLOCK] for s in symbols for i in range(0, len(s), BLOCK)]
     begins, ends = np.append(True, text[1:] != text[:-1]), np.append(text[1:] != text[:-1], True)
     before, after = np.zeros((len(cut), k)), np.ones((len(cut), k))
     several = np.flatnonzero(~(begins & ends))
     if len(several):
-        matrices = dict(zip(several.tolist(), _transfers(model, [cut[i] for i in several], [cut_rare[i] for i in several], factors, begins[several])))
+        matrices = dict(zip(several.tolist(), _transfers(model, [cut[i] for i in several], begins[several])))
         for i in several.tolist():
             if not begins[i]:
                 state = (model.start if begins[i - 1] else before[i - 1]) @ matrices[i - 1]
@@ -360,9 +491,10 @@ def whole_texts(model: Model, symbols: list[np.ndarray], rare: list[np.ndarray]
                 state = matrices[i + 1] @ after[i + 1]
                 after[i] = state / state.sum()
     lengths = np.array([len(s) for s in cut], dtype=np.int64)
-    order = np.argsort(lengths, kind="stable")
-    for lanes in _portions(order, lengths):
-        yield _posteriors(model, [cut[j] for j in lanes], lengths[lanes], [cut_rare[j] for j in lanes], factors, before[lanes], after[lanes])
+    for own in _portions(np.arange(len(cut)), lengths):
+        blocks = _Lanes(lengths[own])
+        symbol = _moved(np.concatenate([cut[j] for j in own]), blocks.places()).astype(np.intp)
+        yield (*_all_posteriors(model, blocks, symbol, before[own], after[own]), symbol, blocks)
 
 
 # what a row that goes to a group holds
@@ -404,16 +536,23 @@ class RareTokens:
     def by_bucket(self, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         return _by_bucket(self.token, chosen, self.buckets)
 
-    def factors(self, model: "Model") -> np.ndarray:
-        """The probability of each token in its class by state; row 0 is for symbols that are no class."""
+    def table(self, model: Model) -> np.ndarray:
+        """Emissions by state of the symbols, and after them of the group's rare tokens."""
         k = self.counts.shape[1]
-        return np.concatenate([np.ones((1, k)), (self.counts + SMOOTHING / k) / model.rooms[self.classes]])
+        own = (self.counts + SMOOTHING / k) / model.rooms[self.classes] * model.emits[len(model.emits) - CLASSES + self.classes.astype(np.intp)]
+        return np.concatenate([model.emits, own])
+
+
+def _items(symbols: bytes, rare: bytes, known: int) -> np.ndarray:
+    """The rows of ``RareTokens.table`` for the symbols of a portion."""
+    symbol = np.frombuffer(symbols, "<u2")
+    out = symbol.astype(np.int32)
+    out[symbol >= known] = np.frombuffer(rare, "<u4") + np.uint32(known + CLASSES)
+    return out
 
-    def places(self, symbols: np.ndarray, rare: bytes, known: int) -> np.ndarray:
-        """The row of the factors for each symbol of a text."""
-        out = np.zeros(len(symbols), dtype=np.int64)
-        out[symbols >= known] = np.frombuffer(rare, "<u4").astype(np.int64) + 1
-        return out
+
+def _cut(flat: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    return np.split(flat, np.cumsum(lengths)[:-1])
 
 
 def _by_bucket(token: np.ndarray, chosen: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -502,29 +641,29 @@ def _expected_counts(training: DataFrame, given: DataFrame, model: Model, words:
 
     def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
-        rare = RareTokens(rare_rows, buckets, k)
-        factors = rare.factors(own).astype(np.float32)
-        own = Model(*(x.astype(np.float32) for x in (own.start, own.moves, own.emits)))
-        first, emits, members = np.zeros((k + 1, k)), np.zeros(own.emits.shape), np.zeros(factors.shape)
-        symbols = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
-        places = [rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(symbols, rows.column("rare").to_pylist())]
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # of rare tokens, summed up once
-        for start, moves, gamma, symbol, place in whole_texts(own, symbols, places, factors):
-            first[0] += start
-            first[1:] += moves
-            emits += _summed(symbol, gamma, len(emits))
-            of = np.flatnonzero(place)
-            held.append((place[of], gamma.T[:, of]))
-        if held:
-            members = _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held], axis=1).T, len(members))
+        rare, known = RareTokens(rare_rows, buckets, k), len(vocabulary.tokens)
+        own = Model(*(x.astype(np.float32) for x in (own.start, own.moves, rare.table(own))))
+        first = np.zeros((k + 1, k))
+        sums = _Sums(np.concatenate([np.arange(known + CLASSES), known + rare.classes.astype(np.intp)]), known + CLASSES, k)
+        for i in range(len(rows)):
+            lengths, item = np.frombuffer(rows.column("lengths")[i].as_py(), "<i8"), _items(*(rows.column(c)[i].as_py() for c in ("symbols", "rare")), known)
+            if lengths.max() > WHOLE:
+                for start, moves, gamma, at, _ in whole_texts(own, _cut(item, lengths)):
+                    first += np.vstack([start, moves])
+                    for j in range(0, len(at), WINDOW):
+                        sums.add(at[j:j + WINDOW], gamma[j:j + WINDOW])
+            else:
+                start, moves = _posteriors(own, _Lanes(lengths), item, lambda i, j, gamma, item=item: sums.add(item[i:j], gamma))
+                first += np.vstack([start, moves])
+        emits, members = sums.totals()
         out: list[tuple] = []
-        if symbols:
+        if len(rows):
             out.append((SYMBOL, START, np.arange(k + 1, dtype="<i4").tobytes(), None, first.astype("<f4").tobytes()))
         used = np.flatnonzero(emits.sum(axis=1))
         for block in np.unique(used // SYMBOL_BLOCK).tolist():
             items = used[used // SYMBOL_BLOCK == block]
             out.append((SYMBOL, block, (items % SYMBOL_BLOCK).astype("<i4").tobytes(), None, emits[items].astype("<f4").tobytes()))
-        means = (members[1:] / np.maximum(rare.here, 1)[:, None]).astype("<f2")
+        means = (members / np.maximum(rare.here, 1)[:, None]).astype("<f2")
         if not last and len(rare.own()):
             out.append((OWN, 0, None, None, means[rare.own()].tobytes()))
         for b, at in rare.by_bucket(np.arange(len(rare.token)) if last else rare.shared()):
@@ -534,15 +673,15 @@ def _expected_counts(training: DataFrame, given: DataFrame, model: Model, words:
         return pa.table({"part": pa.array([part] * len(out), pa.int64()), "what": pa.array(what, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
                          "token": pa.array(token, pa.binary()), "here": pa.array(here, pa.binary()), "data": pa.array(data, pa.binary())})
 
-    return (training.select("part", "symbols", "rare").groupBy("part").cogroup(given.groupBy("part"))
+    return (training.select("part", "lengths", "symbols", "rare").groupBy("part").cogroup(given.groupBy("part"))
             .applyInArrow(run, "part bigint, what int, bucket int, token binary, here binary, data binary"))
 
 
-def _written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+def _written(df: DataFrame, what: str, *apart: str) -> tuple[DataFrame, str]:
     """``df`` as a table of the shared folder, and its path. Its rows may hold megabytes: the writer looks at its memory
-    after each."""
+    after each. Rows that differ in ``apart`` go to files of their own, so that a reader of some leaves out the others."""
     path = shared_dir(df.sparkSession, what)
-    (df.write.option("parquet.block.size", str(32 << 20)).option("parquet.block.size.row.check.min", "1")
+    (df.write.partitionBy(*apart).option("parquet.block.size", str(32 << 20)).option("parquet.block.size.row.check.min", "1")
      .option("parquet.page.size.row.check.min", "1").parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -586,7 +725,7 @@ def baum_welch(training: DataFrame, listed: DataFrame, words: Vocabulary, states
     counts, path = None, None
     for i in range(rounds):
         found, found_path = _written(_expected_counts(training, _all_given(listed, numbers, counts), model, words, buckets, i == rounds - 1),
-                                     "expected-counts")
+                                     "expected-counts", "what")
         start, moves, emits = _symbol_counts(found, words.symbols, states)
         own = found.filter(F.col("what") == OWN).select("part", "what", "bucket", "data")
         counts, last = _written(_shared_counts(found, states).unionByName(own), "rare-token-counts"), path
@@ -599,57 +738,49 @@ def baum_welch(training: DataFrame, listed: DataFrame, words: Vocabulary, states
     return model, _all_given(listed, numbers, counts)
 
 
-def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray, rare: np.ndarray | None = None,
-                    factors: np.ndarray | None = None) -> np.ndarray:
-    """log10 probability of each sequence, by the scaled forward recursion over its whole length. ``rare`` has for each
-    symbol the row of ``factors`` that its emission is multiplied by."""
-    if rare is None:
-        rare, factors = np.zeros(len(flat), dtype=np.int64), np.ones((1, len(model.start)))
+def log_likelihoods(model: Model, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log10 probability of each sequence, by the scaled forward recursion over its whole length."""
     lengths = np.diff(at)
     out = np.zeros(len(lengths))
-    short = np.flatnonzero((lengths > 0) & (lengths <= LONG))
-    short = short[np.argsort(-lengths[short], kind="stable")]
-    if len(short):
-        out[short] = _in_lanes(model, flat, at[short], lengths[short], rare, factors)
+    for own in _portions(np.flatnonzero((lengths > 0) & (lengths <= LONG)), lengths):
+        blocks = _Lanes(lengths[own])
+        out[own] = _in_lanes(model, blocks, _moved(np.concatenate([flat[at[i]:at[i + 1]] for i in own.tolist()]), blocks.places()))
     for i in np.flatnonzero(lengths > LONG):
-        out[i] = _in_chunks(model, flat[at[i]:at[i + 1]], rare[at[i]:at[i + 1]], factors)
+        out[i] = _in_chunks(model, flat[at[i]:at[i + 1]])
     return out
 
 
-def _in_lanes(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, rare: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Sequences in falling order of length, one step of all that still run at a time."""
-    log = np.zeros(len(starts))
-    live = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-    onward, emits = np.ascontiguousarray(model.moves.T), np.ascontiguousarray(model.emits.T)
-    a = np.repeat(model.start[:, None], len(starts), axis=1)
-    for t, n in enumerate(live):
-        here = starts[:n] + t
-        if t:
-            a = onward @ a[:, :n]
-        a *= np.take(emits, flat[here], axis=1)
-        own = rare[here]
-        if own.any():
-            of = np.flatnonzero(own)
-            a[:, of] *= factors[own[of]].T
-        scale = np.add.reduce(a, axis=0)
-        a /= scale
-        log[:n] += np.log10(scale)
-    return log
-
-
-def _in_chunks(model: Model, symbols: np.ndarray, rare: np.ndarray, factors: np.ndarray) -> float:
+def _in_lanes(model: Model, blocks: _Lanes, symbol: np.ndarray) -> np.ndarray:
+    forward = _Forward(model, model.emits, blocks, symbol, np.broadcast_to(model.start, (len(blocks.lengths), len(model.start))))
+    by, ends, lanes = blocks.at_steps(blocks.end)
+    first, found, total, a = forward.first, np.empty(len(by)), np.zeros(blocks.lanes), forward.state
+    scale = np.empty(WINDOW + blocks.lanes)
+    for low, high in blocks.windows():
+        begun = first[low]
+        a = forward.run(a, low, high, 1, scale=scale)
+        log = np.log10(scale[:first[high] - begun])
+        for t in range(low, high):
+            total[:first[t + 1] - first[t]] += log[first[t] - begun:first[t + 1] - begun]
+            if ends[t] < ends[t + 1]:
+                own = slice(ends[t], ends[t + 1])
+                found[own] = total[lanes[own]]
+                total[lanes[own]] = 0
+    return _moved(found, by)
+
+
+def _in_chunks(model: Model, symbols: np.ndarray) -> float:
     """One long sequence: the transfer matrices of its chunks, computed side by side, applied in turn."""
-    state = model.start * model.emits[symbols[0]] * factors[rare[0]]
+    state = model.start * model.emits[symbols[0]]
     total, state = math.log10(state.sum()), state / state.sum()
-    rest, rare = symbols[1:], rare[1:]
+    rest = symbols[1:]
     whole = len(rest) // CHUNK
     for group in range(0, whole, 64):
         span = slice(group * CHUNK, min(group + 64, whole) * CHUNK)
-        chunks, own = rest[span].reshape(-1, CHUNK), rare[span].reshape(-1, CHUNK)
+        chunks = rest[span].reshape(-1, CHUNK)
         matrices = np.tile(np.eye(len(state)), (len(chunks), 1, 1))
         logs = np.zeros(len(chunks))
         for t in range(CHUNK):
-            matrices = (matrices @ model.moves) * (model.emits[chunks[:, t]] * factors[own[:, t]])[:, None, :]
+            matrices = (matrices @ model.moves) * model.emits[chunks[:, t]][:, None, :]
             scale = matrices.sum(axis=(1, 2))
             matrices /= scale[:, None, None]
             logs += np.log10(scale)
@@ -657,8 +788,8 @@ def _in_chunks(model: Model, symbols: np.ndarray, rare: np.ndarray, factors: np.
             state = state @ matrix
             total += log + math.log10(state.sum())
             state /= state.sum()
-    for s, r in zip(rest[whole * CHUNK:], rare[whole * CHUNK:]):
-        state = (state @ model.moves) * model.emits[s] * factors[r]
+    for s in rest[whole * CHUNK:]:
+        state = (state @ model.moves) * model.emits[s]
         total += math.log10(state.sum())
         state /= state.sum()
     return total
@@ -667,27 +798,34 @@ def _in_chunks(model: Model, symbols: np.ndarray, rare: np.ndarray, factors: np.
 def likelihoods(coded: DataFrame, given: DataFrame, model: Model, words: Vocabulary, buckets: int) -> DataFrame:
     """``id, held_out, n_tokens, known, base, log`` of every row, its rare tokens included."""
     shared = coded.sparkSession.sparkContext.broadcast((model, words))
-    columns = ["id", "held_out", "n_tokens"]
-    rows = coded.select(*columns, "known", "base", "part", "symbols", "rare")
     base_room = math.log10(words.total + SMOOTHING * (words.distinct + 1))
+    kind = coded.schema["ids"].dataType.elementType.simpleString()
 
     def run(rows: pa.Table, rare_rows: pa.Table) -> pa.Table:
         own, vocabulary = shared.value
-        rare = RareTokens(rare_rows, buckets, len(own.start), final=True)
-        factors = rare.factors(own)
-        parts = [np.frombuffer(s, "<u2") for s in rows.column("symbols").to_pylist()]
-        at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        place = np.concatenate([rare.places(s, r, len(vocabulary.tokens)) for s, r in zip(parts, rows.column("rare").to_pylist())])
-        log = log_likelihoods(own, np.concatenate(parts).astype(np.int64), at, place, factors)
-        text = np.repeat(np.arange(len(parts)), np.diff(at))[place > 0]
-        number = rare.n[place[place > 0] - 1]
-        known = rows.column("known").to_numpy() + np.bincount(text, weights=number > 0, minlength=len(parts)).astype(np.int64)
-        base = rows.column("base").to_numpy() + np.bincount(text, weights=np.log10(number + SMOOTHING) - base_room, minlength=len(parts))
-        return pa.table([*(rows.column(c) for c in columns), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(log, pa.float64())],
-                        names=[*columns, "known", "base", "log"])
-
-    fields = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*columns, "known", "base"])
-    return rows.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(run, f"{fields}, log double")
+        rare, frequent = RareTokens(rare_rows, buckets, len(own.start), final=True), len(vocabulary.tokens)
+        own = Model(own.start, own.moves, rare.table(own))
+        out = []
+        for i in range(len(rows)):
+            lengths, known, base = (np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in (("lengths", "<i8"), ("known", "<i8"), ("base", "<f8")))
+            item = _items(*(rows.column(c)[i].as_py() for c in ("symbols", "rare")), frequent)
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            if lengths.max() > WHOLE:
+                log = log_likelihoods(own, item, np.concatenate([[0], np.cumsum(lengths)]))
+            else:
+                blocks = _Lanes(lengths)
+                log, text = _in_lanes(own, blocks, item), _moved(text, blocks.places())
+            of = item >= frequent + CLASSES
+            text, number = text[of], rare.n[item[of] - frequent - CLASSES]
+            known = known + np.bincount(text, weights=number > 0, minlength=len(lengths)).astype(np.int64)
+            base = base + np.bincount(text, weights=np.log10(number + SMOOTHING) - base_room, minlength=len(lengths))
+            out.append(pa.table([rows.column("ids")[i].values, pa.array(np.full(len(lengths), rows.column("held_out")[i].as_py())), pa.array(lengths, pa.int64()),
+                                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(log, pa.float64())],
+                                names=["id", "held_out", "n_tokens", "known", "base", "log"]))
+        return pa.concat_tables(out)
+
+    return (coded.select("part", "held_out", "ids", "lengths", "symbols", "known", "base", "rare").groupBy("part").cogroup(given.groupBy("part"))
+            .applyInArrow(run, f"id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, log double"))
 
 
 def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS,
@@ -700,8 +838,8 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         words = vocabulary(counts, frequent)
         delete_path(docs.sparkSession, path)
         table, _ = _written(sequences(rows, words), "symbol-sequences")
-        coded = table.filter("n_tokens IS NOT NULL")
-        listed = table.filter("n_tokens IS NULL").select("part", F.lit(LISTED).alias("what"), "token", "class", "here")
+        coded = table.filter("lengths IS NOT NULL")
+        listed = table.filter("lengths IS NULL").select("part", F.lit(LISTED).alias("what"), "token", "class", "here")
         pairs = listed.agg(F.sum(F.length("here") / 4)).first()[0] or 0
         buckets = max(1, math.ceil(pairs / BUCKET))
         model, given = baum_welch(coded.filter("NOT held_out"), listed, words, states, rounds, buckets)

@@ -297,3 +297,32 @@ def test_scores_of_awkward_tables(spark, awkward, empty):
     assert {r.train_tokens for r in unseen} == {0} and {r.n_known for r in unseen} == {0}
     assert all(r.base_score == pytest.approx(0) and math.isfinite(r.score) for r in unseen)
     assert hmm_scoring.scores(empty, F.lit(False), rounds=1).count() == 0
+
+
+def test_lanes_and_windows_equal_texts_one_by_one(monkeypatch):
+    """Many texts in few lanes, windows of few steps: nothing passes from a text to the next one of its lane."""
+    model, rng = _model(4, 30, 8), np.random.default_rng(9)
+    texts = [rng.integers(0, 30, n) for n in rng.integers(1, 40, 50)]
+    want = [hmm_scoring.expected(model, [t], np.array([len(t)])) for t in texts]
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    logs = hmm_scoring.log_likelihoods(model, np.concatenate(texts), at)
+    for lanes, window in ((3, 8), (7, 1000), (50, 16)):
+        monkeypatch.setattr(hmm_scoring, "LANES", lanes)
+        monkeypatch.setattr(hmm_scoring, "WINDOW", window)
+        got = hmm_scoring.expected(model, texts, np.array([len(t) for t in texts]))
+        for i in range(3):
+            assert got[i] == pytest.approx(sum(w[i] for w in want), rel=1e-9, abs=1e-9)
+        assert hmm_scoring.log_likelihoods(model, np.concatenate(texts), at) == pytest.approx(logs)
+        assert hmm_scoring._Lanes(np.diff(at)).lanes == lanes
+
+
+def test_a_groups_texts_share_rows(spark):
+    """What travels in each round are a few rows a group, with every text and token in one of them."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 5 == 0).alias("held_out"), "text")
+    vocabulary = hmm_scoring.vocabulary(hmm_scoring.token_counts(docs.filter("NOT held_out").select("text")), 50)
+    rows = hmm_scoring.sequences(docs, vocabulary).filter("lengths IS NOT NULL").collect()
+    want = {r.id: (r.held_out, len([*words(r.text), None])) for r in docs.collect()}
+    assert len(rows) < len(want) / 10
+    assert {i: (r.held_out, n) for r in rows for i, n in zip(r.ids, np.frombuffer(r.lengths, "<i8").tolist())} == want
+    assert sum(len(r.ids) for r in rows) == len(want) and sum(len(r.symbols) for r in rows) == 2 * sum(n for _, n in want.values())
